@@ -28,9 +28,14 @@ def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | No
         out = out.withColumn(keys[0], F.coalesce(F.col(keys[0]), F.expr("uuid()")))
     if version is not None:
         out = latest_per_key(out, keys, [version])
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if parts:
+        # one writer per partition value instead of one per (task, value); AQE splits a hot value
+        # across tasks and merges small ones (rebalance), so no task gets a third of the batch
+        out = out.hint("rebalance", *parts)
     writer = out.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if parts:
+        writer = writer.partitionBy(*parts)
     writer.parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 

@@ -45,7 +45,11 @@ def _day_range(col: str, days):
 
 def startup_log(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Startup records: (event_id, mid, ts TIMESTAMP, log_date, log_hour); ``days`` narrows the scan."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type"])
+    return startup_log_from(read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type"]), days)
+
+
+def startup_log_from(ev: DataFrame, days=None) -> DataFrame:
+    """``startup_log`` over any events DataFrame (batch or stream)."""
     df = (ev.where(F.col("event_type").isin(*STARTUP_EVENT_TYPES) & _day_range("ts", days))
             .select("event_id",
                     F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
@@ -55,7 +59,10 @@ def startup_log(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
 
 def action_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Action (event-topic) records: (event_id, mid, uid, ts, evid, itemid)."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "props"])
+    return action_log_from(read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "props"]))
+
+
+def action_log_from(ev: DataFrame) -> DataFrame:
     evid = F.lit(OTHER_EVID)
     for et, name in reversed(list(EVID_BY_EVENT_TYPE.items())):
         evid = F.when(F.col("event_type") == et, F.lit(name)).otherwise(evid)
@@ -71,7 +78,10 @@ def action_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App log lines as posted by clients (JSON text, no server ``ts`` yet): (event_id, value)."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
+    return raw_logs_from(read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"]))
+
+
+def raw_logs_from(ev: DataFrame) -> DataFrame:
     typ = F.when(F.col("event_type").isin(*STARTUP_EVENT_TYPES), F.lit("startup")).otherwise(F.lit("event"))
     mid = F.concat(F.lit("mid_"), F.col("user_id").cast("string"))
     uid = F.concat(F.lit("uid_"), F.col("user_id").cast("string"))
@@ -86,7 +96,12 @@ def order_info(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     The time of day is added to a midnight order date, so ``days`` can narrow the scan on that date.
     """
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                             "o_orderdate"]).where(_day_range("o_orderdate", days))
+                                             "o_orderdate"])
+    return order_info_from(o, days)
+
+
+def order_info_from(o: DataFrame, days=None) -> DataFrame:
+    o = o.where(_day_range("o_orderdate", days))
     secs = ((F.col("o_orderkey") * CREATE_SECONDS_MULT) % 86400).cast("decimal(18,6)")
     created = F.col("o_orderdate") + F.make_dt_interval(secs=secs)
     df = o.select(
@@ -108,6 +123,10 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                 "l_extendedprice", "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
+    return order_detail_from(li, part)
+
+
+def order_detail_from(li: DataFrame, part: DataFrame) -> DataFrame:
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
@@ -120,7 +139,10 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User dimension: (id, user_level, birthday, gender)."""
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    return user_info_from(read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"]))
+
+
+def user_info_from(c: DataFrame) -> DataFrame:
     birthday = F.date_add(F.lit(BIRTH_BASE).cast("date"),
                           ((F.col("c_custkey") * BIRTH_MULT) % BIRTH_SPAN).cast("int"))
     return (c.where(F.col("c_custkey") % USER_GAP != 0)

@@ -1 +1,135 @@
-"""Streaming twins of batch queries (registered in the catalog); filled in by the streaming module."""
+"""Streaming twins: the streaming jobs run with ``availableNow`` over file streams of the shared tables,
+registered as queries whose result is read back from the job's output table.
+
+Each run writes under a fresh folder of the shared checkpoint root (``spark.checkpoint.dir``).
+Their oracles are the batch SQL plus the watermark rule where one applies (append mode emits a
+window only once the watermark has passed its end).
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from martpulse import schemas
+from martpulse.functions.jsonrec import parse_json, to_json_record
+from martpulse.operators.alerts import coupon_alerts_stream
+from martpulse.operators.pairs import pair_within_stream
+from martpulse.operators.route import route_cdc
+from martpulse.operators.upsert import current, upsert_batch
+from martpulse.operators.widen import SALE_COLUMNS
+from martpulse.plans import catalog as C
+from martpulse.session import scratch_path
+from martpulse.sources import standins as SI
+from martpulse.sources import topics as TP
+from martpulse.sources.tables import read_table, stream_table
+from martpulse.streaming import jobs as J
+
+ALERT_LATENESS_SECONDS = 3600
+
+
+def _run_dir(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, "twins", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _events(spark, sf, cols):
+    return stream_table(spark, sf, "events").select(*cols)
+
+
+@C.register("stream_log_route", C.ORACLES["log_route"])
+def q_stream_log_route(spark: SparkSession, sf: str) -> DataFrame:
+    run = _run_dir(spark, "log_route")
+    raw = SI.raw_logs_from(_events(spark, sf, ["event_id", "user_id", "event_type", "props"]))
+    J.run_to_end(J.log_intake_job(raw, f"{run}/out", f"{run}/ckpt", available_now=True))
+    return spark.read.parquet(f"{run}/out").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@C.register("stream_dau_keys", "SELECT DISTINCT mid, log_date FROM startup_log", ("startup_log",))
+def q_stream_dau_keys(spark: SparkSession, sf: str) -> DataFrame:
+    run = _run_dir(spark, "dau")
+    startup = SI.startup_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type"]))
+    J.run_to_end(J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", available_now=True))
+    return current(spark, f"{run}/dau", ["mid", "log_date"]).select("mid", "log_date")
+
+
+@C.register("stream_alerts", C.ORACLES["coupon_alerts"].replace(
+    "AND NOT bool_or(evid = 'clickItem')",
+    f"AND NOT bool_or(evid = 'clickItem') AND ws + INTERVAL {C.ALERT_SIZE} SECOND <= "
+    f"(SELECT max(ts) FROM action_log) - INTERVAL {ALERT_LATENESS_SECONDS} SECOND"))
+def q_stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    run = _run_dir(spark, "alerts")
+    actions = SI.action_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type", "props"]))
+    alerts = coupon_alerts_stream(actions, C.ALERT_SIZE, C.ALERT_SLIDE,
+                                  lateness=f"{ALERT_LATENESS_SECONDS} seconds")
+    q = (alerts.writeStream.outputMode("append").format("parquet").option("path", f"{run}/out")
+         .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
+    J.run_to_end(q)
+    a = spark.read.parquet(f"{run}/out")
+    return a.select(
+        F.concat_ws("_", "mid", F.floor(F.unix_seconds("window_end") / 60).cast("long").cast("string")).alias("id"),
+        "mid", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        F.array_join("uids", ",").alias("uids"), F.array_join("item_ids", ",").alias("item_ids"),
+        F.array_join("events", ",").alias("events"))
+
+
+@C.register("stream_pairs", C.ORACLES["pair_within_hour"])
+def q_stream_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    run = _run_dir(spark, "pairs")
+    cols = ["event_id", "user_id", "ts", "event_type"]
+    views = (_events(spark, sf, cols).where(F.col("event_type") == "view")
+             .select(F.col("event_id").alias("view_id"), "user_id", F.col("ts").cast("timestamp").alias("v_ts")))
+    buys = (_events(spark, sf, cols).where(F.col("event_type") == "purchase")
+            .select(F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").cast("timestamp").alias("p_ts")))
+    pairs = pair_within_stream(views, buys, "user_id", C.PAIR_BOUND, "v_ts", "p_ts", "1 hour")
+    q = (pairs.select("view_id", "purchase_id").writeStream.format("parquet").option("path", f"{run}/out")
+         .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
+    J.run_to_end(q)
+    return spark.read.parquet(f"{run}/out")
+
+
+@C.register("stream_cdc_upsert", C.ORACLES["user_latest"])
+def q_stream_cdc_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Change log written once as files, then relayed in several micro-batches into the user table."""
+    run = _run_dir(spark, "cdc")
+    SI.cdc_log(spark, sf).write.parquet(f"{run}/cdc")
+    cdc = spark.readStream.schema(schemas.CDC).option("maxFilesPerTrigger", 2).parquet(f"{run}/cdc")
+    routed = route_cdc(cdc).where(F.col("topic") == TP.USER_TOPIC)
+    users, _bad = parse_json(routed, schemas.USER, keep=("seq",))
+    J.run_to_end(J.user_dim_job(users, f"{run}/users", f"{run}/ckpt", "seq", available_now=True))
+    return current(spark, f"{run}/users", "id", "seq").select("id", "user_level")
+
+
+@C.register("stream_order_hour", C.ORACLES["order_hour"])
+def q_stream_order_hour(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as topic messages (JSON of strings) -> typed, masked -> order table -> hourly amounts."""
+    run = _run_dir(spark, "orders")
+    o = SI.order_info_from(stream_table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
+    msgs = o.select(to_json_record(
+        "id", "user_id", "order_status", F.col("total_amount").cast("string").alias("total_amount"),
+        "consignee_tel", "create_time").alias("value"))
+    # the whole order history arrives in one micro-batch here: written unpartitioned (see order_job)
+    J.run_to_end(J.order_job(J.typed_orders(msgs), f"{run}/orders", f"{run}/ckpt", available_now=True,
+                             partition_by=None))
+    t = current(spark, f"{run}/orders", "id")
+    return t.groupBy("create_date", "create_hour").agg(F.round(F.sum("total_amount"), 2).alias("total_amount"))
+
+
+@C.register("stream_sale_wide_ttl", f"""SELECT w.order_detail_id, w.order_id, w.order_status, w.create_time, w.user_id,
+  w.sku_id, w.user_gender, CAST(w.user_age AS INTEGER) AS user_age, w.user_level, w.sku_price, w.sku_name, w.dt
+  FROM wide w JOIN order_detail d2 ON d2.id = w.order_detail_id
+  WHERE CAST(d2.create_time AS TIMESTAMP) BETWEEN CAST(w.create_time AS TIMESTAMP) - INTERVAL {C.ORDER_TTL} SECOND
+  AND CAST(w.create_time AS TIMESTAMP) + INTERVAL {C.ORDER_TTL} SECOND""", ("wide",))
+def q_stream_sale_wide_ttl(spark: SparkSession, sf: str) -> DataFrame:
+    """Order and line streams paired within the TTL, user looked up per micro-batch -> sale table."""
+    run = _run_dir(spark, "sale")
+    upsert_batch(SI.user_info(spark, sf), 0, f"{run}/users", "id")
+    orders = SI.order_info_from(stream_table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
+    lines = stream_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    details = SI.order_detail_from(lines, read_table(spark, sf, "part", ["p_partkey", "p_name"]))
+    J.run_to_end(J.sale_job(orders, details, f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(),
+                            ttl_seconds=C.ORDER_TTL, lateness="30 days", available_now=True))
+    return current(spark, f"{run}/sale", "order_detail_id").select(*SALE_COLUMNS)
