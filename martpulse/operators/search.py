@@ -31,13 +31,20 @@ def _term_count(toks: str, word: str):
 
 def bm25_scores(df: DataFrame, id_col: str, text_col: str, query: str, k1: float = K1, b: float = B
                 ) -> DataFrame:
-    """``(id, score)`` for documents containing at least one query term."""
+    """``(id, score)`` for every document; ``score`` is null when no query term occurs.
+
+    Per-document features (length, term counts) are computed once and hash-partitioned by id; the
+    corpus statistics (one aggregate row, a scalar subquery) and the scoring both read that same
+    exchange, so the text is tokenised once. Nothing filters before the exchange: a pushed-down
+    filter would re-tokenise in the scan stage.
+    """
     q = query_tokens(query)
     if not q:
-        return df.select(id_col, F.lit(None).cast("double").alias("score")).where(F.lit(False))
+        return df.select(id_col, F.lit(None).cast("double").alias("score"))
     per_doc = (df.select(id_col, tokens(text_col).alias("__t"))
                  .select(id_col, F.size("__t").alias("dl"),
-                         *[_term_count("__t", w).alias(f"__f{i}") for i, w in enumerate(q)]))
+                         *[_term_count("__t", w).alias(f"__f{i}") for i, w in enumerate(q)])
+                 .repartition(df.sparkSession.sparkContext.defaultParallelism, id_col))
     stats = per_doc.agg(F.struct(
         F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
         *[F.sum(F.when(F.col(f"__f{i}") > 0, 1).otherwise(0)).alias(f"df{i}") for i in range(len(q))]
@@ -54,7 +61,19 @@ def bm25_scores(df: DataFrame, id_col: str, text_col: str, query: str, k1: float
     for i in range(len(q)):
         c = F.col(f"__f{i}") > 0
         any_hit = c if any_hit is None else (any_hit | c)
-    return per_doc.where(any_hit).select(id_col, score.alias("score"))
+    return per_doc.select(id_col, F.when(any_hit, score).alias("score"))
+
+
+def bm25_top(df: DataFrame, id_col: str, text_col: str, query: str, k: int, digits: int | None = 6,
+             k1: float = K1, b: float = B) -> DataFrame:
+    """The ``k`` best-scoring documents (ties by id); documents without a query term never qualify.
+
+    Null scores sort last and are dropped after the top-k, so no filter is pushed under the exchange.
+    """
+    s = bm25_scores(df, id_col, text_col, query, k1, b)
+    if digits is not None:
+        s = s.withColumn("score", F.round("score", digits))
+    return top_k(s, k, F.desc_nulls_last("score"), F.asc(id_col)).where(F.col("score").isNotNull())
 
 
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:

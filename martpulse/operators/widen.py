@@ -55,20 +55,20 @@ def pair_per_batch(orders: DataFrame, details: DataFrame, batch_len: str = "mont
     """Full outer join of orders and lines that arrive in the same batch, on the order id.
 
     Rows: ``(batch, order_id, detail_id)``; an order without lines in its batch has a null detail,
-    a line whose order is not in the batch a null order. Built as inner pairs + two anti-joins so that
-    a hot order id is split by AQE's skew handling (a full outer sort-merge join cannot be split),
-    and the anti-join against lines reads distinct keys only (combined map-side).
+    a line whose order is not in the batch a null order. Built as ``lines LEFT JOIN orders`` plus
+    ``orders LEFT ANTI (distinct line keys)``, which is the full outer join for any multiplicities:
+    AQE can split a hot order on the lines side of a left join (not in a full outer sort-merge
+    join), and the anti-join reads distinct keys only (combined map-side).
     """
     o = orders.select(arrival_batch(length=batch_len).alias("batch"), F.col("id").alias("order_id"))
     d = details.select(arrival_batch(length=batch_len).alias("batch"), F.col("order_id"),
                        F.col("id").alias("detail_id"))
-    both = o.join(d, on=["batch", "order_id"], how="inner").select("batch", "order_id", "detail_id")
-    d_keys = d.select("batch", "order_id").distinct()
-    only_o = (o.join(d_keys, on=["batch", "order_id"], how="left_anti")
+    keys = ["batch", "order_id"]
+    with_lines = (d.join(o.select(*keys, F.col("order_id").alias("__o")), on=keys, how="left")
+                   .select("batch", F.col("__o").alias("order_id"), "detail_id"))
+    only_o = (o.join(d.select(*keys).distinct(), on=keys, how="left_anti")
                .select("batch", "order_id", F.lit(None).cast("string").alias("detail_id")))
-    only_d = (d.join(o, on=["batch", "order_id"], how="left_anti")
-               .select("batch", F.lit(None).cast("string").alias("order_id"), "detail_id"))
-    return both.unionByName(only_o).unionByName(only_d)
+    return with_lines.unionByName(only_o)
 
 
 def pair_orders_within(orders: DataFrame, details: DataFrame, ttl_seconds: int) -> DataFrame:

@@ -20,7 +20,7 @@ from martpulse.operators.alerts import coupon_alerts
 from martpulse.operators.dedup import exclude_seen, latest_per_key
 from martpulse.operators.pairs import pair_within
 from martpulse.operators.route import route_cdc, route_logs
-from martpulse.operators.search import bm25_scores, page, top_k, top_terms
+from martpulse.operators.search import bm25_top, page, top_terms
 from martpulse.operators.widen import pair_orders_within, pair_per_batch, sale_rows
 from martpulse.plans import dashboard as D
 from martpulse.plans import saledetail as S
@@ -365,9 +365,8 @@ def q_age_band_share(spark, sf):
   SELECT doc_id, round(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) AS score
   FROM tf, s WHERE f > 0 ORDER BY score DESC, doc_id LIMIT {BM25_TOP}""")
 def q_bm25_top(spark, sf):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
-    scored = bm25_scores(docs, "doc_id", "text", BM25_QUERY).withColumn("score", F.round("score", 6))
-    return top_k(scored, BM25_TOP, F.desc("score"), F.asc("doc_id"))
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"], spread=True)
+    return bm25_top(docs, "doc_id", "text", BM25_QUERY, BM25_TOP, 6)
 
 
 __all__ = ["QUERIES", "ORACLES", "CTES", "register", "page"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SHARED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -12,10 +12,32 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    """Scan one shared table; ``columns`` prunes the parquet ReadSchema."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None, spread: bool = False) -> DataFrame:
+    """Scan one shared table; ``columns`` prunes the parquet ReadSchema.
+
+    ``spread``: see ``ensure_parallelism``; used for scans followed by CPU-heavy per-row work
+    (tokenising, JSON), where the extra exchange pays for itself. Filters still reach the scan.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return ensure_parallelism(df) if spread else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a batch scan that has fewer splits than the cluster has cores.
+
+    A file stored as one row group is read by one task, and everything pipelined after the scan
+    (JSON, tokenising, broadcast joins) would run on one core. On large inputs the scan already has
+    more splits than cores and nothing is added.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    # hash of the whole row, not round-robin: the assignment does not depend on row order, so a
+    # retried task (lost executor) sends every row to the same place without a pre-sort
+    return df.repartition(want, *[F.col(c) for c in df.columns])
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
@@ -31,8 +53,6 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
 
 def read_keyed(spark: SparkSession, path: str, **filters) -> DataFrame:
     """Scan a date-partitioned output table; equality filters on partition columns prune folders."""
-    from pyspark.sql import functions as F
-
     df = spark.read.parquet(path)
     for k, v in filters.items():
         df = df.where(F.col(k) == F.lit(v))
