@@ -8,7 +8,7 @@ folder. No transactional table format is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martpulse.operators.dedup import latest_per_key
 
@@ -39,9 +39,22 @@ def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | No
     writer.parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
-def current(spark: SparkSession, path: str, key, version: str | None = None) -> DataFrame:
+def read_keyed_table(spark: SparkSession, path: str, partition_by=()) -> DataFrame:
+    """All batch folders of a keyed table; partition columns come back as the strings written.
+
+    (Partition discovery would otherwise turn '2024-01-05' into a DATE and '07' into 7.)
+    """
+    parts = {partition_by} if isinstance(partition_by, str) else set(partition_by or ())
+    inferred = spark.read.parquet(path).schema
+    if not parts:
+        return spark.read.parquet(path)
+    fields = [T.StructField(f.name, T.StringType(), True) if f.name in parts else f for f in inferred.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=()) -> DataFrame:
     """Latest row per key over all batches (version first, later batch wins ties)."""
-    df = spark.read.parquet(path)
+    df = read_keyed_table(spark, path, partition_by)
     keys = [key] if isinstance(key, str) else list(key)
     order = ([version] if version else []) + [BATCH_COL]
     return latest_per_key(df, keys, order).drop(BATCH_COL)
@@ -50,7 +63,7 @@ def current(spark: SparkSession, path: str, key, version: str | None = None) ->
 def compact(spark: SparkSession, path: str, out_path: str, key, version: str | None = None,
             partition_by=None) -> None:
     """Write the current view as a fresh table (one batch folder) at ``out_path``."""
-    snap = current(spark, path, key, version)
+    snap = current(spark, path, key, version, partition_by)
     upsert_batch(snap, 0, out_path, key, None, partition_by, null_key_id=False)
 
 

@@ -26,6 +26,8 @@ from martpulse.operators.upsert import current, foreach_batch_upsert, upsert_bat
 from martpulse.operators.widen import SALE_COLUMNS, attach_user
 
 BATCH_INTERVAL = "5 seconds"
+# Folder layout of the keyed output tables (pass to ``upsert.current``).
+DAU_PARTS, ORDER_PARTS, SALE_PARTS = ("log_date",), ("create_date",), ("dt",)
 
 
 def _start(writer, checkpoint: str, available_now: bool, interval: str = BATCH_INTERVAL, name: str | None = None):
@@ -72,7 +74,7 @@ def dau_job(startup: DataFrame, table_path: str, checkpoint: str, lateness: str
     seen = startup.observe("dau_in", F.count(F.lit(1)).alias("rows_in"))
     firsts = dedup_per_day(seen, "mid", "ts", lateness).drop("day_start")
     firsts = firsts.observe("dau_out", F.count(F.lit(1)).alias("rows_out"))
-    sink = foreach_batch_upsert(table_path, ["mid", "log_date"], None, "log_date")
+    sink = foreach_batch_upsert(table_path, ["mid", "log_date"], None, DAU_PARTS)
     return _start(firsts.writeStream.foreachBatch(sink), checkpoint, available_now)
 
 
@@ -129,7 +131,7 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         spark = batch_df.sparkSession
         users = current(spark, user_table, "id")
         wide = attach_user(batch_df, users, as_of).select(*SALE_COLUMNS)
-        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, "dt")
+        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, SALE_PARTS)
 
     return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
 

@@ -50,7 +50,7 @@ def q_stream_dau_keys(spark: SparkSession, sf: str) -> DataFrame:
     run = _run_dir(spark, "dau")
     startup = SI.startup_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type"]))
     J.run_to_end(J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", available_now=True))
-    return current(spark, f"{run}/dau", ["mid", "log_date"]).select("mid", "log_date")
+    return current(spark, f"{run}/dau", ["mid", "log_date"], partition_by=J.DAU_PARTS).select("mid", "log_date")
 
 
 @C.register("stream_alerts", C.ORACLES["coupon_alerts"].replace(
@@ -132,4 +132,4 @@ def q_stream_sale_wide_ttl(spark: SparkSession, sf: str) -> DataFrame:
     details = SI.order_detail_from(lines, read_table(spark, sf, "part", ["p_partkey", "p_name"]))
     J.run_to_end(J.sale_job(orders, details, f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(),
                             ttl_seconds=C.ORDER_TTL, lateness="30 days", available_now=True))
-    return current(spark, f"{run}/sale", "order_detail_id").select(*SALE_COLUMNS)
+    return current(spark, f"{run}/sale", "order_detail_id", partition_by=J.SALE_PARTS).select(*SALE_COLUMNS)
