@@ -113,7 +113,8 @@ def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: st
 
 
 def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path: str, checkpoint: str,
-             as_of, ttl_seconds: int = 300, lateness: str = "10 minutes", available_now: bool = False):
+             as_of, ttl_seconds: int = 300, lateness: str = "10 minutes", available_now: bool = False,
+             partition_by=SALE_PARTS):
     """Orders x lines within ``ttl_seconds`` of each other, plus the user lookup -> sale table.
 
     The pair join is a watermarked stream-stream join; the user dimension is re-read inside each
@@ -131,7 +132,7 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         spark = batch_df.sparkSession
         users = current(spark, user_table, "id")
         wide = attach_user(batch_df, users, as_of).select(*SALE_COLUMNS)
-        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, SALE_PARTS)
+        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
 
     return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
 
