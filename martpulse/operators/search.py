@@ -64,6 +64,36 @@ def bm25_scores(df: DataFrame, id_col: str, text_col: str, query: str, k1: float
     return per_doc.select(id_col, F.when(any_hit, score).alias("score"))
 
 
+def with_bm25(df: DataFrame, text_col: str, query: str, k1: float = K1, b: float = B,
+              score_col: str = "score") -> DataFrame:
+    """``df`` plus a BM25 ``score`` of ``text_col`` (null when no query term occurs).
+
+    Corpus statistics come from all of ``df`` (one aggregate row, a scalar subquery), so a filter
+    applied afterwards (a day, a keyword) narrows the rows scored, not the statistics, like a search
+    index whose statistics cover every document.
+    """
+    q = query_tokens(query)
+    if not q:
+        return df.withColumn(score_col, F.lit(None).cast("double"))
+    toks = tokens(text_col)
+    feats = df.select(F.size(toks).alias("dl"), *[_term_count(toks, w).alias(f"__f{i}") for i, w in enumerate(q)])
+    stats = feats.agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
+        *[F.sum(F.when(F.col(f"__f{i}") > 0, 1).otherwise(0)).alias(f"df{i}") for i in range(len(q))]
+    ).alias("s")).scalar()
+    n, avgdl = stats["n"], stats["avgdl"]
+    dl = F.size(toks)
+    score, any_hit = None, None
+    for i, w in enumerate(q):
+        f, dfi = _term_count(toks, w), stats[f"df{i}"]
+        idf = F.log(F.lit(1.0) + (n - dfi + F.lit(0.5)) / (dfi + F.lit(0.5)))
+        term = F.when(f > 0, idf * f * F.lit(k1 + 1) / (f + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * dl / avgdl)))
+        term = term.otherwise(F.lit(0.0))
+        score = term if score is None else score + term
+        any_hit = (f > 0) if any_hit is None else (any_hit | (f > 0))
+    return df.withColumn(score_col, F.when(any_hit, score))
+
+
 def bm25_top(df: DataFrame, id_col: str, text_col: str, query: str, k: int, digits: int | None = 6,
              k1: float = K1, b: float = B) -> DataFrame:
     """The ``k`` best-scoring documents (ties by id); documents without a query term never qualify.

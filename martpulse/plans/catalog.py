@@ -325,6 +325,18 @@ def q_sale_search_page(spark, sf):
         "order_detail_id", "sku_name", "sku_price")
 
 
+@register("sale_search_relevance_page", f"""WITH t AS (SELECT order_detail_id, dt, sku_name,
+  list_filter(string_split_regex(lower(sku_name), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws FROM wide),
+  tf AS (SELECT order_detail_id, dt, sku_name, len(ws) AS dl, len(list_filter(ws, lambda x: x = '{SALE_KEYWORD}')) AS f FROM t),
+  s AS (SELECT count(*) AS n, avg(dl) AS avgdl, sum(CASE WHEN f > 0 THEN 1 ELSE 0 END) AS df FROM tf)
+  SELECT order_detail_id, sku_name,
+  round(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) AS score
+  FROM tf, s WHERE dt = '{SALE_DATE}' AND f > 0 ORDER BY score DESC, order_detail_id LIMIT 5 OFFSET 5""", ("wide",))
+def q_sale_search_relevance_page(spark, sf):
+    return S.relevance_page(_wide(spark, sf), SALE_DATE, SALE_KEYWORD, 2, 5).select(
+        "order_detail_id", "sku_name", "score")
+
+
 @register("sale_detail_stats", f"""WITH h AS (SELECT * FROM wide WHERE {_HIT}), t AS (SELECT count(*) AS total FROM h)
   SELECT 'gender' AS stat, user_gender AS name, floor(count(*) * 1000.0 / any_value(t.total) + 0.5) / 10 AS pct
   FROM h, t WHERE user_gender IS NOT NULL GROUP BY user_gender

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from martpulse.operators.search import match_all, page, top_terms
+from martpulse.operators.search import match_all, page, top_terms, with_bm25
 
 # Age bands (upper bounds exclusive) and their labels.
 AGE_BANDS = (("<20", 20), ("20-29", 30), ("30+", None))
@@ -75,3 +75,16 @@ def sale_detail_stats(sales: DataFrame, date: str, keyword: str) -> DataFrame:
     g = gender_share(hits).select(F.lit("gender").alias("stat"), F.col("user_gender").alias("name"), "pct")
     a = age_band_share(hits).select(F.lit("age").alias("stat"), F.col("band").alias("name"), "pct")
     return g.unionByName(a)
+
+
+def relevance_page(sales: DataFrame, date: str, keyword: str, page_no: int, page_size: int,
+                   digits: int | None = 6) -> DataFrame:
+    """One page of hits by BM25 relevance of ``sku_name`` (ties by ``order_detail_id``).
+
+    Statistics cover the whole sale table; the day and keyword filters then pick the hits.
+    """
+    scored = with_bm25(sales, "sku_name", keyword)
+    if digits is not None:
+        scored = scored.withColumn("score", F.round("score", digits))
+    hits = match_all(scored.where(F.col("dt") == date), "sku_name", keyword)
+    return page(hits, page_no, page_size, F.desc("score"), F.asc("order_detail_id"))

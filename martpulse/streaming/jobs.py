@@ -137,6 +137,12 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
     return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
 
 
+def console_job(stream: DataFrame, checkpoint: str, rows: int = 20, available_now: bool = False):
+    """Print each micro-batch (debugging output of a job's stream)."""
+    writer = stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")
+    return _start(writer, checkpoint, available_now)
+
+
 def run_to_end(query) -> None:
     """Wait for an ``available_now`` query and surface its failure."""
     query.awaitTermination()
