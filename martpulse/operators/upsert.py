@@ -52,9 +52,17 @@ def read_keyed_table(spark: SparkSession, path: str, partition_by=()) -> DataFra
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=()) -> DataFrame:
-    """Latest row per key over all batches (version first, later batch wins ties)."""
+def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=(),
+            only_keys: DataFrame | None = None) -> DataFrame:
+    """Latest row per key over all batches (version first, later batch wins ties).
+
+    ``only_keys``: restrict to these keys first (a semi-join before the aggregate), so a lookup for one
+    micro-batch aggregates that batch's keys, not the whole table.
+    """
     df = read_keyed_table(spark, path, partition_by)
+    if only_keys is not None:
+        ks = [key] if isinstance(key, str) else list(key)
+        df = df.join(only_keys.select(*ks).distinct(), on=ks, how="left_semi")
     keys = [key] if isinstance(key, str) else list(key)
     order = ([version] if version else []) + [BATCH_COL]
     return latest_per_key(df, keys, order).drop(BATCH_COL)

@@ -129,8 +129,10 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
     pairs = pair_within_stream(o, d, "order_id", ttl_seconds, "o_ts", "d_ts", lateness).drop("o_ts", "d_ts")
 
     def _write(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        users = current(spark, user_table, "id")
+        # one pass over the micro-batch: reading it twice (e.g. its user ids for a semi-join) re-ran
+        # the stateful pair join. The dimension view is the latest row per user; keep the user table
+        # compacted (``upsert.compact``) so this stays a plain join against a small snapshot.
+        users = current(batch_df.sparkSession, user_table, "id")
         wide = attach_user(batch_df, users, as_of).select(*SALE_COLUMNS)
         upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
 
