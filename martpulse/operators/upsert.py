@@ -1,13 +1,20 @@
 """KEYED-UPSERT: keyed tables kept as append-only micro-batch folders plus a latest-per-key view.
 
-Each micro-batch is written to ``<path>/batch_id=<n>`` in overwrite mode, so a batch that is retried
-after a failure (or an executor loss) replaces its own folder instead of adding duplicates. Readers
-take the latest row per key (by version, then batch id). ``compact`` writes that view as a new table
-folder. No transactional table format is needed.
+Layout::
+
+    <path>/batch_id=<n>/...         one folder per micro-batch (overwrite mode: a retry replaces it)
+    <path>/_base/upto=<n>/...       compacted snapshot: the latest row per key over batches <= n
+
+Readers take the newest snapshot plus the batches after it and keep the latest row per key (version,
+then batch id); older batch folders are pruned by the partition filter, so the work of a read follows
+the snapshot size plus the recent batches, not the table's whole history. ``compact`` writes a new
+snapshot (idempotent for a given ``n``); old batch folders can then be removed by housekeeping.
+Folders starting with ``_`` are invisible to reads of ``<path>``. No transactional format is needed.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martpulse.operators.dedup import latest_per_key
@@ -52,14 +59,40 @@ def read_keyed_table(spark: SparkSession, path: str, partition_by=()) -> DataFra
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+BASE_DIR, UPTO_COL = "_base", "upto"
+
+
+def _base_root(path: str) -> str:
+    return f"{path.rstrip('/')}/{BASE_DIR}"
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Batch id covered by the newest compacted snapshot, or None (one scalar from partition values)."""
+    try:
+        snaps = spark.read.parquet(_base_root(path))
+    except AnalysisException:
+        return None
+    return snaps.agg(F.max(UPTO_COL)).first()[0]
+
+
+def _rows_since_snapshot(spark: SparkSession, path: str, partition_by) -> DataFrame:
+    batches = read_keyed_table(spark, path, partition_by)
+    upto = latest_snapshot(spark, path)
+    if upto is None:
+        return batches
+    base = (read_keyed_table(spark, _base_root(path), partition_by)
+            .where(F.col(UPTO_COL) == upto).drop(UPTO_COL)
+            .withColumn(BATCH_COL, F.lit(upto).cast(batches.schema[BATCH_COL].dataType)))
+    return base.unionByName(batches.where(F.col(BATCH_COL) > upto))
+
+
 def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=(),
             only_keys: DataFrame | None = None) -> DataFrame:
-    """Latest row per key over all batches (version first, later batch wins ties).
+    """Latest row per key: newest snapshot + later batches (version first, later batch wins ties).
 
-    ``only_keys``: restrict to these keys first (a semi-join before the aggregate), so a lookup for one
-    micro-batch aggregates that batch's keys, not the whole table.
+    ``only_keys``: restrict to these keys first (a semi-join before the aggregate).
     """
-    df = read_keyed_table(spark, path, partition_by)
+    df = _rows_since_snapshot(spark, path, partition_by)
     if only_keys is not None:
         ks = [key] if isinstance(key, str) else list(key)
         df = df.join(only_keys.select(*ks).distinct(), on=ks, how="left_semi")
@@ -68,15 +101,38 @@ def current(spark: SparkSession, path: str, key, version: str | None = None, par
     return latest_per_key(df, keys, order).drop(BATCH_COL)
 
 
-def compact(spark: SparkSession, path: str, out_path: str, key, version: str | None = None,
-            partition_by=None) -> None:
-    """Write the current view as a fresh table (one batch folder) at ``out_path``."""
-    snap = current(spark, path, key, version, partition_by)
-    upsert_batch(snap, 0, out_path, key, None, partition_by, null_key_id=False)
+def compact(spark: SparkSession, path: str, key, version: str | None = None, partition_by=None) -> int | None:
+    """Write a snapshot of the latest row per key over all batches present; returns its batch id.
+
+    Rows keep their version, so later batches still override the snapshot correctly. Re-running for
+    the same batch id overwrites the same snapshot folder.
+    """
+    upto = read_keyed_table(spark, path, partition_by).agg(F.max(BATCH_COL)).first()[0]
+    if upto is None:
+        return None
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = _rows_since_snapshot(spark, path, partition_by).where(F.col(BATCH_COL) <= upto)
+    order = ([version] if version else []) + [BATCH_COL]
+    snap = latest_per_key(rows, keys, order).drop(BATCH_COL)
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if parts:
+        snap = snap.hint("rebalance", *parts)
+    writer = snap.write.mode("overwrite")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.parquet(f"{_base_root(path)}/{UPTO_COL}={int(upto)}")
+    return int(upto)
 
 
-def foreach_batch_upsert(path: str, key, version: str | None = None, partition_by=None):
-    """A ``foreachBatch`` function writing each micro-batch with ``upsert_batch``."""
+def foreach_batch_upsert(path: str, key, version: str | None = None, partition_by=None,
+                         compact_every: int | None = None):
+    """A ``foreachBatch`` function writing each micro-batch with ``upsert_batch``.
+
+    ``compact_every``: after every n-th batch, write a snapshot (``compact``) so readers aggregate the
+    snapshot plus fewer than n recent batches.
+    """
     def _write(batch_df: DataFrame, batch_id: int) -> None:
         upsert_batch(batch_df, batch_id, path, key, version, partition_by)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch_df.sparkSession, path, key, version, partition_by)
     return _write

@@ -106,9 +106,12 @@ def alert_job(actions: DataFrame, table_path: str, checkpoint: str, size_seconds
 
 
 def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: str = "seq",
-                 available_now: bool = False):
-    """User changes -> user dimension (upsert on id, last write wins, never expires)."""
-    sink = foreach_batch_upsert(table_path, "id", version)
+                 available_now: bool = False, compact_every: int | None = 100):
+    """User changes -> user dimension (upsert on id, last write wins, never expires).
+
+    Compacted every ``compact_every`` batches: the sale job reads this table in every micro-batch.
+    """
+    sink = foreach_batch_upsert(table_path, "id", version, compact_every=compact_every)
     return _start(users.writeStream.foreachBatch(sink), checkpoint, available_now)
 
 

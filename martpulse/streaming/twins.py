@@ -96,7 +96,8 @@ def q_stream_cdc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     cdc = spark.readStream.schema(schemas.CDC).option("maxFilesPerTrigger", 2).parquet(f"{run}/cdc")
     routed = route_cdc(cdc).where(F.col("topic") == TP.USER_TOPIC)
     users, _bad = parse_json(routed, schemas.USER, keep=("seq",))
-    J.run_to_end(J.user_dim_job(users, f"{run}/users", f"{run}/ckpt", "seq", available_now=True))
+    # compact every 2 micro-batches so the read-back covers snapshot + recent batches
+    J.run_to_end(J.user_dim_job(users, f"{run}/users", f"{run}/ckpt", "seq", available_now=True, compact_every=2))
     return current(spark, f"{run}/users", "id", "seq").select("id", "user_level")
 
 

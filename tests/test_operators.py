@@ -136,8 +136,14 @@ def test_upsert_retry_is_idempotent_and_latest_wins(spark, scratch):
     cur = {r.id: r.x for r in current(spark, path, "id", "v").collect() if r.id in ("1", "2")}
     assert cur == {"1": "a3", "2": "b"}
     assert current(spark, path, "id", "v").count() == 3   # null key got its own generated id
-    compact(spark, path, f"{scratch}/c", "id", "v")
-    assert current(spark, f"{scratch}/c", "id", "v").count() == 3
+    assert compact(spark, path, "id", "v") == 1
+    assert compact(spark, path, "id", "v") == 1               # idempotent
+    b2 = spark.createDataFrame([("2", 0, "b-old"), ("3", 1, "c")], "id string, v long, x string")
+    upsert_batch(b2, 2, path, "id", "v")
+    cur = {r.id: r.x for r in current(spark, path, "id", "v").collect() if r.id in ("1", "2", "3")}
+    assert cur == {"1": "a3", "2": "b", "3": "c"}             # snapshot + later batch, versions respected
+    assert compact(spark, path, "id", "v") == 2
+    assert current(spark, path, "id", "v").count() == 4
 
 
 def _sales(spark):
