@@ -9,7 +9,8 @@ Batch plan (panes): a window of ``size`` sliding by ``slide`` is a union of ``si
 is reduced inside each map task - and only the small pane summaries are replicated into the windows
 that contain them and merged. Raw rows are never copied once per window, and the events of a window
 are sorted pane by pane (panes are disjoint time ranges), not in one task.
-Streaming plan: Spark's ``window()`` aggregation with a watermark (append mode).
+Streaming plan: the same panes as two chained watermarked window aggregations (append mode): one
+state row per (device, pane), then the closed pane summaries slid into the windows.
 """
 
 from __future__ import annotations
@@ -80,7 +81,39 @@ def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
                          slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
                          trigger_evid: str = TRIGGER_EVID, veto_evid: str = VETO_EVID,
                          ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
-    """Streaming twin: watermarked sliding-window aggregation (append mode emits closed windows)."""
+    """Streaming pane plan: two chained watermarked window aggregations (append mode).
+
+    Stage 1 keeps one state row per (device, pane); stage 2 places each closed pane (by its
+    ``window_time``, which lies in exactly the windows containing the whole pane) into the sliding
+    windows and merges the summaries. State holds pane summaries, not size/slide copies of raw rows.
+    """
+    pane = math.gcd(int(size_seconds), int(slide_seconds))
+    trig = F.col("evid") == F.lit(trigger_evid)
+    panes = (actions.withWatermark(ts, lateness)
+             .groupBy(F.window(F.col(ts), f"{pane} seconds").alias("pw"), "mid")
+             .agg(F.collect_set(F.when(trig, F.col("uid"))).alias("__uids"),
+                  F.collect_set(F.when(trig, F.col("itemid"))).alias("__items"),
+                  F.collect_list(F.struct(F.col(ts), F.col("event_id"), F.col("evid"))).alias("__evs"),
+                  F.max(F.when(F.col("evid") == F.lit(veto_evid), 1).otherwise(0)).alias("__veto")))
+    w = F.window(F.window_time("pw"), f"{int(size_seconds)} seconds", f"{int(slide_seconds)} seconds")
+    merged = (panes.groupBy(w.alias("w"), "mid")
+              .agg(F.collect_list("__uids").alias("__u"), F.collect_list("__items").alias("__i"),
+                   F.collect_list(F.struct(F.col("pw.start").alias("p"), F.array_sort("__evs").alias("e")))
+                   .alias("__chunks"),
+                   F.max("__veto").alias("__veto")))
+    uids = F.array_sort(F.array_distinct(F.flatten("__u")))
+    events = F.flatten(F.transform(F.array_sort("__chunks"), lambda c: F.transform(c["e"], lambda e: e["evid"])))
+    return (merged.where((F.size(uids) >= min_uids) & (F.col("__veto") == 0))
+                  .select("mid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          uids.alias("uids"), F.array_sort(F.array_distinct(F.flatten("__i"))).alias("item_ids"),
+                          events.alias("events")))
+
+
+def coupon_alerts_stream_windowed(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
+                                  slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
+                                  trigger_evid: str = TRIGGER_EVID, veto_evid: str = VETO_EVID,
+                                  ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
+    """Single-stage alternative: Spark's sliding ``window()`` over raw rows (state per window copy)."""
     trig = F.col("evid") == F.lit(trigger_evid)
     w = F.window(F.col(ts), f"{int(size_seconds)} seconds", f"{int(slide_seconds)} seconds")
     agg = (actions.withWatermark(ts, lateness).groupBy(w.alias("w"), "mid")

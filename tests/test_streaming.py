@@ -86,3 +86,33 @@ def test_alert_job_emits_closed_windows(spark, scratch):
     got = current(spark, f"{scratch}/alerts", "id", "ts").collect()
     assert got and {r.mid for r in got} == {"m1"}
     assert all(r.uids[:3] == ["u0", "u1", "u2"] for r in got)
+
+
+def test_stream_alert_panes_equal_batch_over_several_batches(spark, scratch):
+    """Three time-ordered files, one per trigger: the streaming pane plan emits exactly the batch
+    alerts whose windows closed under the final watermark."""
+    import random
+
+    from martpulse.operators.alerts import coupon_alerts, coupon_alerts_stream
+
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 15)
+    evids = ["coupon"] * 5 + ["addCart", "clickItem"]
+    rows = [{"event_id": i, "mid": f"m{rnd.randint(1, 3)}", "uid": f"u{rnd.randint(1, 6)}",
+             "evid": rnd.choice(evids), "itemid": str(rnd.randint(1, 4)),
+             "ts": (base + dt.timedelta(seconds=3 * i + rnd.randint(0, 2))).isoformat(sep=" ")} for i in range(600)]
+    schema = "event_id long, mid string, uid string, evid string, itemid string, ts timestamp"
+    df = spark.createDataFrame([(r["event_id"], r["mid"], r["uid"], r["evid"], r["itemid"],
+                                 dt.datetime.fromisoformat(r["ts"])) for r in rows], schema)
+    for k, (lo, hi) in enumerate([(0, 200), (200, 400), (400, 600)]):
+        df.where((F.col("event_id") >= lo) & (F.col("event_id") < hi)).coalesce(1).write.parquet(f"{scratch}/in/f{k}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in/*")
+    q = (coupon_alerts_stream(stream, 120, 30, lateness="5 minutes").writeStream.format("parquet")
+         .option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    J.run_to_end(q)
+    got = {(r.mid, r.window_start, tuple(r.uids), tuple(r.events)) for r in spark.read.parquet(f"{scratch}/out").collect()}
+    closed_by = df.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=5)
+    want = {(r.mid, r.window_start, tuple(r.uids), tuple(r.events))
+            for r in coupon_alerts(df, 120, 30).collect() if r.window_end <= closed_by}
+    assert want and got == want
