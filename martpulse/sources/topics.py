@@ -52,6 +52,6 @@ def write_topics(df: DataFrame, path_or_servers: str, fmt: str = "parquet", mode
     if fmt == "parquet":
         writer.parquet(path_or_servers)
     elif fmt == "json":
-        writer.json(path_or_servers)
+        writer.text(path_or_servers)      # JSON lines: the message text itself, one per line
     else:
         raise ValueError(f"unknown topic format {fmt!r}")

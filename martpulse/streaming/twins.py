@@ -101,6 +101,16 @@ def q_stream_cdc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return current(spark, f"{run}/users", "id", "seq").select("id", "user_level")
 
 
+@C.register("stream_cdc_relay", C.ORACLES["cdc_route"])
+def q_stream_cdc_relay(spark: SparkSession, sf: str) -> DataFrame:
+    """Change log (written once as files) relayed by the streaming job into one folder per topic."""
+    run = _run_dir(spark, "relay")
+    SI.cdc_log(spark, sf).write.parquet(f"{run}/cdc")
+    cdc = spark.readStream.schema(schemas.CDC).option("maxFilesPerTrigger", 4).parquet(f"{run}/cdc")
+    J.run_to_end(J.cdc_relay_job(cdc, f"{run}/topics", f"{run}/ckpt", db_pattern="^shop$", available_now=True))
+    return spark.read.parquet(f"{run}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
 @C.register("stream_order_hour", C.ORACLES["order_hour"])
 def q_stream_order_hour(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as topic messages (JSON of strings) -> typed, masked -> order table -> hourly amounts."""
