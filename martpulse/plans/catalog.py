@@ -210,6 +210,20 @@ def q_dau_hour_vs_yesterday(spark, sf):
     return D.realtime_hour("dau", DAU_DATE, dau=dau)
 
 
+_HOUR_JSON = """SELECT CAST(json_object(
+  'today', to_json(coalesce(map_from_entries(list(struct_pack(k := {h}, v := {v}) ORDER BY {h}) FILTER (WHERE {d} = '{today}')), MAP {{}})),
+  'yesterday', to_json(coalesce(map_from_entries(list(struct_pack(k := {h}, v := {v}) ORDER BY {h}) FILTER (WHERE {d} = '{yday}')), MAP {{}}))
+  ) AS VARCHAR) AS response FROM hours"""
+
+
+@register("dau_hour_json", """WITH f AS (SELECT mid, log_date, arg_min(log_hour, ts) AS log_hour FROM startup_log GROUP BY 1, 2),
+  hours AS (SELECT log_date, log_hour, count(*) AS n FROM f WHERE log_date IN ('2024-01-14', '2024-01-15') GROUP BY 1, 2)
+  """ + _HOUR_JSON.format(h="log_hour", v="n", d="log_date", today=DAU_DATE, yday="2024-01-14"), ("startup_log",))
+def q_dau_hour_json(spark, sf):
+    dau = D.dau_table(SI.startup_log(spark, sf, days=_days(DAU_DATE, "2024-01-14")))
+    return D.realtime_hour_json("dau", DAU_DATE, dau=dau)
+
+
 # --- order amounts -------------------------------------------------------------------------------
 
 @register("order_amount", """SELECT split_part(create_time, ' ', 1) AS create_date,
@@ -242,6 +256,15 @@ def q_order_hour_vs_yesterday(spark, sf):
     return D.realtime_hour("order_amount", ORDER_DATE, orders=orders)
 
 
+@register("order_hour_json", """WITH hours AS (SELECT substr(create_time, 1, 10) AS d, substr(create_time, 12, 2) AS hr,
+  round(sum(total_amount), 2) AS v FROM order_info WHERE create_time LIKE '1996-09-17%' OR create_time LIKE '1996-09-16%'
+  GROUP BY 1, 2)
+  """ + _HOUR_JSON.format(h="hr", v="v", d="d", today=ORDER_DATE, yday="1996-09-16"), ("order_info",))
+def q_order_hour_json(spark, sf):
+    orders = SI.order_info(spark, sf, days=_days(ORDER_DATE, "1996-09-16"))
+    return D.realtime_hour_json("order_amount", ORDER_DATE, orders=orders)
+
+
 @register("realtime_total", f"""SELECT 'dau' AS id, CAST(count(DISTINCT mid) AS DOUBLE) AS value FROM startup_log
   WHERE log_date = '{DAU_DATE}'
   UNION ALL SELECT 'order_amount', round(sum(total_amount), 2) FROM order_info WHERE create_time LIKE '{ORDER_DATE}%'""",

@@ -83,3 +83,21 @@ def realtime_total(date: str, dau: DataFrame, orders: DataFrame, round_to: int |
 def hour_map(df: DataFrame, hour_col: str, value_col: str) -> DataFrame:
     """The hour rows as one ``MAP<hour, value>`` (at most 24 entries)."""
     return df.agg(F.map_from_entries(F.collect_list(F.struct(hour_col, value_col))).alias(value_col))
+
+
+def realtime_hour_json(kind: str, date: str, dau: DataFrame | None = None, orders: DataFrame | None = None,
+                       round_to: int | None = 2) -> DataFrame:
+    """The published response shape: one row ``{"today": {hour: v, ...}, "yesterday": {...}}``.
+
+    Hours are sorted; a day without data is an empty object.
+    """
+    rows = realtime_hour(kind, date, dau, orders, round_to)
+    hour = rows.columns[0]
+
+    def day_map(col):
+        entries = F.filter(F.array_sort(F.collect_list(F.struct(F.col(hour).alias("k"), F.col(col).alias("v")))),
+                           lambda e: e["v"].isNotNull() & (e["v"] != 0) if kind == "dau" else e["v"].isNotNull())
+        return F.map_from_entries(entries)
+
+    return rows.agg(F.to_json(F.struct(day_map("today").alias("today"),
+                                       day_map("yesterday").alias("yesterday"))).alias("response"))
