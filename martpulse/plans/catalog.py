@@ -360,6 +360,30 @@ def q_sale_search_relevance_page(spark, sf):
         "order_detail_id", "sku_name", "score")
 
 
+def _pct_sql(c):
+    return f"CASE WHEN total > 0 THEN floor({c} * 1000.0 / total + 0.5) / 10 END"
+
+
+@register("sale_detail_response", f"""WITH h AS (SELECT * FROM wide WHERE {_HIT}),
+  c AS (SELECT count(*) AS total, count(*) FILTER (WHERE user_gender = 'M') AS g_m,
+    count(*) FILTER (WHERE user_gender = 'F') AS g_f, count(*) FILTER (WHERE user_age < 20) AS a_0,
+    count(*) FILTER (WHERE user_age >= 20 AND user_age < 30) AS a_1, count(*) FILTER (WHERE user_age >= 30) AS a_2 FROM h),
+  pg AS (SELECT * FROM h ORDER BY order_detail_id LIMIT 5 OFFSET 5),
+  p AS (SELECT list(struct_pack(order_detail_id := order_detail_id, order_id := order_id, order_status := order_status,
+    create_time := create_time, user_id := user_id, sku_id := sku_id, user_gender := user_gender,
+    user_age := CAST(user_age AS INTEGER), user_level := user_level, sku_price := sku_price, sku_name := sku_name, dt := dt)
+    ORDER BY order_detail_id) AS detail FROM pg)
+  SELECT CAST(to_json(struct_pack(total := total, stat := [
+    struct_pack(title := 'gender', options := [struct_pack(name := 'M', value := {_pct_sql('g_m')}),
+                                              struct_pack(name := 'F', value := {_pct_sql('g_f')})]),
+    struct_pack(title := 'age', options := [struct_pack(name := '<20', value := {_pct_sql('a_0')}),
+                                           struct_pack(name := '20-29', value := {_pct_sql('a_1')}),
+                                           struct_pack(name := '30+', value := {_pct_sql('a_2')})])],
+    detail := coalesce(detail, []))) AS VARCHAR) AS response FROM c, p""", ("wide",))
+def q_sale_detail_response(spark, sf):
+    return S.sale_detail_response(_wide(spark, sf), SALE_DATE, SALE_KEYWORD, 2, 5)
+
+
 @register("sale_detail_stats", f"""WITH h AS (SELECT * FROM wide WHERE {_HIT}), t AS (SELECT count(*) AS total FROM h)
   SELECT 'gender' AS stat, user_gender AS name, floor(count(*) * 1000.0 / any_value(t.total) + 0.5) / 10 AS pct
   FROM h, t WHERE user_gender IS NOT NULL GROUP BY user_gender

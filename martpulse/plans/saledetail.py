@@ -88,3 +88,37 @@ def relevance_page(sales: DataFrame, date: str, keyword: str, page_no: int, page
         scored = scored.withColumn("score", F.round("score", digits))
     hits = match_all(scored.where(F.col("dt") == date), "sku_name", keyword)
     return page(hits, page_no, page_size, F.desc("score"), F.asc("order_detail_id"))
+
+
+# Options of the two share charts, in display order.
+GENDER_OPTIONS = ("M", "F")
+
+
+def sale_detail_response(sales: DataFrame, date: str, keyword: str, page_no: int, page_size: int) -> DataFrame:
+    """The whole search response as one JSON row ``{"total", "stat": [...], "detail": [...]}``.
+
+    Total and both share charts come from one aggregate pass with conditional counts (fixed options:
+    a missing bucket is 0 %, a zero total gives null); the page (at most ``page_size`` rows) is a
+    scalar subquery, not a join.
+    """
+    from martpulse.operators.widen import SALE_COLUMNS
+
+    hits = search_hits(sales, date, keyword)
+    counts = [F.count(F.lit(1)).alias("total")]
+    counts += [F.count(F.when(F.col("user_gender") == g, 1)).alias(f"g_{g}") for g in GENDER_OPTIONS]
+    counts += [F.count(F.when(age_band("user_age") == label, 1)).alias(f"a_{i}") for i, (label, _u) in
+               enumerate(AGE_BANDS)]
+    agg = hits.agg(*counts)
+    total = F.col("total")
+    stat = F.array(
+        F.struct(F.lit("gender").alias("title"), F.array(*[
+            F.struct(F.lit(g).alias("name"), percent_1dp(F.col(f"g_{g}"), total).alias("value"))
+            for g in GENDER_OPTIONS]).alias("options")),
+        F.struct(F.lit("age").alias("title"), F.array(*[
+            F.struct(F.lit(label).alias("name"), percent_1dp(F.col(f"a_{i}"), total).alias("value"))
+            for i, (label, _u) in enumerate(AGE_BANDS)]).alias("options")))
+    rows = page(hits, page_no, page_size, F.col("order_detail_id")).select(*SALE_COLUMNS)
+    # page rows sorted by their first field (order_detail_id); an empty page is []
+    detail = rows.agg(F.array_sort(F.collect_list(F.struct(*SALE_COLUMNS))).alias("d")).scalar()
+    body = F.struct(total.alias("total"), stat.alias("stat"), detail.alias("detail"))
+    return agg.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("response"))
