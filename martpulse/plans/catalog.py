@@ -20,7 +20,7 @@ from martpulse.operators.alerts import coupon_alerts
 from martpulse.operators.dedup import exclude_seen, latest_per_key
 from martpulse.operators.pairs import pair_within
 from martpulse.operators.route import route_cdc, route_logs
-from martpulse.operators.search import bm25_top, page, top_terms
+from martpulse.operators.search import bm25_top, top_terms
 from martpulse.operators.widen import pair_orders_within, pair_per_batch, sale_rows
 from martpulse.plans import dashboard as D
 from martpulse.plans import saledetail as S
@@ -428,4 +428,4 @@ def q_bm25_top(spark, sf):
     return bm25_top(docs, "doc_id", "text", BM25_QUERY, BM25_TOP, 6)
 
 
-__all__ = ["QUERIES", "ORACLES", "CTES", "register", "page"]
+__all__ = ["QUERIES", "ORACLES", "CTES", "register"]

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martpulse.functions.jsonrec import to_json_record
-from martpulse.functions.timeparts import age_years, with_create_parts, with_time_parts
+from martpulse.functions.timeparts import with_create_parts, with_time_parts
 from martpulse.sources.tables import read_table
 
 # Fixed values of the stand-ins (FIXTURES.md section 4).
@@ -202,4 +202,4 @@ def age_as_of():
 
 
 __all__ = ["startup_log", "action_log", "raw_logs", "order_info", "order_detail", "user_info", "cdc_log",
-           "wide_inputs", "age_as_of", "age_years"]
+           "wide_inputs", "age_as_of"]
