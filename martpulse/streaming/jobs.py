@@ -12,6 +12,7 @@ for draining what exists and stopping.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martpulse import schemas
@@ -135,7 +136,11 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         # one pass over the micro-batch: reading it twice (e.g. its user ids for a semi-join) re-ran
         # the stateful pair join. The dimension view is the latest row per user; keep the user table
         # compacted (``upsert.compact``) so this stays a plain join against a small snapshot.
-        users = current(batch_df.sparkSession, user_table, "id")
+        spark = batch_df.sparkSession
+        try:
+            users = current(spark, user_table, "id")
+        except AnalysisException:   # no user written yet: every lookup misses, rows are kept
+            users = spark.createDataFrame([], schemas.USER)
         wide = attach_user(batch_df, users, as_of).select(*SALE_COLUMNS)
         upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
 

@@ -116,3 +116,18 @@ def test_stream_alert_panes_equal_batch_over_several_batches(spark, scratch):
     want = {(r.mid, r.window_start, tuple(r.uids), tuple(r.events))
             for r in coupon_alerts(df, 120, 30).collect() if r.window_end <= closed_by}
     assert want and got == want
+
+
+def test_sale_job_without_user_table_keeps_rows(spark, scratch):
+    order = {"id": "o1", "user_id": "u1", "order_status": "1", "create_time": "2024-01-15 10:00:00",
+             "consignee_tel": "1", "total_amount": "5"}
+    line = {"id": "d1", "order_id": "o1", "sku_id": "s", "sku_name": "x", "order_price": "2",
+            "create_time": "2024-01-15 10:01:00"}
+    _write_json_lines(spark, f"{scratch}/o", [order])
+    _write_json_lines(spark, f"{scratch}/d", [line])
+    orders = J.typed_orders(spark.readStream.schema("value string").text(f"{scratch}/o"))
+    details, _bad = parse_json(spark.readStream.schema("value string").text(f"{scratch}/d"), schemas.DETAIL)
+    J.run_to_end(J.sale_job(orders, details, f"{scratch}/no-users", f"{scratch}/sale", f"{scratch}/ck",
+                            F.lit("2021-01-01").cast("date"), 300, "1 hour", available_now=True))
+    rows = current(spark, f"{scratch}/sale", "order_detail_id", partition_by=J.SALE_PARTS).collect()
+    assert [(r.order_detail_id, r.user_age, r.user_gender) for r in rows] == [("d1", 0, None)]
