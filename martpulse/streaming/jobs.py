@@ -133,15 +133,19 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
     pairs = pair_within_stream(o, d, "order_id", ttl_seconds, "o_ts", "d_ts", lateness).drop("o_ts", "d_ts")
 
     def _write(batch_df: DataFrame, batch_id: int) -> None:
-        # one pass over the micro-batch: reading it twice (e.g. its user ids for a semi-join) re-ran
-        # the stateful pair join. The dimension view is the latest row per user; keep the user table
-        # compacted (``upsert.compact``) so this stays a plain join against a small snapshot.
         spark = batch_df.sparkSession
+        # the pairs of this micro-batch are written once to a staging folder (overwritten on retry,
+        # invisible to readers of the table) and read from there twice: the stateful join runs once,
+        # and the user lookup aggregates only this batch's users, not the whole dimension
+        stage = f"{table_path.rstrip('/')}/_stage/batch_id={int(batch_id)}"
+        batch_df.write.mode("overwrite").parquet(stage)
+        staged = spark.read.schema(batch_df.schema).parquet(stage)
+        wanted = staged.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
         try:
-            users = current(spark, user_table, "id")
+            users = current(spark, user_table, "id", only_keys=wanted)
         except AnalysisException:   # no user written yet: every lookup misses, rows are kept
             users = spark.createDataFrame([], schemas.USER)
-        wide = attach_user(batch_df, users, as_of).select(*SALE_COLUMNS)
+        wide = attach_user(staged, users, as_of).select(*SALE_COLUMNS)
         upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
 
     return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
