@@ -1,0 +1,83 @@
+"""Late-match join with processing-time expiry (the reference's cache-and-expire rule, exactly).
+
+Per micro-batch and order id:
+- an order arriving now pairs with the lines arriving now and with every cached line of it, then is
+  cached (overwrite) for ``ttl`` after this write;
+- lines arriving without their order pair with the cached order, if any, and are cached for ``ttl``.
+Each pair is emitted once (the reference repeats some; its keyed sink hid that). The cache lives in
+the state store (``transformWithState`` with a processing-time TTL), not in an external store.
+
+Skew: the state key is (order id, salt). A line goes to one salt (hash of its id), an order is copied
+to every salt, so a hot order's lines are spread over ``salts`` tasks and each pair is still found
+exactly once (a line meets the order copy of its own salt). Note: each cached line expires on its own
+TTL; the reference refreshed one TTL for all lines of an order on every add.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+ORDER_FIELDS = ("order_id", "order_status", "create_time", "user_id", "dt")
+DETAIL_FIELDS = ("order_detail_id", "sku_id", "sku_name", "sku_price")
+_S = T.StringType()
+ORDER_STATE = T.StructType([T.StructField(c, _S) for c in ORDER_FIELDS])
+DETAIL_STATE = T.StructType([T.StructField(c, _S) for c in DETAIL_FIELDS[:3]]
+                            + [T.StructField("sku_price", T.DoubleType())])
+PAIR_SCHEMA = T.StructType(list(ORDER_STATE.fields) + list(DETAIL_STATE.fields))
+_PAIR_NAMES = tuple(PAIR_SCHEMA.fieldNames())
+
+
+def _pair(o, d) -> Row:
+    return Row(**dict(zip(_PAIR_NAMES, (*o, *d))))
+
+
+class _LateMatch(StatefulProcessor):
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.order = handle.getValueState("order", ORDER_STATE, self.ttl_ms)
+        self.lines = handle.getListState("lines", DETAIL_STATE, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        orders, lines = [], []
+        for r in rows:
+            if r["kind"] == "o":
+                orders.append(tuple(r[c] for c in ORDER_FIELDS))
+            else:
+                lines.append(tuple(r[c] for c in DETAIL_FIELDS))
+        if orders:
+            cached = list(self.lines.get()) if self.lines.exists() else []
+            partners = {d[0]: d for d in cached}
+            partners.update({d[0]: d for d in lines})
+            for o in {o: None for o in orders}:          # distinct orders, arrival order kept
+                for d in partners.values():
+                    yield _pair(o, d)
+            self.order.update(orders[-1])               # cache (refreshes the TTL)
+        elif lines:
+            if self.order.exists():
+                o = tuple(self.order.get())
+                for d in {d[0]: d for d in lines}.values():
+                    yield _pair(o, d)
+            for d in lines:
+                self.lines.appendValue(d)               # cache each line for ttl
+
+    def close(self) -> None:
+        pass
+
+
+def late_match_join(orders: DataFrame, details: DataFrame, ttl_seconds: int = 300, salts: int = 4) -> DataFrame:
+    """Streaming pairs of ``orders`` (``ORDER_FIELDS``) and ``details`` (``DETAIL_FIELDS`` + ``order_id``)
+    under the processing-time cache rule. Output: ``PAIR_SCHEMA`` rows (append mode)."""
+    o = (orders.select(F.lit("o").alias("kind"), *[F.col(c).cast("string") for c in ORDER_FIELDS],
+                       *[F.lit(None).cast(DETAIL_STATE[c].dataType).alias(c) for c in DETAIL_FIELDS])
+               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    d = (details.select(F.lit("d").alias("kind"), F.col("order_id").cast("string"),
+                        *[F.lit(None).cast("string").alias(c) for c in ORDER_FIELDS[1:]],
+                        F.col("order_detail_id").cast("string"), F.col("sku_id").cast("string"),
+                        F.col("sku_name").cast("string"), F.col("sku_price").cast("double"))
+                .withColumn("salt", F.pmod(F.xxhash64("order_detail_id"), F.lit(salts)).cast("int")))
+    tagged = o.unionByName(d)
+    return (tagged.groupBy("order_id", "salt")
+                  .transformWithState(_LateMatch(int(ttl_seconds) * 1000), PAIR_SCHEMA, "Append", "ProcessingTime"))

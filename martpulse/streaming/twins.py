@@ -145,3 +145,4 @@ def q_stream_sale_wide_ttl(spark: SparkSession, sf: str) -> DataFrame:
     J.run_to_end(J.sale_job(orders, details, f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(),
                             ttl_seconds=C.ORDER_TTL, lateness="30 days", available_now=True, partition_by=None))
     return current(spark, f"{run}/sale", "order_detail_id").select(*SALE_COLUMNS)
+

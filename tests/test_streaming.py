@@ -131,3 +131,30 @@ def test_sale_job_without_user_table_keeps_rows(spark, scratch):
                             F.lit("2021-01-01").cast("date"), 300, "1 hour", available_now=True))
     rows = current(spark, f"{scratch}/sale", "order_detail_id", partition_by=J.SALE_PARTS).collect()
     assert [(r.order_detail_id, r.user_age, r.user_gender) for r in rows] == [("d1", 0, None)]
+
+
+def test_late_match_join_across_batches(spark, scratch):
+    """Line before its order, order with a line, line after the order, order without lines."""
+    from martpulse.streaming.latematch import late_match_join
+
+    o_schema = "order_id string, order_status string, create_time string, user_id string, dt string"
+    d_schema = "order_detail_id string, order_id string, sku_id string, sku_name string, sku_price double"
+    batches = [
+        ([], [("d1", "o1", "s", "x", 1.0)]),
+        ([("o1", "1", "t", "u1", "2024-01-15"), ("o2", "1", "t", "u2", "2024-01-15")], [("d2", "o1", "s", "x", 2.0)]),
+        ([], [("d3", "o1", "s", "x", 3.0), ("d4", "o9", "s", "x", 4.0)]),
+    ]
+    for i, (os_, ds) in enumerate(batches):
+        spark.createDataFrame(os_, o_schema).coalesce(1).write.parquet(f"{scratch}/o/b{i}")
+        spark.createDataFrame(ds, d_schema).coalesce(1).write.parquet(f"{scratch}/d/b{i}")
+    # one file per trigger on each side, so the three batches arrive in order
+    o = spark.readStream.schema(o_schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/o/*")
+    d = spark.readStream.schema(d_schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/d/*")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    q = (late_match_join(o, d, ttl_seconds=3600, salts=3).writeStream.format("parquet")
+         .option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    J.run_to_end(q)
+    got = sorted((r.order_id, r.order_detail_id) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert got == [("o1", "d1"), ("o1", "d2"), ("o1", "d3")]
