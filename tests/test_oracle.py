@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from martpulse.plans import catalog
 from martpulse.sources.tables import SHARED_TABLES, table_path
 
 SF = "/root/testdata/sf0.001"
@@ -33,11 +34,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(catalog.QUERIES) - set(oracle_sql())
     assert not missing, f"queries without oracle SQL: {missing}"
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
