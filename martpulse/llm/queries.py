@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, langid, pii
+from martpulse.llm import bpe, langid, ngram_join, pii, quality, toxicity
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -31,6 +31,16 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(F.transform("pii", lambda s: s["score"])).alias("top_score"))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read(spark, sf_dir, "documents", "doc_id", "text"), fold_of("doc_id", 5)
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality").where(fold != 0)
+    pooler, net = quality.train(spark, docs, labels)
+    return quality.score(spark, docs, pooler, net).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.BpeTokenizer(spark, BPE_VOCABULARY)
@@ -50,3 +60,18 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return langid.predict(spark, docs, model).select(
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(spark, read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    chain = toxicity.train(spark, docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(spark, docs, chain).select(
+        "doc_id", *[f"p_{c}" for c in toxicity.CATEGORIES], F.col("p_toxic").alias("score"),
+        F.col("is_toxic").alias("toxic"))
