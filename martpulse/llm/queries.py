@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, langid, ngram_join, pii, quality, toxicity
+from martpulse.llm import bpe, decontaminate, langid, ngram_join, pii, quality, toxicity
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -62,6 +62,15 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(spark, read(spark, sf_dir, "documents", "doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(spark, read(spark, sf_dir, "documents", "doc_id", "text")).select(
