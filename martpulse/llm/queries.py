@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, decontaminate, langid, ngram_join, pii, quality, toxicity
+from martpulse.llm import bpe, decontaminate, htmltext, langid, ngram_join, pii, quality, toxicity
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -84,3 +84,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, docs, chain).select(
         "doc_id", *[f"p_{c}" for c in toxicity.CATEGORIES], F.col("p_toxic").alias("score"),
         F.col("is_toxic").alias("toxic"))
+
+
+@query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    out = htmltext.extract(spark, pages, htmltext.train(spark, pages))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
