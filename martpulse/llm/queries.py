@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, decontaminate, htmltext, langid, ngram_join, pii, quality, toxicity
+from martpulse.llm import bpe, decontaminate, htmltext, langid, ngram_join, pii, quality, secret_scan, toxicity, vector_dedup
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -13,6 +13,7 @@ ORACLES: dict[str, str] = {}
 
 #: Vocabulary files of the public tokenizers that the queries use.
 BPE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -21,6 +22,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.report(spark, read(spark, sf_dir, "documents", "doc_id", "text"),
+                               secret_scan.dictionary_of(spark, WORD_VOCABULARY))
+    return found.select("doc_id", "n_candidates", "n_secrets",
+                        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["start"] + s["size"])), ",").alias("spans"),
+                        "top_score")
+
+
 @query
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
@@ -91,3 +101,9 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
     out = htmltext.extract(spark, pages, htmltext.train(spark, pages))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_dedup.classes(spark, read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
