@@ -54,8 +54,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.BpeTokenizer(spark, BPE_VOCABULARY)
-    ids = codec.encode(read(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", "text"))
-    both = codec.decode(ids.select("doc_id", "token_ids"))
+    both = codec.encode(read(spark, sf_dir, "documents", "doc_id", "text"), decoded="decoded")
     return both.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
