@@ -3,7 +3,10 @@ hashing in numpy, and connected components as a Spark job."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +25,26 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return read_table(spark, sf_dir, name, columns or None)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application (as ``--py-files`` would)."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):  # else it came from such an archive itself
+        to = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{os.path.basename(package)}.zip")
+        with zipfile.ZipFile(to, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    at = os.path.join(folder, name)
+                    z.write(at, os.path.relpath(at, os.path.dirname(package)))
+        context.addPyFile(to)
+    _SHIPPED.add(context.applicationId)
+
+
 class Scratch:
     """Tables written to the shared checkpoint folder, to cut lineage between stages of one operator.
 
@@ -30,6 +53,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
         self.n = 0
@@ -55,6 +79,7 @@ class PerWorker:
     """A small broadcast value from which each Python worker builds its model once (``build(value)``)."""
 
     def __init__(self, spark: SparkSession, value, build: Callable):
+        ship(spark)
         self.key = uuid.uuid4().hex
         self.value = spark.sparkContext.broadcast(value)
         self.build = build
@@ -73,6 +98,7 @@ def add_columns(df: DataFrame, column: str, fn: Callable[[pa.Array], list[pa.Arr
     replaces an old one of its name. Slices are cut by text size, so a task's memory follows the
     longest text, not the batch.
     """
+    ship(df.sparkSession)
     new = StructType.fromDDL(ddl)
     old = [c for c in df.columns if c not in new.names]
     schema = StructType([df.schema[c] for c in old] + new.fields)
@@ -92,7 +118,9 @@ def add_columns(df: DataFrame, column: str, fn: Callable[[pa.Array], list[pa.Arr
 def slices(values: pa.Array, limit: int = 4 * BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """(first, last) of runs of rows with about ``limit`` bytes of text (or ids) together."""
     n, per_row = len(values), max(1, values.nbytes // max(1, len(values)))
-    if pa.types.is_string(values.type):
+    if pa.types.is_large_string(values.type):
+        off = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + n + 1]
+    elif pa.types.is_string(values.type):
         off = np.frombuffer(values.buffers()[1], np.int32)[values.offset:values.offset + n + 1].astype(np.int64)
     else:
         off = np.arange(n + 1, dtype=np.int64) * per_row
@@ -103,6 +131,17 @@ def slices(values: pa.Array, limit: int = 4 * BLOCK_BYTES) -> Iterator[tuple[int
         i = j
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until they are no columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold_of(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(folds)

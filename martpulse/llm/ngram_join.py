@@ -6,10 +6,10 @@ gives few candidates). Two sets that link share an n-gram within both prefixes,
 n-gram. Length and positional filters, and in the verifying task a suffix filter, drop most candidates
 before the one exact count per pair.
 
-Only classes are asked for, so no group is expanded into its pairs. Within an n-gram's entries each set is
-first verified against one pivot (the shortest). Pairs of sets that are then in one class need no check.
-Of the others, those that the Jaccard distance to the pivot (a metric) can't rule out are verified too:
-every link between classes is found.
+Only classes are asked for, so no group is expanded into its pairs. The sets of an n-gram are verified
+against its ``pivots``: those that share the most n-grams with others, as the centre of a group of copies
+does. Pairs that are then in one class need no check. Of the other pairs of an n-gram, those between its main
+class and the rest, and within the rest, are verified too: every link between classes is found.
 
 Sets are compared by 64-bit n-gram hashes, and a set is named by a 64-bit hash of its members.
 
@@ -28,7 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import SPACE_SEP, PerWorker, Scratch, blocks, components, mix, words
+from martpulse.llm.common import SPACE_SEP, PerWorker, Scratch, blocks, components, fresh, mix, slices, words
+
+
+#: A list of set owners (16 bytes each) up to this long may be broadcast; a longer one is joined by shuffle.
+BROADCAST_OWNERS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -37,6 +41,7 @@ class Params:
     num: int = 80  # linked if den * intersection >= num * union
     den: int = 100
     order_buckets: int = 1 << 17
+    pivots: int = 8
 
 
 def ngram_hashes(row: np.ndarray, h: np.ndarray, rows: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,110 +157,168 @@ def _same(x):
     return x
 
 
+def streamed(batches, held: int):
+    """Sorted batches (first column: group) with each row's rank in its group, and the group's rows so far.
+
+    Yields (columns, rank, heads): ``heads[k]`` are the columns of the row of rank k in each row's group, for
+    k below ``held``. No group is kept whole: only its first ``held`` rows go on from batch to batch.
+    """
+    last, count, first = None, 0, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        key, at = cols[0], np.arange(len(cols[0]))
+        begins = np.r_[last is None or key[0] != last, key[1:] != key[:-1]]
+        start = np.maximum.accumulate(np.where(begins, at, -1))
+        rank = np.where(start >= 0, at - start, at + count)
+        heads = []
+        for k in range(held):
+            inside = np.minimum(np.maximum(start, 0) + k, len(key) - 1)
+            carried = start < 0
+            h = []
+            for c, col in enumerate(cols):
+                value = col[inside]
+                if carried.any():
+                    value = value.copy()
+                    value[carried] = first[k][c] if k < len(first) else col[np.minimum(max(k - count, 0), len(key) - 1)]
+                h.append(value)
+            heads.append(h)
+        yield cols, rank, heads
+        e = int(start[-1])
+        first = ([] if e >= 0 else first) + [[col[i] for col in cols] for i in range(max(e, 0), min(len(key), max(e, 0) + held))]
+        first = first[:held]
+        count = len(key) - e if e >= 0 else count + len(key)
+        last = key[-1]
+
+
 def meet(entries: DataFrame) -> DataFrame:
-    """Entries of n-grams that two or more sets hold, each with its n-gram's pivot: the shortest set.
+    """(gram, n, node, pos): each entry whose n-gram two or more sets hold, once.
 
     One shuffle by n-gram; a task streams its sorted entries and holds no group. A set has an n-gram
     once, so even one that every set holds is a small share of all entries.
     """
-    names = ["gram", "n", "node", "pos", "pivot", "pivot_n", "pivot_pos"]
 
     def run(batches):
-        held = None  # the first entry of the current n-gram, and whether a second one came
-        last = None
+        waiting = None  # a first entry whose group may go on in the next batch
         for b in batches:
             if not b.num_rows:
                 continue
-            gram, n, node, pos = (c.to_numpy() for c in b.columns)
-            begins = np.r_[last is None or (gram[0] != last[0]), gram[1:] != gram[:-1]]
-            again = np.r_[last is not None and last == (gram[0], node[0]), (gram[1:] == gram[:-1]) & (node[1:] == node[:-1])]
-            use = ~again  # copies of one set from several tasks
-            first = np.maximum.accumulate(np.where(begins, np.arange(len(gram)), -1))  # -1: begun in an earlier batch
-            pv = [np.where(first >= 0, c[first], held[k] if held else 0) for k, c in ((1, n), (2, node), (3, pos))]
-            follows = use & ~begins
-            ends = np.flatnonzero(begins)
-            group = np.cumsum(begins)  # 0: the carried group
-            more = np.zeros(group[-1] + 1, bool)
-            np.logical_or.at(more, group[follows], True)
-            lead, f = ends[more[group[ends]]], follows
-            rows = [(gram[lead], n[lead], node[lead], pos[lead], node[lead], n[lead], pos[lead]),
-                    (gram[f], n[f], node[f], pos[f], pv[1][f], pv[0][f], pv[2][f])]
-            if held and not held[4] and more[0]:
-                rows.append(tuple(np.array([v], dt) for v, dt in zip(
-                    (held[0], held[1], held[2], held[3], held[2], held[1], held[3]),
-                    (np.int64, np.int32, np.int64, np.int32, np.int64, np.int32, np.int32), strict=True)))
-            if len(ends):
-                e = ends[-1]
-                held = (gram[e], n[e], node[e], pos[e], bool(more[-1]))
-            elif held:
-                held = (*held[:4], held[4] or bool(more[0]))
-            last = (gram[-1], node[-1])
-            cols = [np.concatenate(c) for c in zip(*rows, strict=True)]
-            types = (np.int64, np.int32, np.int64, np.int32, np.int64, np.int32, np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, types, strict=True)], names=names)
+            cols = [c.to_numpy() for c in b.columns]
+            if waiting is not None:
+                cols = [np.r_[w, c] for w, c in zip(waiting, cols, strict=True)]
+            gram, _, node, _ = cols
+            new = np.r_[True, (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])]  # copies of one set from several tasks
+            cols = [c[new] for c in cols]
+            gram = cols[0]
+            before = np.r_[False, gram[1:] == gram[:-1]]
+            after = np.r_[gram[1:] == gram[:-1], True]  # the last one waits
+            keep = before | after
+            keep[-1] = before[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names=["gram", "n", "node", "pos"])
+            # a last entry that was sent stays as a witness, marked by an impossible place
+            waiting = [c[-1:] for c in cols]
+            if keep[-1]:
+                waiting[3] = np.array([-1], np.int32)
+
+    def drop_witnesses(batches):
+        for b in batches:
+            yield b.filter(pa.array(b.column(3).to_numpy() >= 0))
 
     return (entries.repartition("gram").sortWithinPartitions("gram", "n", "node")
-            .mapInArrow(run, "gram long, n int, node long, pos int, pivot long, pivot_n int, pivot_pos int"))
+            .mapInArrow(lambda x: drop_witnesses(run(x)), "gram long, n int, node long, pos int"))
+
 
+def may_link(p: Params, n_a, pos_a, met_a, n_b, pos_b, met_b, low, high):
+    """Length, positional and count filters of a pair that meets at these places of its prefixes.
 
-def may_link(p: Params, n_a, pos_a, n_b, pos_b):
-    """Length and positional filters of a pair that meets at these prefix positions (columns)."""
-    need = F.ceil((n_a + n_b) * p.num / (p.num + p.den))  # least intersection of linked sets
-    most = F.lit(1) + F.least(n_a - pos_a - 1, n_b - pos_b - 1) + F.least(pos_a, pos_b)
-    return (F.least(n_a, n_b) * p.den >= F.greatest(n_a, n_b) * p.num) & (most >= need)
+    Two sets that share ``need`` n-grams meet in one before the last ``need`` - 1 of either: a meeting place
+    further on is left to that one. What they share stands in both prefixes, or else beyond the prefix that
+    ends first: at most the larger remainder; ``met``, a set's number of met n-grams, bounds the former. For
+    columns and for numpy arrays (``low``, ``high``: least and greatest of two).
+    """
+    short, long = low(n_a, n_b), high(n_a, n_b)
+    need = (n_a + n_b) * p.num  # of num + den: least intersection of linked sets
+    rest = (long * p.num + p.den - 1) / p.den - 1
+    return ((short * p.den >= long * p.num) & (low(n_a - pos_a, n_b - pos_b) * (p.num + p.den) >= need)
+            & ((low(met_a, met_b) + rest) * (p.num + p.den) >= need))
 
 
-def verify(spark: SparkSession, docs: DataFrame, named: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
-    """(a, b, d, linked): Jaccard distance of each pair of sets, counted once from the documents' texts.
+def star(shared: DataFrame, p: Params) -> DataFrame:
+    """Pairs to verify and what they leave open. Rows (gram null, a, b): each set of an n-gram with each of its
+    pivots, if the filters let it. Rows (gram, a, n, pos, met): entries that are no pivot."""
+    names = ["gram", "a", "b", "n", "pos", "met"]
 
-    ``d`` is null where the suffix filter showed that it is over twice the linking distance.
+    def run(batches):
+        for cols, rank, heads in streamed(batches, p.pivots):
+            gram, _, node, n, pos, met = cols
+            pairs = []
+            for k, (_, _, node_k, n_k, pos_k, met_k) in enumerate(heads):
+                ok = (rank > k) & may_link(p, n, pos, met, n_k, pos_k, met_k, np.minimum, np.maximum)
+                pairs.append(np.stack([node_k[ok], node[ok]], axis=1))
+            pairs = np.unique(np.concatenate(pairs), axis=0)
+            open_ = rank >= p.pivots
+            m, k = len(pairs), int(open_.sum())
+            nothing = pa.nulls(m, pa.int32())
+            whole = [pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(gram[open_])]),
+                     pa.array(np.r_[pairs[:, 0], node[open_]]), pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(k, pa.int64())])]
+            whole += [pa.concat_arrays([nothing, pa.array(c[open_].astype(np.int32))]) for c in (n, pos, met)]
+            yield pa.RecordBatch.from_arrays(whole, names=names)
+
+    met = shared.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("met"))
+    rows = shared.join(met, "node").select("gram", (-F.col("met")).alias("o"), "node", "n", "pos", "met")
+    return (rows.repartition("gram").sortWithinPartitions("gram", "o", "node")
+            .mapInArrow(run, "gram long, a long, b long, n int, pos int, met int"))
+
+
+def verify(docs: DataFrame, named: DataFrame, pairs: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b), each counted once from two documents' texts.
+
+    Texts travel, not sets: they are smaller, and only those of sets in some pair are read out.
     """
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    owners = (named.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node")
-              .agg(F.min("doc_id").alias("doc_id")))
-    texts = docs.join(owners.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-
-    def sets(batches):
-        for b in batches:
-            for _, rows, row, h, name, size in distinct_sets(b.column(0), p):
-                ends = np.cumsum(size)
-                off = pa.array(np.r_[0, ends * 8].astype(np.int32))
-                body = pa.Array.from_buffers(pa.binary(), rows, [None, off.buffers()[1], pa.py_buffer(h.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(name), body], names=["node", "grams"])
-
-    full = (texts.mapInArrow(sets, "node long, grams binary").join(nodes, "node", "left_semi")
-            .groupBy("node").agg(F.first("grams").alias("grams")))
-    scratch = Scratch(spark, "ngram-sets")
-    full, _ = scratch.put(full)
+    owners, path = scratch.put(named.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node")
+                               .agg(F.min("doc_id").alias("doc_id")))
+    if owners.count() <= BROADCAST_OWNERS:
+        owners = F.broadcast(owners)
+    texts = (docs.join(owners, "doc_id").select("node", F.xxhash64("text").alias("key"), "text")
+             .groupBy("node", "key").agg(F.first("text").alias("text")).drop("key"))
+    texts, texts_path = scratch.put(texts)
     both = (pairs.select("a", "b")
-            .join(full.select(F.col("node").alias("a"), F.col("grams").alias("grams_a")), "a")
-            .join(full.select(F.col("node").alias("b"), F.col("grams").alias("grams_b")), "b"))
+            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
 
     def compare(batches):
         for batch in batches:
-            d, ok = [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                share = overlap(x, y, p)
-                union = len(x) + len(y) - (share or 0)
-                d.append(None if share is None else 1 - share / union)
-                ok.append(share is not None and p.den * share >= p.num * union)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, pa.float64()), pa.array(ok, pa.bool_())],
-                                             names=["a", "b", "d", "linked"])
-
-    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(compare, "a long, b long, d double, linked boolean")
-
-
-def overlap(x: np.ndarray, y: np.ndarray, p: Params) -> int | None:
-    """Size of the intersection of two sorted sets; None if the suffix filter shows that it is too small
-    even for a distance of twice the linking one (within that, distances serve the pivot rule)."""
+            for i, j in slices(batch.column(2)):
+                part = batch.slice(i, j - i)
+                sides = [set_list(part.column(c), p) for c in (2, 3)]
+                ok = [(a, b) == (name_a, name_b) and linked(x, y, p) for a, b, (name_a, x), (name_b, y) in zip(
+                    part.column(0).to_pylist(), part.column(1).to_pylist(), *sides, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    seen, _ = scratch.put(both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long"))
+    scratch.drop(path, texts_path)
+    return seen
+
+
+def set_list(texts: pa.Array, p: Params) -> list[tuple[int, np.ndarray]]:
+    """(name, sorted hashes) of each text's set."""
+    out = []
+    for _, _, _, h, name, size in distinct_sets(texts, p):
+        out += zip(name.tolist(), np.split(h, np.cumsum(size)[:-1]), strict=True)
+    return out
+
+
+def linked(x: np.ndarray, y: np.ndarray, p: Params) -> bool:
+    """Whether two sorted sets link; the suffix filter first bounds what they share between a few cuts."""
     cuts = x[[len(x) // 4, len(x) // 2, 3 * len(x) // 4]] if len(x) > 8 else x[:0]
     in_x, in_y = np.r_[0, np.searchsorted(x, cuts), len(x)], np.r_[0, np.searchsorted(y, cuts), len(y)]
     most = int(np.minimum(np.diff(in_x), np.diff(in_y)).sum())
-    least = 2 * p.num - p.den  # of den: similarity at twice the distance
-    if p.den * most < least * (len(x) + len(y) - most):
-        return None
-    return len(np.intersect1d(x, y, assume_unique=True))
+    if p.den * most < p.num * (len(x) + len(y) - most):
+        return False
+    share = len(np.intersect1d(x, y, assume_unique=True))
+    return p.den * share >= p.num * (len(x) + len(y) - share)
 
 
 def classes(spark: SparkSession, docs: DataFrame, p: Params = Params()) -> DataFrame:
@@ -264,37 +327,31 @@ def classes(spark: SparkSession, docs: DataFrame, p: Params = Params()) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named, _ = scratch.put(name_sets(docs, p))
     keyed = docs.where("doc_id is not null")
-    shared, _ = scratch.put(meet(prefix_entries(spark, keyed, p)))
-    star = (shared.where("node <> pivot").where(may_link(p, F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos")))
-            .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
-    star, _ = scratch.put(star)
-    seen, _ = scratch.put(verify(spark, keyed, named, star, p))
-    roots, _ = scratch.put(components(seen.where("linked"), "a", "b", scratch))
-
-    at = (shared.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
-          .join(seen.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "d", F.col("d").isNull().alias("far")),
-                ["pivot", "node"], "left"))
-    at, _ = scratch.put(at.select("gram", "n", "node", "pos", "class", (F.col("node") == F.col("pivot")).alias("is_pivot"), "d",
-                                          F.coalesce("far", F.lit(False)).alias("far")))
-    # n-grams whose sets are in several classes, and the class that most of them are in
+    shared, shared_path = scratch.put(meet(prefix_entries(spark, keyed, p)))
+    made, made_path = scratch.put(star(shared, p))
+    scratch.drop(shared_path)
+    pairs, _ = scratch.put(made.where("gram is null").select("a", "b").distinct())
+    links = verify(keyed, named, pairs, p, scratch)
+    roots, _ = scratch.put(components(links, "a", "b", scratch))
+
+    # pairs without a pivot: of n-grams whose other sets are in several classes, all but those inside the main class
+    at = (made.where("gram is not null").select("gram", F.col("a").alias("node"), "n", "pos", "met")
+          .join(roots, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root"))
     by_class = at.groupBy("gram", "class").agg(F.count(F.lit(1)).alias("c"))
     mixed = (by_class.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.max_by("class", F.struct("c", "class")).alias("main"))
              .where("k > 1").select("gram", "main"))
-    rest = at.where("not is_pivot").join(mixed, "gram")
+    rest, rest_path = scratch.put(at.join(mixed, "gram"))
+    scratch.drop(made_path)
     a, b = rest.where("class <> main").alias("a"), rest.alias("b")
-    limit = (p.den - p.num) / p.den + 1e-9
     more = a.join(b, F.col("a.gram") == F.col("b.gram")).where(
         (F.col("a.class") != F.col("b.class"))
         & ((F.col("b.class") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
-        & may_link(p, F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
-        & ~F.coalesce(F.abs(F.col("a.d") - F.col("b.d")) > limit, F.lit(False))
-        & ~F.coalesce(F.col("a.far") & (F.col("b.d") <= limit), F.lit(False))
-        & ~F.coalesce(F.col("b.far") & (F.col("a.d") <= limit), F.lit(False)))
-    more = more.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-    more, _ = scratch.put(more)
-    late = verify(spark, keyed, named, more, p).where("linked").select("a", "b")
-    links = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late)
-    final = components(links, "a", "b", scratch)
+        & may_link(p, *(F.col(f"{t}.{c}") for t in "ab" for c in ("n", "pos", "met")), F.least, F.greatest))
+    more, _ = scratch.put(more.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct())
+    scratch.drop(rest_path)
+    late = verify(keyed, named, more, p, scratch)
+    final = components(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late),
+                       "a", "b", scratch)
 
     # smallest key per node, then per class: copies are reduced before classes are joined
     node_ids = named.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
@@ -306,3 +363,29 @@ def classes(spark: SparkSession, docs: DataFrame, p: Params = Params()) -> DataF
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
                       F.when(~alone, F.col("class")).alias("class"))
+
+
+#: A list of dropped documents (16 bytes each) up to this long may be broadcast; a longer one is joined by shuffle.
+BROADCAST_DROPPED = 1_000_000
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """``docs`` with one document of each class: the one with the least id. Columns are unchanged.
+
+    Documents without words and those with a null id stay. Rows that repeat an id with different texts stay
+    if one of them does; of rows equal in id and text, one stays.
+    """
+    scratch = Scratch(spark, "ngram-keep")
+    found, _ = scratch.put(classes(spark, docs, p))
+    drop = found.where("component_id <> doc_id").select("doc_id").join(
+        found.where("component_id = doc_id").select("doc_id"), "doc_id", "left_anti").distinct()
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    twice = twice.join(drop, "doc_id", "left_anti")
+    drop, _ = scratch.put(drop.withColumn("gone", F.lit(True)).unionByName(twice.withColumn("gone", F.lit(False))))
+    few = drop.count() <= BROADCAST_DROPPED
+    drop_id, gone = fresh(docs, "drop_id", "gone")
+    drop = drop.toDF(drop_id, gone)
+    marked = docs.join(F.broadcast(drop) if few else drop, docs["doc_id"] == F.col(drop_id), "left")
+    stay = marked.where(F.col(gone).isNull()).select(*docs.columns)
+    again = marked.where(~F.col(gone)).select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return stay.unionByName(again)
