@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import Scratch
+from martpulse.llm.common import Scratch, fresh
 
 #: Fixed values of the word rule: everything else in ASCII parts words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -119,6 +119,7 @@ def report(spark: SparkSession, docs: DataFrame, bench: DataFrame, n: int = WIND
 def remove_documents(spark: SparkSession, docs: DataFrame, bench: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` without those that hold a window of an item; columns unchanged."""
     marks, _ = scan(spark, docs, bench, Scratch(spark, "decontaminate"), n)
-    bad = marks.where("start >= 0").select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct()
-    on = docs["doc_id"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"]) == F.col("bad_key"))
+    bad_id, bad_key = fresh(docs, "bad_id", "bad_key")
+    bad = marks.where("start >= 0").select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    on = docs["doc_id"].eqNullSafe(F.col(bad_id)) & (F.xxhash64(docs["text"]) == F.col(bad_key))
     return docs.join(bad, on, "left_anti")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import SHAPES, PerWorker, add_columns, blocks, words
+from martpulse.llm.common import SHAPES, PerWorker, add_columns, blocks, ship, words
 
 
 @dataclass(frozen=True)
@@ -208,6 +208,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
 
     The broadcast below holds at most ``params.sample`` pairs of key and label.
     """
+    ship(spark)
     pooler = Pooler(params, *word_vectors(docs, params, text))
     sample = bounded_sample(labels, key, label, params.sample)
     rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select("label", "text")

@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import Scratch
+from martpulse.llm.common import Scratch, fresh
 
 KEY_CHARS = "A-Za-z0-9+/_=-"
 CANDIDATE = rf"(?<![{KEY_CHARS}])(?=[A-Za-z+/_=-]*+[0-9])[{KEY_CHARS}]{{16,}}+"
@@ -217,15 +217,18 @@ def redact(spark: SparkSession, docs: DataFrame, dictionary: DataFrame, mask: st
     _, scored = scan(spark, docs, dictionary)
     found = by_document(scored.where("secret")).select("r_id", "r_key", "spans")
     found, _ = Scratch(spark, "secret-spans").put(found)
-    if found.count() <= BROADCAST_SPANS:
-        found = F.broadcast(found)
-    on = F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.xxhash64("text") == F.col("r_key"))
-    k = F.size("spans")
-    ends = F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["start"] + s["size"]))
-    starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.length("text")))
-    kept = F.transform(F.sequence(F.lit(0), k), lambda i: F.substring(F.col("text"), F.get(ends, i) + 1, F.get(starts, i) - F.get(ends, i)))
-    out = docs.join(found, on, "left").withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(kept, mask)))
+    few = found.count() <= BROADCAST_SPANS
+    r_id, r_key, spans = fresh(docs, "r_id", "r_key", "spans")
+    found = found.toDF(r_id, r_key, spans)
+    on = F.col("doc_id").eqNullSafe(F.col(r_id)) & (F.xxhash64("text") == F.col(r_key))
+    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["start"] + s["size"]))
+    starts = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length("text")))
+    kept = F.transform(F.sequence(F.lit(0), F.size(spans)),
+                       lambda i: F.substring(F.col("text"), F.get(ends, i) + 1, F.get(starts, i) - F.get(ends, i)))
+    clean = F.col(spans).isNull()
+    out = docs.join(F.broadcast(found) if few else found, on, "left")
+    out = out.withColumn("text", F.when(clean, F.col("text")).otherwise(F.array_join(kept, mask)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import PUNCT_SEP, PerWorker, add_columns, blocks, words
+from martpulse.llm.common import PUNCT_SEP, PerWorker, add_columns, blocks, mix, span_hash, word_bounds
 from martpulse.llm.quality import sigmoid
 
 #: Words that define the first two categories within documents labelled toxic.
@@ -33,19 +33,32 @@ CATEGORIES = ("insult", "contempt", "toxic")
 class Params:
     """``sample`` bounds the labelled documents learned from, ``features`` the words per model."""
 
-    buckets: int = 1 << 18
-    sample: int = 16_000
+    buckets: int = 1 << 20
+    sample: int = 12_000
     features: int = 300
     folds: int = 4
     ridge: float = 0.03
     least_positives: int = 20
+    least_documents: int = 6  # rarer words aren't features
+
+
+#: Bytes of the word beginnings that are features beside whole words: inflected forms share them.
+BEGINNINGS = (4, 5)
 
 
 def document_words(texts: pa.Array, buckets: int):
-    """(row, bucket) pairs of the distinct words of each row, ordered."""
+    """(row, bucket) pairs of the distinct words of each row and of their beginnings, ordered."""
     for i, _, data, offsets in blocks(texts):
-        row, h, _ = words(data, offsets, PUNCT_SEP)
-        yield np.unique((row + i) * buckets + (h % np.uint64(buckets)).astype(np.int64))
+        if not len(data):
+            continue
+        starts, ends = word_bounds(data, offsets, PUNCT_SEP)
+        row = np.searchsorted(offsets, starts, side="right") - 1 + i
+        pairs = [row * buckets + (span_hash(data, starts, ends) % np.uint64(buckets)).astype(np.int64)]
+        for size in BEGINNINGS:
+            more = ends - starts > size
+            h = mix(span_hash(data, starts[more], starts[more] + size) + np.uint64(size))
+            pairs.append(row[more] * buckets + (h % np.uint64(buckets)).astype(np.int64))
+        yield np.unique(np.concatenate(pairs))
 
 
 def bucket_of(terms, buckets: int) -> np.ndarray:
@@ -89,7 +102,7 @@ def telling_words(hits: np.ndarray, docs: np.ndarray, y: np.ndarray, buckets: in
     share = y.mean()
     spread = total * share * (1 - share) * (1 - total / max(1, len(y))) + 1e-9
     gain = (with_pos - total * share) ** 2 / spread
-    gain[(total < 6) | (with_pos < 2 * share * total)] = 0
+    gain[(with_pos < 2 * share * total)] = 0
     best = np.lexsort((np.arange(buckets), -gain))[:most]
     return np.sort(best[gain[best] > 10.8])  # one in a thousand by chance
 
@@ -131,6 +144,8 @@ class Chain:
 def fit_chain(docs: np.ndarray, hits: np.ndarray, toxic: np.ndarray, p: Params) -> Chain:
     """``docs``, ``hits``: (document, bucket) pairs; ``toxic``: label of each document."""
     n = len(toxic)
+    often = np.bincount(hits, minlength=p.buckets) >= p.least_documents
+    docs, hits = docs[often[hits]], hits[often[hits]]
     has = [np.isin(np.arange(n), docs[np.isin(hits, bucket_of(t, p.buckets))]) for t in (INSULT, CONTEMPT)]
     targets = [toxic & has[0], toxic & has[1], toxic]
     fold = np.arange(n) % p.folds
@@ -156,15 +171,15 @@ def fit_chain(docs: np.ndarray, hits: np.ndarray, toxic: np.ndarray, p: Params)
     return Chain(p, models, threshold)
 
 
-def best_threshold(q: np.ndarray, y: np.ndarray) -> float:
-    """The cut of the highest F-score that weighs precision twice as much as recall; the middle one of equals."""
-    grid = np.linspace(0.05, 0.95, 91)
-    score = []
-    for cut in grid:
-        hit = (q >= cut) @ y
-        score.append(1.25 * hit / max(1e-9, 0.25 * y.sum() + (q >= cut).sum()))
-    best = np.flatnonzero(np.array(score) >= max(score) - 1e-12)
-    return float(grid[best[len(best) // 2]])
+def best_threshold(q: np.ndarray, y: np.ndarray, precision: float = 0.995) -> float:
+    """The lowest cut that keeps the precision; if none does, that of the highest F-score that weighs precision twice."""
+    grid = np.linspace(0.2, 0.95, 76)
+    hit = np.array([(q >= cut) @ y for cut in grid])
+    taken = np.array([(q >= cut).sum() for cut in grid])
+    good = np.flatnonzero((taken > 0) & (hit >= precision * taken))
+    if len(good):
+        return float(grid[good[0]])
+    return float(grid[np.argmax(1.25 * hit / np.maximum(1e-9, 0.25 * y.sum() + taken))])
 
 
 def presence(docs: np.ndarray, hits: np.ndarray, picked: np.ndarray, n: int) -> np.ndarray:
@@ -215,5 +230,19 @@ def score(spark: SparkSession, df: DataFrame, chain: Chain, text: str = "text")
     return add_columns(df, text, run, ", ".join(f"p_{c} double" for c in CATEGORIES) + ", is_toxic boolean")
 
 
+def reject(spark: SparkSession, df: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that aren't toxic, with their columns unchanged."""
+    shared, schema = PerWorker(spark, chain, _same), df.schema
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                known = shared.get()
+                probs = known.predict(batch.column(text))
+                yield batch.filter(pa.array(probs[:, -1] < known.threshold))
+
+    return df.mapInArrow(run, schema)
+
+
 def _same(chain: Chain) -> Chain:
     return chain
