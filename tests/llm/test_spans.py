@@ -1,0 +1,139 @@
+"""Personal data, secrets and benchmark passages."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from martpulse.llm import decontaminate, pii, queries, secret_scan
+
+from . import brute
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string"
+
+
+def test_pii_matches_brute_force_on_random_text():
+    rng = random.Random(3)
+    parts = [*"01234567899 .-+@()ab%é\n", "4111 1111 1111 1111", "a@b.c", "1.2.3.4", "+1 (234) 555-1234"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+        assert [f[:3] for f in pii.find_spans(text) if f[0] in pii.BASE_KINDS] == brute.pii_spans(text)
+
+
+def test_pii_adds_accounts_and_context():
+    spans = pii.find_spans("IBAN GB82 WEST 1234 5698 7654 32, or GB82 WEST 1234 5698 7654 33")
+    assert [s[0] for s in spans] == ["iban"] and spans[0][3] == 1.0
+    assert pii.find_spans("version 1.2.3.4")[0][3] < pii.find_spans("host 1.2.3.4")[0][3]
+
+
+def test_pii_long_texts_are_linear():
+    for text in ("1" * 300_000, "a" * 300_000 + "@", "a@" * 100_000, "1.1." * 50_000, "+1" * 100_000, "+1 " + "(" * 300_000):
+        pii.find_spans(text)
+
+
+def test_pii_query(spark):
+    got = {r.doc_id: r for r in queries.QUERIES["op2_pii"](spark, SF).collect()}
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        want = brute.pii_spans(r.text)
+        text = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert got[r.doc_id].n_email == sum(k == "email" for k, _, _ in want)
+
+
+def test_pii_edges(spark):
+    df = spark.createDataFrame([(1, None, "x"), (None, "a@b.cd", "y"), (3, "", None), (3, "", None)], "doc_id long, text string, pii string")
+    out = pii.find_pii(df).collect()
+    assert len(out) == 4 and [len(r.pii) for r in out] == [0, 1, 0, 0]
+    assert pii.find_pii(df.limit(0)).count() == 0
+    assert pii.redact(df).where("doc_id is null").first().text == "<email>"
+
+
+def test_decontaminate_query(spark):
+    got = {r.doc_id: r for r in queries.QUERIES["op6_decontaminate"](spark, SF).collect()}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 7 = 1").collect():
+        n, hit, found = brute.contaminated(r.text, items)
+        g = got[r.doc_id]
+        assert (g.n_words, g.n_hit, g.n_items, g.contaminated) == (n, hit, len(found), hit > 0)
+        assert g.items_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest()
+
+
+def test_decontaminate_edges(spark):
+    long = " ".join(f"w{i}" for i in range(30))
+    bench = spark.createDataFrame([(1, long), (2, "Two words"), (3, None), (4, "..."), (None, "z y x"), (10, long), (5, long[:20])],
+                                  "item_id long, text string")
+    texts = [None, "", "no hit here", "say TWO, words twice: two words", "É two É words", "x " + long + " y " + long, long[:26], long[:26]]
+    docs = spark.createDataFrame([(i % 7, t, i) for i, t in enumerate(texts)] + [(None, "two words", 9)], "doc_id long, text string, n_hit long")
+    items = [(r.item_id, r.text) for r in bench.where("item_id is not null").collect()]
+    got = decontaminate.report(spark, docs.drop("n_hit"), bench).collect()
+    want = sorted(((r.doc_id is not None, r.doc_id, *brute.contaminated(r.text, items)) for r in docs.collect()), key=str)
+    assert sorted(((r.doc_id is not None, r.doc_id, r.n_words, r.n_hit, list(r.item_ids)) for r in got), key=str) == want
+    kept = decontaminate.remove_documents(spark, docs, bench)
+    assert kept.columns == docs.columns and {r.n_hit for r in kept.collect()} == {0, 1, 2, 4}
+    assert decontaminate.report(spark, docs.limit(0).drop("n_hit"), bench).count() == 0
+    assert {r.n_hit for r in decontaminate.report(spark, docs.drop("n_hit"), bench.limit(0)).collect()} == {0}
+
+
+def test_decontaminate_in_several_broadcasts(spark, monkeypatch):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    whole = decontaminate.report(spark, docs, bench).select("doc_id", "n_hit", "item_ids")
+    want = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 500)
+    assert sorted(map(str, decontaminate.report(spark, docs, bench).select("doc_id", "n_hit", "item_ids").collect())) == want
+
+
+@pytest.fixture(scope="module")
+def dictionary(spark):
+    return secret_scan.dictionary_of(spark, queries.WORD_VOCABULARY)
+
+
+def test_secret_query_finds_the_planted_tokens(spark):
+    got = {r.doc_id: r for r in queries.QUERIES["op1_secrets"](spark, "/root/testdata/sf0.01").collect()}
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    wrong = 0
+    for r in rows:
+        want = ",".join(f"{m.start(1)}:{m.end(1)}" for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text or ""))
+        wrong += got[r.doc_id].spans != want
+    assert len(got) == len(rows) and wrong <= 0.002 * len(rows)
+
+
+def test_secret_candidates_are_whole_and_in_place(spark):
+    text = "a 0123456789abcdef0 b, key=ABCDEFGHIJ1234567890== end " + "x" * 20 + " " + "y1" * 5000
+    rows = [(1, text, 1), (2, None, 2), (3, "", 3), (1, text, 4), (1, "other 0123456789abcdef1", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score long")
+    got = secret_scan.candidates(docs).where("idx >= 0").collect()
+    for r in got:
+        source = text if r.token in text else rows[4][1]
+        assert source[r.start:r.start + len(r.token)] == r.token
+    assert sorted(len(r.token) for r in got) == sorted([17, 26, 10_000] * 2 + [17])
+    assert secret_scan.candidates(docs).where("idx = -1").count() == 5
+
+
+def test_secret_redaction(spark, dictionary):
+    secret = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    rows = [(1, f'x token = "{secret}" y {secret[:20]}', "en", 1), (2, "commit " + secret, "en", 47), (3, None, None, None),
+            (None, f'password: "{secret}"', "de", 3), (1, f'x token = "{secret}" y {secret[:20]}', "en", 1)]
+    rows += [(10 + i, f'é api_key = "{i:04d}{secret[4:]}" z', "en", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    out = secret_scan.redact(spark, docs, dictionary)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    texts = {r.doc_id: r for r in out.collect()}
+    assert texts[10].text == 'é api_key = "[SECRET]" z' and texts[10].n_chars == len(texts[10].text)
+    assert texts[2].text == "commit " + secret and texts[3].text is None
+    assert texts[None].text == 'password: "[SECRET]"'
+    assert secret_scan.redact(spark, docs.limit(0), dictionary).count() == 0
+
+
+def test_secret_forest_learns_from_given_findings(spark, dictionary):
+    rows = [("see ", f"{i:06d}abcdefabcdef", " there", float(i % 2 == 0)) for i in range(40)]
+    labelled = spark.createDataFrame([(b if y else "hash ", t, a, y) for b, t, a, y in rows], "before string, token string, after string, label double")
+    docs = spark.createDataFrame([(1, "see 000001abcdefabcdef there"), (2, "hash 000001abcdefabcdef there")], "doc_id long, text string")
+    _, scored = secret_scan.scan(spark, docs, dictionary, labelled)
+    assert {r.doc_id: r.secret for r in scored.collect()} == {1: True, 2: False}
+    only = labelled.where(F.col("label") == 0)
+    assert {r.secret for r in secret_scan.scan(spark, docs, dictionary, only)[1].collect()} == {False}
