@@ -8,12 +8,12 @@ CORRUPT = "_corrupt_record"
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value",
-               keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+               keep: tuple[str, ...] = (), keep_raw: bool = False) -> tuple[DataFrame, DataFrame]:
     """Parse a JSON text column with a fixed schema.
 
     Returns ``(good, bad)``: good rows flattened to the schema's columns (plus ``keep`` columns),
     malformed rows (text that is not a JSON object) with their raw text, so one bad message does not
-    fail the batch. Both are lazy views of the same scan.
+    fail the batch. Both are lazy views of the same scan. ``keep_raw``: good rows also carry their text.
     """
     wide = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     parsed = df.select(*keep, F.col(value).alias("__raw"),
@@ -21,7 +21,8 @@ def parse_json(df: DataFrame, schema: T.StructType, value: str = "value",
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
                        .alias("__rec"))
     ok = F.col("__rec").isNotNull() & F.col(f"__rec.{CORRUPT}").isNull() & F.col("__raw").isNotNull()
-    good = parsed.where(ok).select(*keep, *[F.col(f"__rec.{f.name}").alias(f.name) for f in schema.fields])
+    raw = [F.col("__raw").alias(value)] if keep_raw else []
+    good = parsed.where(ok).select(*keep, *raw, *[F.col(f"__rec.{f.name}").alias(f.name) for f in schema.fields])
     bad = parsed.where(~ok | ok.isNull()).select(*keep, F.col("__raw").alias(value))
     return good, bad
 
@@ -32,17 +33,6 @@ def as_string_map(value) -> Column:
     return F.from_json(c, T.MapType(T.StringType(), T.StringType()))
 
 
-def stamp_field(value, key: str, stamp: Column) -> Column:
-    """Add or overwrite one field of a JSON object, keeping every other field (values as text).
-
-    Null for malformed input.
-    """
-    m = as_string_map(value)
-    rest = F.map_filter(m, lambda k, _v: k != F.lit(key))
-    return F.when(m.isNotNull(),
-                  F.to_json(F.map_concat(rest, F.create_map(F.lit(key), stamp.cast("string")))))
-
-
 def to_json_record(*cols) -> Column:
     """Serialise columns to one JSON object text."""
     return F.to_json(F.struct(*cols))

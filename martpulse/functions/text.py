@@ -2,14 +2,7 @@
 
 from __future__ import annotations
 
-try:  # same character classes as the JVM pattern
-    import regex as _re
-    _SPLIT = _re.compile(r"[^\p{L}\p{N}]+")
-except ImportError:  # pragma: no cover
-    import re as _re
-    _SPLIT = _re.compile(r"[\W_]+")
-
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Fixed value: token separator = any run of characters that are neither letters nor digits.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
@@ -21,10 +14,6 @@ def tokens(text) -> Column:
     return F.filter(F.split(F.lower(c), TOKEN_SPLIT), lambda t: t != F.lit(""))
 
 
-def query_tokens(keyword: str) -> list[str]:
-    """Driver-side tokens of a short query parameter (same rule as ``tokens``), de-duplicated."""
-    out = []
-    for t in _SPLIT.split((keyword or "").lower()):
-        if t and t not in out:
-            out.append(t)
-    return out
+def query_tokens(spark: SparkSession, keyword: str) -> list[str]:
+    """Distinct tokens of a query parameter, by the same expression as ``tokens`` (a constant, no data is read)."""
+    return list(spark.range(1).select(F.array_distinct(tokens(F.lit(keyword or ""))).alias("t")).first()["t"])

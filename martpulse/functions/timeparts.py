@@ -69,8 +69,3 @@ def previous_day(date: str) -> str | None:
         return None
     return (d - _dt.timedelta(days=1)).isoformat()
 
-
-def day_bounds(*dates: str):
-    """[start, end) timestamps covering the given 'yyyy-MM-dd' days (for a pushed-down range filter)."""
-    ds = sorted(_dt.datetime.strptime(d, "%Y-%m-%d") for d in dates if d)
-    return ds[0], ds[-1] + _dt.timedelta(days=1)

@@ -5,12 +5,12 @@ clicked an item there. The alert carries the distinct coupon users and items and
 the window in time order.
 
 Batch plan (panes): a window of ``size`` sliding by ``slide`` is a union of ``size/slide`` panes of
-``gcd(size, slide)``. Rows are aggregated once per (device, pane) - combined map-side, so a hot device
-is reduced inside each map task - and only the small pane summaries are replicated into the windows
-that contain them and merged. Raw rows are never copied once per window, and the events of a window
-are sorted pane by pane (panes are disjoint time ranges), not in one task.
+``gcd(size, slide)``. First only user sets, item sets and the veto flag are gathered per (device, pane)
+and merged into windows, which decides what alerts. Then the events of alerting windows alone are
+gathered, by joining the rows to those windows' panes. No list is built for a window that doesn't alert.
 Streaming plan: the same panes as two chained watermarked window aggregations (append mode): one
-state row per (device, pane), then the closed pane summaries slid into the windows.
+state row per (device, pane), then the closed pane summaries slid into the windows. A window is emitted
+once the watermark passes its end: on a quiet topic a later record (a heartbeat) moves it on.
 """
 
 from __future__ import annotations
@@ -32,21 +32,19 @@ def _floor_to(us, width_us):
 
 def coupon_alerts(actions: DataFrame, size_seconds: int = SIZE_SECONDS, slide_seconds: int = SLIDE_SECONDS,
                   min_uids: int = MIN_UIDS, trigger_evid: str = TRIGGER_EVID, veto_evid: str = VETO_EVID,
-                  ts: str = "ts") -> DataFrame:
+                  ts: str = "ts", tie=()) -> DataFrame:
     """Alerts ``(mid, window_start, window_end, uids, item_ids, events)`` (arrays; sets sorted).
 
-    ``actions`` needs ``mid, uid, itemid, evid, event_id`` and a TIMESTAMP ``ts``.
+    ``actions`` needs ``mid, uid, itemid, evid`` and a TIMESTAMP ``ts``; events of one time are ordered by the
+    columns ``tie``, then by their kind.
     """
     pane_us = math.gcd(int(size_seconds), int(slide_seconds)) * 1_000_000
     size_us, slide_us = int(size_seconds) * 1_000_000, int(slide_seconds) * 1_000_000
     trig = F.col("evid") == F.lit(trigger_evid)
-    panes = (actions
-             .withColumn("__pane", _floor_to(F.unix_micros(F.col(ts)), pane_us))
-             .groupBy("mid", "__pane")
+    rows = actions.withColumn("__pane", _floor_to(F.unix_micros(F.col(ts)), pane_us))
+    panes = (rows.where(F.col("evid").isin(trigger_evid, veto_evid)).groupBy("mid", "__pane")
              .agg(F.collect_set(F.when(trig, F.col("uid"))).alias("__uids"),
                   F.collect_set(F.when(trig, F.col("itemid"))).alias("__items"),
-                  F.array_sort(F.collect_list(F.struct(F.col(ts), F.col("event_id"), F.col("evid"))))
-                   .alias("__evs"),
                   F.bool_or(F.col("evid") == F.lit(veto_evid)).alias("__veto")))
     # windows [s, s + size) with s a multiple of slide that contain the whole pane [p, p + pane)
     p = F.col("__pane")
@@ -54,18 +52,18 @@ def coupon_alerts(actions: DataFrame, size_seconds: int = SIZE_SECONDS, slide_se
     first = lo + F.pmod(-lo, F.lit(slide_us))
     last = _floor_to(p, slide_us)
     windows = panes.withColumn("__w", F.explode(F.sequence(first, last, F.lit(slide_us))))
-    merged = (windows.groupBy("mid", "__w")
+    alerts = (windows.groupBy("mid", "__w")
               .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__uids")))).alias("uids"),
                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("item_ids"),
-                   F.array_sort(F.collect_list(F.struct("__pane", "__evs"))).alias("__chunks"),
-                   F.bool_or("__veto").alias("__veto")))
-    alerts = merged.where((F.size("uids") >= min_uids) & ~F.col("__veto"))
-    events = F.flatten(F.transform("__chunks", lambda c: F.transform(c["__evs"], lambda e: e["evid"])))
-    return alerts.select(
-        "mid",
-        F.timestamp_micros(F.col("__w")).alias("window_start"),
-        F.timestamp_micros(F.col("__w") + F.lit(size_us)).alias("window_end"),
-        "uids", "item_ids", events.alias("events"))
+                   F.bool_or("__veto").alias("__veto"))
+              .where((F.size("uids") >= min_uids) & ~F.col("__veto")))
+    w = F.col("__w")
+    wanted = alerts.select("mid", "__w", F.explode(F.sequence(w, w + F.lit(size_us - pane_us), F.lit(pane_us))).alias("__pane"))
+    events = (rows.select("mid", "__pane", F.struct(F.col(ts), *tie, F.col("evid")).alias("__e"))
+              .join(wanted, ["mid", "__pane"]).groupBy("mid", "__w").agg(F.array_sort(F.collect_list("__e")).alias("__evs")))
+    return alerts.join(events, ["mid", "__w"]).select(
+        "mid", F.timestamp_micros(w).alias("window_start"), F.timestamp_micros(w + F.lit(size_us)).alias("window_end"),
+        "uids", "item_ids", F.transform("__evs", lambda e: e["evid"]).alias("events"))
 
 
 def alert_id(mid="mid", at="window_end"):
@@ -80,7 +78,7 @@ def with_alert_id(alerts: DataFrame) -> DataFrame:
 def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
                          slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
                          trigger_evid: str = TRIGGER_EVID, veto_evid: str = VETO_EVID,
-                         ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
+                         ts: str = "ts", lateness: str = "1 hour", tie=()) -> DataFrame:
     """Streaming pane plan: two chained watermarked window aggregations (append mode).
 
     Stage 1 keeps one state row per (device, pane); stage 2 places each closed pane (by its
@@ -93,7 +91,7 @@ def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
              .groupBy(F.window(F.col(ts), f"{pane} seconds").alias("pw"), "mid")
              .agg(F.collect_set(F.when(trig, F.col("uid"))).alias("__uids"),
                   F.collect_set(F.when(trig, F.col("itemid"))).alias("__items"),
-                  F.collect_list(F.struct(F.col(ts), F.col("event_id"), F.col("evid"))).alias("__evs"),
+                  F.collect_list(F.struct(F.col(ts), *tie, F.col("evid"))).alias("__evs"),
                   F.max(F.when(F.col("evid") == F.lit(veto_evid), 1).otherwise(0)).alias("__veto")))
     w = F.window(F.window_time("pw"), f"{int(size_seconds)} seconds", f"{int(slide_seconds)} seconds")
     merged = (panes.groupBy(w.alias("w"), "mid")
@@ -107,21 +105,3 @@ def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
                   .select("mid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           uids.alias("uids"), F.array_sort(F.array_distinct(F.flatten("__i"))).alias("item_ids"),
                           events.alias("events")))
-
-
-def coupon_alerts_stream_windowed(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
-                                  slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
-                                  trigger_evid: str = TRIGGER_EVID, veto_evid: str = VETO_EVID,
-                                  ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
-    """Single-stage alternative: Spark's sliding ``window()`` over raw rows (state per window copy)."""
-    trig = F.col("evid") == F.lit(trigger_evid)
-    w = F.window(F.col(ts), f"{int(size_seconds)} seconds", f"{int(slide_seconds)} seconds")
-    agg = (actions.withWatermark(ts, lateness).groupBy(w.alias("w"), "mid")
-           .agg(F.collect_set(F.when(trig, F.col("uid"))).alias("uids"),
-                F.collect_set(F.when(trig, F.col("itemid"))).alias("item_ids"),
-                F.collect_list(F.struct(F.col(ts), F.col("event_id"), F.col("evid"))).alias("__evs"),
-                F.max(F.when(F.col("evid") == F.lit(veto_evid), 1).otherwise(0)).alias("__veto")))
-    return (agg.where((F.size("uids") >= min_uids) & (F.col("__veto") == 0))
-               .select("mid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                       F.array_sort("uids").alias("uids"), F.array_sort("item_ids").alias("item_ids"),
-                       F.transform(F.array_sort("__evs"), lambda e: e["evid"]).alias("events")))

@@ -14,7 +14,7 @@ def _pick(df: DataFrame, keys, order_cols, fn) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*order_cols) if len(order_cols) > 1 else F.col(order_cols[0])
+    order = F.struct(*order_cols)   # a struct is never null: rows without a version still count
     picked = df.groupBy(*keys).agg(fn(F.struct(*rest), order).alias("__r"))
     return picked.select(*keys, *[F.col("__r")[c].alias(c) for c in rest])
 
@@ -39,14 +39,17 @@ def exclude_seen(batch: DataFrame, seen: DataFrame, keys) -> DataFrame:
     return batch.join(seen.select(*keys).distinct(), on=keys, how="left_anti")
 
 
-def dedup_per_day(stream: DataFrame, key: str, ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
-    """Streaming: keep the first arriving row per (key, day of ``ts``).
+def first_per_day_stream(stream: DataFrame, key: str, ts: str = "ts", lateness: str = "1 hour", tie=()) -> DataFrame:
+    """Streaming (update mode): the earliest row so far per (key, day of ``ts``); ties by ``tie``, then the row.
 
-    The day start is the watermarked column and part of the dedup key, so the state of a day is
-    dropped once the watermark passes it; rows later than ``lateness`` are dropped (documented
-    difference: the reference has no event time).
+    The watermark follows ``ts`` itself, so a day's state is dropped ``lateness`` after its end and a
+    row up to ``lateness`` late counts, before and after midnight. Raw rows are reduced before the state
+    exchange (partial aggregation), so a hot device reaches its state as one row per task. Each
+    micro-batch emits the changed keys; a keyed sink where a later batch wins keeps the earliest row.
     """
-    day = F.date_trunc("day", F.col(ts)).alias("day_start")
-    return (stream.withColumn("day_start", day)
-                  .withWatermark("day_start", lateness)
-                  .dropDuplicates([key, "day_start"]))
+    rest = [c for c in stream.columns if c != key]
+    order = F.struct(F.col(ts), *tie, F.xxhash64(*rest))
+    firsts = (stream.withWatermark(ts, lateness)
+              .groupBy(F.window(F.col(ts), "1 day").alias("__day"), key)
+              .agg(F.min_by(F.struct(*rest), order).alias("__r")))
+    return firsts.select(key, *[F.col("__r")[c].alias(c) for c in rest])

@@ -3,8 +3,8 @@
 Batch form: both sides get a time bucket as wide as the bound; the left side is replicated to its
 bucket and the two neighbours, so the join key is (key, bucket). A key holding a third of all rows is
 thus spread over its time buckets instead of pairing every left row with every right row of the key;
-the exact bound is then checked on the candidates. Streaming form: Spark's stream-stream join with
-watermarks on both sides and the range condition (state is dropped behind the watermark).
+the exact bound is then checked on the candidates. Streaming form: Spark's stream-stream join on the same
+(key, bucket), with watermarks on both sides and the range condition (state is dropped behind the watermark).
 """
 
 from __future__ import annotations
@@ -34,11 +34,16 @@ def pair_within(left: DataFrame, right: DataFrame, key: str, bound_seconds: int,
 
 def pair_within_stream(left: DataFrame, right: DataFrame, key: str, bound_seconds: int,
                        left_ts: str, right_ts: str, lateness: str = "1 hour") -> DataFrame:
-    """Streaming twin: stream-stream inner join, watermarked, with the same range condition."""
-    lk, rk = f"__l_{key}", f"__r_{key}"
-    lw = left.withColumnRenamed(key, lk).withWatermark(left_ts, lateness)
-    rw = right.withColumnRenamed(key, rk).withWatermark(right_ts, lateness)
+    """Streaming twin: watermarked stream-stream inner join on (key, time bucket) with the range condition.
+
+    The left side goes to its bucket and both neighbours, as in the batch form, so the state of a hot key is
+    spread over its buckets.
+    """
+    lk, rk, width = f"__l_{key}", f"__r_{key}", int(bound_seconds) * 1_000_000
+    lw = left.withColumnRenamed(key, lk).withWatermark(left_ts, lateness).withColumn("__bucket", _bucket(F.col(left_ts), width))
+    lw = lw.withColumn("__lb", F.explode(F.array(F.col("__bucket") - 1, F.col("__bucket"), F.col("__bucket") + 1))).drop("__bucket")
+    rw = right.withColumnRenamed(key, rk).withWatermark(right_ts, lateness).withColumn("__rb", _bucket(F.col(right_ts), width))
     bound = F.expr(f"INTERVAL {int(bound_seconds)} SECONDS")
-    cond = ((F.col(lk) == F.col(rk))
+    cond = ((F.col(lk) == F.col(rk)) & (F.col("__lb") == F.col("__rb"))
             & (F.col(right_ts) >= F.col(left_ts) - bound) & (F.col(right_ts) <= F.col(left_ts) + bound))
-    return lw.join(rw, cond, "inner").withColumnRenamed(lk, key).drop(rk)
+    return lw.join(rw, cond, "inner").withColumnRenamed(lk, key).drop(rk, "__lb", "__rb")

@@ -39,16 +39,16 @@ def cdc_topic(tbl: Column, op: Column) -> Column:
              .when((tbl == "order_detail") & (op == "INSERT"), F.lit(T.DETAIL_TOPIC)))
 
 
-def route_cdc(cdc: DataFrame, db_pattern: str | None = None) -> DataFrame:
-    """Change log -> ``(seq, topic, value)`` with the row after-image as a JSON object of strings."""
+def route_cdc(cdc: DataFrame, db_pattern: str | None = None, with_seq: bool = False) -> DataFrame:
+    """Change log -> ``(seq, topic, value)`` with the row after-image as a JSON object of strings.
+
+    ``with_seq``: the message also carries the entry's number, so a reader of the topic has a version.
+    """
     df = cdc.where(F.col("op").isin(*ROW_OPS))
     if db_pattern:
         df = df.where(F.col("db").rlike(db_pattern))
     return (df.select("seq", cdc_topic(F.col("tbl"), F.col("op")).alias("topic"),
-                      F.to_json(F.col("after")).alias("value"))
+                      F.to_json(F.map_concat(F.col("after"), F.create_map(F.lit("seq"), F.col("seq").cast("string")))
+                                if with_seq else F.col("after")).alias("value"))
               .where(F.col("topic").isNotNull()))
 
-
-def split_topics(routed: DataFrame, *topics: str) -> dict[str, DataFrame]:
-    """One filtered view per topic (each filter is a cheap predicate over the same plan)."""
-    return {t: routed.where(F.col("topic") == t) for t in topics}

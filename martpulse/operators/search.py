@@ -7,7 +7,7 @@ frequencies) come from one aggregate row used as a scalar subquery, not from a j
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martpulse.functions.text import query_tokens, tokens
 
@@ -17,11 +17,8 @@ K1, B = 1.2, 0.75
 
 def match_all(df: DataFrame, text_col: str, keyword: str) -> DataFrame:
     """Rows whose text contains every token of ``keyword`` (no tokens -> no rows)."""
-    q = query_tokens(keyword)
-    if not q:
-        return df.where(F.lit(False))
-    toks = tokens(text_col)
-    return df.where(F.size(F.array_except(F.array(*[F.lit(t) for t in q]), toks)) == 0)
+    wanted = F.array_distinct(tokens(F.lit(keyword or "")))   # a constant, folded by the optimiser
+    return df.where((F.size(wanted) > 0) & (F.size(F.array_except(wanted, tokens(text_col))) == 0))
 
 
 def _term_count(toks: str, word: str):
@@ -38,13 +35,13 @@ def bm25_scores(df: DataFrame, id_col: str, text_col: str, query: str, k1: float
     exchange, so the text is tokenised once. Nothing filters before the exchange: a pushed-down
     filter would re-tokenise in the scan stage.
     """
-    q = query_tokens(query)
+    q = query_tokens(df.sparkSession, query)
     if not q:
         return df.select(id_col, F.lit(None).cast("double").alias("score"))
     per_doc = (df.select(id_col, tokens(text_col).alias("__t"))
                  .select(id_col, F.size("__t").alias("dl"),
                          *[_term_count("__t", w).alias(f"__f{i}") for i, w in enumerate(q)])
-                 .repartition(df.sparkSession.sparkContext.defaultParallelism, id_col))
+                 .repartition(F.col(id_col)))
     stats = per_doc.agg(F.struct(
         F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
         *[F.sum(F.when(F.col(f"__f{i}") > 0, 1).otherwise(0)).alias(f"df{i}") for i in range(len(q))]
@@ -64,22 +61,23 @@ def bm25_scores(df: DataFrame, id_col: str, text_col: str, query: str, k1: float
     return per_doc.select(id_col, F.when(any_hit, score).alias("score"))
 
 
-def with_bm25(df: DataFrame, text_col: str, query: str, k1: float = K1, b: float = B,
+def with_bm25(df: DataFrame, text_col: str, query: str, corpus: DataFrame, k1: float = K1, b: float = B,
               score_col: str = "score") -> DataFrame:
     """``df`` plus a BM25 ``score`` of ``text_col`` (null when no query term occurs).
 
-    Corpus statistics come from all of ``df`` (one aggregate row, a scalar subquery), so a filter
-    applied afterwards (a day, a keyword) narrows the rows scored, not the statistics, like a search
-    index whose statistics cover every document.
+    Corpus statistics come from all of ``corpus`` (a DataFrame with ``text_col``; one aggregate row, a scalar
+    subquery), like a search index whose statistics cover every document. Texts repeat (product names), so
+    each distinct text is tokenised once and weighted by its number of rows.
     """
-    q = query_tokens(query)
+    q = query_tokens(df.sparkSession, query)
     if not q:
         return df.withColumn(score_col, F.lit(None).cast("double"))
     toks = tokens(text_col)
-    feats = df.select(F.size(toks).alias("dl"), *[_term_count(toks, w).alias(f"__f{i}") for i, w in enumerate(q)])
+    names = corpus.groupBy(text_col).agg(F.count(F.lit(1)).alias("__n"))
+    feats = names.select("__n", F.size(toks).alias("dl"), *[_term_count(toks, w).alias(f"__f{i}") for i, w in enumerate(q)])
     stats = feats.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"),
-        *[F.sum(F.when(F.col(f"__f{i}") > 0, 1).otherwise(0)).alias(f"df{i}") for i in range(len(q))]
+        F.sum("__n").alias("n"), (F.sum(F.col("__n") * F.col("dl")) / F.sum("__n")).alias("avgdl"),
+        *[F.sum(F.when(F.col(f"__f{i}") > 0, F.col("__n")).otherwise(0)).alias(f"df{i}") for i in range(len(q))]
     ).alias("s")).scalar()
     n, avgdl = stats["n"], stats["avgdl"]
     dl = F.size(toks)
@@ -111,11 +109,16 @@ def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def page(df: DataFrame, page_no: int, page_size: int, *order) -> DataFrame:
-    """Rows ``(page_no-1)*page_size`` .. ``+page_size`` in a total order (page past the end -> empty)."""
+def page(df: DataFrame, page_no: int, page_size: int, *order, after: Column | None = None) -> DataFrame:
+    """Rows ``(page_no-1)*page_size`` .. ``+page_size`` in a total order (page past the end -> empty).
+
+    A deep page gathers offset + size rows in one step; with ``after`` (a predicate that holds for the rows
+    behind the last one shown) and ``page_no`` 1 it gathers ``page_size`` rows at any depth.
+    """
     if page_no < 1 or page_size < 1:
         raise ValueError("page_no and page_size start at 1")
-    return df.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
+    rows = df if after is None else df.where(after)
+    return rows.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
 
 
 def top_terms(df: DataFrame, col: str, n: int, count_col: str = "n") -> DataFrame:

@@ -5,37 +5,42 @@ Layout::
     <path>/batch_id=<n>/...         one folder per micro-batch (overwrite mode: a retry replaces it)
     <path>/_base/upto=<n>/...       compacted snapshot: the latest row per key over batches <= n
 
-Readers take the newest snapshot plus the batches after it and keep the latest row per key (version,
-then batch id); older batch folders are pruned by the partition filter, so the work of a read follows
-the snapshot size plus the recent batches, not the table's whole history. ``compact`` writes a new
-snapshot (idempotent for a given ``n``); old batch folders can then be removed by housekeeping.
-Folders starting with ``_`` are invisible to reads of ``<path>``. No transactional format is needed.
+Readers take the newest complete snapshot plus the complete batches after it (complete: its ``_SUCCESS``
+marker is there) and keep the latest row per key (version, then batch id). Only those folders are listed
+and read, so a read follows the snapshot and the recent batches, not the table's history. ``compact``
+writes a snapshot (idempotent for a given ``n``) and deletes what the snapshot before it already covered:
+readers of that one still find their folders. Folders starting with ``_`` are invisible to reads of
+``<path>``. No transactional format is needed.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martpulse.operators.dedup import latest_per_key
+from martpulse.sources.paths import delete, matching
 
 BATCH_COL = "batch_id"
+BASE_DIR, UPTO_COL = "_base", "upto"
+
+
+def _list(x) -> list[str]:
+    return [x] if isinstance(x, str) else list(x or [])
 
 
 def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | None = None,
                  partition_by=None, null_key_id: bool = True) -> None:
-    """Write one micro-batch of keyed rows (idempotent per ``batch_id``).
+    """Write one micro-batch of keyed rows (idempotent per ``batch_id``): one row per key.
 
-    A null key gets a generated id (a document without id), so it is never merged with another row.
-    Within a batch the latest row per key is kept.
+    Of rows with one key the latest version stays; equal versions are settled by a hash of the row, so a
+    replay writes the same. A null key gets a hash of the row as its id (a document without id): it is
+    merged with equal rows only.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    out = df
+    keys, parts = _list(key), _list(partition_by)
+    out = df.withColumn("__tie", F.xxhash64(F.to_json(F.struct(*df.columns))))
     if null_key_id and len(keys) == 1:
-        out = out.withColumn(keys[0], F.coalesce(F.col(keys[0]), F.expr("uuid()")))
-    if version is not None:
-        out = latest_per_key(out, keys, [version])
-    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        out = out.withColumn(keys[0], F.coalesce(F.col(keys[0]).cast("string"), F.concat(F.lit("row-"), F.hex("__tie"))))
+    out = latest_per_key(out, keys, ([version] if version else []) + ["__tie"]).drop("__tie").select(*df.columns)
     if parts:
         # one writer per partition value instead of one per (task, value); AQE splits a hot value
         # across tasks and merges small ones (rebalance), so no task gets a third of the batch
@@ -46,20 +51,28 @@ def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | No
     writer.parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
-def read_keyed_table(spark: SparkSession, path: str, partition_by=()) -> DataFrame:
-    """All batch folders of a keyed table; partition columns come back as the strings written.
+def _numbers(paths: list[str]) -> set[int]:
+    return {int(p.rsplit("/", 2)[-2].split("=")[1]) for p in paths}
+
+
+def _complete(spark: SparkSession, root: str, column: str) -> list[int]:
+    """Numbers of the complete ``<root>/<column>=<n>`` folders that hold data, ascending."""
+    folder = f"{root}/{column}=*"
+    return sorted(_numbers(matching(spark, f"{folder}/_SUCCESS")) & _numbers(matching(spark, f"{folder}/[!_.]*")))
+
+
+def _read(spark: SparkSession, root: str, column: str, numbers: list[int], partition_by) -> DataFrame:
+    """The given folders; partition columns come back as the strings written.
 
     (Partition discovery would otherwise turn '2024-01-05' into a DATE and '07' into 7.)
     """
-    parts = {partition_by} if isinstance(partition_by, str) else set(partition_by or ())
-    inferred = spark.read.parquet(path).schema
+    paths = [f"{root}/{column}={n}" for n in numbers]
+    parts = set(_list(partition_by))
+    df = spark.read.option("basePath", root).parquet(*paths)
     if not parts:
-        return spark.read.parquet(path)
-    fields = [T.StructField(f.name, T.StringType(), True) if f.name in parts else f for f in inferred.fields]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
-
-
-BASE_DIR, UPTO_COL = "_base", "upto"
+        return df
+    fields = [T.StructField(f.name, T.StringType(), True) if f.name in parts else f for f in df.schema.fields]
+    return spark.read.schema(T.StructType(fields)).option("basePath", root).parquet(*paths)
 
 
 def _base_root(path: str) -> str:
@@ -67,60 +80,70 @@ def _base_root(path: str) -> str:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Batch id covered by the newest compacted snapshot, or None (one scalar from partition values)."""
-    try:
-        snaps = spark.read.parquet(_base_root(path))
-    except AnalysisException:
-        return None
-    return snaps.agg(F.max(UPTO_COL)).first()[0]
-
-
-def _rows_since_snapshot(spark: SparkSession, path: str, partition_by) -> DataFrame:
-    batches = read_keyed_table(spark, path, partition_by)
-    upto = latest_snapshot(spark, path)
-    if upto is None:
-        return batches
-    base = (read_keyed_table(spark, _base_root(path), partition_by)
-            .where(F.col(UPTO_COL) == upto).drop(UPTO_COL)
-            .withColumn(BATCH_COL, F.lit(upto).cast(batches.schema[BATCH_COL].dataType)))
-    return base.unionByName(batches.where(F.col(BATCH_COL) > upto))
+    """Batch id covered by the newest complete snapshot, or None."""
+    return max(_complete(spark, _base_root(path), UPTO_COL), default=None)
+
+
+def _rows_since_snapshot(spark: SparkSession, path: str, partition_by, upto: int | None = None) -> DataFrame:
+    """Snapshot and later batches (up to batch ``upto``), with the batch id as a BIGINT column."""
+    root, base = path.rstrip("/"), latest_snapshot(spark, path)
+    batches = [n for n in _complete(spark, root, BATCH_COL)
+               if (base is None or n > base) and (upto is None or n <= upto)]
+    frames = []
+    if base is not None:
+        frames.append(_read(spark, _base_root(path), UPTO_COL, [base], partition_by).withColumnRenamed(UPTO_COL, BATCH_COL))
+    if batches:
+        frames.append(_read(spark, root, BATCH_COL, batches, partition_by))
+    if not frames:
+        raise FileNotFoundError(f"no complete batch in {path}")
+    frames = [f.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")) for f in frames]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
 def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=(),
-            only_keys: DataFrame | None = None) -> DataFrame:
+            only_keys: DataFrame | None = None, where: Column | None = None) -> DataFrame:
     """Latest row per key: newest snapshot + later batches (version first, later batch wins ties).
 
-    ``only_keys``: restrict to these keys first (a semi-join before the aggregate).
+    ``only_keys``: restrict to these keys first (a semi-join before the aggregate). ``where``: a predicate
+    on columns that never change for a key (a creation date); it is applied to the scan, below the
+    aggregate, so on a partition column it prunes folders.
     """
-    df = _rows_since_snapshot(spark, path, partition_by)
+    df, keys = _rows_since_snapshot(spark, path, partition_by), _list(key)
+    if where is not None:
+        df = df.where(where)
     if only_keys is not None:
-        ks = [key] if isinstance(key, str) else list(key)
-        df = df.join(only_keys.select(*ks).distinct(), on=ks, how="left_semi")
-    keys = [key] if isinstance(key, str) else list(key)
-    order = ([version] if version else []) + [BATCH_COL]
-    return latest_per_key(df, keys, order).drop(BATCH_COL)
+        df = df.join(only_keys.select(*keys).distinct(), on=keys, how="left_semi")
+    return latest_per_key(df, keys, ([version] if version else []) + [BATCH_COL]).drop(BATCH_COL)
 
 
-def compact(spark: SparkSession, path: str, key, version: str | None = None, partition_by=None) -> int | None:
-    """Write a snapshot of the latest row per key over all batches present; returns its batch id.
+def compact(spark: SparkSession, path: str, key, version: str | None = None, partition_by=None,
+            upto: int | None = None) -> int | None:
+    """Write a snapshot of the latest row per key over the batches up to ``upto`` (default: all present).
 
     Rows keep their version, so later batches still override the snapshot correctly. Re-running for
-    the same batch id overwrites the same snapshot folder.
+    the same batch id overwrites the same snapshot folder. Returns the batch id covered.
     """
-    upto = read_keyed_table(spark, path, partition_by).agg(F.max(BATCH_COL)).first()[0]
+    root = path.rstrip("/")
+    before = latest_snapshot(spark, path)
     if upto is None:
-        return None
-    keys = [key] if isinstance(key, str) else list(key)
-    rows = _rows_since_snapshot(spark, path, partition_by).where(F.col(BATCH_COL) <= upto)
-    order = ([version] if version else []) + [BATCH_COL]
-    snap = latest_per_key(rows, keys, order).drop(BATCH_COL)
-    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        upto = max(_complete(spark, root, BATCH_COL), default=None)
+    if upto is None or (before is not None and upto <= before):
+        return before
+    rows, parts = _rows_since_snapshot(spark, path, partition_by, upto), _list(partition_by)
+    snap = latest_per_key(rows, _list(key), ([version] if version else []) + [BATCH_COL]).drop(BATCH_COL)
     if parts:
         snap = snap.hint("rebalance", *parts)
     writer = snap.write.mode("overwrite")
     if parts:
         writer = writer.partitionBy(*parts)
     writer.parquet(f"{_base_root(path)}/{UPTO_COL}={int(upto)}")
+    if before is not None:
+        for n in _complete(spark, root, BATCH_COL):
+            if n <= before:
+                delete(spark, f"{root}/{BATCH_COL}={n}")
+        for n in _complete(spark, _base_root(path), UPTO_COL):
+            if n < before:
+                delete(spark, f"{_base_root(path)}/{UPTO_COL}={n}")
     return int(upto)
 
 
@@ -134,5 +157,5 @@ def foreach_batch_upsert(path: str, key, version: str | None = None, partition_b
     def _write(batch_df: DataFrame, batch_id: int) -> None:
         upsert_batch(batch_df, batch_id, path, key, version, partition_by)
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(batch_df.sparkSession, path, key, version, partition_by)
+            compact(batch_df.sparkSession, path, key, version, partition_by, upto=batch_id)
     return _write

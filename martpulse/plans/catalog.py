@@ -20,7 +20,7 @@ from martpulse.operators.alerts import coupon_alerts
 from martpulse.operators.dedup import exclude_seen, latest_per_key
 from martpulse.operators.pairs import pair_within
 from martpulse.operators.route import route_cdc, route_logs
-from martpulse.operators.search import bm25_top, top_terms
+from martpulse.operators.search import bm25_top, match_all, top_terms
 from martpulse.operators.widen import pair_orders_within, pair_per_batch, sale_rows
 from martpulse.plans import dashboard as D
 from martpulse.plans import saledetail as S
@@ -37,6 +37,8 @@ ALERT_SIZE, ALERT_SLIDE = 86400, 21600       # the event fixture has ~1 event pe
 PAIR_BOUND = 3600
 ORDER_TTL = 7 * 86400
 BM25_QUERY, BM25_TOP = "the", 20
+SALE_TWO_WORDS, BM25_TWO_WORDS = "plate red", "of thing"
+STAMP = "1700000000000"                      # fixed server time of the payload queries
 
 # DuckDB stand-ins (FIXTURES.md section 4), used as CTE prefixes of the oracle SQL.
 CTES = {
@@ -102,8 +104,8 @@ def register(name: str, sql: str | None = None, ctes: tuple[str, ...] = ()):
     return deco
 
 
-def _wide(spark, sf):
-    o, d, u = SI.wide_inputs(spark, sf)
+def _wide(spark, sf, *days):
+    o, d, u = SI.wide_inputs(spark, sf, days or None)
     return sale_rows(o, d, u, SI.age_as_of())
 
 
@@ -145,6 +147,25 @@ def q_user_latest(spark, sf):
     return latest_per_key(users, "id", "seq").select("id", "user_level")
 
 
+@register("log_route_payload", f"""SELECT CASE WHEN event_type IN ('view', 'signup') THEN 'startup' ELSE 'event' END AS topic,
+  CASE WHEN event_type IN ('view', 'signup') THEN 'startup' ELSE 'event' END AS type, 'mid_' || user_id AS mid, 'uid_' || user_id AS uid,
+  event_type AS evid, CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS itemid, '{STAMP}' AS ts FROM events""")
+def q_log_route_payload(spark, sf):
+    routed = route_logs(SI.raw_logs(spark, sf), stamp=F.lit(STAMP))
+    fields = ("type", "mid", "uid", "evid", "itemid", "ts")
+    return routed.select("topic", F.json_tuple("value", *fields).alias(*fields))
+
+
+@register("cdc_payload", """SELECT seq, tbl AS topic, id, CASE WHEN tbl = 'user_info' THEN val END AS user_level,
+  CASE WHEN tbl = 'order_info' THEN val END AS order_status, CASE WHEN tbl = 'order_detail' THEN val END AS return_flag,
+  CAST(seq AS VARCHAR) AS message_seq FROM cdc_log WHERE (tbl = 'order_info' AND op = 'INSERT')
+  OR (tbl = 'user_info' AND op IN ('INSERT', 'UPDATE')) OR (tbl = 'order_detail' AND op = 'INSERT')""", ("cdc_log",))
+def q_cdc_payload(spark, sf):
+    routed = route_cdc(SI.cdc_log(spark, sf), with_seq=True)
+    return routed.select("seq", "topic", F.json_tuple("value", "id", "user_level", "order_status", "return_flag", "seq").alias(
+        "id", "user_level", "order_status", "return_flag", "message_seq"))
+
+
 # --- scalar parsing ------------------------------------------------------------------------------
 
 @register("time_parts", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS log_date, strftime(ts, '%H') AS log_hour FROM events")
@@ -196,8 +217,9 @@ def q_dau_total(spark, sf):
 @register("dau_hour", """WITH f AS (SELECT mid, log_date, arg_min(log_hour, ts) AS log_hour FROM startup_log GROUP BY 1, 2)
   SELECT log_date, log_hour, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY 1, 2""", ("startup_log",))
 def q_dau_hour(spark, sf):
-    return (D.dau_table(SI.startup_log(spark, sf))
-            .groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("n")))
+    # the hour of the earliest time: a minimum of one number, which a hash aggregate holds
+    firsts = SI.startup_log(spark, sf).groupBy("mid", "log_date").agg(F.min("ts").alias("ts"))
+    return with_time_parts(firsts, "ts").groupBy("log_date", "log_hour").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("dau_hour_vs_yesterday", """WITH f AS (SELECT mid, log_date, arg_min(log_hour, ts) AS log_hour
@@ -275,6 +297,16 @@ def q_realtime_total(spark, sf):
     return D.realtime_total(DAU_DATE, dau, orders, order_date=ORDER_DATE)
 
 
+@register("realtime_total_json", f"""SELECT '[' || CAST(to_json(struct_pack(id := 'dau', name := '当前日活',
+  value := (SELECT count(DISTINCT mid) FROM startup_log WHERE log_date = '{DAU_DATE}'))) AS VARCHAR) || ',' ||
+  CAST(to_json(struct_pack(id := 'order_amount', name := '新增交易额',
+  value := (SELECT round(sum(total_amount), 2) FROM order_info WHERE create_time LIKE '{ORDER_DATE}%'))) AS VARCHAR) || ']' AS response""",
+          ("startup_log", "order_info"))
+def q_realtime_total_json(spark, sf):
+    dau = D.dau_table(SI.startup_log(spark, sf, days=_days(DAU_DATE)))
+    return D.realtime_total_json(DAU_DATE, dau, SI.order_info(spark, sf, days=_days(ORDER_DATE)), order_date=ORDER_DATE)
+
+
 # --- order x detail x user -----------------------------------------------------------------------
 
 @register("order_detail_full_outer", """WITH ob AS (SELECT substr(create_time, 1, 7) AS batch, id AS order_id FROM order_info),
@@ -282,14 +314,14 @@ def q_realtime_total(spark, sf):
   SELECT coalesce(ob.batch, db.batch) AS batch, ob.order_id, db.detail_id
   FROM ob FULL JOIN db ON ob.batch = db.batch AND ob.order_id = db.order_id""", ("order_info", "order_detail"))
 def q_order_detail_full_outer(spark, sf):
-    return pair_per_batch(SI.order_info(spark, sf), SI.order_detail(spark, sf), "month")
+    return pair_per_batch(SI.order_info(spark, sf), SI.order_detail_keys(spark, sf), "month")
 
 
 @register("sale_pairs_ttl", f"""SELECT o.id AS order_id, d.id AS order_detail_id FROM order_info o JOIN order_detail d
   ON d.order_id = o.id AND CAST(d.create_time AS TIMESTAMP) BETWEEN CAST(o.create_time AS TIMESTAMP) - INTERVAL {ORDER_TTL} SECOND
   AND CAST(o.create_time AS TIMESTAMP) + INTERVAL {ORDER_TTL} SECOND""", ("order_info", "order_detail"))
 def q_sale_pairs_ttl(spark, sf):
-    return pair_orders_within(SI.order_info(spark, sf), SI.order_detail(spark, sf), ORDER_TTL)
+    return pair_orders_within(SI.order_info(spark, sf), SI.order_detail_keys(spark, sf), ORDER_TTL)
 
 
 @register("sale_wide", """SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender,
@@ -311,7 +343,7 @@ def q_sale_wide(spark, sf):
   HAVING count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) >= 3 AND NOT bool_or(evid = 'clickItem')""",
           ("action_log",))
 def q_coupon_alerts(spark, sf):
-    a = coupon_alerts(SI.action_log(spark, sf), ALERT_SIZE, ALERT_SLIDE)
+    a = coupon_alerts(SI.action_log(spark, sf), ALERT_SIZE, ALERT_SLIDE, tie=("event_id",))
     return a.select(
         F.concat_ws("_", "mid", F.floor(F.unix_seconds("window_end") / 60).cast("long").cast("string")).alias("id"),
         "mid", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -338,13 +370,13 @@ _HIT = f"dt = '{SALE_DATE}' AND list_contains(string_split_regex(lower(sku_name)
 
 @register("sale_search_total", f"SELECT CAST(count(*) AS BIGINT) AS total FROM wide WHERE {_HIT}", ("wide",))
 def q_sale_search_total(spark, sf):
-    return S.sale_detail(_wide(spark, sf), SALE_DATE, SALE_KEYWORD, 1, 5)["total"]
+    return S.sale_detail(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, 1, 5)["total"]
 
 
 @register("sale_search_page", f"""SELECT order_detail_id, sku_name, sku_price FROM wide WHERE {_HIT}
   ORDER BY order_detail_id LIMIT 5 OFFSET 5""", ("wide",))
 def q_sale_search_page(spark, sf):
-    return S.sale_detail(_wide(spark, sf), SALE_DATE, SALE_KEYWORD, 2, 5)["page"].select(
+    return S.sale_detail(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, 2, 5)["page"].select(
         "order_detail_id", "sku_name", "sku_price")
 
 
@@ -356,7 +388,10 @@ def q_sale_search_page(spark, sf):
   round(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) AS score
   FROM tf, s WHERE dt = '{SALE_DATE}' AND f > 0 ORDER BY score DESC, order_detail_id LIMIT 5 OFFSET 5""", ("wide",))
 def q_sale_search_relevance_page(spark, sf):
-    return S.relevance_page(_wide(spark, sf), SALE_DATE, SALE_KEYWORD, 2, 5).select(
+    # the statistics need the names of the whole sale table only: its lines that have an order
+    o, d, _ = SI.wide_inputs(spark, sf)
+    names = d.join(o.select(F.col("id").alias("order_id")), "order_id", "left_semi").select("sku_name")
+    return S.relevance_page(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, 2, 5, corpus=names).select(
         "order_detail_id", "sku_name", "score")
 
 
@@ -381,7 +416,7 @@ def _pct_sql(c):
                                            struct_pack(name := '30+', value := {_pct_sql('a_2')})])],
     detail := coalesce(detail, []))) AS VARCHAR) AS response FROM c, p""", ("wide",))
 def q_sale_detail_response(spark, sf):
-    return S.sale_detail_response(_wide(spark, sf), SALE_DATE, SALE_KEYWORD, 2, 5)
+    return S.sale_detail_response(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD, 2, 5)
 
 
 @register("sale_detail_stats", f"""WITH h AS (SELECT * FROM wide WHERE {_HIT}), t AS (SELECT count(*) AS total FROM h)
@@ -390,7 +425,7 @@ def q_sale_detail_response(spark, sf):
   UNION ALL SELECT 'age', CASE WHEN user_age < 20 THEN '<20' WHEN user_age < 30 THEN '20-29' ELSE '30+' END,
   floor(count(*) * 1000.0 / any_value(t.total) + 0.5) / 10 FROM h, t GROUP BY 2""", ("wide",))
 def q_sale_detail_stats(spark, sf):
-    return S.sale_detail_stats(_wide(spark, sf), SALE_DATE, SALE_KEYWORD)
+    return S.sale_detail_stats(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD)
 
 
 @register("gender_terms", """SELECT user_gender, CAST(count(*) AS BIGINT) AS n FROM wide WHERE user_gender IS NOT NULL
@@ -417,6 +452,33 @@ def q_age_band_share(spark, sf):
     return S.age_band_share(_wide(spark, sf))
 
 
+_WORDS = "string_split_regex(lower(sku_name), '[^\\p{L}\\p{N}]+')"
+
+
+@register("sale_search_two_words", f"""SELECT order_detail_id, sku_name FROM wide
+  WHERE list_contains({_WORDS}, '{SALE_TWO_WORDS.split()[0]}') AND list_contains({_WORDS}, '{SALE_TWO_WORDS.split()[1]}')""", ("wide",))
+def q_sale_search_two_words(spark, sf):
+    return match_all(_wide(spark, sf), "sku_name", SALE_TWO_WORDS).select("order_detail_id", "sku_name")
+
+
+def _bm25_term(i):
+    return (f"CASE WHEN f{i} > 0 THEN ln(1 + (n - df{i} + 0.5) / (df{i} + 0.5)) * f{i} * 2.2 / "
+            f"(f{i} + 1.2 * (0.25 + 0.75 * dl / avgdl)) ELSE 0 END")
+
+
+@register("bm25_two_words", f"""WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'),
+  lambda x: x <> '') AS ws FROM documents),
+  tf AS (SELECT doc_id, len(ws) AS dl, len(list_filter(ws, lambda x: x = '{BM25_TWO_WORDS.split()[0]}')) AS f0,
+    len(list_filter(ws, lambda x: x = '{BM25_TWO_WORDS.split()[1]}')) AS f1 FROM t),
+  s AS (SELECT count(*) AS n, avg(dl) AS avgdl, sum(CASE WHEN f0 > 0 THEN 1 ELSE 0 END) AS df0,
+    sum(CASE WHEN f1 > 0 THEN 1 ELSE 0 END) AS df1 FROM tf)
+  SELECT doc_id, round({_bm25_term(0)} + {_bm25_term(1)}, 6) AS score
+  FROM tf, s WHERE f0 > 0 OR f1 > 0 ORDER BY score DESC, doc_id LIMIT {BM25_TOP}""")
+def q_bm25_two_words(spark, sf):
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    return bm25_top(docs, "doc_id", "text", BM25_TWO_WORDS, BM25_TOP, 6)
+
+
 @register("bm25_top", f"""WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'),
   lambda x: x <> '') AS ws FROM documents),
   tf AS (SELECT doc_id, len(ws) AS dl, len(list_filter(ws, lambda x: x = '{BM25_QUERY}')) AS f FROM t),
@@ -424,7 +486,7 @@ def q_age_band_share(spark, sf):
   SELECT doc_id, round(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl)), 6) AS score
   FROM tf, s WHERE f > 0 ORDER BY score DESC, doc_id LIMIT {BM25_TOP}""")
 def q_bm25_top(spark, sf):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text"], spread=True)
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     return bm25_top(docs, "doc_id", "text", BM25_QUERY, BM25_TOP, 6)
 
 

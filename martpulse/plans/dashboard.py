@@ -24,22 +24,11 @@ def dau_total(dau: DataFrame, date: str) -> DataFrame:
     return dau.where(F.col("log_date") == date).agg(F.count(F.lit(1)).alias("dau"))
 
 
-def dau_by_hour(dau: DataFrame, date: str) -> DataFrame:
-    """``count(*)`` per hour of the DAU table for a date."""
-    return (dau.where(F.col("log_date") == date)
-               .groupBy("log_hour").agg(F.count(F.lit(1)).alias("n")))
-
-
 def order_amount(orders: DataFrame, date: str) -> DataFrame:
     """``sum(total_amount)`` for a date; null when the day has no orders."""
     return orders.where(F.col("create_date") == date).agg(F.sum("total_amount").alias("total_amount"))
 
 
-def order_amount_by_hour(orders: DataFrame, date: str) -> DataFrame:
-    return (orders.where(F.col("create_date") == date)
-                  .groupBy("create_hour").agg(F.sum("total_amount").alias("total_amount")))
-
-
 def _vs_yesterday(df: DataFrame, date_col: str, hour_col: str, date: str, value=None,
                   round_to: int | None = None) -> DataFrame:
     y = previous_day(date)
@@ -80,9 +69,22 @@ def realtime_total(date: str, dau: DataFrame, orders: DataFrame, round_to: int |
     return n.unionByName(a)
 
 
-def hour_map(df: DataFrame, hour_col: str, value_col: str) -> DataFrame:
-    """The hour rows as one ``MAP<hour, value>`` (at most 24 entries)."""
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(hour_col, value_col))).alias(value_col))
+# Display names of the two totals.
+TOTAL_NAMES = (("dau", "当前日活"), ("order_amount", "新增交易额"))
+
+
+def realtime_total_json(date: str, dau: DataFrame, orders: DataFrame, order_date: str | None = None) -> DataFrame:
+    """The published response: one row ``[{"id", "name", "value"}, ...]`` with a whole-number device count."""
+    n = dau_total(dau, date).select("dau").scalar()
+    amount = order_amount(orders, order_date or date).agg(F.round(F.max("total_amount"), 2).alias("v"))
+    (dau_id, dau_name), (sum_id, sum_name) = TOTAL_NAMES
+
+    def entry(key, name, value):
+        return F.to_json(F.struct(F.lit(key).alias("id"), F.lit(name).alias("name"), value.alias("value")),
+                         {"ignoreNullFields": "false"})
+
+    return amount.select(F.concat(F.lit("["), entry(dau_id, dau_name, n), F.lit(","), entry(sum_id, sum_name, F.col("v")),
+                                  F.lit("]")).alias("response"))
 
 
 def realtime_hour_json(kind: str, date: str, dau: DataFrame | None = None, orders: DataFrame | None = None,

@@ -22,12 +22,10 @@ def percent_1dp(count, total):
 
 def age_band(age="user_age"):
     c = F.col(age) if isinstance(age, str) else age
-    expr = None
+    expr = F.when(c.isNull(), F.lit(None).cast("string"))
     for label, upper in AGE_BANDS:
         if upper is None:
             expr = expr.otherwise(F.lit(label))
-        elif expr is None:
-            expr = F.when(c < upper, F.lit(label))
         else:
             expr = expr.when(c < upper, F.lit(label))
     return expr
@@ -70,28 +68,39 @@ def sale_detail(sales: DataFrame, date: str, keyword: str, page_no: int, page_si
 
 
 def sale_detail_stats(sales: DataFrame, date: str, keyword: str) -> DataFrame:
-    """Both share charts of a search as rows ``(stat, name, pct)``."""
-    hits = search_hits(sales, date, keyword)
-    g = gender_share(hits).select(F.lit("gender").alias("stat"), F.col("user_gender").alias("name"), "pct")
-    a = age_band_share(hits).select(F.lit("age").alias("stat"), F.col("band").alias("name"), "pct")
-    return g.unionByName(a)
+    """Both share charts of a search as rows ``(stat, name, pct)``: one pass over the hits, then a few counts."""
+    agg = search_hits(sales, date, keyword).agg(*_option_counts())
+    rows = F.array(*[F.struct(F.lit(stat).alias("stat"), F.lit(name).alias("name"), F.col(c).alias("n"))
+                     for stat, name, c in _OPTIONS])
+    return (agg.select("total", F.explode(rows).alias("r")).where("r.n > 0")
+            .select("r.stat", "r.name", percent_1dp(F.col("r.n"), F.col("total")).alias("pct")))
 
 
 def relevance_page(sales: DataFrame, date: str, keyword: str, page_no: int, page_size: int,
-                   digits: int | None = 6) -> DataFrame:
+                   digits: int | None = 6, corpus: DataFrame | None = None) -> DataFrame:
     """One page of hits by BM25 relevance of ``sku_name`` (ties by ``order_detail_id``).
 
-    Statistics cover the whole sale table; the day and keyword filters then pick the hits.
+    Statistics cover ``corpus``, the whole sale table (default: ``sales``); the day and keyword filters pick the
+    hits. A caller whose ``sales`` already holds only the day passes the names of the whole table.
     """
-    scored = with_bm25(sales, "sku_name", keyword)
+    hits = search_hits(sales, date, keyword)
+    scored = with_bm25(hits, "sku_name", keyword, sales if corpus is None else corpus)
     if digits is not None:
         scored = scored.withColumn("score", F.round("score", digits))
-    hits = match_all(scored.where(F.col("dt") == date), "sku_name", keyword)
-    return page(hits, page_no, page_size, F.desc("score"), F.asc("order_detail_id"))
+    return page(scored, page_no, page_size, F.desc("score"), F.asc("order_detail_id"))
 
 
 # Options of the two share charts, in display order.
 GENDER_OPTIONS = ("M", "F")
+_OPTIONS = ([("gender", g, f"g_{g}") for g in GENDER_OPTIONS]
+            + [("age", label, f"a_{i}") for i, (label, _u) in enumerate(AGE_BANDS)])
+
+
+def _option_counts():
+    """Conditional counts of every chart option, and the total."""
+    counts = [F.count(F.lit(1)).alias("total")]
+    counts += [F.count(F.when(F.col("user_gender") == name, 1)).alias(c) for stat, name, c in _OPTIONS if stat == "gender"]
+    return counts + [F.count(F.when(age_band() == name, 1)).alias(c) for stat, name, c in _OPTIONS if stat == "age"]
 
 
 def sale_detail_response(sales: DataFrame, date: str, keyword: str, page_no: int, page_size: int) -> DataFrame:
@@ -104,11 +113,7 @@ def sale_detail_response(sales: DataFrame, date: str, keyword: str, page_no: int
     from martpulse.operators.widen import SALE_COLUMNS
 
     hits = search_hits(sales, date, keyword)
-    counts = [F.count(F.lit(1)).alias("total")]
-    counts += [F.count(F.when(F.col("user_gender") == g, 1)).alias(f"g_{g}") for g in GENDER_OPTIONS]
-    counts += [F.count(F.when(age_band("user_age") == label, 1)).alias(f"a_{i}") for i, (label, _u) in
-               enumerate(AGE_BANDS)]
-    agg = hits.agg(*counts)
+    agg = hits.agg(*_option_counts())
     total = F.col("total")
     stat = F.array(
         F.struct(F.lit("gender").alias("title"), F.array(*[

@@ -35,6 +35,8 @@ DETAIL = T.StructType(_strings("id", "order_id", "sku_name", "sku_id", "order_pr
                                "sku_num", "create_time"))
 
 USER = T.StructType(_strings("id", "login_name", "user_level", "birthday", "gender"))
+# A user message as relayed: the row and the number of its change-log entry (its version).
+USER_MESSAGE = T.StructType([*USER.fields, T.StructField("seq", S)])
 
 # One change-log entry: row after-image as a string map.
 CDC = T.StructType([

@@ -30,22 +30,42 @@ DEFAULT_CONF = {
 }
 
 
-# Large inputs (the 100 TB target): start shuffles wide and let AQE coalesce them to ~256 MB
-# partitions; split skewed join partitions above 1 GB; read ~512 MB of parquet per scan task.
+# Large inputs (the 100 TB target): let AQE coalesce shuffles to ~256 MB partitions; split skewed join
+# partitions above 1 GB; read ~512 MB of parquet per scan task. The number of shuffle partitions, which AQE
+# can only lower, follows the input: ``size_shuffles``.
+SHUFFLE_BYTES = 256 * 1024 * 1024
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES),
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+}
+# Streaming jobs: the shuffle count is the number of state stores per stateful operator, each committed in
+# every micro-batch, and is fixed for the life of a checkpoint.
+STREAM_CONF = {
+    "spark.sql.shuffle.partitions": "200",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 }
+PROFILES = {"local": {}, "cluster": CLUSTER_CONF, "stream": {**CLUSTER_CONF, **STREAM_CONF}}
+
+
+def size_shuffles(spark: SparkSession, *paths: str, least: int = 200) -> int:
+    """Set the shuffle count for a batch over ``paths`` (about 256 MB of input each), and return it.
+
+    Shuffled rows of the queries here are at most about as large as their input.
+    """
+    total = 0
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        total += at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    count = max(least, -(-total // SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "martpulse", extra: dict | None = None, profile: str = "local") -> SparkSession:
-    """Return the active session, or build one with ``DEFAULT_CONF`` (+ ``CLUSTER_CONF`` for
-    ``profile="cluster"``).
+    """Return the active session, or build one with ``DEFAULT_CONF`` and the profile's settings
+    (``cluster``: batch on a cluster, ``stream``: streaming jobs there).
 
     On a cluster the master comes from ``spark-submit``; ``master`` is only for local runs/tests.
     """
@@ -53,8 +73,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if profile == "cluster":
-        conf.update(CLUSTER_CONF)
+    conf.update(PROFILES[profile])
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -76,7 +95,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master.split("[")[0] != "local":
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="martpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", root)

@@ -120,13 +120,20 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``create_time`` (the detail's arrival) is the ship date; ``id`` joins the four line keys, which
     are unique together.
     """
-    # the line scan feeds three joins pipelined in its stage: spread it over the cores if it is one split
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                "l_extendedprice", "l_shipdate"], spread=True)
+                                                "l_extendedprice", "l_shipdate"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
     return order_detail_from(li, part)
 
 
+def order_detail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, order_id, create_time) of the order lines: no product join."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"])
+    return li.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+                     F.col("l_orderkey").cast("string").alias("order_id"),
+                     F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"))
+
+
 def order_detail_from(li: DataFrame, part: DataFrame) -> DataFrame:
     j = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return j.select(
@@ -192,9 +199,9 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def wide_inputs(spark: SparkSession, sf_dir: str):
-    """(orders, details, users) for the wide sale table."""
-    return order_info(spark, sf_dir), order_detail(spark, sf_dir), user_info(spark, sf_dir)
+def wide_inputs(spark: SparkSession, sf_dir: str, days=None):
+    """(orders, details, users) for the wide sale table; ``days`` narrows the order scan."""
+    return order_info(spark, sf_dir, days), order_detail(spark, sf_dir), user_info(spark, sf_dir)
 
 
 def age_as_of():

@@ -12,7 +12,6 @@ for draining what exists and stopping.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martpulse import schemas
@@ -20,14 +19,17 @@ from martpulse.functions.jsonrec import parse_json
 from martpulse.functions.masking import mask_phone
 from martpulse.functions.timeparts import ms_to_ts, with_create_parts, with_time_parts
 from martpulse.operators.alerts import coupon_alerts_stream, with_alert_id
-from martpulse.operators.dedup import dedup_per_day
+from martpulse.operators.dedup import first_per_day_stream
 from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc, route_logs
-from martpulse.operators.upsert import current, foreach_batch_upsert, upsert_batch
+from martpulse.operators.upsert import compact, current, foreach_batch_upsert, upsert_batch
 from martpulse.operators.widen import SALE_COLUMNS, attach_user
+from martpulse.sources.paths import delete, exists
 
 BATCH_INTERVAL = "5 seconds"
 # Folder layout of the keyed output tables (pass to ``upsert.current``).
+MALFORMED_TOPIC = "malformed"
+COMPACT_EVERY = 100   # micro-batches between snapshots of a keyed table
 DAU_PARTS, ORDER_PARTS, SALE_PARTS = ("log_date",), ("create_date",), ("dt",)
 
 
@@ -39,44 +41,78 @@ def _start(writer, checkpoint: str, available_now: bool, interval: str = BATCH_I
     return w.start()
 
 
+def _event_wire(schema) -> T.StructType:
+    return T.StructType([f if f.name != "ts" else T.StructField("ts", T.StringType()) for f in schema.fields])
+
+
 def typed_events(messages: DataFrame, schema=schemas.EVENT) -> DataFrame:
     """Topic messages -> typed records with ``ts`` TIMESTAMP, ``log_date``, ``log_hour``.
 
-    ``ts`` arrives as epoch milliseconds (a JSON number or its text); malformed messages are dropped
-    here (``parse_json`` exposes them for a side table).
+    ``ts`` arrives as epoch milliseconds (a JSON number or its text). Messages that give no record are in
+    ``bad_events``: nothing is lost between the two.
     """
-    wire = T.StructType([f if f.name != "ts" else T.StructField("ts", T.StringType()) for f in schema.fields])
-    good, _bad = parse_json(messages, wire)
+    good, _ = parse_json(messages, _event_wire(schema))
     typed = good.withColumn("ts", ms_to_ts(F.col("ts").try_cast("long")))
     return with_time_parts(typed.where(F.col("ts").isNotNull()), "ts")
 
 
-def log_intake_job(raw: DataFrame, out_path: str, checkpoint: str, available_now: bool = False):
-    """Raw app logs -> stamped JSON per topic folder (``topic=startup`` / ``topic=event``)."""
-    routed = route_logs(raw).where(F.col("topic").isNotNull())
-    writer = routed.writeStream.format("parquet").option("path", out_path).partitionBy("topic")
-    return _start(writer, checkpoint, available_now, name=None)
+def bad_events(messages: DataFrame, schema=schemas.EVENT) -> DataFrame:
+    """``(reason, value)`` of the messages that ``typed_events`` can't use: malformed JSON, or no usable time."""
+    good, bad = parse_json(messages, _event_wire(schema), keep_raw=True)
+    untimed = good.where(F.col("ts").try_cast("long").isNull()).select(F.lit("no ts").alias("reason"), "value")
+    return bad.select(F.lit("malformed").alias("reason"), "value").unionByName(untimed)
 
 
-def cdc_relay_job(cdc: DataFrame, out_path: str, checkpoint: str, db_pattern: str | None = None,
-                  available_now: bool = False):
-    """Change-log entries -> after-image JSON per topic folder."""
-    writer = (route_cdc(cdc, db_pattern).writeStream.format("parquet").option("path", out_path)
-              .partitionBy("topic"))
+def bad_rows(messages: DataFrame, schema) -> DataFrame:
+    """``(reason, value)`` of the messages of a row topic (orders, lines, users) that are no JSON object."""
+    _, bad = parse_json(messages, schema)
+    return bad.select(F.lit("malformed").alias("reason"), "value")
+
+
+def bad_records_job(bad: DataFrame, out_path: str, checkpoint: str, available_now: bool = False):
+    """Unusable messages (``bad_events``, ``bad_rows``) -> side table, one folder per reason; counted with ``observe``."""
+    seen = bad.observe("bad_messages", F.count(F.lit(1)).alias("rows"))
+    writer = seen.writeStream.format("parquet").option("path", out_path).partitionBy("reason")
     return _start(writer, checkpoint, available_now)
 
 
+def _topic_writer(routed: DataFrame, out: str, fmt: str):
+    """Writer of ``(topic, value)`` rows: a folder per topic (parquet, or text: JSON lines), or Kafka records."""
+    writer = routed.select("topic", "value").writeStream.format(fmt)
+    if fmt == "kafka":
+        return writer.option("kafka.bootstrap.servers", out)
+    return writer.option("path", out).partitionBy("topic")
+
+
+def log_intake_job(raw: DataFrame, out_path: str, checkpoint: str, available_now: bool = False, fmt: str = "parquet",
+                   stamp=None):
+    """Raw app logs -> stamped JSON per topic (``startup`` / ``event``).
+
+    Malformed logs have no topic: they go to the folder (or Kafka topic) ``malformed``, as they came.
+    """
+    routed = route_logs(raw.withColumn("__raw", F.col("value")), stamp=stamp, keep=("__raw",))
+    routed = routed.select(F.coalesce("topic", F.lit(MALFORMED_TOPIC)).alias("topic"), F.coalesce("value", "__raw").alias("value"))
+    return _start(_topic_writer(routed, out_path, fmt), checkpoint, available_now)
+
+
+def cdc_relay_job(cdc: DataFrame, out_path: str, checkpoint: str, db_pattern: str | None = None,
+                  available_now: bool = False, fmt: str = "parquet", with_seq: bool = True):
+    """Change-log entries -> after-image JSON per topic; entries of other tables or kinds aren't relayed."""
+    return _start(_topic_writer(route_cdc(cdc, db_pattern, with_seq), out_path, fmt), checkpoint, available_now)
+
+
 def dau_job(startup: DataFrame, table_path: str, checkpoint: str, lateness: str = "1 hour",
-            available_now: bool = False):
+            available_now: bool = False, tie=(), compact_every: int | None = COMPACT_EVERY):
     """First startup per device and day -> DAU table (upsert on (mid, log_date), partitioned by date).
 
-    Rows before/after the dedup are counted with ``observe`` (visible in the query progress).
+    Update mode: a device's row is written when its earliest record changes, and the later batch wins.
+    Rows before/after the reduction are counted with ``observe`` (visible in the query progress).
     """
     seen = startup.observe("dau_in", F.count(F.lit(1)).alias("rows_in"))
-    firsts = dedup_per_day(seen, "mid", "ts", lateness).drop("day_start")
+    firsts = first_per_day_stream(seen, "mid", "ts", lateness, tie)
     firsts = firsts.observe("dau_out", F.count(F.lit(1)).alias("rows_out"))
-    sink = foreach_batch_upsert(table_path, ["mid", "log_date"], None, DAU_PARTS)
-    return _start(firsts.writeStream.foreachBatch(sink), checkpoint, available_now)
+    sink = foreach_batch_upsert(table_path, ["mid", "log_date"], None, DAU_PARTS, compact_every)
+    return _start(firsts.writeStream.outputMode("update").foreachBatch(sink), checkpoint, available_now)
 
 
 def typed_orders(messages: DataFrame, mask_style: str = "middle") -> DataFrame:
@@ -87,27 +123,35 @@ def typed_orders(messages: DataFrame, mask_style: str = "middle") -> DataFrame:
     return with_create_parts(out)
 
 
+def typed_users(messages: DataFrame) -> DataFrame:
+    """User topic -> user rows with their version ``seq`` (BIGINT)."""
+    good, _ = parse_json(messages, schemas.USER_MESSAGE)
+    return good.withColumn("seq", F.col("seq").try_cast("long"))
+
+
 def order_job(orders: DataFrame, table_path: str, checkpoint: str, available_now: bool = False,
-              partition_by: str | None = "create_date"):
+              partition_by: str | None = "create_date", version: str | None = "operate_time",
+              compact_every: int | None = COMPACT_EVERY):
     """Typed orders -> order table (upsert on id, partitioned by create_date by default).
 
     A live stream writes a few dates per micro-batch; a replay of years of history in one batch
     would write one small folder per day, so a backfill may pass ``partition_by=None``.
     """
-    sink = foreach_batch_upsert(table_path, "id", None, partition_by)
+    sink = foreach_batch_upsert(table_path, "id", version, partition_by, compact_every)
     return _start(orders.writeStream.foreachBatch(sink), checkpoint, available_now)
 
 
 def alert_job(actions: DataFrame, table_path: str, checkpoint: str, size_seconds: int = 100,
-              slide_seconds: int = 10, lateness: str = "1 minute", available_now: bool = False):
+              slide_seconds: int = 10, lateness: str = "1 minute", available_now: bool = False, tie=(),
+              compact_every: int | None = COMPACT_EVERY):
     """Action events -> coupon alerts, one stored alert per device and minute (upsert on id)."""
-    alerts = with_alert_id(coupon_alerts_stream(actions, size_seconds, slide_seconds, lateness=lateness))
-    sink = foreach_batch_upsert(table_path, "id", "ts")
+    alerts = with_alert_id(coupon_alerts_stream(actions, size_seconds, slide_seconds, lateness=lateness, tie=tie))
+    sink = foreach_batch_upsert(table_path, "id", "ts", compact_every=compact_every)
     return _start(alerts.writeStream.outputMode("append").foreachBatch(sink), checkpoint, available_now)
 
 
 def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: str = "seq",
-                 available_now: bool = False, compact_every: int | None = 100):
+                 available_now: bool = False, compact_every: int | None = COMPACT_EVERY):
     """User changes -> user dimension (upsert on id, last write wins, never expires).
 
     Compacted every ``compact_every`` batches: the sale job reads this table in every micro-batch.
@@ -118,11 +162,14 @@ def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: st
 
 def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path: str, checkpoint: str,
              as_of, ttl_seconds: int = 300, lateness: str = "10 minutes", available_now: bool = False,
-             partition_by=SALE_PARTS):
+             partition_by=SALE_PARTS, user_version: str | None = "seq", by_arrival: bool = False,
+             compact_every: int | None = COMPACT_EVERY):
     """Orders x lines within ``ttl_seconds`` of each other, plus the user lookup -> sale table.
 
     The pair join is a watermarked stream-stream join; the user dimension is re-read inside each
     micro-batch so the lookup sees the latest upserts (a static side read once would go stale).
+    ``by_arrival``: the TTL runs from each message's arrival (stamped by its micro-batch), not from its
+    ``create_time``. ``user_version``: the version column that the user table was written with.
     """
     o = orders.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
                       F.col("create_date").alias("dt"),
@@ -130,6 +177,8 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
     d = details.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
                        F.col("order_price").try_cast("double").alias("sku_price"),
                        F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss").alias("d_ts"))
+    if by_arrival:
+        o, d = o.withColumn("o_ts", F.current_timestamp()), d.withColumn("d_ts", F.current_timestamp())
     pairs = pair_within_stream(o, d, "order_id", ttl_seconds, "o_ts", "d_ts", lateness).drop("o_ts", "d_ts")
 
     def _write(batch_df: DataFrame, batch_id: int) -> None:
@@ -141,12 +190,15 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         batch_df.write.mode("overwrite").parquet(stage)
         staged = spark.read.schema(batch_df.schema).parquet(stage)
         wanted = staged.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
-        try:
-            users = current(spark, user_table, "id", only_keys=wanted)
-        except AnalysisException:   # no user written yet: every lookup misses, rows are kept
+        if exists(spark, user_table):
+            users = current(spark, user_table, "id", user_version, only_keys=wanted)
+        else:   # no user written yet: every lookup misses, rows are kept
             users = spark.createDataFrame([], schemas.USER)
         wide = attach_user(staged, users, as_of).select(*SALE_COLUMNS)
         upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(spark, table_path, "order_detail_id", None, partition_by, upto=batch_id)
+        delete(spark, stage)
 
     return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
 
@@ -164,6 +216,3 @@ def run_to_end(query) -> None:
     if exc is not None:
         raise RuntimeError(f"streaming query failed: {exc}")
 
-
-def read_output(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

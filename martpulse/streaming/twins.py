@@ -18,8 +18,9 @@ from martpulse.operators.alerts import coupon_alerts_stream
 from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc
 from martpulse.operators.upsert import current, upsert_batch
-from martpulse.operators.widen import SALE_COLUMNS
+from martpulse.operators.widen import SALE_COLUMNS, sale_rows
 from martpulse.plans import catalog as C
+from martpulse.plans import saledetail as S
 from martpulse.session import scratch_path
 from martpulse.sources import standins as SI
 from martpulse.sources import topics as TP
@@ -49,7 +50,7 @@ def q_stream_log_route(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_dau_keys(spark: SparkSession, sf: str) -> DataFrame:
     run = _run_dir(spark, "dau")
     startup = SI.startup_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type"]))
-    J.run_to_end(J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", available_now=True))
+    J.run_to_end(J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", available_now=True, tie=("event_id",)))
     return current(spark, f"{run}/dau", ["mid", "log_date"], partition_by=J.DAU_PARTS).select("mid", "log_date")
 
 
@@ -61,7 +62,7 @@ def q_stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
     run = _run_dir(spark, "alerts")
     actions = SI.action_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type", "props"]))
     alerts = coupon_alerts_stream(actions, C.ALERT_SIZE, C.ALERT_SLIDE,
-                                  lateness=f"{ALERT_LATENESS_SECONDS} seconds")
+                                  lateness=f"{ALERT_LATENESS_SECONDS} seconds", tie=("event_id",))
     q = (alerts.writeStream.outputMode("append").format("parquet").option("path", f"{run}/out")
          .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
     J.run_to_end(q)
@@ -95,7 +96,7 @@ def q_stream_cdc_upsert(spark: SparkSession, sf: str) -> DataFrame:
     SI.cdc_log(spark, sf).write.parquet(f"{run}/cdc")
     cdc = spark.readStream.schema(schemas.CDC).option("maxFilesPerTrigger", 2).parquet(f"{run}/cdc")
     routed = route_cdc(cdc).where(F.col("topic") == TP.USER_TOPIC)
-    users, _bad = parse_json(routed, schemas.USER, keep=("seq",))
+    users, _ = parse_json(routed, schemas.USER, keep=("seq",))
     # compact every 2 micro-batches so the read-back covers snapshot + recent batches
     J.run_to_end(J.user_dim_job(users, f"{run}/users", f"{run}/ckpt", "seq", available_now=True, compact_every=2))
     return current(spark, f"{run}/users", "id", "seq").select("id", "user_level")
@@ -107,7 +108,7 @@ def q_stream_cdc_relay(spark: SparkSession, sf: str) -> DataFrame:
     run = _run_dir(spark, "relay")
     SI.cdc_log(spark, sf).write.parquet(f"{run}/cdc")
     cdc = spark.readStream.schema(schemas.CDC).option("maxFilesPerTrigger", 4).parquet(f"{run}/cdc")
-    J.run_to_end(J.cdc_relay_job(cdc, f"{run}/topics", f"{run}/ckpt", db_pattern="^shop$", available_now=True))
+    J.run_to_end(J.cdc_relay_job(cdc, f"{run}/topics", f"{run}/ckpt", db_pattern="^shop$", available_now=True, with_seq=False))
     return spark.read.parquet(f"{run}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -143,6 +144,147 @@ def q_stream_sale_wide_ttl(spark: SparkSession, sf: str) -> DataFrame:
     details = SI.order_detail_from(lines, read_table(spark, sf, "part", ["p_partkey", "p_name"]))
     # years of history arrive in one micro-batch here: written unpartitioned (see order_job)
     J.run_to_end(J.sale_job(orders, details, f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(),
-                            ttl_seconds=C.ORDER_TTL, lateness="30 days", available_now=True, partition_by=None))
+                            ttl_seconds=C.ORDER_TTL, lateness="30 days", available_now=True, partition_by=None,
+                            user_version=None))
     return current(spark, f"{run}/sale", "order_detail_id").select(*SALE_COLUMNS)
 
+
+def _in_slices(df: DataFrame, path: str, slice_of, n: int) -> None:
+    """One folder per slice number, written in order, so that a file stream takes them one after the other."""
+    for k in range(n):
+        df.where(slice_of == k).coalesce(1).write.parquet(f"{path}/{k:02d}")
+
+
+DAU_SLICE_DAYS, DAU_LATE_SECONDS = 5, 3600
+
+
+def _late_events(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    """Events in files of five days each whose ends overlap by up to an hour: about one event in eighty comes
+    after later ones, some of them after midnight."""
+    ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type"])
+    jitter = F.pmod(F.xxhash64("event_id"), F.lit(DAU_LATE_SECONDS))
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) + jitter - F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    k = F.least(F.greatest(F.floor(seconds / (DAU_SLICE_DAYS * 86400)), F.lit(0)), F.lit(6))
+    _in_slices(ev, path, k, 7)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+@C.register("stream_dau_first", C.ORACLES["dau_first"])
+def q_stream_dau_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Late and out-of-order events over several micro-batches: the kept record is the day's earliest."""
+    run = _run_dir(spark, "dau_first")
+    startup = SI.startup_log_from(_late_events(spark, sf, f"{run}/in"))
+    J.run_to_end(J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", "2 hours", available_now=True, tie=("event_id",), compact_every=3))
+    return current(spark, f"{run}/dau", ["mid", "log_date"], partition_by=J.DAU_PARTS).select("event_id", "mid", "log_date", "log_hour")
+
+
+@C.register("dau_hour_from_table", f"""WITH f AS (SELECT mid, log_date, arg_min(log_hour, ts) AS log_hour FROM startup_log GROUP BY 1, 2)
+  SELECT log_hour, CAST(count(*) AS BIGINT) AS n FROM f WHERE log_date = '{C.DAU_DATE}' GROUP BY 1""", ("startup_log",))
+def q_dau_hour_from_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A dashboard query over the DAU table that the job wrote: the date prunes its folders."""
+    run = _run_dir(spark, "dau_table")
+    startup = SI.startup_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type"]))
+    J.run_to_end(J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", available_now=True, tie=("event_id",)))
+    return dau_hours(spark, f"{run}/dau", C.DAU_DATE)
+
+
+def dau_hours(spark: SparkSession, table: str, date: str) -> DataFrame:
+    day = current(spark, table, ["mid", "log_date"], partition_by=J.DAU_PARTS, where=F.col("log_date") == date)
+    return day.groupBy("log_hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+def order_hours(spark: SparkSession, table: str, date: str) -> DataFrame:
+    day = current(spark, table, "id", "operate_time", J.ORDER_PARTS, where=F.col("create_date") == date)
+    return day.groupBy("create_hour").agg(F.round(F.sum("total_amount"), 2).alias("total_amount"))
+
+
+@C.register("order_hour_from_table", f"""SELECT substr(create_time, 12, 2) AS create_hour, round(sum(total_amount), 2) AS total_amount
+  FROM order_info WHERE create_time LIKE '{C.ORDER_DATE}%' GROUP BY 1""", ("order_info",))
+def q_order_hour_from_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The order table as the job writes it (partitioned by creation date), asked for one day."""
+    run = _run_dir(spark, "order_table")
+    orders = SI.order_info(spark, sf).withColumn("operate_time", F.col("create_time"))
+    upsert_batch(orders, 0, f"{run}/orders", "id", "operate_time", J.ORDER_PARTS)
+    return order_hours(spark, f"{run}/orders", C.ORDER_DATE)
+
+
+@C.register("sale_search_from_table", C.ORACLES["sale_search_total"])
+def q_sale_search_from_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The written sale table (partitioned by day), searched for one day and keyword."""
+    run = _run_dir(spark, "sale_table")
+    wide = sale_rows(*SI.wide_inputs(spark, sf), SI.age_as_of())
+    upsert_batch(wide, 0, f"{run}/sale", "order_detail_id", None, J.SALE_PARTS)
+    day = current(spark, f"{run}/sale", "order_detail_id", None, J.SALE_PARTS, where=F.col("dt") == C.SALE_DATE)
+    return S.sale_detail(day, C.SALE_DATE, C.SALE_KEYWORD, 1, 5)["total"]
+
+
+@C.register("stream_dau_from_topic", C.ORACLES["dau_total"])
+def q_stream_dau_from_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw logs -> startup topic (JSON lines) -> typed records -> DAU table, as the jobs compose."""
+    run = _run_dir(spark, "dau_topic")
+    ev = read_table(spark, sf, "events", ["user_id", "ts", "event_type"])
+    logs = ev.where(F.col("event_type").isin(*SI.STARTUP_EVENT_TYPES)).select(
+        to_json_record(F.lit("startup").alias("type"), F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
+                       F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")).alias("value"), F.lit(TP.STARTUP_TOPIC).alias("topic"))
+    TP.write_topics(logs, f"{run}/topics", "json")
+    messages = TP.read_topic(spark, f"{run}/topics/topic={TP.STARTUP_TOPIC}", "json", streaming=True)
+    J.run_to_end(J.dau_job(J.typed_events(messages, schemas.STARTUP), f"{run}/dau", f"{run}/ckpt", available_now=True))
+    table = current(spark, f"{run}/dau", ["mid", "log_date"], partition_by=J.DAU_PARTS)
+    return table.groupBy("log_date").agg(F.count(F.lit(1)).alias("dau"))
+
+
+@C.register("stream_user_from_topic", C.ORACLES["user_latest"])
+def q_stream_user_from_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Change log -> user topic (JSON lines) -> user table: the message carries its version."""
+    run = _run_dir(spark, "user_topic")
+    SI.cdc_log(spark, sf).where(F.col("tbl") == "user_info").repartition(6, "seq").write.parquet(f"{run}/cdc")
+    cdc = spark.readStream.schema(schemas.CDC).parquet(f"{run}/cdc")
+    J.run_to_end(J.cdc_relay_job(cdc, f"{run}/topics", f"{run}/ckpt-relay", available_now=True, fmt="text"))
+    messages = TP.read_topic(spark, f"{run}/topics/topic={TP.USER_TOPIC}", "json", streaming=True)
+    J.run_to_end(J.user_dim_job(J.typed_users(messages), f"{run}/users", f"{run}/ckpt", available_now=True))
+    return current(spark, f"{run}/users", "id", "seq").select("id", "user_level")
+
+
+@C.register("stream_bad_records", """SELECT CASE WHEN event_id % 13 = 0 THEN 'malformed' ELSE 'no ts' END AS reason,
+  CAST(count(*) AS BIGINT) AS n FROM events WHERE event_id % 13 = 0 OR event_id % 17 = 0 GROUP BY 1""")
+def q_stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of the event table, some cut short and some without a usable time: each is in the side table once."""
+    run = _run_dir(spark, "bad")
+    ev = _events(spark, sf, ["event_id", "user_id", "ts", "event_type"])
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    whole = to_json_record(F.col("event_type").alias("evid"), F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
+                           F.when(F.col("event_id") % 17 == 0, F.lit("soon")).otherwise(ms).alias("ts"))
+    messages = ev.withColumn("v", whole).select(
+        F.when(F.col("event_id") % 13 == 0, F.substring("v", 1, 12)).otherwise(F.col("v")).alias("value"))
+    J.run_to_end(J.bad_records_job(J.bad_events(messages), f"{run}/bad", f"{run}/ckpt", available_now=True))
+    return spark.read.parquet(f"{run}/bad").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+ALERT_SCALE = 1440   # a day of events becomes a minute, so that several slides share a minute
+
+
+@C.register("stream_alert_table", f"""SELECT id, arg_max(mid, ws) AS mid, arg_max(uids, ws) AS uids, arg_max(events, ws) AS events FROM (
+  SELECT mid || '_' || (CAST(epoch(ws + INTERVAL {C.ALERT_SIZE // 1440} SECOND) AS BIGINT) // 60) AS id, mid, ws,
+  array_to_string(list_sort(list(DISTINCT uid) FILTER (WHERE evid = 'coupon')), ',') AS uids,
+  string_agg(evid, ',' ORDER BY t, event_id) AS events
+  FROM (SELECT *, make_timestamp(CAST(epoch_us(TIMESTAMP '2024-01-01') + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // {ALERT_SCALE} AS BIGINT)) AS t
+    FROM action_log) a,
+    (SELECT unnest(generate_series(TIMESTAMP '2023-12-31 23:58:00', TIMESTAMP '2024-01-01 00:32:00', INTERVAL {C.ALERT_SLIDE // 1440} SECOND)) AS ws) w
+  WHERE t >= ws AND t < ws + INTERVAL {C.ALERT_SIZE // 1440} SECOND GROUP BY mid, ws
+  HAVING count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) >= 3 AND NOT bool_or(evid = 'clickItem')) GROUP BY id""", ("action_log",))
+def q_stream_alert_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert job's table: one alert per device and minute, the last window wins; a heartbeat closes the last windows."""
+    run = _run_dir(spark, "alert_table")
+    zero = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    a = SI.action_log(spark, sf)
+    a = a.withColumn("ts", F.timestamp_micros(zero + F.floor((F.unix_micros("ts") - zero) / ALERT_SCALE).cast("long")))
+    a.write.parquet(f"{run}/in/0")
+    beat = a.agg(F.max("event_id").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts")).select(
+        "event_id", F.lit("heartbeat").alias("mid"), F.lit(None).cast("string").alias("uid"), "ts", F.lit("beat").alias("evid"),
+        F.lit(None).cast("string").alias("itemid"))
+    beat.select(*a.columns).coalesce(1).write.parquet(f"{run}/in/1")
+    actions = spark.readStream.schema(a.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/*")
+    J.run_to_end(J.alert_job(actions, f"{run}/alerts", f"{run}/ckpt", C.ALERT_SIZE // ALERT_SCALE, C.ALERT_SLIDE // ALERT_SCALE,
+                             "1 minute", available_now=True, tie=("event_id",)))
+    t = current(spark, f"{run}/alerts", "id", "ts")
+    return t.select("id", "mid", F.array_join("uids", ",").alias("uids"), F.array_join("events", ",").alias("events"))
