@@ -18,7 +18,7 @@ from martpulse.session import checkpoint_root
 from martpulse.sources.tables import read_table
 
 #: Bytes of text that one numpy block holds (a longer single text is a block of its own).
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -26,10 +26,15 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 
 
 _SHIPPED: set[str] = set()
+#: Most bytes in an Arrow batch between the JVM and Python; the session's own setting holds if it is lower.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application (as ``--py-files`` would)."""
+    """Give the executors this package, once per application (as ``--py-files`` would), and bound Arrow batches."""
+    # long texts: an Arrow batch is cut by its bytes, not only by its rows
+    if int(spark.conf.get(BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -142,6 +147,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def draw(df: DataFrame, size: int, *by: str) -> DataFrame:
+    """At most ``size`` rows in the order of a hash of the columns ``by``: the same ones on every run.
+
+    The count of ``df`` first narrows it to about twice as many, so what tasks send doesn't grow with the input.
+    """
+    total = df.count()
+    if total > 2 * size:
+        df = df.where(F.pmod(F.xxhash64(F.lit("draw"), *by), F.lit(total)) < 2 * size)
+    return df.orderBy(F.xxhash64(F.lit("draw"), *by), *by).limit(size)
+
+
 def fold_of(column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(folds)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import PerWorker, add_columns
+from martpulse.llm.common import PerWorker, add_columns, draw
 
 # Fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -293,7 +293,7 @@ SAMPLE, SAMPLE_CHARS = 200, 60_000
 def train(spark: SparkSession, pages: DataFrame, key: str = "page_id", html: str = "html", size: int = SAMPLE) -> np.ndarray:
     """Weights from at most ``size`` pages with a marked article, drawn by a hash of the key."""
     marked = pages.where(F.lower(F.col(html)).contains("<article") & (F.length(html) <= SAMPLE_CHARS) & F.col(key).isNotNull())
-    sample = marked.orderBy(F.xxhash64(F.lit("page sample"), F.col(key)), F.xxhash64(html)).select(html).limit(size).collect()
+    sample = draw(marked.select(key, html), size, key, html).select(html).collect()
     parsed = [parse(r[0]) for r in sample]
     return fit([(p, label_by_markup(p)) for p in parsed])
 

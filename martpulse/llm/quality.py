@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import SHAPES, PerWorker, add_columns, blocks, ship, words
+from martpulse.llm.common import SHAPES, PerWorker, add_columns, blocks, draw, ship, words
 
 
 @dataclass(frozen=True)
@@ -197,9 +197,9 @@ def fit_network(x: np.ndarray, y: np.ndarray, p: Params) -> Network:
 
 def bounded_sample(labels: DataFrame, key: str, label: str, size: int) -> DataFrame:
     """At most ``size`` labelled keys (0 or 1), by a hash of the key; a key labelled twice has its lower label."""
-    return (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
-            .groupBy(key).agg(F.min(label).alias("label"))
-            .orderBy(F.xxhash64(F.lit("label sample"), F.col(key)), key).limit(size))
+    rows = (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
+            .groupBy(key).agg(F.min(label).alias("label")))
+    return draw(rows, size, key)
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",

@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import Scratch, fresh
+from martpulse.llm.common import Scratch, draw, fresh
 
 KEY_CHARS = "A-Za-z0-9+/_=-"
 CANDIDATE = rf"(?<![{KEY_CHARS}])(?=[A-Za-z+/_=-]*+[0-9])[{KEY_CHARS}]{{16,}}+"
@@ -152,7 +152,7 @@ def train(spark: SparkSession, findings: DataFrame, params: Params = Params()):
 
     At most ``params.sample`` findings are used, drawn by a hash of their token and place.
     """
-    sample = findings.select(*FEATURES, "label", F.xxhash64("token", "before", "after").alias("o")).orderBy("o", *FEATURES).limit(params.sample)
+    sample = draw(findings.select(*FEATURES, "label", "token", "before", "after"), params.sample, "token", "before", "after")
     kinds = {r[0] for r in sample.select("label").distinct().collect()}
     if len(kinds) < 2:
         only = float(kinds.pop()) if kinds else 1.0
@@ -183,7 +183,7 @@ def scan(spark: SparkSession, docs: DataFrame, dictionary: DataFrame, labelled:
         known = with_features(known_findings(spark), dictionary)
         given = label_by_rule(rows).select("token", "before", "after", "label", *FEATURES)
         # the known ones come first, whatever the sample's size
-        given = given.orderBy(F.xxhash64("token", "before", "after")).limit(params.sample - len(KNOWN_FINDINGS))
+        given = draw(given, params.sample - len(KNOWN_FINDINGS), "token", "before", "after")
         findings = known.select(*given.columns).unionByName(given)
     else:
         findings = with_features(labelled, dictionary)
