@@ -43,22 +43,29 @@ def pieces_of(vocabulary_path: str) -> list[str]:
                    if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))})
 
 
-def split_words(text: str | None) -> list[str]:
+def split_words(text: str | None) -> Counter:
+    """Distinct words of a text, marked as the vocabulary marks word beginnings, with their number."""
     if not text:
-        return []
-    found = _WORD.findall(text.lower())
+        return Counter()
+    found = Counter(_WORD.findall(text.lower()))
     if not any(c.isalpha() for w in found for c in w):
-        return []
-    return [WORD_MARK + p for w in found for p in ((w,) if len(w) <= WORD_CHARS else
-                                                  (w[i:i + WORD_CHARS] for i in range(0, len(w), WORD_CHARS)))]
+        return Counter()
+    out: Counter = Counter()
+    for w, n in found.items():
+        if len(w) <= WORD_CHARS:
+            out[WORD_MARK + w] += n
+        else:
+            for i in range(0, len(w), WORD_CHARS):
+                out[WORD_MARK + w[i:i + WORD_CHARS]] += n
+    return out
 
 
 def arcs(word: str, table: dict[str, int], longest: int) -> list[tuple[int, int, int]]:
     """(start, end, piece) of every piece in the word; -1 for a character that is no piece itself."""
-    out, n = [], len(word)
-    for end in range(1, n + 1):
+    out, get = [], table.get
+    for end in range(1, len(word) + 1):
         for start in range(max(0, end - longest), end):
-            p = table.get(word[start:end])
+            p = get(word[start:end])
             if p is not None:
                 out.append((start, end, p))
             elif end - start == 1:
@@ -72,8 +79,7 @@ def forward(word: str, table: dict[str, int], longest: int, probs: list[list[flo
     found = arcs(word, table, longest)
     out = []
     for p in probs:
-        alpha = [0.0] * (n + 1)
-        alpha[0] = 1.0
+        alpha = [1.0] + [0.0] * n
         for start, end, piece in found:
             alpha[end] += alpha[start] * p[piece]
         out.append(math.log(alpha[n]) if alpha[n] > 0 else n * math.log(STRAY))
@@ -108,28 +114,26 @@ class LanguageModel:
         self.rows = np.zeros((1024, len(self.languages)))  # by cache number; grows by doubling
 
     def word_rows(self, found: list[str]) -> np.ndarray:
-        """Log probabilities of the words, one row each."""
+        """Log probabilities of distinct words, one row each."""
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
-        cache, new = self.cache, []
-        first = len(cache)
-        for w in set(found):
-            if w not in cache:
-                cache[w] = first + len(new)
-                new.append(forward(w, self.table, self.longest, self.probs))
+        cache, first = self.cache, len(self.cache)
+        new = [w for w in found if w not in cache]
         if new:
-            while len(self.rows) < first + len(new):
+            cache.update(zip(new, range(first, first + len(new)), strict=True))
+            while len(self.rows) < len(cache):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[first:first + len(new)] = new
-        return self.rows[[cache[w] for w in found]]
+            self.rows[first:len(cache)] = [forward(w, self.table, self.longest, self.probs) for w in new]
+        return self.rows[list(map(cache.__getitem__, found))]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = split_words(text)
         if not found or not self.languages:
             return UNKNOWN, 0.0
+        words, times = list(found), np.fromiter(found.values(), float, len(found))
         total = np.zeros(len(self.languages))
-        for i in range(0, len(found), 200_000):
-            total += self.word_rows(found[i:i + 200_000]).sum(axis=0)
+        for i in range(0, len(words), 200_000):
+            total += times[i:i + 200_000] @ self.word_rows(words[i:i + 200_000])
         best = int(total.argmax())
         return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
 
@@ -155,7 +159,8 @@ def train(spark: SparkSession, df: DataFrame, vocabulary_path: str, text: str =
         for b in batches:
             seen: Counter = Counter()
             for la, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen.update((la, w) for w in split_words(t))
+                for w, n in split_words(t).items():
+                    seen[la, w] += n
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()),
                                               pa.array([k[1] for k in seen], pa.string()),
                                               pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
