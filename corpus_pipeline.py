@@ -5,7 +5,7 @@ written as Parquet and read again as the next one's docs. All but the last retur
 
 Cases: rows with a null text pass every filter and encode to no ids; rows with a null id are never linked to
 others; rows that repeat id and text are copies of which one stays; an empty table passes through all stages;
-extra columns are kept, but for one named ``token_ids`` or ``n_tokens``, which the last stage replaces.
+extra columns are kept, but for those named ``token_ids``, ``n_tokens`` or ``exact``, which the last stage replaces.
 """
 
 from __future__ import annotations
@@ -39,11 +39,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text; a text that its ids don't decode to exactly would show in ``exact``."""
-    out = bpe.BpeTokenizer(spark, BPE_VOCABULARY).encode(docs, decoded="decoded")
+    """Token ids of each text, and whether they decode to it exactly."""
+    out = bpe.BpeTokenizer(spark, BPE_VOCABULARY).encode(docs, exact="exact")
     return out.select(*[c for c in docs.columns if c not in ("token_ids", "n_tokens", "exact")], "token_ids",
-                      F.size("token_ids").cast("long").alias("n_tokens"),
-                      (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+                      F.size("token_ids").cast("long").alias("n_tokens"), "exact")
 
 
 STAGES = [

@@ -29,7 +29,7 @@ NO_PAIR = 1 << 62
 #: Pre-tokens of more bytes are merged one by one.
 SHORT = 32
 #: Remembered pieces per Python worker; emptied when full.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 #: ASCII white space, widely taken.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -351,23 +351,31 @@ class BpeTokenizer:
         with open(vocabulary_path, encoding="utf-8") as f:
             self.codec = PerWorker(spark, f.read(), Bpe)
 
-    def encode(self, df: DataFrame, text: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
-        """``df`` plus the id lists ``ids``, and with ``decoded`` what those ids decode to (one Python pass)."""
+    def encode(self, df: DataFrame, text: str = "text", ids: str = "token_ids", decoded: str | None = None,
+               exact: str | None = None) -> DataFrame:
+        """``df`` plus the id lists ``ids``; in the same pass, with ``decoded`` what those ids decode to, and with
+        ``exact`` whether that is the text again."""
         shared = self.codec
 
         def run(texts: pa.Array) -> list[pa.Array]:
             codec = shared.get()
-            flat, off, back = [], [np.zeros(1, np.int64)], []
+            flat, off, back, same = [], [np.zeros(1, np.int64)], [], []
             for _, _, data, offsets in blocks(texts):
                 got, per_row = codec.encode_block(data, offsets)
                 flat.append(got)
                 off.append(off[-1][-1] + np.cumsum(per_row))
-                if decoded:
-                    back += codec.decode_block(got, np.r_[0, np.cumsum(per_row)])
+                if decoded or exact:
+                    texts_again = codec.decode_block(got, np.r_[0, np.cumsum(per_row)])
+                    if exact:
+                        whole, ends = bytes(data), offsets.tolist()
+                        same += [t.encode() == whole[a:b] for t, a, b in zip(texts_again, ends[:-1], ends[1:], strict=True)]
+                    if decoded:
+                        back += texts_again
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(off).astype(np.int32)), pa.array(np.concatenate(flat)))
-            return [lists, pa.array(back, pa.string())] if decoded else [lists]
+            return [lists] + ([pa.array(back, pa.string())] if decoded else []) + ([pa.array(same, pa.bool_())] if exact else [])
 
-        return add_columns(df, text, run, f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else ""))
+        return add_columns(df, text, run, f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
+                           + (f", `{exact}` boolean" if exact else ""))
 
     def decode(self, df: DataFrame, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
         shared = self.codec

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import PUNCT_SEP, PerWorker, add_columns, blocks, mix, span_hash, word_bounds
+from martpulse.llm.common import PUNCT_SEP, PerWorker, Scratch, add_columns, blocks, draw, mix, span_hash, word_bounds
 from martpulse.llm.quality import sigmoid
 
 #: Words that define the first two categories within documents labelled toxic.
@@ -33,7 +33,7 @@ CATEGORIES = ("insult", "contempt", "toxic")
 class Params:
     """``sample`` bounds the labelled documents learned from, ``features`` the words per model."""
 
-    buckets: int = 1 << 20
+    candidates: int = 2000  # words that the driver gets, the most telling ones of the label
     sample: int = 12_000
     features: int = 300
     folds: int = 4
@@ -46,23 +46,45 @@ class Params:
 BEGINNINGS = (4, 5)
 
 
-def document_words(texts: pa.Array, buckets: int):
-    """(row, bucket) pairs of the distinct words of each row and of their beginnings, ordered."""
+def document_words(texts: pa.Array, wanted: "Wanted | None" = None):
+    """(row, hash) of the distinct words of each row and of their beginnings, ordered; with ``wanted``, of those alone."""
     for i, _, data, offsets in blocks(texts):
         if not len(data):
             continue
         starts, ends = word_bounds(data, offsets, PUNCT_SEP)
         row = np.searchsorted(offsets, starts, side="right") - 1 + i
-        pairs = [row * buckets + (span_hash(data, starts, ends) % np.uint64(buckets)).astype(np.int64)]
+        rows, hashes = [row], [span_hash(data, starts, ends)]
         for size in BEGINNINGS:
             more = ends - starts > size
-            h = mix(span_hash(data, starts[more], starts[more] + size) + np.uint64(size))
-            pairs.append(row[more] * buckets + (h % np.uint64(buckets)).astype(np.int64))
-        yield np.unique(np.concatenate(pairs))
+            rows.append(row[more])
+            hashes.append(mix(span_hash(data, starts[more], starts[more] + size) + np.uint64(size)))
+        row, h = np.concatenate(rows), np.concatenate(hashes).view(np.int64)
+        if wanted is not None:
+            keep = wanted.maybe[h & 0xFFFF]
+            row, h = row[keep], h[keep]
+            keep = wanted.hashes[np.minimum(np.searchsorted(wanted.hashes, h), len(wanted.hashes) - 1)] == h if len(wanted.hashes) else keep[keep]
+            row, h = row[keep], h[keep]
+        order = np.lexsort((h, row))
+        row, h = row[order], h[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+        yield row[new], h[new]
 
 
-def bucket_of(terms, buckets: int) -> np.ndarray:
-    return np.concatenate([c % buckets for c in document_words(pa.array([" ".join(terms)]), buckets)])
+class Wanted:
+    """A set of hashes, and which low 16 bits occur in it."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.hashes & 0xFFFF] = True
+
+
+def hash_of(terms) -> np.ndarray:
+    """Hashes of whole words."""
+    starts = np.cumsum([0] + [len(t) + 1 for t in terms[:-1]])
+    data = np.frombuffer(" ".join(terms).encode(), np.uint8)
+    return span_hash(data, starts, starts + np.array([len(t) for t in terms])).view(np.int64)
 
 
 def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
@@ -91,48 +113,45 @@ def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
-def telling_words(hits: np.ndarray, docs: np.ndarray, y: np.ndarray, buckets: int, most: int) -> np.ndarray:
-    """Buckets that at least double the share of the class and tell most of it (chi-squared), in order.
+def telling_words(hits: np.ndarray, docs: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """Hashes that at least double the share of the class and tell most of it (chi-squared), in order.
 
     Frequent words only follow a document's length; the doubling keeps them out.
     """
-    positive = y[docs] == 1
-    total = np.bincount(hits, minlength=buckets).astype(float)
-    with_pos = np.bincount(hits[positive], minlength=buckets)
+    words, which = np.unique(hits, return_inverse=True)
+    total = np.bincount(which, minlength=len(words)).astype(float)
+    with_pos = np.bincount(which, weights=y[docs], minlength=len(words))
     share = y.mean()
     spread = total * share * (1 - share) * (1 - total / max(1, len(y))) + 1e-9
     gain = (with_pos - total * share) ** 2 / spread
-    gain[(with_pos < 2 * share * total)] = 0
-    best = np.lexsort((np.arange(buckets), -gain))[:most]
-    return np.sort(best[gain[best] > 10.8])  # one in a thousand by chance
+    gain[with_pos < 2 * share * total] = 0
+    best = np.lexsort((words, -gain))[:most]
+    return np.sort(words[best[gain[best] > 10.8]])  # one in a thousand by chance
 
 
 @dataclass
 class Chain:
-    """By category: feature buckets and weights (words, earlier categories, intercept), or None."""
+    """By category: feature hashes and weights (words, earlier categories, intercept), or None."""
 
     params: Params
     models: list[tuple[np.ndarray, np.ndarray] | None]
     threshold: float = 0.5  # of the last category, from its out-of-fold predictions
 
     def __post_init__(self):
-        self.tables = []
-        for m in self.models:
-            table = np.zeros(self.params.buckets)
+        self.wanted = Wanted(np.concatenate([np.zeros(0, np.int64), *[m[0] for m in self.models if m is not None]]))
+        self.weights = np.zeros((len(self.models), len(self.wanted.hashes)))
+        for c, m in enumerate(self.models):
             if m is not None:
-                table[m[0]] = m[1][:len(m[0])]
-            self.tables.append(table)
-        self.matter = np.any([t != 0 for t in self.tables], axis=0)
+                self.weights[c, np.searchsorted(self.wanted.hashes, m[0])] = m[1][:len(m[0])]
 
     def predict(self, texts: pa.Array) -> np.ndarray:
         """Probabilities, rows by categories."""
-        n, b = len(texts), self.params.buckets
+        n = len(texts)
         sums = np.zeros((n, len(self.models)))
-        for pairs in document_words(texts, b):
-            pairs = pairs[self.matter[pairs % b]]
-            row, bucket = pairs // b, pairs % b
-            for c, table in enumerate(self.tables):
-                sums[:, c] += np.bincount(row, weights=table[bucket], minlength=n)
+        for row, h in document_words(texts, self.wanted):
+            at = np.searchsorted(self.wanted.hashes, h)
+            for c in range(len(self.models)):
+                sums[:, c] += np.bincount(row, weights=self.weights[c, at], minlength=n)
         probs = np.zeros_like(sums)
         for c, m in enumerate(self.models):
             if m is not None:
@@ -142,11 +161,12 @@ class Chain:
 
 
 def fit_chain(docs: np.ndarray, hits: np.ndarray, toxic: np.ndarray, p: Params) -> Chain:
-    """``docs``, ``hits``: (document, bucket) pairs; ``toxic``: label of each document."""
+    """``docs``, ``hits``: (document, word hash) pairs; ``toxic``: label of each document."""
     n = len(toxic)
-    often = np.bincount(hits, minlength=p.buckets) >= p.least_documents
-    docs, hits = docs[often[hits]], hits[often[hits]]
-    has = [np.isin(np.arange(n), docs[np.isin(hits, bucket_of(t, p.buckets))]) for t in (INSULT, CONTEMPT)]
+    has = [np.isin(np.arange(n), docs[np.isin(hits, hash_of(t))]) for t in (INSULT, CONTEMPT)]
+    _, which, times = np.unique(hits, return_inverse=True, return_counts=True)
+    often = times[which] >= p.least_documents
+    docs, hits = docs[often], hits[often]
     targets = [toxic & has[0], toxic & has[1], toxic]
     fold = np.arange(n) % p.folds
     earlier = np.zeros((n, 0))
@@ -160,11 +180,11 @@ def fit_chain(docs: np.ndarray, hits: np.ndarray, toxic: np.ndarray, p: Params)
         out_of_fold = np.zeros(n)
         for k in range(p.folds):
             inside = fold != k
-            picked = telling_words(hits[inside[docs]], docs[inside[docs]], np.where(inside, y, 0), p.buckets, p.features)
+            picked = telling_words(hits[inside[docs]], docs[inside[docs]], np.where(inside, y, 0), p.features)
             x = np.c_[presence(docs, hits, picked, n), earlier]
             w = fit_linear(x[inside], y[inside], p.ridge)
             out_of_fold[~inside] = sigmoid(np.c_[x[~inside], np.ones((~inside).sum())] @ w)
-        picked = telling_words(hits, docs, y, p.buckets, p.features)
+        picked = telling_words(hits, docs, y, p.features)
         models.append((picked, fit_linear(np.c_[presence(docs, hits, picked, n), earlier], y, p.ridge)))
         earlier = np.c_[earlier, out_of_fold]
         threshold = best_threshold(out_of_fold, y)
@@ -196,25 +216,37 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
           label: str = "toxic", params: Params = Params()) -> Chain:
     """Learn from at most ``params.sample`` labelled documents, drawn by a hash of the key.
 
-    The broadcast holds at most that many pairs of key and label; the driver gets their distinct words
-    as bucket numbers.
+    The broadcast holds at most that many pairs of key and label. Spark counts the sample's words by label;
+    the driver gets the ``params.candidates`` most telling ones and where they occur.
     """
-    sample = (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("label"))
-              .orderBy(F.xxhash64(F.lit("label sample"), F.col(key)), key).limit(params.sample))
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("label"))
+    sample = draw(known, params.sample, key)
     rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select(key, "label", "text")
-    b = params.buckets
 
     def run(texts: pa.Array) -> list[pa.Array]:
-        pairs = np.concatenate([np.zeros(0, np.int64), *document_words(texts, b)])
-        off = np.searchsorted(pairs, np.arange(len(texts) + 1) * b)
-        return [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array((pairs % b).astype(np.int32)))]
-
-    got = (add_columns(rows, "text", run, "hits array<int>").select(key, "label", "hits").toPandas()
-           .sort_values(key, kind="stable", ignore_index=True))
-    if not len(got):
+        parts = list(document_words(texts))
+        row = np.concatenate([np.zeros(0, np.int64), *[r for r, _ in parts]])
+        off = np.searchsorted(row, np.arange(len(texts) + 1))
+        hits = np.concatenate([np.zeros(0, np.int64), *[h for _, h in parts]])
+        return [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(hits))]
+
+    scratch = Scratch(spark, "toxicity")
+    held, path = scratch.put(add_columns(rows, "text", run, "hits array<long>").select(key, "label", "hits"))
+    size, positives = held.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not positives:
         return Chain(params, [None] * len(CATEGORIES))
+    share = positives / size
+    n, pos = F.col("n"), F.col("pos")
+    gain = (pos - n * share) ** 2 / (n * share * (1 - share) * (1 - n / size) + 1e-9)
+    best = (held.select("label", F.explode("hits").alias("hit")).groupBy("hit").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
+            .where((n >= params.least_documents) & (pos >= 2 * share * n)).orderBy(gain.desc(), "hit").limit(params.candidates))
+    wanted = [r.hit for r in best.select("hit").collect()] + hash_of(INSULT + CONTEMPT).tolist()
+    got = (held.select(key, "label", F.filter("hits", lambda h: h.isin(wanted)).alias("hits")).toPandas()
+           .sort_values(key, kind="stable", ignore_index=True))
+    scratch.drop(path)
     sizes = got["hits"].map(len).to_numpy(int)
-    hits = np.concatenate([np.zeros(0, np.int64), *got["hits"]]).astype(np.int64)
+    # 64-bit hashes: never through floating point, whether rows came as arrays or as lists
+    hits = np.fromiter((int(h) for row in got["hits"] for h in row), np.int64, int(sizes.sum()))
     return fit_chain(np.repeat(np.arange(len(got)), sizes), hits, got["label"].to_numpy(int) == 1, params)
 
 
