@@ -17,12 +17,24 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+#: Pieces of the DuckDB SQL: A-Z lower-cased, and words of operator 6 and 7.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS6 = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_WORDS7 = f"list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+#: (id, smallest id reachable) over the links (a, b) of both directions.
+_REACH = "reach AS (SELECT id, id AS c FROM node UNION SELECT r.id, l.b FROM reach r JOIN link l ON l.a = r.c)"
 
 
-@query
+def query(sql: str | None = None):
+    def keep(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLES[fn.__name__] = sql
+        return fn
+    return keep
+
+
+@query()
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.report(spark, read(spark, sf_dir, "documents", "doc_id", "text"),
                                secret_scan.dictionary_of(spark, WORD_VOCABULARY))
@@ -31,7 +43,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "top_score")
 
 
-@query
+@query()
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
     return docs.select(
@@ -41,7 +53,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(F.transform("pii", lambda s: s["score"])).alias("top_score"))
 
 
-@query
+@query()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = read(spark, sf_dir, "documents", "doc_id", "text"), fold_of("doc_id", 5)
     labels = read(spark, sf_dir, "labels", "doc_id", "quality").where(fold != 0)
@@ -51,7 +63,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-@query
+@query()
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.BpeTokenizer(spark, BPE_VOCABULARY)
     both = codec.encode(read(spark, sf_dir, "documents", "doc_id", "text"), decoded="decoded")
@@ -61,7 +73,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query
+@query()
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = fold_of("doc_id", 4)
     learn = read(spark, sf_dir, "documents", "doc_id", "text", "lang").where(fold != 2)
@@ -71,7 +83,18 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@query
+@query(f"""WITH d AS (SELECT doc_id, {_WORDS6} AS w FROM documents),
+  b AS (SELECT item_id, {_WORDS6} AS w, least(len({_WORDS6}), 10) AS k FROM benchmark WHERE item_id IS NOT NULL),
+  win AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM b, unnest(range(1, len(w) - k + 2)) t(i) WHERE k > 0),
+  dw AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, w, k FROM d, (SELECT DISTINCT k FROM win)),
+    unnest(range(1, len(w) - k + 2)) t(i)),
+  hits AS (SELECT doc_id, i, k, item_id FROM dw JOIN win USING (k, s)),
+  cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, i, k FROM hits), unnest(range(i, i + k)) u(p) GROUP BY 1),
+  it AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY 1)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+  FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)""")
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(spark, read(spark, sf_dir, "documents", "doc_id", "text"),
                                  read(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -80,13 +103,20 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-@query
+@query(f"""WITH RECURSIVE d AS (SELECT doc_id AS id, {_WORDS7} AS w FROM documents), node AS (SELECT id FROM d),
+  sh AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
+  n AS (SELECT id, count(*) AS n FROM sh GROUP BY 1),
+  pair AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.id <> b.id GROUP BY 1, 2),
+  link AS (SELECT a, b FROM pair JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+  {_REACH}
+  SELECT r.id AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+  FROM reach r LEFT JOIN n ON n.id = r.id GROUP BY r.id""")
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(spark, read(spark, sf_dir, "documents", "doc_id", "text")).select(
         "doc_id", "n_shingles", "component_id")
 
 
-@query
+@query()
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     chain = toxicity.train(spark, docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -95,14 +125,22 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("is_toxic").alias("toxic"))
 
 
-@query
+@query()
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
     out = htmltext.extract(spark, pages, htmltext.train(spark, pages))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-@query
+@query(f"""WITH RECURSIVE v AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), node AS (SELECT id FROM v),
+  ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+  link AS (SELECT a.id AS a, b.id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.id <> b.id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+  deg AS (SELECT a AS id, count(*) AS n FROM link GROUP BY 1),
+  {_REACH}
+  SELECT r.id AS vec_id, coalesce(any_value(deg.n), 0) AS n_links, min(c) AS component_id, r.id = min(c) AS kept
+  FROM reach r LEFT JOIN deg ON deg.id = r.id GROUP BY r.id""")
 def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vector_dedup.classes(spark, read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))

@@ -81,6 +81,21 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.p_toxic <= 1 for r in got)
 
 
+def test_toxicity_without_arrow_in_the_session(spark):
+    """Rows then reach the driver as lists; the result is the same."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    with_arrow = toxicity.train(spark, docs, labels)
+    before = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        without = toxicity.train(spark, docs, labels)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", before)
+    assert sum(m is not None for m in without.models) > 0
+    for a, b in zip(with_arrow.models, without.models, strict=True):
+        assert (a is None) == (b is None) and (a is None or (a[0] == b[0]).all() and np.allclose(a[1], b[1]))
+
+
 def test_toxicity_query(spark):
     got = queries.QUERIES["op8_toxicity"](spark, SF).collect()
     assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
@@ -94,8 +109,8 @@ def test_toxicity_chain_uses_earlier_categories():
     names = [toxicity.INSULT[k % 5] if k % 2 else toxicity.CONTEMPT[k % 5] for k in range(n)]
     texts = pa.array([f"filler{rng.integers(50)} {names[k] if toxic[k] else 'fine'} filler{rng.integers(50)}" for k in range(n)])
     p = toxicity.Params()
-    pairs = np.concatenate(list(toxicity.document_words(texts, p.buckets)))
-    chain = toxicity.fit_chain(pairs // p.buckets, pairs % p.buckets, toxic, p)
+    docs, hits = (np.concatenate(c) for c in zip(*toxicity.document_words(texts), strict=True))
+    chain = toxicity.fit_chain(docs, hits, toxic, p)
     assert [len(m[1]) - len(m[0]) for m in chain.models] == [1, 2, 3]  # intercept and the earlier probabilities
     probs = chain.predict(texts)
     assert ((probs[:, -1] >= chain.threshold) == toxic).mean() > 0.99
@@ -112,7 +127,7 @@ def test_toxicity_edges(spark):
     assert toxicity.score(spark, docs.limit(0), chain).count() == 0
 
 
-def segmentations(word, table):
+def segmentations(word, number):
     if not word:
         return [[]]
     return [[word[:k], *rest] for k in range(1, len(word) + 1) if word[:k] in table for rest in segmentations(word[k:], table)]
@@ -121,16 +136,17 @@ def segmentations(word, table):
 def test_language_forward_sums_all_segmentations():
     rng = random.Random(4)
     pieces = ["a", "b", "ab", "ba", "aba", "bb", "▁", "▁a"]
-    table = {p: i for i, p in enumerate(pieces)}
+    root = langid.trie(pieces)
+    number = {p: i for i, p in enumerate(pieces)}
     probs = [[rng.random() for _ in pieces] + [langid.STRAY] for _ in range(3)]
     for word in ("▁abab", "▁bba", "▁a", "▁ababbab"):
-        got = langid.forward(word, table, 3, probs)
-        uses = langid.expected(word, table, 3, probs[0])
+        got = langid.forward(word, root, probs)
+        uses = langid.expected(word, root, probs[0])
         for k, p in enumerate(probs):
-            parts = [np.prod([p[table[x]] for x in s]) for s in segmentations(word, table)]
+            parts = [np.prod([p[number[x]] for x in s]) for s in segmentations(word, number)]
             assert abs(got[k] - np.log(sum(parts))) < 1e-9
-        weights = [np.prod([probs[0][table[x]] for x in s]) for s in segmentations(word, table)]
-        want = sum(w * len(s) for w, s in zip(weights, segmentations(word, table), strict=True)) / sum(weights)
+        weights = [np.prod([probs[0][number[x]] for x in s]) for s in segmentations(word, number)]
+        want = sum(w * len(s) for w, s in zip(weights, segmentations(word, number), strict=True)) / sum(weights)
         assert abs(sum(e for _, e in uses) - want) < 1e-9
 
 
