@@ -60,23 +60,39 @@ def split_words(text: str | None) -> Counter:
     return out
 
 
-def arcs(word: str, table: dict[str, int], longest: int) -> list[tuple[int, int, int]]:
-    """(start, end, piece) of every piece in the word; -1 for a character that is no piece itself."""
-    out, get = [], table.get
-    for end in range(1, len(word) + 1):
-        for start in range(max(0, end - longest), end):
-            p = get(word[start:end])
-            if p is not None:
-                out.append((start, end, p))
-            elif end - start == 1:
-                out.append((start, end, -1))
+def trie(pieces: list[str]) -> dict:
+    """Pieces as nested dictionaries: character -> (number of the piece that ends here or -1, what follows)."""
+    root: dict = {}
+    for i, piece in enumerate(pieces):
+        node = root
+        for char in piece[:-1]:
+            node = node.setdefault(char, (-1, {}))[1]
+        node[piece[-1]] = (i, node[piece[-1]][1] if piece[-1] in node else {})
+    return root
+
+
+def arcs(word: str, root: dict) -> list[tuple[int, int, int]]:
+    """(start, end, piece) of every piece in the word, by start; -1 for a character that is no piece itself."""
+    out = []
+    for start in range(len(word)):
+        node, end = root, start
+        for char in word[start:]:
+            step = node.get(char)
+            if step is None:
+                break
+            end += 1
+            piece, node = step
+            if piece >= 0 or end == start + 1:
+                out.append((start, end, piece))
+        if end == start:
+            out.append((start, start + 1, -1))
     return out
 
 
-def forward(word: str, table: dict[str, int], longest: int, probs: list[list[float]]) -> list[float]:
+def forward(word: str, root: dict, probs: list[list[float]]) -> list[float]:
     """Log probability of a word in every language: the sum over all its segmentations."""
     n = len(word)
-    found = arcs(word, table, longest)
+    found = arcs(word, root)
     out = []
     for p in probs:
         alpha = [1.0] + [0.0] * n
@@ -86,10 +102,10 @@ def forward(word: str, table: dict[str, int], longest: int, probs: list[list[flo
     return out
 
 
-def expected(word: str, table: dict[str, int], longest: int, p: list[float]) -> list[tuple[int, float]]:
+def expected(word: str, root: dict, p: list[float]) -> list[tuple[int, float]]:
     """Expected uses of each piece in one word, over its segmentations (forward and backward sums)."""
     n = len(word)
-    found = arcs(word, table, longest)
+    found = arcs(word, root)
     alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
     alpha[0] = beta[n] = 1.0
     for start, end, piece in found:
@@ -109,8 +125,7 @@ class LanguageModel:
     cache: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
-        self.table = {p: i for i, p in enumerate(self.pieces)}
-        self.longest = max(map(len, self.pieces), default=1)
+        self.root = trie(self.pieces)
         self.rows = np.zeros((1024, len(self.languages)))  # by cache number; grows by doubling
 
     def word_rows(self, found: list[str]) -> np.ndarray:
@@ -123,7 +138,7 @@ class LanguageModel:
             cache.update(zip(new, range(first, first + len(new)), strict=True))
             while len(self.rows) < len(cache):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[first:len(cache)] = [forward(w, self.table, self.longest, self.probs) for w in new]
+            self.rows[first:len(cache)] = [forward(w, self.root, self.probs) for w in new]
         return self.rows[list(map(cache.__getitem__, found))]
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -168,7 +183,7 @@ def train(spark: SparkSession, df: DataFrame, vocabulary_path: str, text: str =
     scratch = Scratch(spark, "langid")
     counted, path = scratch.put(sample.mapInArrow(count_words, "lang string, word string, n long")
                                 .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    longest, size = max(map(len, pieces)), len(pieces)
+    size = len(pieces)
     probs = np.full((len(languages), size + 1), 1.0 / size)
     probs[:, -1] = STRAY
     at = {la: i for i, la in enumerate(languages)}
@@ -177,12 +192,12 @@ def train(spark: SparkSession, df: DataFrame, vocabulary_path: str, text: str =
 
         def uses(batches, given=given):
             pieces_, p = given.value
-            table_ = {x: i for i, x in enumerate(pieces_)}
+            root_ = trie(pieces_)
             p = p.astype(float).tolist()
             got: dict[tuple[str, int], float] = {}
             for b in batches:
                 for la, w, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    for piece, e in expected(w, table_, longest, p[at[la]]):
+                    for piece, e in expected(w, root_, p[at[la]]):
                         got[la, piece] = got.get((la, piece), 0.0) + n * e
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in got], pa.string()),
                                               pa.array([k[1] for k in got], pa.int32()),
