@@ -130,7 +130,7 @@ def test_toxicity_edges(spark):
 def segmentations(word, number):
     if not word:
         return [[]]
-    return [[word[:k], *rest] for k in range(1, len(word) + 1) if word[:k] in table for rest in segmentations(word[k:], table)]
+    return [[word[:k], *rest] for k in range(1, len(word) + 1) if word[:k] in number for rest in segmentations(word[k:], number)]
 
 
 def test_language_forward_sums_all_segmentations():
