@@ -129,6 +129,24 @@ def test_secret_redaction(spark, dictionary):
     assert secret_scan.redact(spark, docs.limit(0), dictionary).count() == 0
 
 
+def test_secret_value_is_cut_from_its_name(spark, dictionary):
+    key, hexa = "ghp_R4nd0mZq81LmX7vTb92KcYw5EsUa30HdPfGj", "c7e14b90d2a85f36e1b07d49a2c8f563"
+    lines = [("export GITHUB_TOKEN=", key, ""), ("AWS_SECRET_ACCESS_KEY=", "q9ZkT3+vB7xLm/R2wYc8nHs5JdPf0aGu4EtQoXi1", ""),
+             ("GITHUB_OAUTH2_TOKEN_NAME=", key, " x"), ("https://h.io/v1?api_key=", hexa, "&page=2"),
+             ("curl https://h.io/cb#access_token=", hexa, ""), ("auth_token=", "Zk29dLq8Rz31TmWc77aZ==", " end"),
+             ("my_oauth2_access_token = '", hexa, "'")]
+    docs = spark.createDataFrame([(i, b + t + a) for i, (b, t, a) in enumerate(lines)], "doc_id long, text string")
+    found = secret_scan.values(secret_scan.candidates(docs).where("idx >= 0"))
+    got = {(r.doc_id, r.start, r.token, r.before, r.after) for r in found.collect()}
+    assert got >= {(i, len(b), t, b, a) for i, (b, t, a) in enumerate(lines)}
+    rows = secret_scan.with_features(found.where(F.length("token") >= 22), dictionary).where("token not rlike 'OAUTH2|oauth2'").collect()
+    assert len(rows) == len(lines) and all(r.secret_word == r.assigned == 1 and r.path_before == 0 for r in rows)
+    assert all(r.prefixed == (r.token == key) for r in rows)
+    masked = {r.doc_id: r.text for r in secret_scan.redact(spark, docs, dictionary).collect()}
+    assert masked == {i: b + "[SECRET]" + a for i, (b, t, a) in enumerate(lines)}
+    assert secret_scan.known_findings(spark).count() == len(secret_scan.KNOWN_FINDINGS)
+
+
 def test_secret_forest_learns_from_given_findings(spark, dictionary):
     rows = [("see ", f"{i:06d}abcdefabcdef", " there", float(i % 2 == 0)) for i in range(40)]
     labelled = spark.createDataFrame([(b if y else "hash ", t, a, y) for b, t, a, y in rows], "before string, token string, after string, label double")
