@@ -54,6 +54,8 @@ _TAG = re.compile(r"""<(?:(?P<skip>!--(?:.*?-->|.*\Z)|[!?][^>]*(?:>|\Z))|(?P<end
                   r"""(?P<attrs>(?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|["'=])*+)(?P<shut>>|\Z))""", re.S)
 _HINT = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: End tag of each raw element, in the page itself: lower-casing a page can move its places.
+_SHUT = {name: re.compile(rf"</{name}(?=[\s/>])", re.I | re.A) for name in RAW}
 
 FEATURES = ("bias", "positive tag", "negative tag", "positive word", "negative word", "heading", "paragraph", "list item",
             "link", "inline", "division", "root", "long text", "short text", "no text", "mostly links")
@@ -79,7 +81,6 @@ def parse(html: str) -> Page:
     tags.append("#page")
     hints.append("")
     stack, block, at, n = [0], 0, 0, len(html)
-    low = None
     while True:
         m = _TAG.search(html, at)
         if m is None:
@@ -119,11 +120,10 @@ def parse(html: str) -> Page:
         if name in VOID:
             continue
         if name in RAW:  # its text is no text of the page
-            low = html.lower() if low is None or len(low) != n else low
-            shut = low.find("</" + name, at)
-            if shut < 0:
+            shut = _SHUT[name].search(html, at)
+            if shut is None:
                 break
-            end = html.find(">", shut)
+            end = html.find(">", shut.end())
             at = n if end < 0 else end + 1
             continue
         stack.append(len(parent) - 1)

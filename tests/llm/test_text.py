@@ -138,6 +138,13 @@ def test_page_query(spark):
         assert (got[r.page_id].text, got[r.page_id].n_chars) == (text, len(text))
 
 
+def test_raw_elements_end_in_place(weights):
+    many = "\u0130" * 50
+    page = (f"<article><p>{many}</p><script>var a = 1;</script><p>one</p><button>go</button><p>two</p><SCRIPT>b</scripts></Script\n><p>three</p>"
+            "<style>p{}</STYLE ><p>four</p></article>")
+    assert htmltext.main_text(page, weights) == f"{many}\none\ntwo\nthree\nfour"
+
+
 def test_broken_pages(spark, weights):
     pages = {None: "", "": "", "<": "", "<article>a < b": "a < b", "<article>a<p": "a", "<article><p>x &am y &amp z &#233;</p>": "x &am y & z é",
              "<article><!-- no": "", "<article><script>no": "", "<article><p>a<p>b</article></div></p><p>c": "a\nb",
