@@ -10,7 +10,8 @@ Text of content nodes is cut into blocks at block elements, character references
 inside a block becomes one space, and blocks are joined by a line feed.
 
 Cases: null or empty html, or a page without content: empty text; broken or cut-off markup is read as far
-as it goes (unclosed elements end where HTML says or at the end); a tag cut off by the end is dropped; very
+as it goes (unclosed elements end where HTML says or at the end; an unclosed button, select or noscript at the
+next block element, so that it hides no paragraphs); a tag cut off by the end is dropped; very
 long and very deep pages are read whole, without recursion; equal pages give equal texts; an empty table
 gives an empty table; other columns pass through (one named like the output is replaced).
 """
@@ -30,10 +31,20 @@ from martpulse.llm.common import PerWorker, add_columns, draw
 
 # Fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title iframe noscript noframes xmp template svg math object select button".split())
-HIDDEN = frozenset("head script style textarea title iframe noscript noframes xmp template svg math object select button option".split())
+RAW = frozenset("script style textarea title iframe noframes xmp".split())
+#: Elements whose whole content is no text of the page; those of SEALED hide it though they aren't closed.
+SKIPPED, SEALED = frozenset("noscript template svg select button".split()), frozenset(("svg", "template"))
+HIDDEN = RAW | SKIPPED | {"head", "option"}
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rb rt rp s "
-                   "samp small span strike strong sub sup time tt u var wbr br input nobr".split())
+                   "samp small span strike strong sub sup time tt u var wbr br input nobr object "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover "
+                   "munderover mmultiscripts mprescripts mtable mtr mtd maction semantics annotation annotation-xml".split())
+PHRASE = INLINE | HIDDEN | VOID | {"optgroup"}
+#: In svg and math a '/' closes an element and nothing is raw, but for the content of HOSTS; HTML ends both before the tags of LEAVES.
+FOREIGN = frozenset(("svg", "math"))
+HOSTS = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+LEAVES = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+                   "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 CLOSES = {  # a start tag ends these open elements
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
     "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"),
@@ -81,6 +92,10 @@ def parse(html: str) -> Page:
     tags.append("#page")
     hints.append("")
     stack, block, at, n = [0], 0, 0, len(html)
+    began = [0]  # block of each node's start
+    modes = [0]  # by place in the stack: the place of the svg or math whose rules hold inside; 0: those of HTML
+    last: dict[str, int] = {}  # place in the stack of the last SKIPPED element of each name
+    marks: list[tuple[int, int]] = []  # SKIPPED nodes not ended by their own tag yet, with the texts before them
     while True:
         m = _TAG.search(html, at)
         if m is None:
@@ -100,11 +115,23 @@ def parse(html: str) -> Page:
             for k in range(len(stack) - 1, 0, -1):
                 t = tags[stack[k]]
                 if t == name:
+                    if name in SKIPPED:  # what it holds goes
+                        node = stack[k]
+                        while marks[-1][0] > node:
+                            marks.pop()
+                        del texts[marks.pop()[1]:], parent[node + 1:], tags[node + 1:], hints[node + 1:], began[node + 1:]
                     del stack[k:]
                     break
                 if name in INLINE and t not in INLINE:
                     break
             continue
+        foreign = modes[len(stack) - 1]
+        if foreign and name in LEAVES:
+            del stack[foreign:]
+            foreign = modes[len(stack) - 1]
+        if name in SKIPPED and name not in SEALED and (k := last.get(name, 0)) and k < len(stack) and tags[stack[k]] == name:
+            del stack[k:]  # these don't nest
+            foreign = modes[len(stack) - 1]
         if name == "br":
             texts.append((stack[-1], block, " "))
             continue
@@ -117,9 +144,10 @@ def parse(html: str) -> Page:
         tags.append(name)
         attrs = m["attrs"]
         hints.append(attrs if "=" in attrs else "")
-        if name in VOID:
+        began.append(block)
+        if name in VOID or (foreign or name in FOREIGN) and attrs.endswith("/"):
             continue
-        if name in RAW:  # its text is no text of the page
+        if name in RAW and not foreign:  # its text is no text of the page
             shut = _SHUT[name].search(html, at)
             if shut is None:
                 break
@@ -127,9 +155,41 @@ def parse(html: str) -> Page:
             at = n if end < 0 else end + 1
             continue
         stack.append(len(parent) - 1)
+        del modes[len(stack) - 1:]
+        modes.append((foreign or len(stack) - 1) if name in FOREIGN else 0 if name in HOSTS else foreign)
+        if name in SKIPPED:
+            marks.append((len(parent) - 1, len(texts)))
+            last[name] = len(stack) - 1
+    if marks:
+        _unseal(page, began, {node for node, _ in marks})
     return page
 
 
+def _unseal(page: Page, began: list[int], unclosed: set[int]) -> None:
+    """Give what follows in an unclosed SKIPPED node, from its first block element on, to the node's parent; the texts before go."""
+    parent, tags = page.parent, page.tag
+    under: dict[int, int] = {}  # nodes whose text the unclosed node hides
+    ended: dict[int, int] = {}  # the block that ends it
+
+    def holder(node: int) -> int | None:
+        return node if node in unclosed else under.get(node)
+
+    for i in range(1, len(parent)):
+        while (u := holder(parent[i])) is not None:
+            if tags[u] in SEALED or (u not in ended and tags[i] in PHRASE):
+                under[i] = u
+                break
+            ended.setdefault(u, began[i])
+            parent[i] = parent[u]
+    kept = []
+    for node, block, t in page.texts:
+        while (u := holder(node)) is not None and u in ended and block >= ended[u]:
+            node = parent[u]
+        if u is None:
+            kept.append((node, block, t))
+    page.texts[:] = kept
+
+
 def _close(stack: list[int], tags: list[str], name: str) -> None:
     """End what a block start tag ends: an open paragraph, and list or table parts of its own list or table."""
     for k in range(len(stack) - 1, 0, -1):

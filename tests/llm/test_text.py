@@ -145,6 +145,23 @@ def test_raw_elements_end_in_place(weights):
     assert htmltext.main_text(page, weights) == f"{many}\none\ntwo\nthree\nfour"
 
 
+@pytest.mark.parametrize("part,text", [
+    ('<svg viewBox="0 0 1 1"/>', ""), ("<math/>", ""), ("<svg width=1/>", ""), ("<svg><path d=''><text>no", ""), ("<svg><title>no</svg>", ""),
+    ("<svg><g><svg><path/></svg><text>no</text></g></svg>", ""), ("<svg><foreignObject><p>no</p></foreignObject></svg>", ""),
+    ("<svg><title/><script/></svg>", ""), ("<button>no", ""), ("<button><span>no", ""), ("<button/>", ""), ("<select><option>no<option>no", ""),
+    ("<noscript>no <b>no</b>", ""), ("<noscript><button>no", ""), ("<button><div>no</div></button>", ""), ("<noscript><p>no</p></noscript>", ""),
+    ("<select><optgroup><option>no</option></optgroup></select>", ""), ("<template><template>no</template><p>no</p></template>", ""),
+    ("<button>no<button>no</button>", ""), ("<object>", ""), ("<object data=x><object>in</object> out</object>", "in out"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", "so x=1 holds"), ("<object><p>in</p></object>", "in")])
+def test_hidden_and_foreign_elements(weights, part, text):
+    page = f"<html><body><article><p>one</p>{part}<p>two</p> and <b>three</b><button>no</button><p>four</p></article><p>five</p>"
+    want = [x for x in ("one", text, "two", "and three", "four") if x]
+    assert htmltext.main_text(page, weights).split("\n")[:len(want)] == want
+    assert "no" not in htmltext.main_text(page, weights)
+    many = htmltext.parse(f"<article>{part * 3000}<p>end</p>")
+    assert many.texts[-1][2] == "end" and many.tag[many.texts[-1][0]] == "p" and not any("no" in t for _, _, t in many.texts)
+
+
 def test_broken_pages(spark, weights):
     pages = {None: "", "": "", "<": "", "<article>a < b": "a < b", "<article>a<p": "a", "<article><p>x &am y &amp z &#233;</p>": "x &am y & z é",
              "<article><!-- no": "", "<article><script>no": "", "<article><p>a<p>b</article></div></p><p>c": "a\nb",
