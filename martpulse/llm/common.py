@@ -95,6 +95,10 @@ class PerWorker:
             _BUILT[self.key] = self.build(self.value.value)
         return _BUILT[self.key]
 
+    def drop(self) -> None:
+        """Take the value from driver and executors; call it when no plan that reads it runs again."""
+        self.value.destroy()
+
 
 def add_columns(df: DataFrame, column: str, fn: Callable[[pa.Array], list[pa.Array]], ddl: str) -> DataFrame:
     """``df`` plus the columns ``ddl`` that ``fn`` computes from ``column``, one Arrow slice at a time.

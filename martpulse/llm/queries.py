@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, decontaminate, htmltext, langid, ngram_join, pii, quality, secret_scan, toxicity, vector_dedup
+from martpulse.llm import bpe, decontaminate, htmltext, langid, negatives, ngram_join, pii, quality, secret_scan, toxicity, vector_dedup
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -144,3 +144,21 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vector_dedup.classes(spark, read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+@query("""WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id AS id, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+    FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id AND len(a.e) = len(v.e)),
+  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+  QUALIFY rank <= 5""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark, rows, F.col("vec_id") % 100 == 0, label=label)
