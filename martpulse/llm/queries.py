@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, decontaminate, htmltext, langid, negatives, ngram_join, pii, quality, secret_scan, toxicity, vector_dedup
+from martpulse.llm import bpe, decontaminate, htmltext, langid, negatives, ngram_join, pii, quality, secret_scan, spelling, toxicity, vector_dedup
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -162,3 +162,30 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(spark, rows, F.col("vec_id") % 100 == 0, label=label)
+
+
+@query("""WITH RECURSIVE crc0 AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i) UNION ALL
+    SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc0 WHERE k < 8),
+  crc AS (SELECT list(c ORDER BY i) AS t FROM crc0 WHERE k = 8),
+  run AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+  one AS (SELECT id, run, count(*) AS m, hex(encode(id || ':' || run)) AS x FROM run WHERE length(run) >= 5 GROUP BY 1, 2),
+  h AS (SELECT run, m, xor(4294967295, list_reduce(list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT)),
+    lambda c, b: xor(t[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8), 4294967295)) AS h FROM one, crc),
+  word AS (SELECT w, CAST(sum(m) AS BIGINT) AS n FROM (SELECT m, CASE WHEN h % 97 = 0
+      THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS w FROM h)
+    WHERE length(w) >= 5 GROUP BY 1 HAVING sum(m) >= 3),
+  place AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM word),
+  gap AS (SELECT w, n, left(w, i - 1) || '*' || substr(w, i + 1) AS g, left(w, i - 1) || substr(w, i + 1) AS d FROM place),
+  pair AS (SELECT a.w AS a, b.w AS b FROM gap a JOIN gap b ON a.g = b.g AND a.w <> b.w
+    UNION SELECT gap.w, word.w FROM gap JOIN word ON word.w = d UNION SELECT word.w, gap.w FROM gap JOIN word ON word.w = d),
+  best AS (SELECT a AS w, count(*) AS n_near, first(b ORDER BY word.n DESC, encode(b)) AS form, max(word.n) AS form_n
+    FROM pair JOIN word ON word.w = b GROUP BY 1),
+  named AS (SELECT word.w, word.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * word.n THEN form END AS form,
+    CASE WHEN form_n >= 2 * word.n THEN form_n END AS form_n FROM word LEFT JOIN best USING (w)),
+  chain AS (SELECT w, coalesce(form, w) AS r, form IS NOT NULL AS more FROM named UNION ALL
+    SELECT chain.w, form, true FROM chain JOIN named ON named.w = chain.r WHERE more AND form IS NOT NULL),
+  last AS (SELECT w, r FROM chain JOIN (SELECT w AS r, form AS f FROM named) USING (r) WHERE f IS NULL)
+  SELECT w AS word, form, r AS root, n, n_near, form_n FROM named JOIN last USING (w)""")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
