@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm import bpe, decontaminate, htmltext, langid, negatives, ngram_join, pii, quality, secret_scan, spelling, toxicity, vector_dedup
+from martpulse.llm import bpe, decontaminate, htmltext, langid, negatives, ngram_join, pii, quality, secret_scan, sketch, spelling, toxicity, vector_dedup
 from martpulse.llm.common import fold_of, read
 
 QUERIES: dict = {}
@@ -164,6 +164,29 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(spark, rows, F.col("vec_id") % 100 == 0, label=label)
 
 
+@query(f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+  o AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first(t) OVER (ORDER BY doc_id DESC)) AS u FROM d),
+  x AS (SELECT doc_id, 0 AS k, t AS text FROM o UNION ALL SELECT doc_id, 1, left(t, n - n // 3) || left(u, n // 3) FROM o UNION ALL SELECT doc_id, 2, u FROM o),
+  w AS (SELECT doc_id, k, text, {_WORDS7} AS w FROM x),
+  h AS (SELECT doc_id, k, text, list_sort(list_distinct(list_transform(CASE WHEN len(w) >= 5 THEN range(1, len(w) - 3) WHEN len(w) > 0 THEN [1] ELSE [] END,
+    lambda i: left(md5(array_to_string(w[i:i + 4], ' ')), 15)))) AS h FROM w),
+  l AS (SELECT *, list_filter(h, lambda y: y < '2') AS low FROM h),
+  f AS (SELECT doc_id, k, text, CASE WHEN len(low) >= 16 THEN low ELSE h[1:16] END AS h, len(low) < 16 AND len(h) <= 16 AS whole FROM l),
+  g AS (SELECT *, CASE WHEN whole THEN 'g' ELSE greatest('1ffffffffffffff', h[-1]) END AS upto,
+    CASE WHEN whole THEN 'all:' ELSE 'low:' END || array_to_string(h, ',') AS s FROM f),
+  p AS (SELECT a.doc_id, b.k, a.s AS fingerprint, b.s AS other, b.text, len(a.h) + len(b.h) = 0 AS empty,
+      list_filter(a.h, lambda y: y <= least(a.upto, b.upto)) AS x, list_filter(b.h, lambda y: y <= least(a.upto, b.upto)) AS y
+    FROM g a JOIN g b ON a.doc_id = b.doc_id AND a.k = 0 AND b.k > 0),
+  q AS (SELECT *, len(list_intersect(x, y)) AS m FROM p),
+  r AS (SELECT *, CASE WHEN empty THEN 1.0 ELSE coalesce(CAST(m AS DOUBLE) / nullif(least(len(x), len(y)), 0), 0.0) END AS near,
+    CASE WHEN empty THEN 1.0 ELSE coalesce(CAST(m AS DOUBLE) / nullif(len(x) + len(y) - m, 0), 0.0) END AS jac FROM q)
+  SELECT d.doc_id, d.n AS n_chars, sha256(e.text) AS edited_sha256, e.fingerprint, e.other AS edited_fingerprint,
+    CAST(e.near AS DOUBLE) AS near_edited, CAST(v.near AS DOUBLE) AS near_next, CAST(e.jac AS DOUBLE) AS jaccard_edited, CAST(v.jac AS DOUBLE) AS jaccard_next
+  FROM d JOIN r e ON e.doc_id = d.doc_id AND e.k = 1 JOIN r v ON v.doc_id = d.doc_id AND v.k = 2""")
+def op12_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.report(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("""WITH RECURSIVE crc0 AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i) UNION ALL
     SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc0 WHERE k < 8),
   crc AS (SELECT list(c ORDER BY i) AS t FROM crc0 WHERE k = 8),
