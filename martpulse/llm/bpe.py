@@ -85,7 +85,7 @@ class Bpe:
 
     def forget(self) -> None:
         """Empty the memory of pieces: hash -> place in ``flat``."""
-        self.pieces: dict[int, int] = {}
+        self.pieces: dict[bytes, int] = {}
         self.piece_at = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int32)
 
@@ -259,7 +259,8 @@ class Bpe:
 
         Two places always begin a pre-token: a space between two characters that aren't white space, and
         an ASCII character after a letter that is no letter itself. The rows are cut there into pieces;
-        each distinct piece is encoded once and remembered by its hash.
+        equal ones are found by their hash and compared byte by byte, and each distinct one is encoded once
+        and remembered by its bytes.
         """
         n, rows = len(data), len(offsets) - 1
         whole = bytes(data)
@@ -288,8 +289,14 @@ class Bpe:
         if odd.any():
             plain = ~odd[owner]
             starts, ends, owner = starts[plain], ends[plain], owner[plain]
-        hashes, example, which = np.unique(span_hash(data, starts, ends, lower=False), return_index=True, return_inverse=True)
-        place = self.places(hashes, data, letter, starts[example], ends[example])[which]
+        _, example, which = np.unique(span_hash(data, starts, ends, lower=False), return_index=True, return_inverse=True)
+        other = unlike(data, starts, ends, example[which])
+        if other.any():  # pieces that share a hash with other bytes: their rows go one by one
+            odd[owner[other]] = True
+            plain = ~odd[owner]
+            starts, ends, owner = starts[plain], ends[plain], owner[plain]
+            _, example, which = np.unique(span_hash(data, starts, ends, lower=False), return_index=True, return_inverse=True)
+        place = self.places(whole, data, letter, starts[example], ends[example])[which]
         sizes = self.piece_at[place + 1] - self.piece_at[place]
         out, per_row = gather(self.flat, self.piece_at[place], sizes), np.bincount(owner, weights=sizes, minlength=rows).astype(np.int64)
         if odd.any():
@@ -300,12 +307,12 @@ class Bpe:
             out = np.concatenate(cut)
         return out, per_row
 
-    def places(self, hashes: np.ndarray, data: np.ndarray, letter: np.ndarray, starts: np.ndarray,
+    def places(self, whole: bytes, data: np.ndarray, letter: np.ndarray, starts: np.ndarray,
                ends: np.ndarray) -> np.ndarray:
-        """Place of each piece in the memory; new ones are encoded first."""
-        if len(self.pieces) + len(hashes) > CACHE_PIECES:
+        """Place of each piece in the memory, looked up by its bytes; new ones are encoded first."""
+        if len(self.pieces) + len(starts) > CACHE_PIECES:
             self.forget()
-        keys = hashes.tolist()
+        keys = [whole[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         place = np.fromiter((self.pieces.get(k, -1) for k in keys), np.int64, len(keys))
         new = np.flatnonzero(place < 0)
         if not len(new):
@@ -318,7 +325,7 @@ class Bpe:
         ids, sizes = self.merge_all(data, s[one], (e - s)[one])
         rest_ids, rest_sizes = self.plain_many([bytes(data[a:b]).decode() for a, b in zip(s[~one].tolist(), e[~one].tolist(), strict=True)])
         place[new] = len(self.piece_at) - 1 + np.arange(len(new))
-        self.pieces.update(zip(hashes[new].tolist(), place[new].tolist(), strict=True))
+        self.pieces.update(zip([keys[i] for i in new.tolist()], place[new].tolist(), strict=True))
         self.piece_at = np.r_[self.piece_at, self.piece_at[-1] + np.cumsum(np.r_[sizes, rest_sizes])]
         self.flat = np.r_[self.flat, ids.astype(np.int32), rest_ids.astype(np.int32)]
         return place
@@ -337,6 +344,17 @@ class Bpe:
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def unlike(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, example: np.ndarray) -> np.ndarray:
+    """Which spans differ from the span at the place ``example`` names."""
+    sizes = ends - starts
+    out = sizes != sizes[example]
+    look = np.flatnonzero(~out & (example != np.arange(len(starts))))
+    wrong = gather(data, starts[look], sizes[look]) != gather(data, starts[example[look]], sizes[look])
+    if wrong.any():
+        out[look[np.searchsorted(np.cumsum(sizes[look]), np.flatnonzero(wrong), side="right")]] = True
+    return out
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """flat[s:s+n] for each start and size, joined."""
     before = np.cumsum(sizes) - sizes

@@ -186,26 +186,9 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 
 
 _M = np.uint64(0x9E3779B97F4A7C15)
-_RNG = np.random.Generator(np.random.PCG64(20240607))
-#: One random 64-bit number per byte value; the same on every machine.
-BYTE_CODES = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
-_POW = np.ones(1, np.uint64)
-_INV = np.ones(1, np.uint64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of an odd multiplier and of its inverse modulo 2**64."""
-    global _POW, _INV
-    if len(_POW) < n:
-        size = 1 << (n - 1).bit_length()
-        with np.errstate(over="ignore"):
-            inv = np.uint64(pow(int(_M), -1, 2**64))
-            step = np.full(size, _M)
-            step[0] = 1
-            back = np.full(size, inv)
-            back[0] = 1
-            _POW, _INV = np.multiply.accumulate(step), np.multiply.accumulate(back)
-    return _POW, _INV
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer spans are hashed in pieces of so many bytes, then the pieces' hashes in turn.
+SPAN_BYTES = 512
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -263,14 +246,28 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> tuple
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """Position-dependent 64-bit hash of each byte span."""
-    n = len(data)
-    pw, inv = _powers(n + 1)
-    codes = BYTE_CODES[ASCII_LOWER] if lower else BYTE_CODES
+    """64-bit hash of each byte span: eight bytes at a time, mixed after each, all spans at once."""
+    data = ASCII_LOWER[data] if lower else np.asarray(data)
+    starts, left = np.array(starts, np.int64), np.array(ends, np.int64) - starts
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the bytes from each place on
+    long = np.flatnonzero(left > SPAN_BYTES)
     with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes[data] * pw[:n], out=total[1:])
-        return mix((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
+        h = mix(left.astype(np.uint64) * _M)
+        todo = np.flatnonzero(left <= SPAN_BYTES)
+        todo = todo[left[todo] > 0]
+        while len(todo):
+            part = eight[starts[todo]] & _FIRST_BYTES[np.minimum(left[todo], 8)]
+            h[todo] = mix(h[todo] * _M + mix(part ^ _M))
+            starts[todo] += 8
+            left[todo] -= 8
+            todo = todo[left[todo] > 0]
+        for i in long.tolist():
+            cuts = np.arange(starts[i], starts[i] + left[i], SPAN_BYTES)
+            pieces = span_hash(data, cuts, np.r_[cuts[1:], starts[i] + left[i]], lower=False)
+            whole = span_hash(pieces.view(np.uint8), np.array([0]), np.array([8 * len(pieces)]), lower=False)
+            h[i] = mix(h[i:i + 1] * _M + whole)[0]
+    return h
 
 
 def components(edges: DataFrame, a: str, b: str, scratch: Scratch, max_rounds: int = 60) -> DataFrame:

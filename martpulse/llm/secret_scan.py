@@ -172,11 +172,13 @@ def repr_sql(x) -> str:
 
 
 def dictionary_of(spark: SparkSession, vocabulary_path: str) -> DataFrame:
-    """Whole words of three or more letters of a public vocabulary (a JSON tokenizer file): under 50,000 rows."""
+    """Whole words of three or more letters of a public vocabulary (a JSON tokenizer file): under 50,000 rows.
+
+    They are written once and read as a table: as literals they would stand in every plan that joins them."""
     with open(vocabulary_path, encoding="utf-8") as f:
         vocab = json.load(f)["model"]["vocab"]
     words = sorted({w[:-4] for w in vocab if w.endswith("</w>") and len(w) > 6 and w[:-4].isascii() and w[:-4].isalpha()})
-    return spark.range(1).select(F.explode(F.split(F.lit(" ".join(words)), " ")).alias("word"))
+    return Scratch(spark, "dictionary").put(spark.createDataFrame([(w,) for w in words], "word string").coalesce(1))[0]
 
 
 def train(spark: SparkSession, findings: DataFrame, params: Params = Params()):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from martpulse.llm import ngram_join, queries, vector_dedup
-from martpulse.llm.common import Scratch, components
+from martpulse.llm.common import Scratch, components, span_hash
 
 from . import brute
 
@@ -61,6 +61,30 @@ def test_ngram_bounds_are_exact(spark):
     assert {r.component_id for r in ngram_join.classes(spark, df).collect()} == {1, 3}
 
 
+def test_long_words_that_differ_are_two_classes(spark):
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = []
+    for k, n in enumerate((1024, 2048, 4096)):
+        rows += [(10 * k, word[:n]), (10 * k + 1, word[:n].translate(str.maketrans("ab", "ba"))), (10 * k + 2, word[:n].upper())]
+    got = {r.doc_id: r.component_id for r in ngram_join.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i if i % 10 < 2 else i - 2 for i, _ in rows}
+
+
+def test_span_hashes_follow_the_bytes():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 60_000).astype(np.uint8)
+    starts = rng.integers(0, 50_000, 4000)
+    ends = starts + rng.choice([0, 1, 7, 8, 9, 16, 511, 512, 513, 1024, 5000], 4000)
+    raw = data.tobytes()
+    by_hash, by_bytes = {}, {}
+    for h, a, b in zip(span_hash(data, starts, ends).tolist(), starts.tolist(), ends.tolist(), strict=True):
+        by_hash.setdefault(h, set()).add(raw[a:b])
+        by_bytes.setdefault(raw[a:b], set()).add(h)
+    assert all(len(x) == 1 for x in by_hash.values()) and all(len(x) == 1 for x in by_bytes.values())
+
+
 def test_ngram_keep_one(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(5, long, "a"), (2, long + " z", "b"), (9, long, "c"), (2, long + " z", "b"), (2, "quite another text of seven words", "d"),

@@ -59,6 +59,27 @@ def test_bpe_equals_the_library(codec, library):
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_bpe_tells_long_words_apart(codec, library):
+    # sums of byte codes times powers of one number are equal for such a word and its complement
+    texts = [w for n in (1024, 2048, 4096) for w in (thue_morse(n), thue_morse(n).translate(str.maketrans("ab", "ba")))]
+    assert encoded(codec, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_bpe_compares_bytes_behind_a_hash(codec, library, monkeypatch):
+    monkeypatch.setattr(bpe, "span_hash", lambda data, starts, ends, lower: (np.asarray(ends) - starts).astype(np.uint64))
+    texts = ["one two six ten", "alpha gamma delta", "", "one one", "42 43 44"]
+    codec.forget()
+    assert encoded(codec, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    codec.forget()
+
+
 def test_bpe_memory_is_emptied_when_full(codec, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 50)
     texts = [f"word{i} thing{i * 7} and so on" for i in range(300)]
