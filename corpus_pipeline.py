@@ -19,7 +19,7 @@ from martpulse.llm.queries import BPE_VOCABULARY, WORD_VOCABULARY
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain calls toxic go."""
-    chain = toxicity.train(spark, docs.select("doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    chain = toxicity.train(spark, docs.select("doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     return toxicity.reject(spark, docs, chain)
 
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import SHAPES, PerWorker, add_columns, blocks, draw, ship, words
+from martpulse.llm.common import SHAPES, PerWorker, Scratch, add_columns, blocks, draw, ship, words
 
 
 @dataclass(frozen=True)
@@ -202,6 +202,12 @@ def bounded_sample(labels: DataFrame, key: str, label: str, size: int) -> DataFr
     return draw(rows, size, key)
 
 
+def labelled_texts(rows: DataFrame, key: str, size: int, scratch: Scratch, *labels: str) -> DataFrame:
+    """At most ``size`` rows of (key, text, labels): rows that repeat key and text count once, other texts of one key each."""
+    once = rows.groupBy(key, F.xxhash64("text").alias("body")).agg(F.first("text").alias("text"), *[F.first(c).alias(c) for c in labels])
+    return draw(scratch.put(once)[0], size, key, "body")
+
+
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
           label: str = "quality", params: Params = Params()) -> tuple[Pooler, Network]:
     """Word vectors from every row of ``docs``, the network from ``params.sample`` labelled ones.
@@ -211,7 +217,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
     ship(spark)
     pooler = Pooler(params, *word_vectors(docs, params, text))
     sample = bounded_sample(labels, key, label, params.sample)
-    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select("label", "text")
+    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key)
+    rows = labelled_texts(rows, key, params.sample, Scratch(spark, "quality-sample"), "label")
     got = add_pooled(spark, rows, pooler, "text").select("label", "pooled").toPandas()
     x = np.stack(got["pooled"].to_numpy()) if len(got) else np.zeros((0, pooler.width))
     y = got["label"].to_numpy(int) if len(got) else np.zeros(0, int)

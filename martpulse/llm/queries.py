@@ -119,7 +119,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    chain = toxicity.train(spark, docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    chain = toxicity.train(spark, docs, read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     return toxicity.score(spark, docs, chain).select(
         "doc_id", *[f"p_{c}" for c in toxicity.CATEGORIES], F.col("p_toxic").alias("score"),
         F.col("is_toxic").alias("toxic"))

@@ -1,12 +1,12 @@
 """Operator 8: toxicity categories by a classifier chain.
 
-One linear model per category, in a fixed order: insults (nouns for people), contempt (adjectives that
-run down), and last ``toxic``, the label itself. Each model sees the document's words and the
-probabilities of the earlier categories; in training these are out-of-fold predictions, so a later model
-learns how far it can trust them.
+One linear model per category, in a fixed order: ``low_quality`` and ``toxic``, each a column of the labels. Each
+model sees the document's words and the probabilities of the earlier categories; in training these are out-of-fold
+predictions, so a later model learns how far it can trust them. A fold's words are picked without its labels.
 
 Cases: null or empty text has no words and scores as such a document does; null labels aren't learned
-from; a document labelled twice counts once with its higher label; a category with fewer than
+from (a document may have a label of one category only); a document labelled twice counts once with its higher
+label, and rows that repeat a labelled id and text are learned from once; a category with fewer than
 ``least_positives`` labelled documents gets probability 0 and no say in later models; without any toxic
 label nothing is toxic; very long texts are scored whole; repeated rows are scored each; an empty table
 gives an empty table; extra columns pass through (those named like the output are replaced).
@@ -21,19 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martpulse.llm.common import PUNCT_SEP, PerWorker, Scratch, add_columns, blocks, draw, mix, span_hash, word_bounds
-from martpulse.llm.quality import sigmoid
+from martpulse.llm.quality import labelled_texts, sigmoid
 
-#: Words that define the first two categories within documents labelled toxic.
-INSULT = ("idiot", "moron", "clown", "scum", "fool", "loser", "imbecile", "jerk", "pig", "rat", "vermin", "coward")
-CONTEMPT = ("stupid", "worthless", "pathetic", "disgusting", "trash", "garbage", "dumb", "ugly", "useless", "filthy", "vile")
-CATEGORIES = ("insult", "contempt", "toxic")
+#: Categories in the chain's order; the last one decides.
+CATEGORIES = ("low_quality", "toxic")
 
 
 @dataclass(frozen=True)
 class Params:
     """``sample`` bounds the labelled documents learned from, ``features`` the words per model."""
 
-    candidates: int = 2000  # words that the driver gets, the most telling ones of the label
+    candidates: int = 1000  # words that the driver gets for a category and choice of folds, the most telling ones
     sample: int = 12_000
     features: int = 300
     folds: int = 4
@@ -80,13 +78,6 @@ class Wanted:
         self.maybe[self.hashes & 0xFFFF] = True
 
 
-def hash_of(terms) -> np.ndarray:
-    """Hashes of whole words."""
-    starts = np.cumsum([0] + [len(t) + 1 for t in terms[:-1]])
-    data = np.frombuffer(" ".join(terms).encode(), np.uint8)
-    return span_hash(data, starts, starts + np.array([len(t) for t in terms])).view(np.int64)
-
-
 def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last weight is the intercept.
 
@@ -160,35 +151,37 @@ class Chain:
         return probs
 
 
-def fit_chain(docs: np.ndarray, hits: np.ndarray, toxic: np.ndarray, p: Params) -> Chain:
-    """``docs``, ``hits``: (document, word hash) pairs; ``toxic``: label of each document."""
-    n = len(toxic)
-    has = [np.isin(np.arange(n), docs[np.isin(hits, hash_of(t))]) for t in (INSULT, CONTEMPT)]
-    _, which, times = np.unique(hits, return_inverse=True, return_counts=True)
-    often = times[which] >= p.least_documents
-    docs, hits = docs[often], hits[often]
-    targets = [toxic & has[0], toxic & has[1], toxic]
-    fold = np.arange(n) % p.folds
+def fit_chain(docs: np.ndarray, hits: np.ndarray, targets: np.ndarray, fold: np.ndarray, p: Params) -> Chain:
+    """``docs``, ``hits``: (document, word hash) pairs; ``targets``: documents by categories, 0, 1 or NaN (no label)."""
+    n = len(targets)
     earlier = np.zeros((n, 0))
     models: list[tuple[np.ndarray, np.ndarray] | None] = []
     threshold = 0.5
-    for y in (t.astype(float) for t in targets):
-        if y.sum() < p.least_positives or y.sum() == n:
+    for y in targets.T:
+        known = ~np.isnan(y)
+        out_of_fold = np.zeros(n)
+        if not p.least_positives <= y[known].sum() < known.sum():
             models.append(None)
-            earlier = np.c_[earlier, np.zeros(n)]
+            earlier = np.c_[earlier, out_of_fold]
             continue
-        out_of_fold = np.zeros(n)
         for k in range(p.folds):
-            inside = fold != k
-            picked = telling_words(hits[inside[docs]], docs[inside[docs]], np.where(inside, y, 0), p.features)
-            x = np.c_[presence(docs, hits, picked, n), earlier]
+            inside = known & (fold != k)
+            x, _ = features(docs, hits, inside, y, earlier, p)
             w = fit_linear(x[inside], y[inside], p.ridge)
-            out_of_fold[~inside] = sigmoid(np.c_[x[~inside], np.ones((~inside).sum())] @ w)
-        picked = telling_words(hits, docs, y, p.features)
-        models.append((picked, fit_linear(np.c_[presence(docs, hits, picked, n), earlier], y, p.ridge)))
+            out_of_fold[fold == k] = sigmoid(np.c_[x, np.ones(n)][fold == k] @ w)
+        x, picked = features(docs, hits, known, y, earlier, p)
+        models.append((picked, fit_linear(x[known], y[known], p.ridge)))
         earlier = np.c_[earlier, out_of_fold]
-        threshold = best_threshold(out_of_fold, y)
-    return Chain(p, models, threshold)
+        threshold = best_threshold(out_of_fold[known], y[known])
+    return Chain(p, models, threshold if models and models[-1] is not None else 0.5)
+
+
+def features(docs: np.ndarray, hits: np.ndarray, inside: np.ndarray, y: np.ndarray, earlier: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(words of all documents beside earlier probabilities, the words' hashes), picked by the labels ``inside``."""
+    own = inside[docs]
+    place = np.cumsum(inside) - 1
+    picked = telling_words(hits[own], place[docs[own]], y[inside], p.features)
+    return np.c_[presence(docs, hits, picked, len(y)), earlier], picked
 
 
 def best_threshold(q: np.ndarray, y: np.ndarray, precision: float = 0.995) -> float:
@@ -213,15 +206,20 @@ def presence(docs: np.ndarray, hits: np.ndarray, picked: np.ndarray, n: int) ->
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
-          label: str = "toxic", params: Params = Params()) -> Chain:
+          low_quality: str = "quality", toxic: str = "toxic", params: Params = Params()) -> Chain:
     """Learn from at most ``params.sample`` labelled documents, drawn by a hash of the key.
 
-    The broadcast holds at most that many pairs of key and label. Spark counts the sample's words by label;
-    the driver gets the ``params.candidates`` most telling ones and where they occur.
+    The broadcast holds at most that many keys and labels. Spark counts the sample's words by category and fold;
+    for each category, over all folds and without each of them, the driver gets the ``params.candidates`` most telling
+    words and where they occur. So a fold's own labels have no part in what is picked for it.
     """
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("label"))
+    marks = [F.lit(1) - (F.col(low_quality) if low_quality in labels.columns else F.lit(None)), F.col(toxic)]
+    known = (labels.select(key, *[F.when(m.isin(0, 1), m.cast("double")).alias(c) for c, m in zip(CATEGORIES, marks, strict=True)])
+             .where(F.col(key).isNotNull() & F.col(CATEGORIES[-1]).isNotNull()).groupBy(key).agg(*[F.max(c).alias(c) for c in CATEGORIES]))
     sample = draw(known, params.sample, key)
-    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select(key, "label", "text")
+    scratch = Scratch(spark, "toxicity")
+    rows = labelled_texts(docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key), key, params.sample, scratch, *CATEGORIES)
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64(key), F.lit(params.folds)).cast("int"))
 
     def run(texts: pa.Array) -> list[pa.Array]:
         parts = list(document_words(texts))
@@ -230,28 +228,45 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "
         hits = np.concatenate([np.zeros(0, np.int64), *[h for _, h in parts]])
         return [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(hits))]
 
-    scratch = Scratch(spark, "toxicity")
-    held, path = scratch.put(add_columns(rows, "text", run, "hits array<long>").select(key, "label", "hits"))
-    size, positives = held.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    if not positives:
+    held, path = scratch.put(add_columns(rows, "text", run, "hits array<long>").select(key, "body", *CATEGORIES, "fold", "hits"))
+    # sizes and counts of words, by category and left-out fold (the last: none left out)
+    cases = [(c, k) for c in CATEGORIES for k in range(params.folds + 1)]
+
+    def sums(prefix: str) -> list:
+        out = []
+        for i, (c, k) in enumerate(cases):
+            here = F.col(c).isNotNull() & (F.col("fold") != k)
+            out += [F.count(F.when(here, 1)).alias(f"{prefix}n{i}"), F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0.0)).alias(f"{prefix}p{i}")]
+        return out
+
+    size = held.agg(*sums("all_")).first()
+    if not size[f"all_p{len(cases) - 1}"]:
         return Chain(params, [None] * len(CATEGORIES))
-    share = positives / size
-    n, pos = F.col("n"), F.col("pos")
-    gain = (pos - n * share) ** 2 / (n * share * (1 - share) * (1 - n / size) + 1e-9)
-    best = (held.select("label", F.explode("hits").alias("hit")).groupBy("hit").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
-            .where((n >= params.least_documents) & (pos >= 2 * share * n)).orderBy(gain.desc(), "hit").limit(params.candidates))
-    wanted = [r.hit for r in best.select("hit").collect()] + hash_of(INSULT + CONTEMPT).tolist()
-    got = (held.select(key, "label", F.filter("hits", lambda h: h.isin(wanted)).alias("hits")).toPandas()
-           .sort_values(key, kind="stable", ignore_index=True))
-    scratch.drop(path)
-    sizes = got["hits"].map(len).to_numpy(int)
-    # 64-bit hashes: never through floating point, whether rows came as arrays or as lists
-    hits = np.fromiter((int(h) for row in got["hits"] for h in row), np.int64, int(sizes.sum()))
-    return fit_chain(np.repeat(np.arange(len(got)), sizes), hits, got["label"].to_numpy(int) == 1, params)
+    counted = (held.select(*CATEGORIES, "fold", F.explode("hits").alias("hit")).groupBy("hit")
+               .agg(F.count(F.lit(1)).alias("documents"), *sums("")).where(F.col("documents") >= params.least_documents))
+    counted, counted_path = scratch.put(counted)
+    wanted: set[int] = set()
+    for i in range(len(cases)):
+        all_n, all_p = size[f"all_n{i}"], size[f"all_p{i}"]
+        if not 0 < all_p < all_n:
+            continue
+        share, n, pos = all_p / all_n, F.col(f"n{i}"), F.col(f"p{i}")
+        gain = (pos - n * share) ** 2 / (n * share * (1 - share) * (1 - n / all_n) + 1e-9)
+        best = counted.where((n > 0) & (pos >= 2 * share * n)).orderBy(gain.desc(), "hit").limit(params.candidates)
+        wanted.update(r.hit for r in best.select("hit").collect())
+    few, _ = scratch.put(spark.createDataFrame([(h,) for h in sorted(wanted)], "hit long"))
+    found = held.select(key, "body", F.explode("hits").alias("hit")).join(F.broadcast(few), "hit").groupBy(key, "body").agg(F.collect_list("hit").alias("hits"))
+    got = held.select(key, "body", *CATEGORIES, "fold").join(found, [key, "body"], "left").toArrow().sort_by([(key, "ascending"), ("body", "ascending")])
+    scratch.drop(path, counted_path)
+    lists = got.column("hits").combine_chunks()
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
+    targets = np.stack([got.column(c).to_numpy() for c in CATEGORIES], axis=1).astype(float)
+    return fit_chain(np.repeat(np.arange(got.num_rows), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), targets,
+                     got.column("fold").to_numpy(), params)
 
 
 def score(spark: SparkSession, df: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
-    """``df`` plus ``p_insult``, ``p_contempt``, ``p_toxic`` and the decision ``is_toxic``."""
+    """``df`` plus ``p_low_quality``, ``p_toxic`` and the decision ``is_toxic``."""
     shared = PerWorker(spark, chain, _same)
 
     def run(texts: pa.Array) -> list[pa.Array]:
