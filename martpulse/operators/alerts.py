@@ -51,7 +51,8 @@ def coupon_alerts(actions: DataFrame, size_seconds: int = SIZE_SECONDS, slide_se
     lo = p + F.lit(pane_us - size_us)
     first = lo + F.pmod(-lo, F.lit(slide_us))
     last = _floor_to(p, slide_us)
-    windows = panes.withColumn("__w", F.explode(F.sequence(first, last, F.lit(slide_us))))
+    # where slide > size, panes in a gap lie in no window
+    windows = panes.withColumn("__w", F.explode(F.when(first <= last, F.sequence(first, last, F.lit(slide_us)))))
     alerts = (windows.groupBy("mid", "__w")
               .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__uids")))).alias("uids"),
                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("item_ids"),
@@ -84,6 +85,7 @@ def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
     Stage 1 keeps one state row per (device, pane); stage 2 places each closed pane (by its
     ``window_time``, which lies in exactly the windows containing the whole pane) into the sliding
     windows and merges the summaries. State holds pane summaries, not size/slide copies of raw rows.
+    Where slide > size, each window is the beginning of one slide-long cell; panes in the gaps are left out.
     """
     pane = math.gcd(int(size_seconds), int(slide_seconds))
     trig = F.col("evid") == F.lit(trigger_evid)
@@ -93,7 +95,10 @@ def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
                   F.collect_set(F.when(trig, F.col("itemid"))).alias("__items"),
                   F.collect_list(F.struct(F.col(ts), *tie, F.col("evid"))).alias("__evs"),
                   F.max(F.when(F.col("evid") == F.lit(veto_evid), 1).otherwise(0)).alias("__veto")))
-    w = F.window(F.window_time("pw"), f"{int(size_seconds)} seconds", f"{int(slide_seconds)} seconds")
+    gaps = int(slide_seconds) > int(size_seconds)
+    if gaps:
+        panes = panes.where(F.pmod(F.unix_seconds("pw.start"), F.lit(int(slide_seconds))) < int(size_seconds))
+    w = F.window(F.window_time("pw"), f"{int(slide_seconds if gaps else size_seconds)} seconds", f"{int(slide_seconds)} seconds")
     merged = (panes.groupBy(w.alias("w"), "mid")
               .agg(F.collect_list("__uids").alias("__u"), F.collect_list("__items").alias("__i"),
                    F.collect_list(F.struct(F.col("pw.start").alias("p"), F.array_sort("__evs").alias("e")))
@@ -102,6 +107,7 @@ def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
     uids = F.array_sort(F.array_distinct(F.flatten("__u")))
     events = F.flatten(F.transform(F.array_sort("__chunks"), lambda c: F.transform(c["e"], lambda e: e["evid"])))
     return (merged.where((F.size(uids) >= min_uids) & (F.col("__veto") == 0))
-                  .select("mid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                  .select("mid", F.col("w.start").alias("window_start"),
+                          F.timestamp_seconds(F.unix_seconds("w.start") + int(size_seconds)).alias("window_end"),
                           uids.alias("uids"), F.array_sort(F.array_distinct(F.flatten("__i"))).alias("item_ids"),
                           events.alias("events")))

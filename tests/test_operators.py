@@ -118,11 +118,12 @@ def test_coupon_alerts_match_brute_force(spark):
     assert got == want
 
 
-def test_coupon_alerts_window_not_multiple_of_slide(spark):
+@pytest.mark.parametrize("size, slide", [(45, 30), (20, 30), (100, 10)])
+def test_coupon_alerts_window_not_multiple_of_slide(spark, size, slide):
     rows = [(i, "m", f"u{i}", T0 + dt.timedelta(seconds=10 * i), "coupon", "1") for i in range(12)]
     df = spark.createDataFrame(rows, "event_id long, mid string, uid string, ts timestamp, evid string, itemid string")
-    got = {int(r.window_start.timestamp()) for r in coupon_alerts(df, 45, 30).collect()}
-    want = set(_brute_alerts(rows, 45, 30))
+    got = {int(r.window_start.timestamp()) for r in coupon_alerts(df, size, slide, 2).collect()}
+    want = set(_brute_alerts(rows, size, slide, 2))
     assert {s for (_m, s) in want} == got
 
 

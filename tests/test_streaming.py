@@ -88,7 +88,8 @@ def test_alert_job_emits_closed_windows(spark, scratch):
     assert all(r.uids[:3] == ["u0", "u1", "u2"] for r in got)
 
 
-def test_stream_alert_panes_equal_batch_over_several_batches(spark, scratch):
+@pytest.mark.parametrize("size, slide", [(120, 30), (40, 60)])  # the latter leaves gaps between windows
+def test_stream_alert_panes_equal_batch_over_several_batches(spark, scratch, size, slide):
     """Three time-ordered files, one per trigger: the streaming pane plan emits exactly the batch
     alerts whose windows closed under the final watermark."""
     import random
@@ -107,14 +108,15 @@ def test_stream_alert_panes_equal_batch_over_several_batches(spark, scratch):
     for k, (lo, hi) in enumerate([(0, 200), (200, 400), (400, 600)]):
         df.where((F.col("event_id") >= lo) & (F.col("event_id") < hi)).coalesce(1).write.parquet(f"{scratch}/in/f{k}")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in/*")
-    q = (coupon_alerts_stream(stream, 120, 30, lateness="5 minutes").writeStream.format("parquet")
+    q = (coupon_alerts_stream(stream, size, slide, lateness="5 minutes").writeStream.format("parquet")
          .option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
          .trigger(availableNow=True).start())
     J.run_to_end(q)
     got = {(r.mid, r.window_start, tuple(r.uids), tuple(r.events)) for r in spark.read.parquet(f"{scratch}/out").collect()}
     closed_by = df.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=5)
     want = {(r.mid, r.window_start, tuple(r.uids), tuple(r.events))
-            for r in coupon_alerts(df, 120, 30).collect() if r.window_end <= closed_by}
+            for r in coupon_alerts(df, size, slide).collect()
+            if r.window_start + dt.timedelta(seconds=max(size, slide)) <= closed_by}
     assert want and got == want
 
 
