@@ -29,6 +29,24 @@ def route_logs(raw: DataFrame, value: str = "value", stamp: Column | None = None
     return parsed.select(*keep, topic.alias("topic"), F.when(m.isNotNull(), stamped).alias("value"))
 
 
+def route_logs_typed(raw: DataFrame, value: str = "value", stamp: Column | None = None, keep=()) -> DataFrame:
+    """``route_logs`` on typed objects: numbers, flags, arrays and nested objects stay what they are, ``ts`` is a number.
+
+    The log is parsed once into a VARIANT; the top level becomes a map of variants, gets its ``ts`` and is written
+    as an object again. Text that is no JSON object (broken, a bare value, a key twice) gets ``topic`` and ``value`` null.
+    Output: ``(*keep, topic, value)``.
+    """
+    stamp = now_ms() if stamp is None else stamp
+    fields = F.try_variant_get(F.try_parse_json(F.col(value)), "$", "map<string,variant>")
+    parsed = raw.select(*keep, fields.alias("__m"))
+    m = F.col("__m")
+    own = F.create_map(F.lit("ts"), stamp.cast("long").cast("variant"))
+    stamped = F.to_json(F.to_variant_object(F.map_concat(F.map_filter(m, lambda k, _v: k != F.lit("ts")), own)))
+    kind = F.try_variant_get(m["type"], "$", "string")
+    topic = F.when(m.isNotNull(), F.when(kind == F.lit("startup"), F.lit(T.STARTUP_TOPIC)).otherwise(F.lit(T.EVENT_TOPIC)))
+    return parsed.select(*keep, topic.alias("topic"), F.when(m.isNotNull(), stamped).alias("value"))
+
+
 def cdc_topic(tbl: Column, op: Column) -> Column:
     """(table, op) -> topic: order and line inserts, user inserts and updates; everything else null.
 

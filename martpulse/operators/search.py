@@ -7,7 +7,7 @@ frequencies) come from one aggregate row used as a scalar subquery, not from a j
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martpulse.functions.text import query_tokens, tokens
 
@@ -15,10 +15,10 @@ from martpulse.functions.text import query_tokens, tokens
 K1, B = 1.2, 0.75
 
 
-def match_all(df: DataFrame, text_col: str, keyword: str) -> DataFrame:
-    """Rows whose text contains every token of ``keyword`` (no tokens -> no rows)."""
-    wanted = F.array_distinct(tokens(F.lit(keyword or "")))   # a constant, folded by the optimiser
-    return df.where((F.size(wanted) > 0) & (F.size(F.array_except(wanted, tokens(text_col))) == 0))
+def match_all(df: DataFrame, text_col: str, keyword: str, words=tokens) -> DataFrame:
+    """Rows whose text contains every word of ``keyword`` (no words -> no rows); ``words``: how texts are cut."""
+    wanted = F.array_distinct(words(F.lit(keyword or "")))   # a constant, folded by the optimiser
+    return df.where((F.size(wanted) > 0) & (F.size(F.array_except(wanted, words(text_col))) == 0))
 
 
 def _term_count(toks: str, word: str):
@@ -62,17 +62,17 @@ def bm25_scores(df: DataFrame, id_col: str, text_col: str, query: str, k1: float
 
 
 def with_bm25(df: DataFrame, text_col: str, query: str, corpus: DataFrame, k1: float = K1, b: float = B,
-              score_col: str = "score") -> DataFrame:
+              score_col: str = "score", words=tokens) -> DataFrame:
     """``df`` plus a BM25 ``score`` of ``text_col`` (null when no query term occurs).
 
     Corpus statistics come from all of ``corpus`` (a DataFrame with ``text_col``; one aggregate row, a scalar
     subquery), like a search index whose statistics cover every document. Texts repeat (product names), so
     each distinct text is tokenised once and weighted by its number of rows.
     """
-    q = query_tokens(df.sparkSession, query)
+    q = query_tokens(df.sparkSession, query, words)
     if not q:
         return df.withColumn(score_col, F.lit(None).cast("double"))
-    toks = tokens(text_col)
+    toks = words(text_col)
     names = corpus.groupBy(text_col).agg(F.count(F.lit(1)).alias("__n"))
     feats = names.select("__n", F.size(toks).alias("dl"), *[_term_count(toks, w).alias(f"__f{i}") for i, w in enumerate(q)])
     stats = feats.agg(F.struct(
@@ -121,6 +121,31 @@ def page(df: DataFrame, page_no: int, page_size: int, *order, after: Column | No
     return rows.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
 
 
+def facets(df: DataFrame, buckets: dict[str, Column | str]) -> DataFrame:
+    """``(facet, name, n, total)``: counts of every bucket of every facet, in one pass over ``df`` (grouping sets).
+
+    ``buckets``: facet -> its column (names as text). Rows without a value are in ``total`` and in no bucket; the row
+    with facet and name ``total`` is there even without any hit.
+    """
+    cols = {name: (F.col(c) if isinstance(c, str) else c).cast("string") for name, c in buckets.items()}
+    names = list(cols)
+    grouped = df.select(*[c.alias(f"__{k}") for k, c in cols.items()]).groupingSets(
+        [[F.col(f"__{k}")] for k in names] + [[]], *[F.col(f"__{k}") for k in names])
+    counts = grouped.agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("__g"))
+    # in the grouping id, the bit of a column that is grouped by is 0
+    full = 2 ** len(names) - 1
+    facet, name = F.lit("total"), F.lit("total")
+    for i, k in enumerate(names):
+        here = F.col("__g") == full - 2 ** (len(names) - 1 - i)
+        facet, name = F.when(here, F.lit(k)).otherwise(facet), F.when(here, F.col(f"__{k}")).otherwise(name)
+    rows = counts.select(facet.alias("facet"), name.alias("name"), "n")
+    # without any row there is no grouping set either: the total's row is always added
+    none = df.sparkSession.range(1).select(F.lit("total").alias("facet"), F.lit("total").alias("name"), F.lit(0).cast("long").alias("n"))
+    rows = rows.unionByName(none).groupBy("facet", "name").agg(F.sum("n").alias("n"))
+    total = F.max(F.when(F.col("facet") == "total", F.col("n"))).over(Window.partitionBy())   # over the bucket rows
+    return rows.withColumn("total", total).where(F.col("name").isNotNull())
+
+
 def top_terms(df: DataFrame, col: str, n: int, count_col: str = "n") -> DataFrame:
     """Top ``n`` values of ``col`` by count (ties by value); null values are not a bucket."""
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(count_col))

@@ -84,9 +84,23 @@ def latest_snapshot(spark: SparkSession, path: str) -> int | None:
     return max(_complete(spark, _base_root(path), UPTO_COL), default=None)
 
 
-def _rows_since_snapshot(spark: SparkSession, path: str, partition_by, upto: int | None = None) -> DataFrame:
-    """Snapshot and later batches (up to batch ``upto``), with the batch id as a BIGINT column."""
-    root, base = path.rstrip("/"), latest_snapshot(spark, path)
+def newest_batch(spark: SparkSession, path: str) -> int | None:
+    """Highest batch id that the table holds, in a folder of its own or in a snapshot."""
+    root = path.rstrip("/")
+    return max(_complete(spark, root, BATCH_COL) + _complete(spark, _base_root(path), UPTO_COL), default=None)
+
+
+def rows_since_snapshot(spark: SparkSession, path: str, partition_by=(), upto: int | None = None) -> DataFrame:
+    """Snapshot and later batches, with the batch id as a BIGINT column.
+
+    ``upto``: as it was after that batch, from the newest snapshot not beyond it. A state older than the
+    snapshot before the newest one is gone: ``FileNotFoundError``.
+    """
+    root = path.rstrip("/")
+    snapshots = _complete(spark, _base_root(path), UPTO_COL)
+    base = max((n for n in snapshots if upto is None or n <= upto), default=None)
+    if base is None and len(snapshots) > 1:
+        raise FileNotFoundError(f"{path} no longer holds its state after batch {upto}")
     batches = [n for n in _complete(spark, root, BATCH_COL)
                if (base is None or n > base) and (upto is None or n <= upto)]
     frames = []
@@ -101,14 +115,14 @@ def _rows_since_snapshot(spark: SparkSession, path: str, partition_by, upto: int
 
 
 def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=(),
-            only_keys: DataFrame | None = None, where: Column | None = None) -> DataFrame:
+            only_keys: DataFrame | None = None, where: Column | None = None, upto: int | None = None) -> DataFrame:
     """Latest row per key: newest snapshot + later batches (version first, later batch wins ties).
 
     ``only_keys``: restrict to these keys first (a semi-join before the aggregate). ``where``: a predicate
     on columns that never change for a key (a creation date); it is applied to the scan, below the
-    aggregate, so on a partition column it prunes folders.
+    aggregate, so on a partition column it prunes folders. ``upto``: the table as it was after that batch.
     """
-    df, keys = _rows_since_snapshot(spark, path, partition_by), _list(key)
+    df, keys = rows_since_snapshot(spark, path, partition_by, upto), _list(key)
     if where is not None:
         df = df.where(where)
     if only_keys is not None:
@@ -117,9 +131,11 @@ def current(spark: SparkSession, path: str, key, version: str | None = None, par
 
 
 def compact(spark: SparkSession, path: str, key, version: str | None = None, partition_by=None,
-            upto: int | None = None) -> int | None:
+            upto: int | None = None, fold=None) -> int | None:
     """Write a snapshot of the latest row per key over the batches up to ``upto`` (default: all present).
 
+    ``fold``: what makes the snapshot's rows instead (a table of sums adds them up).
+
     Rows keep their version, so later batches still override the snapshot correctly. Re-running for
     the same batch id overwrites the same snapshot folder. Returns the batch id covered.
     """
@@ -129,8 +145,11 @@ def compact(spark: SparkSession, path: str, key, version: str | None = None, par
         upto = max(_complete(spark, root, BATCH_COL), default=None)
     if upto is None or (before is not None and upto <= before):
         return before
-    rows, parts = _rows_since_snapshot(spark, path, partition_by, upto), _list(partition_by)
-    snap = latest_per_key(rows, _list(key), ([version] if version else []) + [BATCH_COL]).drop(BATCH_COL)
+    rows, parts = rows_since_snapshot(spark, path, partition_by, upto), _list(partition_by)
+    if fold is None:
+        snap = latest_per_key(rows, _list(key), ([version] if version else []) + [BATCH_COL]).drop(BATCH_COL)
+    else:
+        snap = fold(rows.drop(BATCH_COL))
     if parts:
         snap = snap.hint("rebalance", *parts)
     writer = snap.write.mode("overwrite")

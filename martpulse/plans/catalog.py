@@ -19,7 +19,8 @@ from martpulse.functions.timeparts import with_time_parts
 from martpulse.operators.alerts import coupon_alerts
 from martpulse.operators.dedup import exclude_seen, latest_per_key
 from martpulse.operators.pairs import pair_within
-from martpulse.operators.route import route_cdc, route_logs
+from martpulse.operators.bitmaps import extend_dictionary, period_bitmaps, rolling
+from martpulse.operators.route import route_cdc, route_logs, route_logs_typed
 from martpulse.operators.search import bm25_top, match_all, top_terms
 from martpulse.operators.widen import pair_orders_within, pair_per_batch, sale_rows
 from martpulse.plans import dashboard as D
@@ -122,6 +123,31 @@ def q_log_route(spark, sf):
     return routed.where(F.col("topic").isNotNull()).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+_SHAPE = ("OBJECT<event_id: BIGINT, member: BOOLEAN, props: OBJECT<k: BIGINT>, share: DECIMAL, tags: ARRAY<STRING>, "
+          "ts: BIGINT, type: STRING, uid: BIGINT>")
+#: Logs whose fields are typed: each field read back with its type, and the types of the whole object.
+TYPED_LOGS = f"""SELECT CASE WHEN event_type IN ('view', 'signup') THEN 'startup' ELSE 'event' END AS topic, event_id, user_id AS uid,
+  user_id % 2 = 0 AS member, event_id / 4.0 AS share, event_type || ',app' AS tags, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+  CAST({STAMP} AS BIGINT) AS ts, '{_SHAPE}' AS shape FROM events"""
+
+
+def typed_log_fields(routed: DataFrame) -> DataFrame:
+    """Fields of routed typed logs; a field of another type than the client sent would be null here."""
+    v = F.parse_json("value")
+    shape = F.regexp_replace(F.schema_of_variant(v), r"DECIMAL\(\d+,\d+\)", "DECIMAL")
+    # a share without decimals is a whole number in the text
+    shape = F.regexp_replace(shape, r"share: (BIGINT|DOUBLE)", "share: DECIMAL")
+    return routed.select("topic", F.variant_get(v, "$.event_id", "bigint").alias("event_id"), F.variant_get(v, "$.uid", "bigint").alias("uid"),
+                         F.variant_get(v, "$.member", "boolean").alias("member"), F.variant_get(v, "$.share", "double").alias("share"),
+                         F.array_join(F.variant_get(v, "$.tags", "array<string>"), ",").alias("tags"), F.variant_get(v, "$.props.k", "int").alias("k"),
+                         F.variant_get(v, "$.ts", "bigint").alias("ts"), shape.alias("shape"))
+
+
+@register("log_route_typed", TYPED_LOGS)
+def q_log_route_typed(spark, sf):
+    return typed_log_fields(route_logs_typed(SI.raw_logs_typed(spark, sf), stamp=F.lit(STAMP)))
+
+
 @register("json_fields", "SELECT event_id, CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS k FROM events")
 def q_json_fields(spark, sf):
     ev = read_table(spark, sf, "events", ["event_id", "props"])
@@ -428,6 +454,46 @@ def q_sale_detail_stats(spark, sf):
     return S.sale_detail_stats(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD)
 
 
+# Fixed values of the Han stand-in: each letter of a product name becomes the character at its place.
+HAN = "天地人日月山水火木金土手机电小米大中上下东西南北红白"
+HAN_KEYWORD = "手电"   # two words, neither next to the other in the names
+
+
+def han_names(names):
+    """Product names in a script without spaces between words."""
+    return F.translate(F.lower(names), "abcdefghijklmnopqrstuvwxyz", HAN)
+
+
+@register("sale_search_han", f"""WITH h AS (SELECT order_detail_id, dt, translate(lower(sku_name), 'abcdefghijklmnopqrstuvwxyz', '{HAN}') AS sku_name FROM wide)
+  SELECT order_detail_id, sku_name FROM h WHERE dt = '{SALE_DATE}' AND contains(sku_name, '{HAN_KEYWORD[0]}') AND contains(sku_name, '{HAN_KEYWORD[1]}')""", ("wide",))
+def q_sale_search_han(spark, sf):
+    wide = _wide(spark, sf, SALE_DATE).withColumn("sku_name", han_names(F.col("sku_name")))
+    return S.search_hits(wide, SALE_DATE, HAN_KEYWORD).select("order_detail_id", "sku_name")
+
+
+@register("sale_facets", f"""WITH h AS (SELECT * FROM wide WHERE {_HIT}), f AS (
+  SELECT 'total' AS facet, 'total' AS name, count(*) AS n FROM h
+  UNION ALL SELECT 'gender', user_gender, count(*) FROM h WHERE user_gender IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 'age', CAST(user_age AS VARCHAR), count(*) FROM h GROUP BY 2
+  UNION ALL SELECT 'band', CASE WHEN user_age < 20 THEN '<20' WHEN user_age < 30 THEN '20-29' ELSE '30+' END, count(*) FROM h GROUP BY 2),
+  t AS (SELECT count(*) AS total FROM h)
+  SELECT facet, name, n, {_pct_sql('n')} AS pct FROM f, t""", ("wide",))
+def q_sale_facets(spark, sf):
+    return S.sale_facets(_wide(spark, sf, SALE_DATE), SALE_DATE, SALE_KEYWORD)
+
+
+DAU_SPAN = 7
+
+
+@register("dau_range_bitmap", f"""WITH s AS (SELECT DISTINCT mid, CAST(log_date AS DATE) AS d FROM startup_log)
+  SELECT strftime(e.d, '%Y-%m-%d') AS log_date, count(DISTINCT s.mid) AS n FROM (SELECT DISTINCT d FROM s) e
+  JOIN s ON s.d BETWEEN e.d - {DAU_SPAN - 1} AND e.d GROUP BY 1""", ("startup_log",))
+def q_dau_range_bitmap(spark, sf):
+    logs = SI.startup_log(spark, sf)
+    bits = period_bitmaps(logs, "mid", "log_date", extend_dictionary(logs, "mid"))
+    return rolling(bits, "log_date", DAU_SPAN)
+
+
 @register("gender_terms", """SELECT user_gender, CAST(count(*) AS BIGINT) AS n FROM wide WHERE user_gender IS NOT NULL
   GROUP BY 1 ORDER BY n DESC, user_gender LIMIT 2""", ("wide",))
 def q_gender_terms(spark, sf):

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from martpulse.operators.search import match_all, page, top_terms, with_bm25
+from martpulse.functions.text import unicode_words
+from martpulse.operators.search import facets, match_all, page, top_terms, with_bm25
 
 # Age bands (upper bounds exclusive) and their labels.
 AGE_BANDS = (("<20", 20), ("20-29", 30), ("30+", None))
@@ -49,8 +50,15 @@ def age_band_share(hits: DataFrame) -> DataFrame:
 
 
 def search_hits(sales: DataFrame, date: str, keyword: str) -> DataFrame:
-    """Exact day filter (cheap, first) and all-terms match on ``sku_name``."""
-    return match_all(sales.where(F.col("dt") == date), "sku_name", keyword)
+    """Exact day filter (cheap, first) and all-words match on ``sku_name``, in any script."""
+    return match_all(sales.where(F.col("dt") == date), "sku_name", keyword, unicode_words)
+
+
+def sale_facets(sales: DataFrame, date: str, keyword: str) -> DataFrame:
+    """``(facet, name, n, pct)``: total, gender, age and age-band buckets of a search, from one scan of the hits."""
+    hits = search_hits(sales, date, keyword)
+    found = facets(hits, {"gender": "user_gender", "age": "user_age", "band": age_band()})
+    return found.select("facet", "name", "n", percent_1dp(F.col("n"), F.col("total")).alias("pct"))
 
 
 def sale_detail(sales: DataFrame, date: str, keyword: str, page_no: int, page_size: int,
@@ -84,7 +92,7 @@ def relevance_page(sales: DataFrame, date: str, keyword: str, page_no: int, page
     hits. A caller whose ``sales`` already holds only the day passes the names of the whole table.
     """
     hits = search_hits(sales, date, keyword)
-    scored = with_bm25(hits, "sku_name", keyword, sales if corpus is None else corpus)
+    scored = with_bm25(hits, "sku_name", keyword, sales if corpus is None else corpus, words=unicode_words)
     if digits is not None:
         scored = scored.withColumn("score", F.round("score", digits))
     return page(scored, page_no, page_size, F.desc("score"), F.asc("order_detail_id"))

@@ -90,6 +90,19 @@ def raw_logs_from(ev: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("itemid")).alias("value"))
 
 
+def raw_logs_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App log lines whose fields are numbers, flags, lists and objects (and a client's own ``ts``): (event_id, value)."""
+    return raw_logs_typed_from(read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"]))
+
+
+def raw_logs_typed_from(ev: DataFrame) -> DataFrame:
+    typ = F.when(F.col("event_type").isin(*STARTUP_EVENT_TYPES), F.lit("startup")).otherwise(F.lit("event"))
+    return ev.select("event_id", to_json_record(
+        typ.alias("type"), "event_id", F.col("user_id").alias("uid"), (F.col("user_id") % 2 == 0).alias("member"),
+        (F.col("event_id") / F.lit(4.0)).alias("share"), F.array("event_type", F.lit("app")).alias("tags"),
+        F.from_json("props", "k INT").alias("props"), F.lit("client").alias("ts")).alias("value"))
+
+
 def order_info(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Order rows: (id, user_id, order_status, total_amount, consignee_tel, create_time, create_date, create_hour).
 
@@ -208,5 +221,5 @@ def age_as_of():
     return F.lit(AGE_AS_OF.isoformat()).cast("date")
 
 
-__all__ = ["startup_log", "action_log", "raw_logs", "order_info", "order_detail", "user_info", "cdc_log",
+__all__ = ["startup_log", "action_log", "raw_logs", "raw_logs_typed", "order_info", "order_detail", "user_info", "cdc_log",
            "wide_inputs", "age_as_of"]

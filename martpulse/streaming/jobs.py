@@ -21,8 +21,10 @@ from martpulse.functions.timeparts import ms_to_ts, with_create_parts, with_time
 from martpulse.operators.alerts import coupon_alerts_stream, with_alert_id
 from martpulse.operators.dedup import first_per_day_stream
 from martpulse.operators.pairs import pair_within_stream
-from martpulse.operators.route import route_cdc, route_logs
-from martpulse.operators.upsert import compact, current, foreach_batch_upsert, upsert_batch
+from martpulse.operators.route import route_cdc, route_logs, route_logs_typed
+from martpulse.operators.rollup import compact_rollup, rollup_batch
+from martpulse.operators.textindex import compact_index, index_batch
+from martpulse.operators.upsert import BATCH_COL, compact, current, foreach_batch_upsert, newest_batch, upsert_batch
 from martpulse.operators.widen import SALE_COLUMNS, attach_user
 from martpulse.sources.paths import delete, exists
 
@@ -30,6 +32,7 @@ BATCH_INTERVAL = "5 seconds"
 # Folder layout of the keyed output tables (pass to ``upsert.current``).
 MALFORMED_TOPIC = "malformed"
 COMPACT_EVERY = 100   # micro-batches between snapshots of a keyed table
+PINS_KEPT = 10        # micro-batches whose lookup state is remembered; only the last one can be replayed
 DAU_PARTS, ORDER_PARTS, SALE_PARTS = ("log_date",), ("create_date",), ("dt",)
 
 
@@ -85,12 +88,13 @@ def _topic_writer(routed: DataFrame, out: str, fmt: str):
 
 
 def log_intake_job(raw: DataFrame, out_path: str, checkpoint: str, available_now: bool = False, fmt: str = "parquet",
-                   stamp=None):
-    """Raw app logs -> stamped JSON per topic (``startup`` / ``event``).
+                   stamp=None, typed: bool = False):
+    """Raw app logs -> stamped JSON per topic (``startup`` / ``event``); ``typed``: fields keep their JSON types.
 
     Malformed logs have no topic: they go to the folder (or Kafka topic) ``malformed``, as they came.
     """
-    routed = route_logs(raw.withColumn("__raw", F.col("value")), stamp=stamp, keep=("__raw",))
+    route = route_logs_typed if typed else route_logs
+    routed = route(raw.withColumn("__raw", F.col("value")), stamp=stamp, keep=("__raw",))
     routed = routed.select(F.coalesce("topic", F.lit(MALFORMED_TOPIC)).alias("topic"), F.coalesce("value", "__raw").alias("value"))
     return _start(_topic_writer(routed, out_path, fmt), checkpoint, available_now)
 
@@ -141,6 +145,47 @@ def order_job(orders: DataFrame, table_path: str, checkpoint: str, available_now
     return _start(orders.writeStream.foreachBatch(sink), checkpoint, available_now)
 
 
+ROLLUP_BY = ("create_date", "create_hour")
+
+
+def order_rollup_job(orders: DataFrame, table_path: str, rollup_path: str, checkpoint: str, available_now: bool = False,
+                     version: str | None = "operate_time", compact_every: int | None = COMPACT_EVERY):
+    """Typed orders -> order table and its hourly counts and amounts (``rollup.read_rollup``), right after updates and moves."""
+    def _write(batch_df: DataFrame, batch_id: int) -> None:
+        rollup_batch(batch_df, batch_id, table_path, rollup_path, "id", ROLLUP_BY, "total_amount", version)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(batch_df.sparkSession, table_path, "id", version, upto=batch_id)
+            compact_rollup(batch_df.sparkSession, rollup_path, ROLLUP_BY, upto=batch_id)
+
+    return _start(orders.writeStream.foreachBatch(_write), checkpoint, available_now)
+
+
+def index_job(sales: DataFrame, index_path: str, checkpoint: str, key: str = "order_detail_id", text: str = "sku_name", day: str = "dt",
+              available_now: bool = False, compact_every: int | None = COMPACT_EVERY):
+    """Sale rows -> inverted index of their names (``textindex.search_index``)."""
+    def _write(batch_df: DataFrame, batch_id: int) -> None:
+        index_batch(batch_df, batch_id, index_path, key, text, day)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_index(batch_df.sparkSession, index_path, upto=batch_id)
+
+    return _start(sales.writeStream.foreachBatch(_write), checkpoint, available_now)
+
+
+def pinned(spark: SparkSession, pins: str, batch_id: int, table: str) -> int | None:
+    """The newest batch of ``table`` as this micro-batch first saw it (None: the table had none).
+
+    It is written before the table is read, and a replay of the batch takes the written one: it looks rows up in
+    the same state. Pins of batches long done are deleted.
+    """
+    at = f"{pins}/{BATCH_COL}={int(batch_id)}"
+    if not exists(spark, f"{at}/_SUCCESS"):
+        newest = newest_batch(spark, table) if exists(spark, table) else None
+        spark.createDataFrame([(newest,)], "newest long").coalesce(1).write.mode("overwrite").parquet(at)
+        if batch_id >= PINS_KEPT:
+            delete(spark, f"{pins}/{BATCH_COL}={int(batch_id) - PINS_KEPT}")
+    return spark.read.schema("newest long").parquet(at).first()["newest"]
+
+
 def alert_job(actions: DataFrame, table_path: str, checkpoint: str, size_seconds: int = 100,
               slide_seconds: int = 10, lateness: str = "1 minute", available_now: bool = False, tie=(),
               compact_every: int | None = COMPACT_EVERY):
@@ -190,8 +235,10 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         batch_df.write.mode("overwrite").parquet(stage)
         staged = spark.read.schema(batch_df.schema).parquet(stage)
         wanted = staged.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
-        if exists(spark, user_table):
-            users = current(spark, user_table, "id", user_version, only_keys=wanted)
+        # a replay looks users up in the state that the batch saw first
+        upto = pinned(spark, f"{table_path.rstrip('/')}/_pins", batch_id, user_table)
+        if upto is not None:
+            users = current(spark, user_table, "id", user_version, only_keys=wanted, upto=upto)
         else:   # no user written yet: every lookup misses, rows are kept
             users = spark.createDataFrame([], schemas.USER)
         wide = attach_user(staged, users, as_of).select(*SALE_COLUMNS)

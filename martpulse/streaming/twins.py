@@ -17,6 +17,8 @@ from martpulse.functions.jsonrec import parse_json, to_json_record
 from martpulse.operators.alerts import coupon_alerts_stream
 from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc
+from martpulse.operators.rollup import read_rollup
+from martpulse.operators.textindex import index_batch, search_index
 from martpulse.operators.upsert import current, upsert_batch
 from martpulse.operators.widen import SALE_COLUMNS, sale_rows
 from martpulse.plans import catalog as C
@@ -46,6 +48,14 @@ def q_stream_log_route(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+@C.register("stream_log_route_typed", C.ORACLES["log_route_typed"])
+def q_stream_log_route_typed(spark: SparkSession, sf: str) -> DataFrame:
+    run = _run_dir(spark, "log_route_typed")
+    raw = SI.raw_logs_typed_from(_events(spark, sf, ["event_id", "user_id", "event_type", "props"]))
+    J.run_to_end(J.log_intake_job(raw, f"{run}/out", f"{run}/ckpt", available_now=True, stamp=F.lit(C.STAMP), typed=True))
+    return C.typed_log_fields(spark.read.parquet(f"{run}/out"))
+
+
 @C.register("stream_dau_keys", "SELECT DISTINCT mid, log_date FROM startup_log", ("startup_log",))
 def q_stream_dau_keys(spark: SparkSession, sf: str) -> DataFrame:
     run = _run_dir(spark, "dau")
@@ -288,3 +298,48 @@ def q_stream_alert_table(spark: SparkSession, sf: str) -> DataFrame:
                              "1 minute", available_now=True, tie=("event_id",)))
     t = current(spark, f"{run}/alerts", "id", "ts")
     return t.select("id", "mid", F.array_join("uids", ",").alias("uids"), F.array_join("events", ",").alias("events"))
+
+
+def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in versions: first with another amount and hour for some, then as they are, then a late old version
+    of some. ``step`` is the file they come in."""
+    o = SI.order_info(spark, sf)
+    number = F.col("id").cast("long")
+    first = o.withColumn("operate_time", F.lit("1")).withColumn("total_amount", F.when(number % 3 == 0, F.col("total_amount") + 10).otherwise(F.col("total_amount")))
+    first = first.withColumn("create_hour", F.when(number % 5 == 0, F.lit("23")).otherwise(F.col("create_hour")))
+    changed = o.where((number % 3 == 0) | (number % 5 == 0)).withColumn("operate_time", F.lit("2"))
+    late = first.where(number % 15 == 0)
+    return (first.withColumn("step", F.lit(0)).unionByName(changed.withColumn("step", F.lit(1))).unionByName(late.withColumn("step", F.lit(2))))
+
+
+def _in_steps(df: DataFrame, path: str, steps: int) -> DataFrame:
+    """A file stream that takes the rows of each ``step`` as one micro-batch."""
+    for k in range(steps):
+        df.where(F.col("step") == k).drop("step").coalesce(1).write.parquet(f"{path}/{k}")
+    schema = df.drop("step").schema
+    return df.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+@C.register("order_hour_rollup", C.ORACLES["order_hour"])
+def q_order_hour_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly amounts kept by the stream while orders change amount and hour; compared with the batch SQL over the end state."""
+    run = _run_dir(spark, "rollup")
+    orders = _in_steps(_order_changes(spark, sf), f"{run}/in", 3)
+    J.run_to_end(J.order_rollup_job(orders, f"{run}/orders", f"{run}/hours", f"{run}/ckpt", available_now=True, compact_every=2))
+    hours = read_rollup(spark, f"{run}/hours", J.ROLLUP_BY)
+    return hours.select("create_date", "create_hour", F.round(F.col("amount").cast("double"), 2).alias("total_amount"))
+
+
+@C.register("sale_search_indexed", C.ORACLES["sale_search_relevance_page"])
+def q_sale_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The relevance page from the inverted index, after names were corrected by a later batch."""
+    run = _run_dir(spark, "index")
+    o, d, _ = SI.wide_inputs(spark, sf)
+    names = d.join(o.select(F.col("id").alias("order_id"), F.col("create_date").alias("dt")), "order_id").select(
+        F.col("id").alias("order_detail_id"), "sku_name", "dt")
+    dealt = F.pmod(F.xxhash64("order_detail_id"), F.lit(10))
+    index_batch(names.where(dealt < 7).withColumn("sku_name", F.when(dealt == 1, F.concat(F.lit("red red old "), "sku_name")).otherwise(F.col("sku_name"))),
+                0, f"{run}/index", "order_detail_id", "sku_name", "dt")
+    index_batch(names.where((dealt == 1) | (dealt >= 7)), 1, f"{run}/index", "order_detail_id", "sku_name", "dt")
+    shown = search_index(spark, f"{run}/index", C.SALE_DATE, C.SALE_KEYWORD, 2, 5).withColumnRenamed("key", "order_detail_id")
+    return shown.join(names.where(F.col("dt") == C.SALE_DATE).drop("dt"), "order_detail_id").select("order_detail_id", "sku_name", "score")

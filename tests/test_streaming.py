@@ -4,6 +4,7 @@ across batches within the TTL, user dimension updates between batches, alert win
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from martpulse import schemas
