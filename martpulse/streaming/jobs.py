@@ -22,6 +22,7 @@ from martpulse.operators.alerts import coupon_alerts_stream, with_alert_id
 from martpulse.operators.dedup import first_per_day_stream
 from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc, route_logs, route_logs_typed
+from martpulse.operators.pending import pair_pending
 from martpulse.operators.rollup import compact_rollup, rollup_batch
 from martpulse.operators.textindex import compact_index, index_batch
 from martpulse.operators.upsert import BATCH_COL, compact, current, foreach_batch_upsert, newest_batch, upsert_batch
@@ -171,19 +172,20 @@ def index_job(sales: DataFrame, index_path: str, checkpoint: str, key: str = "or
     return _start(sales.writeStream.foreachBatch(_write), checkpoint, available_now)
 
 
-def pinned(spark: SparkSession, pins: str, batch_id: int, table: str) -> int | None:
-    """The newest batch of ``table`` as this micro-batch first saw it (None: the table had none).
-
-    It is written before the table is read, and a replay of the batch takes the written one: it looks rows up in
-    the same state. Pins of batches long done are deleted.
-    """
-    at = f"{pins}/{BATCH_COL}={int(batch_id)}"
+def remembered(spark: SparkSession, folder: str, batch_id: int, value) -> int | None:
+    """A number that a micro-batch takes from ``value()`` once; its replay gets the same. Old batches' are deleted."""
+    at = f"{folder}/{BATCH_COL}={int(batch_id)}"
     if not exists(spark, f"{at}/_SUCCESS"):
-        newest = newest_batch(spark, table) if exists(spark, table) else None
-        spark.createDataFrame([(newest,)], "newest long").coalesce(1).write.mode("overwrite").parquet(at)
+        spark.createDataFrame([(value(),)], "number long").coalesce(1).write.mode("overwrite").parquet(at)
         if batch_id >= PINS_KEPT:
-            delete(spark, f"{pins}/{BATCH_COL}={int(batch_id) - PINS_KEPT}")
-    return spark.read.schema("newest long").parquet(at).first()["newest"]
+            delete(spark, f"{folder}/{BATCH_COL}={int(batch_id) - PINS_KEPT}")
+    return spark.read.schema("number long").parquet(at).first()["number"]
+
+
+def pinned(spark: SparkSession, pins: str, batch_id: int, table: str) -> int | None:
+    """The newest batch of ``table`` as this micro-batch first saw it (None: the table had none): a replay looks rows
+    up in the same state."""
+    return remembered(spark, pins, batch_id, lambda: newest_batch(spark, table) if exists(spark, table) else None)
 
 
 def alert_job(actions: DataFrame, table_path: str, checkpoint: str, size_seconds: int = 100,
@@ -205,6 +207,25 @@ def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: st
     return _start(users.writeStream.foreachBatch(sink), checkpoint, available_now)
 
 
+def _user_lookup(user_table: str, table_path: str, as_of, user_version: str | None, partition_by, compact_every: int | None):
+    """What a sale job does with a micro-batch's pairs: user attributes, then the keyed sale table."""
+    def look_up(staged: DataFrame, batch_id: int) -> None:
+        spark = staged.sparkSession
+        wanted = staged.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
+        # a replay looks users up in the state that the batch saw first
+        upto = pinned(spark, f"{table_path.rstrip('/')}/_pins", batch_id, user_table)
+        if upto is not None:
+            users = current(spark, user_table, "id", user_version, only_keys=wanted, upto=upto)
+        else:   # no user written yet: every lookup misses, rows are kept
+            users = spark.createDataFrame([], schemas.USER)
+        wide = attach_user(staged, users, as_of).select(*SALE_COLUMNS)
+        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(spark, table_path, "order_detail_id", None, partition_by, upto=batch_id)
+
+    return look_up
+
+
 def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path: str, checkpoint: str,
              as_of, ttl_seconds: int = 300, lateness: str = "10 minutes", available_now: bool = False,
              partition_by=SALE_PARTS, user_version: str | None = "seq", by_arrival: bool = False,
@@ -226,6 +247,8 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         o, d = o.withColumn("o_ts", F.current_timestamp()), d.withColumn("d_ts", F.current_timestamp())
     pairs = pair_within_stream(o, d, "order_id", ttl_seconds, "o_ts", "d_ts", lateness).drop("o_ts", "d_ts")
 
+    look_up = _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
+
     def _write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         # the pairs of this micro-batch are written once to a staging folder (overwritten on retry,
@@ -234,22 +257,47 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
         stage = f"{table_path.rstrip('/')}/_stage/batch_id={int(batch_id)}"
         batch_df.write.mode("overwrite").parquet(stage)
         staged = spark.read.schema(batch_df.schema).parquet(stage)
-        wanted = staged.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
-        # a replay looks users up in the state that the batch saw first
-        upto = pinned(spark, f"{table_path.rstrip('/')}/_pins", batch_id, user_table)
-        if upto is not None:
-            users = current(spark, user_table, "id", user_version, only_keys=wanted, upto=upto)
-        else:   # no user written yet: every lookup misses, rows are kept
-            users = spark.createDataFrame([], schemas.USER)
-        wide = attach_user(staged, users, as_of).select(*SALE_COLUMNS)
-        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(spark, table_path, "order_detail_id", None, partition_by, upto=batch_id)
+        look_up(staged, batch_id)
         delete(spark, stage)
 
     return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
 
 
+def sale_refresh_job(orders: DataFrame, details: DataFrame, user_table: str, table_path: str, checkpoint: str, as_of,
+                     ttl_seconds: int = 300, clock=None, available_now: bool = False, partition_by=SALE_PARTS,
+                     user_version: str | None = "seq", compact_every: int | None = COMPACT_EVERY):
+    """``sale_job`` with an expiry that each write refreshes (``operators.pending``), by the time of the micro-batches.
+
+    ``clock``: seconds of a micro-batch as an aggregate over its rows (``arrived`` is a column both streams may have); by
+    default the time the batch first ran, which a replay finds again.
+    """
+    o = orders.select(F.col("id").alias("order_id"), F.struct("order_status", "create_time", "user_id", F.col("create_date").alias("dt")).alias("o"),
+                      *_arrival(orders))
+    d = details.select("order_id", F.struct(F.col("id").alias("order_detail_id"), "sku_id", "sku_name",
+                                            F.col("order_price").try_cast("double").alias("sku_price")).alias("d"), *_arrival(details))
+    state, look_up = f"{table_path.rstrip('/')}/_pending", _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
+
+    def _write(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        stage = f"{table_path.rstrip('/')}/_stage/batch_id={int(batch_id)}"
+        batch_df.write.mode("overwrite").parquet(f"{stage}/in")
+        rows = spark.read.schema(batch_df.schema).parquet(f"{stage}/in")
+        at = (rows.agg(clock.alias("t")).first()["t"] if clock is not None else
+              remembered(spark, f"{state}/clocks", batch_id, lambda: spark.range(1).select(F.unix_seconds(F.current_timestamp())).first()[0]))
+        if at is not None:   # an empty batch has no time of its own
+            pairs = pair_pending(rows.where("o is not null").select("order_id", "o.*"), rows.where("d is not null").select("order_id", "d.*"),
+                                 state, batch_id, int(at), f"{stage}/pairs", ttl=ttl_seconds)
+            look_up(pairs, batch_id)
+        delete(spark, stage)
+
+    both = o.unionByName(d, allowMissingColumns=True)
+    return _start(both.writeStream.foreachBatch(_write), checkpoint, available_now)
+
+
+def _arrival(df: DataFrame) -> list:
+    return [F.col("arrived")] if "arrived" in df.columns else []
+
+
 def console_job(stream: DataFrame, checkpoint: str, rows: int = 20, available_now: bool = False):
     """Print each micro-batch (debugging output of a job's stream)."""
     writer = stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")

@@ -159,10 +159,17 @@ def q_stream_sale_wide_ttl(spark: SparkSession, sf: str) -> DataFrame:
     return current(spark, f"{run}/sale", "order_detail_id").select(*SALE_COLUMNS)
 
 
-def _in_slices(df: DataFrame, path: str, slice_of, n: int) -> None:
-    """One folder per slice number, written in order, so that a file stream takes them one after the other."""
-    for k in range(n):
-        df.where(slice_of == k).coalesce(1).write.parquet(f"{path}/{k:02d}")
+def _in_slices(df: DataFrame, path: str, slice_of) -> tuple[DataFrame, int]:
+    """A file stream over ``df`` that takes about one slice per micro-batch, in the slices' order, and the files per slice.
+
+    Slices are ranges of a number, each of some files: rows are dealt by range, not through one task, and the files
+    are named in the order of the slices.
+    """
+    spark, files = df.sparkSession, max(1, df.sparkSession.sparkContext.defaultParallelism // 4)
+    last = df.agg(F.max(slice_of)).first()[0]
+    for k in range(0 if last is None else int(last) + 1):
+        df.where(slice_of == k).repartition(files).write.parquet(f"{path}/{k:06d}")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/*"), files
 
 
 DAU_SLICE_DAYS, DAU_LATE_SECONDS = 5, 3600
@@ -174,9 +181,8 @@ def _late_events(spark: SparkSession, sf: str, path: str) -> DataFrame:
     ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type"])
     jitter = F.pmod(F.xxhash64("event_id"), F.lit(DAU_LATE_SECONDS))
     seconds = F.unix_seconds(F.col("ts").cast("timestamp")) + jitter - F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    k = F.least(F.greatest(F.floor(seconds / (DAU_SLICE_DAYS * 86400)), F.lit(0)), F.lit(6))
-    _in_slices(ev, path, k, 7)
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+    k = F.greatest(F.floor(seconds / (DAU_SLICE_DAYS * 86400)), F.lit(0))
+    return _in_slices(ev, path, k)[0]
 
 
 @C.register("stream_dau_first", C.ORACLES["dau_first"])
@@ -315,7 +321,7 @@ def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
 def _in_steps(df: DataFrame, path: str, steps: int) -> DataFrame:
     """A file stream that takes the rows of each ``step`` as one micro-batch."""
     for k in range(steps):
-        df.where(F.col("step") == k).drop("step").coalesce(1).write.parquet(f"{path}/{k}")
+        df.where(F.col("step") == k).drop("step").coalesce(1).write.parquet(f"{path}/{k}")   # one file: one micro-batch
     schema = df.drop("step").schema
     return df.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
 
@@ -343,3 +349,35 @@ def q_sale_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
     index_batch(names.where((dealt == 1) | (dealt >= 7)), 1, f"{run}/index", "order_detail_id", "sku_name", "dt")
     shown = search_index(spark, f"{run}/index", C.SALE_DATE, C.SALE_KEYWORD, 2, 5).withColumnRenamed("key", "order_detail_id")
     return shown.join(names.where(F.col("dt") == C.SALE_DATE).drop("dt"), "order_detail_id").select("order_detail_id", "sku_name", "score")
+
+
+TTL_STEPS, TTL_STEP_SECONDS, TTL_SECONDS = 6, 100, 150   # a pending row is alive in the next micro-batch, not in the one after
+
+
+@C.register("stream_sale_ttl_refresh", f"""WITH o AS (SELECT o_orderkey AS k, o_orderkey % {TTL_STEPS} AS step FROM orders
+    UNION SELECT o_orderkey, o_orderkey % {TTL_STEPS} + 3 FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % {TTL_STEPS} + 3 < {TTL_STEPS}),
+  l AS (SELECT l_orderkey AS k, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, (l_orderkey * 5 + l_linenumber) % {TTL_STEPS} AS step
+    FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+  alone AS (SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.k = l.k AND o.step = l.step)),
+  w AS (SELECT k, step, sum(jump) OVER (PARTITION BY k ORDER BY step) AS run FROM (
+    SELECT k, step, CASE WHEN step - lag(step) OVER (PARTITION BY k ORDER BY step) = 1 THEN 0 ELSE 1 END AS jump FROM (SELECT DISTINCT k, step FROM alone)))
+  SELECT id AS order_detail_id, CAST(k AS VARCHAR) AS order_id FROM (
+    SELECT l.id, l.k FROM l JOIN o USING (k, step)
+    UNION SELECT a.id, a.k FROM alone a JOIN o ON o.k = a.k AND a.step = o.step + 1
+    UNION SELECT a.id, a.k FROM alone a JOIN w ON w.k = a.k AND w.step = a.step JOIN w e ON e.k = a.k AND e.run = w.run AND e.step >= a.step
+      JOIN o ON o.k = a.k AND o.step = e.step + 1)""")
+def q_stream_sale_ttl_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders (some sent twice) and lines dealt to six micro-batches; each write keeps what is pending alive for one more."""
+    run = _run_dir(spark, "ttl")
+    upsert_batch(SI.user_info(spark, sf), 0, f"{run}/users", "id")
+    number = F.col("id").cast("long")
+    o = SI.order_info(spark, sf).withColumn("step", F.pmod(number, F.lit(TTL_STEPS)))
+    again = o.where(number % 4 == 0).withColumn("step", F.col("step") + 3).where(F.col("step") < TTL_STEPS)
+    line = F.split("id", "-")
+    d = SI.order_detail(spark, sf).withColumn("step", F.pmod(line[0].cast("long") * 5 + line[1].cast("long"), F.lit(TTL_STEPS)))
+    orders = o.unionByName(again).withColumn("arrived", F.col("step") * TTL_STEP_SECONDS)
+    details = d.withColumn("arrived", F.col("step") * TTL_STEP_SECONDS)
+    J.run_to_end(J.sale_refresh_job(_in_steps(orders, f"{run}/orders", TTL_STEPS), _in_steps(details, f"{run}/details", TTL_STEPS),
+                                    f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(), TTL_SECONDS, clock=F.max("arrived"),
+                                    available_now=True, partition_by=None, user_version=None))
+    return current(spark, f"{run}/sale", "order_detail_id").select("order_detail_id", "order_id")
