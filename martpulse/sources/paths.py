@@ -24,3 +24,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     at, fs = _at(spark, path)
     fs.delete(at, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small ASCII file, replaced if it is there."""
+    at, fs = _at(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()

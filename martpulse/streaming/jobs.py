@@ -107,17 +107,41 @@ def cdc_relay_job(cdc: DataFrame, out_path: str, checkpoint: str, db_pattern: st
 
 
 def dau_job(startup: DataFrame, table_path: str, checkpoint: str, lateness: str = "1 hour",
-            available_now: bool = False, tie=(), compact_every: int | None = COMPACT_EVERY):
+            available_now: bool = False, tie=(), compact_every: int | None = COMPACT_EVERY, name: str | None = None):
     """First startup per device and day -> DAU table (upsert on (mid, log_date), partitioned by date).
 
     Update mode: a device's row is written when its earliest record changes, and the later batch wins.
-    Rows before/after the reduction are counted with ``observe`` (visible in the query progress).
+    Rows before/after the reduction are counted with ``observe``; under a ``name``, ``metrics.BatchCounts`` stores them.
     """
     seen = startup.observe("dau_in", F.count(F.lit(1)).alias("rows_in"))
     firsts = first_per_day_stream(seen, "mid", "ts", lateness, tie)
     firsts = firsts.observe("dau_out", F.count(F.lit(1)).alias("rows_out"))
     sink = foreach_batch_upsert(table_path, ["mid", "log_date"], None, DAU_PARTS, compact_every)
-    return _start(firsts.writeStream.outputMode("update").foreachBatch(sink), checkpoint, available_now)
+    return _start(firsts.writeStream.outputMode("update").foreachBatch(sink), checkpoint, available_now, name=name)
+
+
+def late_gate_job(stream: DataFrame, kept_path: str, late_path: str, checkpoint: str, ts: str = "ts", lateness_seconds: int = 3600,
+                  available_now: bool = False):
+    """Part a stream before its stateful jobs: rows behind the watermark go to a side table instead of being dropped.
+
+    The watermark of a micro-batch is the greatest ``ts`` of all batches before it less the lateness, as Spark's own.
+    It is remembered per batch, so a replay parts its rows alike; every row is in exactly one of the two tables.
+    """
+    def _write(batch_df: DataFrame, batch_id: int) -> None:
+        spark, seen = batch_df.sparkSession, f"{kept_path.rstrip('/')}/_seen"
+        before = remembered(spark, seen, batch_id - 1, lambda: None) if batch_id else None
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        late = F.coalesce(us < F.lit(before) - F.lit(lateness_seconds * 1_000_000), F.lit(False)) if before is not None else F.lit(False)
+        stage = f"{kept_path.rstrip('/')}/_stage/{BATCH_COL}={int(batch_id)}"
+        batch_df.withColumn("__late", late).write.mode("overwrite").parquet(stage)
+        rows = spark.read.parquet(stage)
+        for path, part in ((kept_path, ~F.col("__late")), (late_path, F.col("__late"))):
+            rows.where(part).drop("__late").write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
+        most = rows.agg(F.max(us).alias("most")).first()["most"]
+        remembered(spark, seen, batch_id, lambda: max((x for x in (before, most) if x is not None), default=None))
+        delete(spark, stage)
+
+    return _start(stream.writeStream.foreachBatch(_write), checkpoint, available_now)
 
 
 def typed_orders(messages: DataFrame, mask_style: str = "middle") -> DataFrame:

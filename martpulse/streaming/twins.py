@@ -28,6 +28,7 @@ from martpulse.sources import standins as SI
 from martpulse.sources import topics as TP
 from martpulse.sources.tables import read_table, stream_table
 from martpulse.streaming import jobs as J
+from martpulse.streaming import metrics as M
 
 ALERT_LATENESS_SECONDS = 3600
 
@@ -381,3 +382,37 @@ def q_stream_sale_ttl_refresh(spark: SparkSession, sf: str) -> DataFrame:
                                     f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(), TTL_SECONDS, clock=F.max("arrived"),
                                     available_now=True, partition_by=None, user_version=None))
     return current(spark, f"{run}/sale", "order_detail_id").select("order_detail_id", "order_id")
+
+
+@C.register("stream_job_metrics", """SELECT 'dau_in.rows_in' AS name, CAST(count(*) AS DOUBLE) AS value FROM startup_log
+  UNION ALL SELECT 'dau_out.rows_out', CAST(count(DISTINCT mid || log_date) AS DOUBLE) FROM startup_log
+  UNION ALL SELECT 'late_rows_dropped', 0.0::DOUBLE""", ("startup_log",))
+def q_stream_job_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """What the DAU job counted, from the table that its listener writes."""
+    run = _run_dir(spark, "metrics")
+    startup = SI.startup_log_from(_events(spark, sf, ["event_id", "user_id", "ts", "event_type"]))
+    counts = M.BatchCounts(spark, f"{run}/counts")
+    spark.streams.addListener(counts)
+    try:
+        query = J.dau_job(startup, f"{run}/dau", f"{run}/ckpt", available_now=True, tie=("event_id",), name=f"dau-{uuid.uuid4().hex[:8]}")
+        J.run_to_end(query)
+        M.wait_for(spark, f"{run}/counts", query)
+    finally:
+        spark.streams.removeListener(counts)
+    return M.read_counts(spark, f"{run}/counts").where("name <> 'input_rows'").groupBy("name").agg(F.sum("value").alias("value"))
+
+
+@C.register("stream_late_rows", f"""WITH e AS (SELECT event_id, ts, CAST(floor((epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / {DAU_SLICE_DAYS * 86400}) AS BIGINT)
+    + CASE WHEN event_id % 50 = 7 THEN 1 ELSE 0 END AS step FROM events),
+  m AS (SELECT step, max(max(ts)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM e GROUP BY step)
+  SELECT event_id, coalesce(ts < seen - INTERVAL {DAU_LATE_SECONDS} SECOND, false) AS late FROM e JOIN m USING (step)""")
+def q_stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fiftieth event comes a slice too late: it is kept or in the side table by its batch's own watermark."""
+    run = _run_dir(spark, "late")
+    ev = read_table(spark, sf, "events", ["event_id", "ts"])
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    step = F.floor(seconds / (DAU_SLICE_DAYS * 86400)) + F.when(F.col("event_id") % 50 == 7, 1).otherwise(0)
+    stream, _ = _in_slices(ev, f"{run}/in", step)
+    J.run_to_end(J.late_gate_job(stream, f"{run}/kept", f"{run}/late", f"{run}/ckpt", "ts", DAU_LATE_SECONDS, available_now=True))
+    return (spark.read.parquet(f"{run}/kept").select("event_id", F.lit(False).alias("late"))
+            .unionByName(spark.read.parquet(f"{run}/late").select("event_id", F.lit(True).alias("late"))))
