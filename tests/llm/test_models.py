@@ -1,5 +1,6 @@
 """Quality, toxicity and language models."""
 
+import math
 import random
 
 import numpy as np
@@ -223,3 +224,38 @@ def test_language_edges(spark):
     assert langid.predict(spark, ask.limit(0), model).count() == 0
     empty = langid.train(spark, df.where(F.lit(False)), queries.PIECE_VOCABULARY)
     assert {r.lang_pred for r in langid.predict(spark, ask, empty).collect()} == {"und"}
+
+
+def test_long_runs_are_neither_cut_nor_lost(monkeypatch):
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba", "bab"]
+    root, rng = langid.trie(pieces), random.Random(8)
+    probs = [[rng.random() / 9 for _ in pieces] + [langid.STRAY] for _ in range(3)]
+
+    def plain(word, p):
+        """The same sum in exact numbers."""
+        from fractions import Fraction
+        ways = [Fraction(1)] + [Fraction(0)] * len(word)
+        for end in range(1, len(word) + 1):
+            for start in range(max(0, end - 3), end):
+                part = word[start:end]
+                if part in pieces:
+                    ways[end] += ways[start] * Fraction(p[pieces.index(part)])
+                elif end == start + 1:
+                    ways[end] += ways[start] * Fraction(p[-1])
+        return math.log(ways[-1].numerator) - math.log(ways[-1].denominator)
+
+    words = ["▁" + "".join(rng.choice("aabbx") for _ in range(n)) for n in (1, 63, 64, 65, 66, 130, 300)] + ["▁" + "x" * 36 + "bbb"]
+    want = [[plain(w, p) for p in probs] for w in words]
+    got = langid.forward_rows(words, root, langid.logs(probs))
+    assert np.allclose(got, want, rtol=1e-12, atol=1e-9)
+    assert np.allclose([langid.forward_run(w, root, langid.logs(probs)) for w in words], want, rtol=1e-12, atol=1e-9)
+    monkeypatch.setattr(langid, "RUN_CHARS", 100)
+    assert np.allclose(langid.forward_rows(words, root, langid.logs(probs)), want, rtol=1e-12, atol=1e-9)
+    model = langid.LanguageModel(["x", "y", "z"], pieces, probs)
+    assert np.allclose(model.word_rows(words), want, rtol=1e-12, atol=1e-9) and len(model.cache) == 3
+    # a language in which "b" is likelier wins behind any number of strays
+    louder = [list(probs[0]), list(probs[0])]
+    louder[1][pieces.index("b")] *= 10
+    assert langid.LanguageModel(["p", "q"], pieces, louder).predict("x" * 3000 + "bbb")[0] == "q"
+    uses = langid.expected(words[5], root, probs[0])
+    assert all(0 <= e <= 1 + 1e-9 for _, e in uses)
