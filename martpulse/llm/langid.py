@@ -33,6 +33,8 @@ CACHE_CHARS = 64
 CACHE_ENTRIES = 400_000
 #: Letters of the words whose lattices are summed in one step, at most; a longer word is summed on its own.
 RUN_CHARS = 50_000
+#: Characters of the texts whose words are looked up together; the last text of such a group may be longer.
+GROUP_CHARS = 500_000
 #: Probability of a character that no piece covers.
 STRAY = 1e-9
 
@@ -231,15 +233,33 @@ class LanguageModel:
         return self.rows[list(map(cache.__getitem__, found))]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = split_words(text)
-        if not found or not self.languages:
-            return UNKNOWN, 0.0
-        words, times = list(found), np.fromiter(found.values(), float, len(found))
-        total = np.zeros(len(self.languages))
-        for i in range(0, len(words), 200_000):
-            total += times[i:i + 200_000] @ self.word_rows(words[i:i + 200_000])
-        best = int(total.argmax())
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and its share by text; the new words of about GROUP_CHARS characters of text are summed together."""
+        out, group, chars = [], [], 0
+        for text in texts:
+            group.append(split_words(text) if self.languages else Counter())
+            chars += len(text or "")
+            if chars > GROUP_CHARS:
+                out += self._predict_group(group)
+                group, chars = [], 0
+        return out + self._predict_group(group)
+
+    def _predict_group(self, group: list[Counter]) -> list[tuple[str, float]]:
+        every = list(set().union(*group))
+        at = dict(zip(every, range(len(every)), strict=True))
+        rows = self.word_rows(every) if every else None
+        out = []
+        for found in group:
+            if not found:
+                out.append((UNKNOWN, 0.0))
+                continue
+            times = np.fromiter(found.values(), float, len(found))
+            total = times @ rows[np.fromiter(map(at.__getitem__, found), np.int64, len(found))]
+            best = int(total.argmax())
+            out.append((self.languages[best], float(1.0 / np.exp(total - total[best]).sum())))
+        return out
 
 
 def train(spark: SparkSession, df: DataFrame, vocabulary_path: str, text: str = "text", lang: str = "lang",
@@ -317,7 +337,7 @@ def predict(spark: SparkSession, df: DataFrame, model: LanguageModel, text: str
 
     def run(texts: pa.Array) -> list[pa.Array]:
         known = shared.get()
-        out = [known.predict(t) for t in texts.to_pylist()]
+        out = known.predict_all(texts.to_pylist())
         return [pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())]
 
     return add_columns(df, text, run, "lang_pred string, score double")
