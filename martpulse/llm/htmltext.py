@@ -4,7 +4,9 @@ Every element of a page is a node that is content or not. A node has a score fro
 id words, its text and its links; parent and child have potentials for agreeing. Sum-product messages go
 up the tree and down again and give each node's content marginal. The weights are fitted by gradient steps
 on the likelihood of labelled pages (exact, from the same messages), around stated prior weights, so that
-hints rare in the sample keep a sensible weight.
+hints rare in the sample keep a sensible weight. Each labelled page is learned from twice: as it is, and with its
+article made a plain division without class or id, so that the weights also hold for pages that mark no article.
+There the prose itself tells: paragraphs of some length that are not links, and headings above them.
 
 Text of content nodes is cut into blocks at block elements, character references are decoded, white space
 inside a block becomes one space, and blocks are joined by a line feed.
@@ -60,19 +62,29 @@ NEGATIVE_WORDS = frozenset(
     "related recommended breadcrumb breadcrumbs widget widgets toolbar pagination pager subscribe newsletter signup login "
     "search form copyright legal masthead tags alert".split())
 POSITIVE_WORDS = frozenset("article content main post entry story body text page".split())
+#: Words that say no more of a part than the listed word beside them does ("site-footer", "comment-list").
+PLAIN_WORDS = frozenset(
+    "area bar block bottom box btn button buttons card container global group holder inner item items left link links list "
+    "listing message module news outer panel policy posts articles right row section site slot social stories thread title top "
+    "unit user wrap wrapper".split())
 
 _TAG = re.compile(r"""<(?:(?P<skip>!--(?:.*?-->|.*\Z)|[!?][^>]*(?:>|\Z))|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"""
                   r"""(?P<attrs>(?:[^>"'=]|=\s*"[^"]*"|=\s*'[^']*'|["'=])*+)(?P<shut>>|\Z))""", re.S)
 _HINT = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[a-z]{2,}")
 #: End tag of each raw element, in the page itself: lower-casing a page can move its places.
 _SHUT = {name: re.compile(rf"</{name}(?=[\s/>])", re.I | re.A) for name in RAW}
 
 FEATURES = ("bias", "positive tag", "negative tag", "positive word", "negative word", "heading", "paragraph", "list item",
-            "link", "inline", "division", "root", "long text", "short text", "no text", "mostly links")
+            "link", "inline", "division", "root", "long text", "short text", "no text", "mostly links",
+            # a listed word beside others that change its sense; the rest only on pages that mark no article
+            "doubtful word", "prose", "sentence", "heading of prose", "open root")
 #: Prior weights, in the order of FEATURES; then the costs of content that begins below other nodes, and of
 #: other nodes below content. The second is low: articles hold adverts, but menus hold no articles.
-PRIOR = np.array([-0.2, 20.0, -40.0, 4.0, -40.0, 0.2, 0.4, -0.2, -0.2, 0.0, -0.1, -40.0, 0.2, -0.2, -0.1, -1.5, 4.0, 0.8])
+PRIOR = np.array([0.0, 20.0, -40.0, 4.0, -40.0, 0.2, 0.4, -0.2, -0.2, 0.0, -0.1, -40.0, 0.2, -0.2, -0.1, -1.5,
+                  -0.1, 6.0, 1.5, 1.5, -3.5, 4.0, 0.8])
+#: Letters of a block's own text that make a paragraph prose, any other block prose, and a paragraph a sentence.
+PROSE, BARE_PROSE, SENTENCE = 80, 200, 25
 
 
 @dataclass
@@ -211,28 +223,72 @@ def _close(stack: list[int], tags: list[str], name: str) -> None:
                     break
 
 
+def hint_of(hints: str) -> str:
+    """What an element's class, id and role say: "negative", "positive", "doubtful" or nothing.
+
+    A name is negative if it holds a listed word and nothing but listed and plain words; beside other words
+    ("comments-open", "related-work") a listed word is doubtful.
+    """
+    kinds = set()
+    for h in _HINT.findall(hints):
+        for name in h.lower().split():
+            words = _WORD.findall(name)
+            bad = [w in NEGATIVE_WORDS for w in words]
+            if any(bad):
+                kinds.add("negative" if all(x or w in PLAIN_WORDS or w in POSITIVE_WORDS for x, w in zip(bad, words, strict=True)) else "doubtful")
+            elif not POSITIVE_WORDS.isdisjoint(words):
+                kinds.add("positive")
+    return next((k for k in ("negative", "positive", "doubtful") if k in kinds), "")
+
+
 def node_features(page: Page) -> list[list[int]]:
     """Numbers of the features that hold, by node."""
     n = len(page.tag)
-    total, linked = [0] * n, [0] * n
+    tags, parents = page.tag, page.parent
+    total, linked, own, away = [0] * n, [0] * n, [0] * n, [0] * n
     for node, _, t in page.texts:
         size = len(t.strip())
         total[node] += size
-        if page.tag[node] == "a":
+        own[node] += size
+        if tags[node] == "a":
             linked[node] += size
     for i in range(n - 1, 0, -1):
-        p = page.parent[i]
+        p, link = parents[i], tags[i] == "a"
         total[p] += total[i]
-        linked[p] += total[i] if page.tag[i] == "a" else linked[i]
+        linked[p] += total[i] if link else linked[i]
+        if tags[i] in INLINE:  # a block's own text is also that of its phrases; ``away``: the linked part of it
+            own[p] += own[i]
+            away[p] += own[i] if link else away[i]
+    roots = ("#page", "html", "body")
+    kinds = [hint_of(h) if h and t not in roots and t not in ("a", "img") else "" for h, t in zip(page.hints, tags, strict=True)]
+    # a form around most of a page is its frame
+    bad = [k == "negative" or (t in NEGATIVE_TAGS or t in HIDDEN) and not (t == "form" and 2 * total[i] > total[0])
+           for i, (t, k) in enumerate(zip(tags, kinds, strict=True))]
+    barred = bad[:]  # in a part marked as something else
+    for i in range(1, n):
+        barred[i] = barred[i] or barred[parents[i]]
+    marked = any(t in POSITIVE_TAGS and total[i] and not barred[i] for i, t in enumerate(tags))
+    prose, headed = [False] * n, [False] * n
+    if not marked:
+        prose = [not barred[i] and t not in INLINE and 2 * away[i] <= own[i]
+                 and own[i] >= (PROSE if t in ("p", "blockquote", "pre") else BARE_PROSE) for i, t in enumerate(tags)]
+        below = [False] * n  # prose follows among the later nodes of the same parent
+        for i in range(n - 1, 0, -1):
+            p = parents[i]
+            headed[i] = below[p]
+            if prose[i]:
+                below[p] = True
     out = []
-    for i, t in enumerate(page.tag):
+    for i, t in enumerate(tags):
         f = [0]
         if t in POSITIVE_TAGS:
             f.append(1)
-        elif t in NEGATIVE_TAGS or t in HIDDEN:
+        elif bad[i] and kinds[i] != "negative" or t in NEGATIVE_TAGS and t != "form" or t in HIDDEN:
             f.append(2)
         elif t in ("p", "blockquote", "pre"):
             f.append(6)
+            if not marked and not barred[i] and own[i] >= SENTENCE and 2 * away[i] <= own[i]:
+                f.append(18)
         elif t in ("li", "td", "th", "dd", "dt"):
             f.append(7)
         elif t == "a":
@@ -241,20 +297,25 @@ def node_features(page: Page) -> list[list[int]]:
             f.append(9)
         elif len(t) == 2 and t[0] == "h" and t[1] in "123456":
             f.append(5)
-        elif t in ("div", "section"):
+            if headed[i] and not barred[i] and total[i]:
+                f.append(19)
+        elif t in ("div", "section", "form"):
             f.append(10)
-        elif t in ("#page", "html", "body"):
-            f.append(11)
-        if page.hints[i] and t not in ("#page", "html", "body", "a", "img"):
-            words = {w for h in _HINT.findall(page.hints[i]) for w in _WORD.findall(h.lower())}
-            if words & NEGATIVE_WORDS:
-                f.append(4)
-            elif words & POSITIVE_WORDS:
-                f.append(3)
+        elif t in roots:
+            f.append(20 if t == "body" and not marked or t == "#page" and not marked and "body" not in tags else 11)
+        if kinds[i] == "negative":
+            f.append(4)
+        elif kinds[i] == "positive":
+            f.append(3)
+        elif kinds[i] == "doubtful":
+            f.append(16)
+        if prose[i]:
+            f.append(17)
         size = total[i]
-        f.append(12 if size > 200 else 14 if size == 0 else 13 if size < 40 else 0)
-        if f[-1] == 0:
-            f.pop()
+        if size > 200:
+            f.append(12)
+        elif size < 40:
+            f.append(13 if size else 14)
         if size and 2 * linked[i] > size:
             f.append(15)
         out.append(f)
@@ -291,14 +352,18 @@ def label_by_markup(page: Page) -> list[bool]:
     out = [False]
     for i in range(1, len(page.tag)):
         t = page.tag[i]
-        words = {w for h in _HINT.findall(page.hints[i]) for w in _WORD.findall(h.lower())} if page.hints[i] else ()
-        if t in NEGATIVE_TAGS or t in HIDDEN or not NEGATIVE_WORDS.isdisjoint(words):
+        if t in NEGATIVE_TAGS or t in HIDDEN or page.hints[i] and hint_of(page.hints[i]) == "negative":
             out.append(False)
         else:
             out.append(t in POSITIVE_TAGS or out[page.parent[i]])
     return out
 
 
+def unmarked(page: Page) -> Page:
+    """The page as if its author had marked no article: divisions for it, no class, id or role."""
+    return Page(page.parent, ["div" if t in POSITIVE_TAGS else t for t in page.tag], [""] * len(page.tag), page.texts)
+
+
 def fit(pages: list[tuple[Page, list[bool]]], steps: int = 30, rate: float = 0.5, prior_strength: float = 0.05) -> np.ndarray:
     """Weights from labelled pages: gradient ascent on the mean log likelihood per node, around PRIOR."""
     w = PRIOR.copy()
@@ -355,7 +420,8 @@ def train(spark: SparkSession, pages: DataFrame, key: str = "page_id", html: str
     marked = pages.where(F.lower(F.col(html)).contains("<article") & (F.length(html) <= SAMPLE_CHARS) & F.col(key).isNotNull())
     sample = draw(marked.select(key, html), size, key, html).select(html).collect()
     parsed = [parse(r[0]) for r in sample]
-    return fit([(p, label_by_markup(p)) for p in parsed])
+    given = [(p, label_by_markup(p)) for p in parsed]
+    return fit([*given, *((unmarked(p), y) for p, y in given)])
 
 
 def extract(spark: SparkSession, pages: DataFrame, weights: np.ndarray, html: str = "html", out: str = "text") -> DataFrame:

@@ -197,6 +197,36 @@ def test_broken_pages(spark, weights):
     assert np.allclose(htmltext.train(spark, df.limit(0)), htmltext.PRIOR)
 
 
+LONG = "A sentence of the article that goes on for a while and says what it has to say. " * 8
+SHORT_NAV = "<nav><ul><li><a href=x>One</a><li><a href=y>Two</a></ul></nav>"
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<body><p>{p}</p></body>", "{p}"),
+    ("<body><section><h1>Title</h1><p>{p}</p><p>Short.</p></section></body>", "Title\n{p}\nShort."),
+    ("<html><body>{nav}<div><h1>Title</h1><p>{p}</p><p>{p}</p></div><footer>Copyright</footer></body>", "Title\n{p}\n{p}"),
+    ("<body>{nav}<h1>Title</h1><p>{p}</p><p>{p}</p><ul><li>one</li></ul><footer>{p}</footer></body>", "Title\n{p}\n{p}\none"),
+    ("<table><tr><td><a href=x>Home</a><br><a href=y>News</a></td><td><h1>Title</h1><p>{p}</p><p>{p}</p></td></tr></table>", "Title\n{p}\n{p}"),
+    ('<body><form id=page><div>{nav}</div><div><h2>Title</h2><p>{p}</p><p>{p}</p></div></form></body>', "Title\n{p}\n{p}"),
+    ('<article class="post type-post category-news comments-open"><h1>T</h1><p>a</p></article>', "T\na"),
+    ('<article class="post share-buttons-on"><p>a</p></article><p>{p}</p>', "a"),
+    ('<article><p class="alert-intro">one</p><section id="related-work"><h2>two</h2><p>{p}</p></section><div class="text-banner-free">'
+     '<p>three</p></div><section class="legal-analysis"><p>four</p></section></article>', "one\ntwo\n{p}\nthree\nfour"),
+    ('<div><h1>T</h1><p>{p}</p><p>{p}</p></div><div class="site-comments"><p>{p}</p><p>{p}</p><article class="comment"><p>{p}</p></article></div>',
+     "T\n{p}\n{p}"),
+])
+def test_pages_without_marked_article(weights, page, text):
+    given, want = page.replace("{p}", LONG).replace("{nav}", SHORT_NAV), text.replace("{p}", LONG.strip())
+    assert htmltext.main_text(given, weights) == want
+
+
+def test_articles_made_divisions(spark, weights):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    right = [htmltext.main_text(re.sub(r' class="[^"]*"', "", re.sub(r"<(/?)article[^>]*>", r"<\1div>", r.html)), weights)
+             == htmltext.main_text(r.html, weights) for r in rows]
+    assert np.mean(right) >= 0.95
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
