@@ -75,3 +75,81 @@ def pii_spans(text):
         if 10 <= sum(c in "0123456789" for c in m.group()) <= 15:
             out.append((m.start(), 3, m.end()))
     return [(("email", "ip", "card", "phone")[k], s, e) for s, k, e in sorted(out)]
+
+
+def secret_values(text):
+    """(start, value) of every secret candidate, found one character after another."""
+    word = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+    part = word | set("+/")
+    key, named = part | {"="}, part | set("!@#$%^*~")
+    names = r"(?i:token|secret|password|passwd|passphrase|pwd|api_?key|access_?key|private_?key|credentials?|bearer)(?i:_[a-z]{1,12})?"
+
+    def run(t, p, chars):
+        while p < len(t) and t[p] in chars:
+            p += 1
+        return p
+
+    def named_end(t, p):
+        if p >= len(t) or t[p] not in named - {"-"}:
+            return 0
+        e = p
+        while e < len(t) and (t[e] in named or (t[e] == "." and t[e + 1:e + 2] in named)):
+            e += 1
+        if e - p < 8:
+            return 0
+        e += min(2, run(t, e, "=") - e)
+        return 0 if t[e:e + 1] in key else e
+
+    def after_name(t, p):
+        return re.search(names + r"[\"'`]?[ \t]{0,3}(?:=>|[:=]{1,2})[ \t]{0,3}[\"'`]?\Z", t[max(0, p - 60):p]) is not None
+
+    def signed_end(t, p):
+        a = run(t, p + 3, word)
+        b = run(t, a + 1, word)
+        fits = t.startswith("eyJ", p) and a - p >= 11 and t[a:a + 1] == "." and b > a + 1 and t[b:b + 1] == "."
+        return run(t, b + 1, word) if fits else 0
+
+    def block_end(t, p):
+        first = re.compile("-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY( BLOCK)?-----").match(t, p)
+        at = t.find("-----", first.end()) if first else -1
+        last = re.compile("-----END [A-Z0-9 ]{0,40}PRIVATE KEY( BLOCK)?-----").match(t, at) if at >= 0 else None
+        return last.end() if last else 0
+
+    def run_end(t, p):
+        if t[p] not in key or (p and t[p - 1] in key):
+            return 0
+        e = run(t, p, key)
+        for q in range(p, e):
+            if (q == 0 or t[q - 1] not in part) and signed_end(t, q):
+                return signed_end(t, q)
+        gives = re.compile("[A-Za-z_-]{0,40}" + names + "={1,2}").match(t, p)
+        fits = e - p >= 16 and any("0" <= c <= "9" for c in t[p:e])
+        return e if fits and not (gives and named_end(t, gives.end())) else 0
+
+    def cut(t):
+        q = 0
+        while q < len(t):
+            end = 0
+            if q == 0 or t[q - 1] not in part:
+                end = signed_end(t, q)
+                e = run(t, q, part)
+                tail = run(t, e, "=") == len(t)
+                digit = any("0" <= c <= "9" for c in t[q:e])
+                long = e - q >= 16 or (tail and e < len(t) and len(t) - q >= 16)
+                if not end and e > q and ((digit and long) or (q and t[q - 1] == "=" and e - q >= 8)):
+                    end = len(t) if tail else e
+            if end:
+                yield q, t[q:end]
+            q = end or q + 1
+
+    out, p = [], 0
+    while p < len(text):
+        end = block_end(text, p) or (after_name(text, p) and named_end(text, p)) or run_end(text, p)
+        if end:
+            t = text[p:end]
+            if t.startswith("-----BEGIN ") or (after_name(text, p) and named_end(t, 0) == len(t)):
+                out.append((p, t))
+            else:
+                out.extend((p + q, v) for q, v in cut(t))
+        p = end or p + 1
+    return out
