@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from martpulse.llm.common import Scratch, draw, fresh
 
 KEY_CHARS = "A-Za-z0-9+/_=-"
-RUN = rf"(?<![{KEY_CHARS}])(?=[A-Za-z+/_=-]*+[0-9])[{KEY_CHARS}]{{16,}}+"
-#: Within such a run: a part of 16 or more with a digit, or of 8 or more after '='; '=' belongs to it only as padding at the run's end.
+#: Within a run of key characters: a part of 16 or more with a digit, or of 8 or more after '='; '=' belongs to it only as padding at the run's end.
 PART_CHARS = "A-Za-z0-9+/_-"
 VALUE = (rf"(?<![{PART_CHARS}])(?:(?=[A-Za-z+/_-]*+[0-9])(?:[{PART_CHARS}]{{16,}}+|(?=[{KEY_CHARS}]{{16}})[{PART_CHARS}]++(?==++\z))"
          rf"|(?<==)[{PART_CHARS}]{{8,}}+)(?:=++\z)?+")
@@ -45,8 +44,9 @@ NAMED_CHARS = r"A-Za-z0-9+/_!@#$%^*~-"
 NAMED_VALUE = rf"(?=[A-Za-z0-9+/_!@#$%^*~])(?:[{NAMED_CHARS}]|\.(?=[{NAMED_CHARS}])){{8,}}+={{0,2}}+(?![{KEY_CHARS}])"
 #: The first two conditions only spare the third, longer one at most places of a text.
 NAMED = rf"(?<=[:=>\s\"'`])(?<=[:=]>?[ \t]{{0,3}}[\"'`]?)(?<={NAME}){NAMED_VALUE}"
-CANDIDATE = (rf"{BLOCK}|{NAMED}|(?<![{KEY_CHARS}])[{KEY_CHARS}]*?(?<![{PART_CHARS}]){SIGNED}"
-             rf"|(?![A-Za-z_-]{{0,40}}{NAME_WORD}={{1,2}}{NAMED_VALUE}){RUN}")
+#: Every run is looked at once from its start; the longer conditions come after the shorter ones.
+CANDIDATE = (rf"{BLOCK}|{NAMED}|(?<![{KEY_CHARS}])(?:(?=e|[{PART_CHARS}]*+=)[{KEY_CHARS}]*?(?<![{PART_CHARS}]){SIGNED}"
+             rf"|(?=[{KEY_CHARS}]{{16}})(?=[A-Za-z+/_=-]*+[0-9])(?![A-Za-z_-]{{0,40}}{NAME_WORD}={{1,2}}{NAMED_VALUE})[{KEY_CHARS}]{{16,}}+)")
 VALUE = rf"(?<![{PART_CHARS}]){SIGNED}|{VALUE}"
 NEAR = 40
 MASK = "[SECRET]"
