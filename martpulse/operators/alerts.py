@@ -9,7 +9,8 @@ Batch plan (panes): a window of ``size`` sliding by ``slide`` is a union of ``si
 and merged into windows, which decides what alerts. Then the events of alerting windows alone are
 gathered, by joining the rows to those windows' panes. No list is built for a window that doesn't alert.
 Streaming plan: the same panes as two chained watermarked window aggregations (append mode): one
-state row per (device, pane), then the closed pane summaries slid into the windows. A window is emitted
+state row per (device, pane), then the closed pane summaries slid into the windows. ``attach_events`` takes the events
+of alerting windows from a stored table instead of the state. A window is emitted
 once the watermark passes its end: on a quiet topic a later record (a heartbeat) moves it on.
 """
 
@@ -79,35 +80,53 @@ def with_alert_id(alerts: DataFrame) -> DataFrame:
 def coupon_alerts_stream(actions: DataFrame, size_seconds: int = SIZE_SECONDS,
                          slide_seconds: int = SLIDE_SECONDS, min_uids: int = MIN_UIDS,
                          trigger_evid: str = TRIGGER_EVID, veto_evid: str = VETO_EVID,
-                         ts: str = "ts", lateness: str = "1 hour", tie=()) -> DataFrame:
+                         ts: str = "ts", lateness: str = "1 hour", tie=(), with_events: bool = True) -> DataFrame:
     """Streaming pane plan: two chained watermarked window aggregations (append mode).
 
     Stage 1 keeps one state row per (device, pane); stage 2 places each closed pane (by its
     ``window_time``, which lies in exactly the windows containing the whole pane) into the sliding
     windows and merges the summaries. State holds pane summaries, not size/slide copies of raw rows.
     Where slide > size, each window is the beginning of one slide-long cell; panes in the gaps are left out.
+    Without ``with_events`` the state holds sets and veto only; ``attach_events`` adds the events of what alerted.
     """
     pane = math.gcd(int(size_seconds), int(slide_seconds))
     trig = F.col("evid") == F.lit(trigger_evid)
+    lists = [F.collect_list(F.struct(F.col(ts), *tie, F.col("evid"))).alias("__evs")] if with_events else []
     panes = (actions.withWatermark(ts, lateness)
              .groupBy(F.window(F.col(ts), f"{pane} seconds").alias("pw"), "mid")
              .agg(F.collect_set(F.when(trig, F.col("uid"))).alias("__uids"),
                   F.collect_set(F.when(trig, F.col("itemid"))).alias("__items"),
-                  F.collect_list(F.struct(F.col(ts), *tie, F.col("evid"))).alias("__evs"),
-                  F.max(F.when(F.col("evid") == F.lit(veto_evid), 1).otherwise(0)).alias("__veto")))
+                  F.max(F.when(F.col("evid") == F.lit(veto_evid), 1).otherwise(0)).alias("__veto"), *lists))
     gaps = int(slide_seconds) > int(size_seconds)
     if gaps:
         panes = panes.where(F.pmod(F.unix_seconds("pw.start"), F.lit(int(slide_seconds))) < int(size_seconds))
     w = F.window(F.window_time("pw"), f"{int(slide_seconds if gaps else size_seconds)} seconds", f"{int(slide_seconds)} seconds")
+    chunks = [F.collect_list(F.struct(F.col("pw.start").alias("p"), F.array_sort("__evs").alias("e"))).alias("__chunks")] if with_events else []
     merged = (panes.groupBy(w.alias("w"), "mid")
-              .agg(F.collect_list("__uids").alias("__u"), F.collect_list("__items").alias("__i"),
-                   F.collect_list(F.struct(F.col("pw.start").alias("p"), F.array_sort("__evs").alias("e")))
-                   .alias("__chunks"),
-                   F.max("__veto").alias("__veto")))
+              .agg(F.collect_list("__uids").alias("__u"), F.collect_list("__items").alias("__i"), F.max("__veto").alias("__veto"), *chunks))
     uids = F.array_sort(F.array_distinct(F.flatten("__u")))
-    events = F.flatten(F.transform(F.array_sort("__chunks"), lambda c: F.transform(c["e"], lambda e: e["evid"])))
+    events = [F.flatten(F.transform(F.array_sort("__chunks"), lambda c: F.transform(c["e"], lambda e: e["evid"]))).alias("events")
+              ] if with_events else []
     return (merged.where((F.size(uids) >= min_uids) & (F.col("__veto") == 0))
                   .select("mid", F.col("w.start").alias("window_start"),
                           F.timestamp_seconds(F.unix_seconds("w.start") + int(size_seconds)).alias("window_end"),
-                          uids.alias("uids"), F.array_sort(F.array_distinct(F.flatten("__i"))).alias("item_ids"),
-                          events.alias("events")))
+                          uids.alias("uids"), F.array_sort(F.array_distinct(F.flatten("__i"))).alias("item_ids"), *events))
+
+
+def attach_events(alerts: DataFrame, actions: DataFrame, size_seconds: int = SIZE_SECONDS, slide_seconds: int = SLIDE_SECONDS,
+                  ts: str = "ts", tie=()) -> DataFrame:
+    """``alerts`` (mid, window_start, ...) plus ``events``: the kinds of all events of the window, in time order.
+
+    Joined by (device, pane), so a busy device's events are only compared with the windows around them. An alert without
+    a stored event has an empty list; an alert without device has one too.
+    """
+    pane_us = math.gcd(int(size_seconds), int(slide_seconds)) * 1_000_000
+    start = F.unix_micros("window_start")
+    panes = F.sequence(start, start + F.lit(int(size_seconds) * 1_000_000 - pane_us), F.lit(pane_us))
+    wanted = alerts.select("mid", "window_start", F.explode(panes).alias("__pane"))
+    rows = actions.select("mid", _floor_to(F.unix_micros(F.col(ts)), pane_us).alias("__pane"),
+                          F.struct(F.col(ts), *tie, F.col("evid")).alias("__e"))
+    events = (rows.join(wanted, ["mid", "__pane"]).groupBy("mid", "window_start")
+              .agg(F.transform(F.array_sort(F.collect_list("__e")), lambda e: e["evid"]).alias("events")))
+    none = F.array().cast("array<string>")
+    return alerts.join(events, ["mid", "window_start"], "left").withColumn("events", F.coalesce("events", none))

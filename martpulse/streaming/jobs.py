@@ -18,7 +18,7 @@ from martpulse import schemas
 from martpulse.functions.jsonrec import parse_json
 from martpulse.functions.masking import mask_phone
 from martpulse.functions.timeparts import ms_to_ts, with_create_parts, with_time_parts
-from martpulse.operators.alerts import coupon_alerts_stream, with_alert_id
+from martpulse.operators.alerts import attach_events, coupon_alerts_stream, with_alert_id
 from martpulse.operators.dedup import first_per_day_stream
 from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc, route_logs, route_logs_typed
@@ -221,6 +221,49 @@ def alert_job(actions: DataFrame, table_path: str, checkpoint: str, size_seconds
     return _start(alerts.writeStream.outputMode("append").foreachBatch(sink), checkpoint, available_now)
 
 
+EVENT_DAY = "event_day"
+
+
+def event_table_job(actions: DataFrame, events_path: str, checkpoint: str, ts: str = "ts", available_now: bool = False):
+    """Action events -> event table in folders by day, each event once (the file sink's log)."""
+    rows = actions.withColumn(EVENT_DAY, F.to_date(F.col(ts)))
+    return _start(rows.writeStream.format("parquet").option("path", events_path).partitionBy(EVENT_DAY), checkpoint, available_now)
+
+
+def alert_from_table_job(spark: SparkSession, schema, events_path: str, table_path: str, checkpoint: str, size_seconds: int = 100,
+                         slide_seconds: int = 10, lateness: str = "1 minute", available_now: bool = False, tie=(),
+                         compact_every: int | None = COMPACT_EVERY, files_per_trigger: int | None = None):
+    """``alert_job`` over the table of ``event_table_job``, with no event in the state.
+
+    The table is the stream's source, so every event that the state has counted is stored. A micro-batch stages its alerts,
+    then reads the day folders that their windows touch. Events behind the watermark count for no alert, but stand in the
+    lists of windows that close after they are stored. ``schema``: of the events, without the day.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    alerts = coupon_alerts_stream(reader.parquet(events_path), size_seconds, slide_seconds, lateness=lateness, with_events=False)
+
+    def _write(batch_df: DataFrame, batch_id: int) -> None:
+        session, stage = batch_df.sparkSession, f"{table_path.rstrip('/')}/_stage/{BATCH_COL}={int(batch_id)}"
+        batch_df.write.mode("overwrite").parquet(stage)
+        staged = session.read.schema(batch_df.schema).parquet(stage)
+        days = staged.agg(F.to_date(F.min("window_start")).alias("lo"), F.to_date(F.max("window_end")).alias("hi")).first()
+        if days["lo"] is not None:
+            stored = session.read.schema(_with_day(schema)).parquet(events_path).where(F.col(EVENT_DAY).between(days["lo"], days["hi"]))
+            found = with_alert_id(attach_events(staged, stored, size_seconds, slide_seconds, tie=tie))
+            upsert_batch(found, batch_id, table_path, "id", "ts")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact(session, table_path, "id", "ts", upto=batch_id)
+        delete(session, stage)
+
+    return _start(alerts.writeStream.outputMode("append").foreachBatch(_write), checkpoint, available_now)
+
+
+def _with_day(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(EVENT_DAY, T.DateType())])
+
+
 def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: str = "seq",
                  available_now: bool = False, compact_every: int | None = COMPACT_EVERY):
     """User changes -> user dimension (upsert on id, last write wins, never expires).

@@ -121,6 +121,37 @@ def test_stream_alert_panes_equal_batch_over_several_batches(spark, scratch, siz
     assert want and got == want
 
 
+@pytest.mark.parametrize("size, slide", [(120, 30), (40, 60)])
+def test_alerts_from_the_event_table_hold_no_events_in_state(spark, scratch, size, slide):
+    """Three files over midnight, one per trigger: the stored alerts equal the batch's closed windows, the last of each minute."""
+    import random
+
+    from martpulse.operators.alerts import coupon_alerts, coupon_alerts_stream, with_alert_id
+
+    rnd = random.Random(12)
+    base = dt.datetime(2024, 1, 14, 23, 45)
+    evids = ["coupon"] * 5 + ["addCart", "clickItem"]
+    rows = [(i, rnd.choice(["m1", "m2", "m3", None]), f"u{rnd.randint(1, 6)}", rnd.choice(evids), str(rnd.randint(1, 4)),
+             base + dt.timedelta(seconds=3 * i + rnd.randint(0, 2))) for i in range(600)]
+    df = spark.createDataFrame(rows, "event_id long, mid string, uid string, evid string, itemid string, ts timestamp")
+    df = df.where("mid is not null")
+    for k in range(3):
+        df.where(F.floor(F.col("event_id") / 200) == k).coalesce(1).write.parquet(f"{scratch}/in/f{k}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in/*")
+    J.run_to_end(J.event_table_job(stream, f"{scratch}/events", f"{scratch}/ck-events", available_now=True))
+    J.run_to_end(J.alert_from_table_job(spark, df.schema, f"{scratch}/events", f"{scratch}/alerts", f"{scratch}/ck", size, slide,
+                                        "5 minutes", available_now=True, tie=("event_id",), files_per_trigger=1))
+    got = {(r.id, r.window_start, tuple(r.uids), tuple(r.events)) for r in current(spark, f"{scratch}/alerts", "id", "ts").collect()}
+    closed_by = df.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=5)
+    last = {}
+    for r in with_alert_id(coupon_alerts(df, size, slide, tie=("event_id",))).orderBy("window_start").collect():
+        if r.window_start + dt.timedelta(seconds=max(size, slide)) <= closed_by:
+            last[r.id] = (r.id, r.window_start, tuple(r.uids), tuple(r.events))
+    assert last and got == set(last.values())
+    plan = coupon_alerts_stream(stream, size, slide, with_events=False)._jdf.queryExecution().analyzed().toString()
+    assert "event_id" not in plan.split("Aggregate", 2)[1] and "__evs" not in plan
+
+
 def test_sale_job_without_user_table_keeps_rows(spark, scratch):
     order = {"id": "o1", "user_id": "u1", "order_status": "1", "create_time": "2024-01-15 10:00:00",
              "consignee_tel": "1", "total_amount": "5"}
