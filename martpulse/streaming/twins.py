@@ -280,7 +280,7 @@ def q_stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:
 ALERT_SCALE = 1440   # a day of events becomes a minute, so that several slides share a minute
 
 
-@C.register("stream_alert_table", f"""SELECT id, arg_max(mid, ws) AS mid, arg_max(uids, ws) AS uids, arg_max(events, ws) AS events FROM (
+ALERT_TABLE_SQL = f"""SELECT id, arg_max(mid, ws) AS mid, arg_max(uids, ws) AS uids, arg_max(events, ws) AS events FROM (
   SELECT mid || '_' || (CAST(epoch(ws + INTERVAL {C.ALERT_SIZE // 1440} SECOND) AS BIGINT) // 60) AS id, mid, ws,
   array_to_string(list_sort(list(DISTINCT uid) FILTER (WHERE evid = 'coupon')), ',') AS uids,
   string_agg(evid, ',' ORDER BY t, event_id) AS events
@@ -288,10 +288,11 @@ ALERT_SCALE = 1440   # a day of events becomes a minute, so that several slides
     FROM action_log) a,
     (SELECT unnest(generate_series(TIMESTAMP '2023-12-31 23:58:00', TIMESTAMP '2024-01-01 00:32:00', INTERVAL {C.ALERT_SLIDE // 1440} SECOND)) AS ws) w
   WHERE t >= ws AND t < ws + INTERVAL {C.ALERT_SIZE // 1440} SECOND GROUP BY mid, ws
-  HAVING count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) >= 3 AND NOT bool_or(evid = 'clickItem')) GROUP BY id""", ("action_log",))
-def q_stream_alert_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The alert job's table: one alert per device and minute, the last window wins; a heartbeat closes the last windows."""
-    run = _run_dir(spark, "alert_table")
+  HAVING count(DISTINCT CASE WHEN evid = 'coupon' THEN uid END) >= 3 AND NOT bool_or(evid = 'clickItem')) GROUP BY id"""
+
+
+def _quick_actions(spark: SparkSession, sf: str, run: str) -> DataFrame:
+    """The action log ALERT_SCALE times as quick, as a stream of files; a heartbeat in the last closes all windows."""
     zero = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
     a = SI.action_log(spark, sf)
     a = a.withColumn("ts", F.timestamp_micros(zero + F.floor((F.unix_micros("ts") - zero) / ALERT_SCALE).cast("long")))
@@ -300,13 +301,34 @@ def q_stream_alert_table(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", F.lit("heartbeat").alias("mid"), F.lit(None).cast("string").alias("uid"), "ts", F.lit("beat").alias("evid"),
         F.lit(None).cast("string").alias("itemid"))
     beat.select(*a.columns).coalesce(1).write.parquet(f"{run}/in/1")
-    actions = spark.readStream.schema(a.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/*")
-    J.run_to_end(J.alert_job(actions, f"{run}/alerts", f"{run}/ckpt", C.ALERT_SIZE // ALERT_SCALE, C.ALERT_SLIDE // ALERT_SCALE,
-                             "1 minute", available_now=True, tie=("event_id",)))
+    return spark.readStream.schema(a.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/*")
+
+
+def _alert_rows(spark: SparkSession, run: str) -> DataFrame:
     t = current(spark, f"{run}/alerts", "id", "ts")
     return t.select("id", "mid", F.array_join("uids", ",").alias("uids"), F.array_join("events", ",").alias("events"))
 
 
+@C.register("stream_alert_table", ALERT_TABLE_SQL, ("action_log",))
+def q_stream_alert_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert job's table: one alert per device and minute, the last window wins; a heartbeat closes the last windows."""
+    run = _run_dir(spark, "alert_table")
+    J.run_to_end(J.alert_job(_quick_actions(spark, sf, run), f"{run}/alerts", f"{run}/ckpt", C.ALERT_SIZE // ALERT_SCALE,
+                             C.ALERT_SLIDE // ALERT_SCALE, "1 minute", available_now=True, tie=("event_id",)))
+    return _alert_rows(spark, run)
+
+
+@C.register("stream_alerts_from_table", ALERT_TABLE_SQL, ("action_log",))
+def q_stream_alerts_from_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table from a stored event table, with no event in the state."""
+    run = _run_dir(spark, "alerts_from_table")
+    actions = _quick_actions(spark, sf, run)
+    J.run_to_end(J.event_table_job(actions, f"{run}/events", f"{run}/ckpt-events", available_now=True))
+    J.run_to_end(J.alert_from_table_job(spark, actions.schema, f"{run}/events", f"{run}/alerts", f"{run}/ckpt", C.ALERT_SIZE // ALERT_SCALE,
+                                        C.ALERT_SLIDE // ALERT_SCALE, "1 minute", available_now=True, tie=("event_id",)))
+    return _alert_rows(spark, run)
+
+
 def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Orders in versions: first with another amount and hour for some, then as they are, then a late old version
     of some. ``step`` is the file they come in."""
