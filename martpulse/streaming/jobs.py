@@ -251,8 +251,10 @@ def alert_from_table_job(spark: SparkSession, schema, events_path: str, table_pa
         days = staged.agg(F.to_date(F.min("window_start")).alias("lo"), F.to_date(F.max("window_end")).alias("hi")).first()
         if days["lo"] is not None:
             stored = session.read.schema(_with_day(schema)).parquet(events_path).where(F.col(EVENT_DAY).between(days["lo"], days["hi"]))
-            found = with_alert_id(attach_events(staged, stored, size_seconds, slide_seconds, tie=tie))
-            upsert_batch(found, batch_id, table_path, "id", "ts")
+        else:   # nothing alerts: the batch is written without rows, so the table can be read and compacted
+            stored = session.createDataFrame([], _with_day(schema))
+        found = with_alert_id(attach_events(staged, stored, size_seconds, slide_seconds, tie=tie))
+        upsert_batch(found, batch_id, table_path, "id", "ts")
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact(session, table_path, "id", "ts", upto=batch_id)
         delete(session, stage)

@@ -152,6 +152,20 @@ def test_alerts_from_the_event_table_hold_no_events_in_state(spark, scratch, siz
     assert "event_id" not in plan.split("Aggregate", 2)[1] and "__evs" not in plan
 
 
+def test_alerts_from_the_event_table_without_any_alert(spark, scratch):
+    """Where a click vetoes every window, the table is there without rows, and a compaction of it runs."""
+    base = dt.datetime(2024, 1, 15)
+    rows = [(i, "m1", f"u{i % 5}", "clickItem" if i % 2 else "coupon", "1", base + dt.timedelta(seconds=i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, mid string, uid string, evid string, itemid string, ts timestamp")
+    df.coalesce(1).write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{scratch}/in")
+    J.run_to_end(J.event_table_job(stream, f"{scratch}/events", f"{scratch}/ck-events", available_now=True))
+    J.run_to_end(J.alert_from_table_job(spark, df.schema, f"{scratch}/events", f"{scratch}/alerts", f"{scratch}/ck", 20, 10,
+                                        "10 seconds", available_now=True, tie=("event_id",), compact_every=1))
+    table = current(spark, f"{scratch}/alerts", "id", "ts")
+    assert table.count() == 0 and {"id", "mid", "uids", "events", "ts"} <= set(table.columns)
+
+
 def test_sale_job_without_user_table_keeps_rows(spark, scratch):
     order = {"id": "o1", "user_id": "u1", "order_status": "1", "create_time": "2024-01-15 10:00:00",
              "consignee_tel": "1", "total_amount": "5"}
