@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martpulse.operators.upsert import BATCH_COL, compact, rows_since_snapshot
+
 
 def _bucket(ts: Column, width_us: int) -> Column:
     us = F.unix_micros(ts)
@@ -47,3 +49,43 @@ def pair_within_stream(left: DataFrame, right: DataFrame, key: str, bound_second
     cond = ((F.col(lk) == F.col(rk)) & (F.col("__lb") == F.col("__rb"))
             & (F.col(right_ts) >= F.col(left_ts) - bound) & (F.col(right_ts) <= F.col(left_ts) + bound))
     return lw.join(rw, cond, "inner").withColumnRenamed(lk, key).drop(rk, "__lb", "__rb")
+
+
+COMPACT_EVERY = 20   # micro-batches between snapshots of the pending rows
+
+
+def pair_within_batches(left: DataFrame, right: DataFrame, key: str, bound_seconds: int, left_ts: str, right_ts: str, lateness: str,
+                        before, after, state: str, batch_id: int, out: str, compact_every: int = COMPACT_EVERY) -> DataFrame:
+    """The pairs that one micro-batch adds to ``pair_within_stream``, written to ``out`` (overwritten) and read from there.
+
+    ``before``, ``after``: latest times (microseconds, left and right) of the micro-batches without this one and with it;
+    the watermark is the lesser of the two less the lateness, as Spark's own. A micro-batch's rows behind the watermark are
+    dropped. Rows that a later row may still pair with lie in a folder per micro-batch below ``state`` and are read by the
+    next ones; every ``compact_every``-th folds those still alive into a snapshot. A replay reads and writes the same.
+    """
+    spark, old = left.sparkSession, []
+    sides = [("left", left, left_ts), ("right", right, right_ts)]
+    new = [df.where(F.coalesce(F.col(ts) > _mark(before, lateness), F.lit(True)) & F.col(key).isNotNull() & F.col(ts).isNotNull())
+           for _, df, ts in sides]
+    reach = F.make_dt_interval(secs=F.lit(bound_seconds))
+    for (side, df, ts), rows in zip(sides, new, strict=True):
+        table = f"{state.rstrip('/')}/{side}"
+        # null watermark: all rows stay
+        alive = [F.coalesce(F.col(ts) >= _mark(marks, lateness) - reach, F.lit(True)) for marks in (before, after)]
+        old.append(rows_since_snapshot(spark, table, upto=batch_id - 1).select(*df.columns).where(alive[0]) if batch_id else None)
+        rows.where(alive[1]).write.mode("overwrite").parquet(f"{table}/{BATCH_COL}={int(batch_id)}")
+    pairs = pair_within(new[0] if old[0] is None else new[0].unionByName(old[0]), new[1], key, bound_seconds, left_ts, right_ts)
+    if old[1] is not None:
+        pairs = pairs.unionByName(pair_within(new[0], old[1], key, bound_seconds, left_ts, right_ts))
+    pairs.write.mode("overwrite").parquet(out)
+    if (batch_id + 1) % compact_every == 0:
+        for side, _, ts in sides:
+            fold = F.coalesce(F.col(ts) >= _mark(after, lateness) - reach, F.lit(True))
+            compact(spark, f"{state.rstrip('/')}/{side}", [], upto=batch_id, fold=lambda rows, fold=fold: rows.where(fold))
+    return spark.read.schema(pairs.schema).parquet(out)
+
+
+def _mark(latest, lateness: str) -> Column:
+    """The watermark, null while either stream has sent nothing."""
+    least = None if None in latest else min(latest)
+    return F.timestamp_micros(F.lit(least).cast("long")) - F.expr(f"INTERVAL {lateness}")

@@ -34,8 +34,12 @@ def alive(spark: SparkSession, path: str, schema, key, batch_id: int, clock: int
     return latest_per_key(rows, key, ["__at"]).where(F.lit(clock) - F.col("__at") < ttl).select(*schema.fieldNames())
 
 
+def _folder(path: str, batch_id: int, clock: int, wheel: int) -> str:
+    return f"{path}/epoch={clock // wheel}/batch_id={int(batch_id)}"
+
+
 def _keep(df: DataFrame, path: str, batch_id: int, clock: int, wheel: int) -> None:
-    df.withColumn("__at", F.lit(clock).cast("long")).write.mode("overwrite").parquet(f"{path}/epoch={clock // wheel}/batch_id={int(batch_id)}")
+    df.withColumn("__at", F.lit(clock).cast("long")).write.mode("overwrite").parquet(_folder(path, batch_id, clock, wheel))
 
 
 def drop_expired(spark: SparkSession, path: str, clock: int, ttl: int, wheel: int) -> None:
@@ -55,7 +59,11 @@ def pair_pending(orders: DataFrame, lines: DataFrame, state: str, batch_id: int,
     spark, wheel = orders.sparkSession, wheel or max(1, ttl // 4)
     keys = [order_key, line_key]
     orders, lines = orders.where(F.col(order_key).isNotNull()), lines.where(F.col(order_key).isNotNull())
-    orders, lines = _one(orders, [order_key]), _one(lines, keys)
+    stage = f"{out.rstrip('/')}.lines"   # each side is reduced once and read from there
+    _keep(_one(orders, [order_key]), f"{state}/orders", batch_id, clock, wheel)
+    _one(lines, keys).write.mode("overwrite").parquet(stage)
+    orders = spark.read.schema(orders.schema).parquet(_folder(f"{state}/orders", batch_id, clock, wheel))
+    lines = spark.read.schema(lines.schema).parquet(stage)
     stamped = [df.withColumn("__at", F.lit(clock).cast("long")).schema for df in (orders, lines)]
     old_orders = alive(spark, f"{state}/orders", stamped[0], order_key, batch_id, clock, ttl, wheel).drop("__at")
     old_lines = alive(spark, f"{state}/lines", stamped[1], keys, batch_id, clock, ttl, wheel).drop("__at")
@@ -65,10 +73,10 @@ def pair_pending(orders: DataFrame, lines: DataFrame, state: str, batch_id: int,
     pairs.write.mode("overwrite").parquet(out)
     refreshed = (old_lines.join(alone.select(order_key).distinct(), order_key, "left_semi")
                  .join(alone.select(*keys), keys, "left_anti"))
-    _keep(orders, f"{state}/orders", batch_id, clock, wheel)
     _keep(alone.unionByName(refreshed), f"{state}/lines", batch_id, clock, wheel)
     for side in ("orders", "lines"):
         drop_expired(spark, f"{state}/{side}", clock, ttl, wheel)
+    delete(spark, stage)
     return spark.read.schema(pairs.schema).parquet(out)
 
 

@@ -36,7 +36,8 @@ def rollup_batch(batch: DataFrame, batch_id: int, table: str, rollup: str, key:
         signed = after.withColumn("__sign", F.lit(1)).unionByName(old.withColumn("__at", F.lit(0)).withColumn("__sign", F.lit(-1)))
     amount = F.col("__sign") * F.coalesce(F.col(value).cast(AMOUNT), F.lit(0).cast(AMOUNT))
     change = signed.groupBy(*by).agg(F.sum("__sign").alias("n"), F.sum(amount).cast(AMOUNT).alias("amount")).where("n <> 0 or amount <> 0")
-    change.coalesce(1).write.mode("overwrite").parquet(f"{rollup.rstrip('/')}/{BATCH_COL}={int(batch_id)}")   # one row per changed group
+    # one row per changed group: summed by all tasks, then written as few files
+    change.hint("rebalance").write.mode("overwrite").parquet(f"{rollup.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
 def add_up(by):

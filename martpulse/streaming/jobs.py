@@ -20,7 +20,7 @@ from martpulse.functions.masking import mask_phone
 from martpulse.functions.timeparts import ms_to_ts, with_create_parts, with_time_parts
 from martpulse.operators.alerts import attach_events, coupon_alerts_stream, with_alert_id
 from martpulse.operators.dedup import first_per_day_stream
-from martpulse.operators.pairs import pair_within_stream
+from martpulse.operators.pairs import pair_within_batches
 from martpulse.operators.route import route_cdc, route_logs, route_logs_typed
 from martpulse.operators.pending import pair_pending
 from martpulse.operators.rollup import compact_rollup, rollup_batch
@@ -301,35 +301,40 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
              compact_every: int | None = COMPACT_EVERY):
     """Orders x lines within ``ttl_seconds`` of each other, plus the user lookup -> sale table.
 
-    The pair join is a watermarked stream-stream join; the user dimension is re-read inside each
-    micro-batch so the lookup sees the latest upserts (a static side read once would go stale).
+    The pair join is a watermarked join of the micro-batches (``pairs.pair_within_batches``): no row of a long history goes
+    through a state store. The user dimension is re-read inside each micro-batch so the lookup sees the latest upserts (a
+    static side read once would go stale).
     ``by_arrival``: the TTL runs from each message's arrival (stamped by its micro-batch), not from its
     ``create_time``. ``user_version``: the version column that the user table was written with.
     """
-    o = orders.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
-                      F.col("create_date").alias("dt"),
-                      F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss").alias("o_ts"))
-    d = details.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
-                       F.col("order_price").try_cast("double").alias("sku_price"),
-                       F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss").alias("d_ts"))
-    if by_arrival:
-        o, d = o.withColumn("o_ts", F.current_timestamp()), d.withColumn("d_ts", F.current_timestamp())
-    pairs = pair_within_stream(o, d, "order_id", ttl_seconds, "o_ts", "d_ts", lateness).drop("o_ts", "d_ts")
-
-    look_up = _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
+    at = F.current_timestamp() if by_arrival else F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")
+    o = orders.select(F.col("id").alias("order_id"), F.struct("order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
+                                                              at.alias("o_ts")).alias("o"))
+    d = details.select("order_id", F.struct(F.col("id").alias("order_detail_id"), "sku_id", "sku_name",
+                                            F.col("order_price").try_cast("double").alias("sku_price"), at.alias("d_ts")).alias("d"))
+    state, look_up = f"{table_path.rstrip('/')}/_pending", _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
 
     def _write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        # the pairs of this micro-batch are written once to a staging folder (overwritten on retry,
-        # invisible to readers of the table) and read from there twice: the stateful join runs once,
-        # and the user lookup aggregates only this batch's users, not the whole dimension
+        # this micro-batch and its pairs are written once to a staging folder (overwritten on retry,
+        # invisible to readers of the table) and read from there: the join runs once, and the user
+        # lookup aggregates only this batch's users, not the whole dimension
         stage = f"{table_path.rstrip('/')}/_stage/batch_id={int(batch_id)}"
-        batch_df.write.mode("overwrite").parquet(stage)
-        staged = spark.read.schema(batch_df.schema).parquet(stage)
-        look_up(staged, batch_id)
+        batch_df.write.mode("overwrite").parquet(f"{stage}/in")
+        rows = spark.read.schema(batch_df.schema).parquet(f"{stage}/in")
+        seen = rows.agg(F.unix_micros(F.max("o.o_ts")).alias("o"), F.unix_micros(F.max("d.d_ts")).alias("d")).first()
+        before, after = [], []   # the latest time of either stream, without this micro-batch and with it; a replay finds the same
+        for side in ("o", "d"):
+            last = remembered(spark, f"{state}/seen_{side}", batch_id - 1, lambda: None) if batch_id else None
+            most = max((x for x in (last, seen[side]) if x is not None), default=None)
+            before.append(last)
+            after.append(remembered(spark, f"{state}/seen_{side}", batch_id, lambda: most))
+        pairs = pair_within_batches(rows.where("o is not null").select("order_id", "o.*"), rows.where("d is not null").select("order_id", "d.*"),
+                                    "order_id", ttl_seconds, "o_ts", "d_ts", lateness, before, after, state, batch_id, f"{stage}/pairs")
+        look_up(pairs.drop("o_ts", "d_ts"), batch_id)
         delete(spark, stage)
 
-    return _start(pairs.writeStream.foreachBatch(_write), checkpoint, available_now)
+    return _start(o.unionByName(d, allowMissingColumns=True).writeStream.foreachBatch(_write), checkpoint, available_now)
 
 
 def sale_refresh_job(orders: DataFrame, details: DataFrame, user_table: str, table_path: str, checkpoint: str, as_of,

@@ -341,20 +341,25 @@ def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
     return (first.withColumn("step", F.lit(0)).unionByName(changed.withColumn("step", F.lit(1))).unionByName(late.withColumn("step", F.lit(2))))
 
 
-def _in_steps(df: DataFrame, path: str, steps: int) -> DataFrame:
-    """A file stream that takes the rows of each ``step`` as one micro-batch."""
+def _in_steps(inputs: dict[str, DataFrame], steps: int, job) -> None:
+    """Run ``job`` over file streams of the inputs (path -> rows), the rows of each ``step`` as one micro-batch.
+
+    Every task writes its part of a step; then the job is resumed from its checkpoint and takes all that is new.
+    """
     for k in range(steps):
-        df.where(F.col("step") == k).drop("step").coalesce(1).write.parquet(f"{path}/{k}")   # one file: one micro-batch
-    schema = df.drop("step").schema
-    return df.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+        streams = []
+        for path, df in inputs.items():
+            df.where(F.col("step") == k).drop("step").write.parquet(f"{path}/{k}")
+            streams.append(df.sparkSession.readStream.schema(df.drop("step").schema).parquet(f"{path}/*"))
+        J.run_to_end(job(*streams))
 
 
 @C.register("order_hour_rollup", C.ORACLES["order_hour"])
 def q_order_hour_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly amounts kept by the stream while orders change amount and hour; compared with the batch SQL over the end state."""
     run = _run_dir(spark, "rollup")
-    orders = _in_steps(_order_changes(spark, sf), f"{run}/in", 3)
-    J.run_to_end(J.order_rollup_job(orders, f"{run}/orders", f"{run}/hours", f"{run}/ckpt", available_now=True, compact_every=2))
+    _in_steps({f"{run}/in": _order_changes(spark, sf)}, 3, lambda orders: J.order_rollup_job(
+        orders, f"{run}/orders", f"{run}/hours", f"{run}/ckpt", available_now=True, compact_every=2))
     hours = read_rollup(spark, f"{run}/hours", J.ROLLUP_BY)
     return hours.select("create_date", "create_hour", F.round(F.col("amount").cast("double"), 2).alias("total_amount"))
 
@@ -400,9 +405,9 @@ def q_stream_sale_ttl_refresh(spark: SparkSession, sf: str) -> DataFrame:
     d = SI.order_detail(spark, sf).withColumn("step", F.pmod(line[0].cast("long") * 5 + line[1].cast("long"), F.lit(TTL_STEPS)))
     orders = o.unionByName(again).withColumn("arrived", F.col("step") * TTL_STEP_SECONDS)
     details = d.withColumn("arrived", F.col("step") * TTL_STEP_SECONDS)
-    J.run_to_end(J.sale_refresh_job(_in_steps(orders, f"{run}/orders", TTL_STEPS), _in_steps(details, f"{run}/details", TTL_STEPS),
-                                    f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(), TTL_SECONDS, clock=F.max("arrived"),
-                                    available_now=True, partition_by=None, user_version=None))
+    _in_steps({f"{run}/orders": orders, f"{run}/details": details}, TTL_STEPS, lambda o, d: J.sale_refresh_job(
+        o, d, f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(), TTL_SECONDS, clock=F.max("arrived"),
+        available_now=True, partition_by=None, user_version=None))
     return current(spark, f"{run}/sale", "order_detail_id").select("order_detail_id", "order_id")
 
 

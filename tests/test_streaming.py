@@ -304,3 +304,59 @@ def test_an_incomplete_snapshot_is_not_read(spark, scratch):
     delete(spark, f"{scratch}/t/_base/upto=3/_SUCCESS")
     assert latest_snapshot(spark, f"{scratch}/t") == 1
     assert {(r.id, r.v) for r in current(spark, f"{scratch}/t", "id", "v").collect()} == {("a", 3), ("k0", 0), ("k1", 1), ("k2", 2), ("k3", 3)}
+
+
+def test_each_step_is_written_by_all_tasks_and_read_as_one_batch(spark, scratch):
+    """Two inputs of three steps, the middle one empty in one of them: three micro-batches, files from several tasks."""
+    from martpulse.streaming.twins import _in_steps
+
+    a = spark.range(0, 300, 1, 3).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(2).alias("step"))
+    b = spark.range(0, 300, 1, 3).select("id", (F.col("id") % 3).cast("int").alias("step"))
+    seen = []
+
+    def job(x, y):
+        def write(df, batch_id):
+            seen.append((batch_id, {(r.side, r.n) for r in df.groupBy("side").agg(F.count("id").alias("n")).collect()}))
+        both = x.withColumn("side", F.lit("a")).unionByName(y.withColumn("side", F.lit("b")))
+        return both.writeStream.foreachBatch(write).option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+
+    _in_steps({f"{scratch}/a": a, f"{scratch}/b": b}, 3, job)
+    assert seen == [(0, {("a", 150), ("b", 100)}), (1, {("b", 100)}), (2, {("a", 150), ("b", 100)})]
+    assert len(matching(spark, f"{scratch}/b/0/part-*")) == 3
+
+
+def test_pairs_of_batches_equal_the_stream_join(spark, scratch):
+    """A hot key over several batches, some rows late beyond the watermark, a replayed batch and snapshots of what is pending."""
+    from martpulse.operators.pairs import pair_within, pair_within_batches
+
+    base = dt.datetime(2024, 1, 15)
+    left = spark.createDataFrame([("hot" if i % 2 else None if i % 14 == 0 else f"k{i % 7}", i, base + dt.timedelta(seconds=37 * i - (9000 if i % 50 == 49 else 0)))
+                                  for i in range(200)], "key string, l int, l_ts timestamp")
+    right = spark.createDataFrame([("hot" if i % 2 else f"k{i % 7}", i, base + dt.timedelta(seconds=41 * i + 5)) for i in range(180)], "key string, r int, r_ts timestamp")
+    got, last, seen = [], [None, None], [None, None]
+    for k in range(4):
+        ls, rs = left.where((F.col("l") >= 50 * k) & (F.col("l") < 50 * k + 50)), right.where((F.col("r") >= 45 * k) & (F.col("r") < 45 * k + 45))
+        news = [df.agg(F.unix_micros(F.max(ts))).first()[0] for df, ts in ((ls, "l_ts"), (rs, "r_ts"))]
+        seen = [max(x for x in (a, b) if x is not None) for a, b in zip(last, news, strict=True)]
+        for _ in range(2 if k == 2 else 1):
+            pairs = pair_within_batches(ls, rs, "key", 300, "l_ts", "r_ts", "1 hour", last, seen, f"{scratch}/state", k, f"{scratch}/out{k}", compact_every=2)
+        got += [(r.l, r.r) for r in pairs.collect()]
+        last = seen
+    late = [i for i in range(99, 200, 50)]   # the first batch has no watermark
+    want = [(r.l, r.r) for r in pair_within(left.where(~F.col("l").isin(late)), right, "key", 300, "l_ts", "r_ts").collect()]
+    assert sorted(got) == sorted(want) and want
+    kept = spark.read.parquet(f"{scratch}/state/left/batch_id=3").agg(F.min("l")).first()[0]
+    assert kept >= 150 - 2
+
+
+def test_sale_job_keeps_no_row_in_a_state_store(spark, scratch):
+    order = {"id": "o1", "user_id": "u1", "order_status": "1", "create_time": "2024-01-15 10:00:00", "consignee_tel": "1", "total_amount": "5"}
+    line = {"id": "d1", "order_id": "o1", "sku_id": "s", "sku_name": "x", "order_price": "2", "create_time": "2024-01-15 10:01:00"}
+    _write_json_lines(spark, f"{scratch}/o", [order])
+    _write_json_lines(spark, f"{scratch}/d", [line])
+    orders = J.typed_orders(spark.readStream.schema("value string").text(f"{scratch}/o"))
+    details, _ = parse_json(spark.readStream.schema("value string").text(f"{scratch}/d"), schemas.DETAIL)
+    q = J.sale_job(orders, details, f"{scratch}/no-users", f"{scratch}/sale", f"{scratch}/ck", F.lit("2021-01-01").cast("date"), 300, "1 hour", available_now=True)
+    J.run_to_end(q)
+    assert q.lastProgress["stateOperators"] == []
+    assert current(spark, f"{scratch}/sale", "order_detail_id", partition_by=J.SALE_PARTS).count() == 1
