@@ -36,11 +36,11 @@ def index_batch(batch: DataFrame, batch_id: int, path: str, key: str, text: str,
     """
     spark, docs = batch.sparkSession, f"{path}/docs"
     upsert_batch(batch.select(F.col(key).alias("key"), F.col(day).alias("day"), F.col(text).alias("text")), batch_id, docs, "key")
-    now = current(spark, docs, "key", upto=batch_id, only_keys=_of_batch(spark, docs, batch_id))
+    now = spark.read.parquet(f"{docs}/{BATCH_COL}={int(batch_id)}").select("key", "day", "text")   # one row per key, and the newest
     signed = now.withColumn("sign", F.lit(1))
     first = newest_before(spark, docs, batch_id) is None
     if not first:
-        before = current(spark, docs, "key", upto=batch_id - 1, only_keys=_of_batch(spark, docs, batch_id))
+        before = current(spark, docs, "key", upto=batch_id - 1, only_keys=now)
         signed = signed.unionByName(before.withColumn("sign", F.lit(-1)))
     cut = signed.select("key", "day", "sign", F.coalesce(words("text"), F.array().cast("array<string>")).alias("ws"))
     cut = cut.select("key", "day", "sign", "ws", F.size("ws").alias("size"))
@@ -48,14 +48,11 @@ def index_batch(batch: DataFrame, batch_id: int, path: str, key: str, text: str,
     _write(stats.where("documents <> 0 or words <> 0"), f"{path}/stats", batch_id)
     each = F.transform(F.array_distinct("ws"), lambda w: F.struct(w.alias("word"), F.size(F.filter("ws", lambda x: x == w)).alias("tf")))
     postings = cut.select("key", "day", "sign", "size", F.explode(each).alias("p")).select("p.word", "day", "key", "p.tf", "size", "sign")
-    postings = net(postings).withColumn("bucket", bucket_of(F.col("word"), buckets))
+    # the first batch has nothing that cancels out: a word stands once for each key
+    postings = (postings if first else net(postings)).withColumn("bucket", bucket_of(F.col("word"), buckets))
     _write(postings, f"{path}/postings", batch_id, *_BUCKET)
 
 
-def _of_batch(spark: SparkSession, docs: str, batch_id: int) -> DataFrame:
-    return spark.read.parquet(f"{docs}/{BATCH_COL}={int(batch_id)}").select("key")
-
-
 def newest_before(spark: SparkSession, docs: str, batch_id: int) -> int | None:
     """Whether there is a state before this batch (a batch id of it), replayed or not."""
     try:

@@ -93,3 +93,35 @@ def test_search_reads_the_buckets_of_its_words_only(spark, scratch):
     scan = next(x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
     assert re.search(rf"PartitionFilters: \[.*bucket.*{own}", scan)
     assert "PushedFilters" in scan and "word" in scan.split("PushedFilters")[1]
+
+
+def test_names_of_a_day_are_those_of_all_lines(spark, scratch):
+    """An order and a line that are there twice, a null key and another day; the products join the day's lines only."""
+    from martpulse.sources import standins as SI
+    from martpulse.streaming.twins import _names_of_day
+
+    day = "TIMESTAMP_NTZ '2024-01-02 00:00:00'"
+    spark.sql(f"""SELECT * FROM VALUES (1L, 1L, 'O', 1.0D, {day}), (2L, 1L, 'O', 1.0D, {day}), (2L, 1L, 'O', 1.0D, {day}), (NULL, 1L, 'O', 1.0D, {day}),
+      (3L, 1L, 'O', 1.0D, {day} + INTERVAL 1 DAY) AS t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate)""").write.parquet(f"{scratch}/orders.parquet")
+    spark.sql(f"""SELECT *, 1.0D AS l_extendedprice, {day} AS l_shipdate FROM VALUES (1L, 1, 7L, 1L), (1L, 1, 7L, 1L), (2L, 1, 8L, 1L), (3L, 1, 8L, 1L), (NULL, 1, 8L, 1L),
+      (1L, 2, 9L, 1L) AS t(l_orderkey, l_linenumber, l_partkey, l_suppkey)""").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.sql("SELECT * FROM VALUES (7L, 'red box'), (8L, 'old pen') AS t(p_partkey, p_name)").write.parquet(f"{scratch}/part.parquet")
+    o, d = SI.order_info(spark, scratch), SI.order_detail(spark, scratch)
+    names = d.join(o.select(F.col("id").alias("order_id"), F.col("create_date").alias("dt")), "order_id")
+    want = names.where(F.col("dt") == "2024-01-02").select(F.col("id").alias("order_detail_id"), "sku_name")
+    got = _names_of_day(spark, scratch, "2024-01-02")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() == 4
+
+
+def test_a_batch_is_indexed_from_its_own_folder(spark, scratch, monkeypatch):
+    """The first batch reads no former state and sums no postings up: nothing can cancel out."""
+    from martpulse.operators import textindex as X
+
+    calls = []
+    for name in ("net", "current"):
+        monkeypatch.setattr(X, name, lambda *a, f=getattr(X, name), n=name, **k: calls.append(n) or f(*a, **k))
+    df = spark.createDataFrame([("a", "red red box", "1"), ("b", None, "1"), ("c", "box", "2")], "id string, name string, dt string")
+    X.index_batch(df, 0, f"{scratch}/i", "id", "name", "dt")
+    assert calls == []
+    got = {(r.word, r.key, r.tf, r["size"]) for r in X.postings_of(spark, f"{scratch}/i", ["red", "box"]).collect()}
+    assert got == {("red", "a", 2, 3), ("box", "a", 1, 3), ("box", "c", 1, 1)}
