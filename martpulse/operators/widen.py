@@ -41,8 +41,11 @@ SALE_COLUMNS = ("order_detail_id", "order_id", "order_status", "create_time", "u
 
 
 def sale_rows(orders: DataFrame, details: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
-    """The wide sale table: one row per order line with order and user attributes."""
-    return attach_user(pair_orders(orders, details), users, as_of).select(*SALE_COLUMNS)
+    """The wide sale table: one row per order line with order and user attributes.
+
+    Users are looked up per order, before its lines multiply the rows: the lines are not dealt by user.
+    """
+    return attach_user(_order_side(orders), users, as_of).join(_detail_side(details), on="order_id", how="inner").select(*SALE_COLUMNS)
 
 
 def arrival_batch(create_time: str = "create_time", length: str = "month") -> Column:

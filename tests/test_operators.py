@@ -206,3 +206,20 @@ def test_dashboard_empty_day_and_bad_metric(spark):
         D.realtime_hour("nope", "2024-01-15", orders=orders)
     rows = {r.create_hour: (r.today, r.yesterday) for r in D.realtime_hour("order_amount", "2024-01-16", orders=orders).collect()}
     assert rows == {"01": (None, 5.0)}
+
+
+def test_users_are_looked_up_per_order(spark):
+    """The lines join last: they are not dealt by user. A user that is there twice doubles its orders' rows as before."""
+    from martpulse.operators.widen import attach_user, pair_orders, sale_rows, SALE_COLUMNS
+
+    orders = spark.createDataFrame([("o1", "u1", "1", "2024-01-15 10:00:00", "2024-01-15"), ("o2", None, "1", "2024-01-15 10:00:00", "2024-01-15")],
+                                   "id string, user_id string, order_status string, create_time string, create_date string")
+    lines = spark.createDataFrame([("d1", "o1", "s", "x", "1"), ("d2", "o1", "s", "y", "bad"), ("d3", "o2", "s", "z", "2"), ("d4", "o9", "s", "z", "2")],
+                                  "id string, order_id string, sku_id string, sku_name string, order_price string")
+    users = spark.createDataFrame([("u1", "gold", "2000-01-01", "M"), ("u1", "vip", "2000-01-01", "M")], "id string, user_level string, birthday string, gender string")
+    as_of = F.lit("2021-01-01").cast("date")
+    got = sale_rows(orders, lines, users, as_of)
+    want = attach_user(pair_orders(orders, lines), users, as_of).select(*SALE_COLUMNS)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 5
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert "order_id" in joins[0] and "user_id" in joins[1]
