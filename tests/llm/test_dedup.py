@@ -154,6 +154,35 @@ def test_vector_recall_at_the_bound():
     assert found.mean() >= 0.997
 
 
+def test_vector_links_are_complete(spark):
+    # pairs just above the bound, and chains of them: no link is left to chance, no chain falls apart
+    rng = np.random.default_rng(17)
+    dim, chains = 64, 400
+    angle = np.arccos(0.9301)
+    a = vector_dedup.unit(rng.normal(size=(chains, dim)))
+    side = rng.normal(size=(chains, dim))
+    side = vector_dedup.unit(side - (side * a).sum(axis=1, keepdims=True) * a)
+    x = np.concatenate([np.cos(k * angle) * a + np.sin(k * angle) * side for k in range(5)])  # k links with k - 1 and k + 1
+    want = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    assert want.sum() == 8 * chains
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.classes(spark, df).collect()}
+    assert got == {i: (int(want[i].sum()), i % chains) for i in range(len(x))}
+
+
+@pytest.mark.parametrize("dim", [1, 2, 5, 24, 200])
+def test_vector_windows_lose_no_pair(dim):
+    rng = np.random.default_rng(dim)
+    p = vector_dedup.plan(5000, 0.93, dim)
+    a = vector_dedup.unit(rng.normal(size=(3000, dim)))
+    b = vector_dedup.unit(a + 0.4 * rng.normal(size=a.shape) / np.sqrt(dim))
+    b[:50] = a[:50]
+    close = (a * b).sum(axis=1) >= 0.93
+    assert close.sum() > 100
+    (ha, _), (hb, _) = vector_dedup.place(a, p), vector_dedup.place(b, p)
+    assert ((np.abs(ha - hb) <= p.window).sum(axis=1) >= p.least)[close].all()
+
+
 def test_vector_collisions_match_plain_count():
     rng = np.random.default_rng(2)
     h, g = rng.normal(size=(30, 7)), rng.normal(size=(50, 7))
