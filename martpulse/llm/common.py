@@ -270,37 +270,46 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: boo
     return h
 
 
+#: A round of ``stars`` writes a file for so many edges, but one a core at least: few edges don't take many small tasks.
+FILE_EDGES = 250_000
+
+
 def components(edges: DataFrame, a: str, b: str, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected ``edges``: (node, root), root the smallest node reachable.
 
-    Alternating large-star and small-star rounds over the edge table until no edge changes. Each
+    Nodes without edges don't appear; see ``stars``.
+    """
+    e = stars(edges, a, b, scratch, max_rounds)
+    return e.unionByName(e.select(F.col("root").alias("node"), "root")).distinct()
+
+
+def stars(edges: DataFrame, a: str, b: str, scratch: Scratch, max_rounds: int = 60) -> DataFrame:
+    """(node, root) of each node of the undirected ``edges`` that reaches a smaller one; root: the smallest.
+
+    Alternating large-star and small-star rounds over the edge table until it is one of stars. Each
     round is two grouped minima and joins (split by AQE when one node is hot) and is written to the
-    shared folder. Nodes without edges don't appear; null ends and self links are ignored; repeated
-    edges count once; an empty table gives an empty result.
+    shared folder. Null ends and self links are ignored; repeated edges count once; an empty table gives
+    an empty result.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
     e = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e, path = scratch.put(e)
-    before = None
     for _ in range(max_rounds):
+        # stars: each upper end has one edge and is no lower end
+        ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("end"))
+        ends = ends.groupBy("end.x").agg(F.sum("end.up").alias("ups"), F.min("end.up").alias("least"))
+        unsettled, rows = ends.agg(F.count_if(F.expr("ups > 1 or ups > 0 and least = 0")), F.sum("ups")).first()
+        if not unsettled:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         # large star: every neighbour above u moves to the least of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: a node's lower neighbours (and itself) move to the least of them
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(small_low, "u")
-        small = (moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-                 .unionByName(moved.select("u", F.col("m").alias("v")))).distinct()
-        nxt, nxt_path = scratch.put(small)
-        mark = nxt.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.min("u")).first()
+        moved = large.join(small_low, "u").select("m", F.explode(F.array("u", "v")).alias("u"))
+        e = moved.select("u", F.col("m").alias("v")).where("u <> v").distinct()
+        e, nxt_path = scratch.put(e.coalesce(max(scratch.spark.sparkContext.defaultParallelism, rows // FILE_EDGES)))
         scratch.drop(path)
-        e, path = nxt, nxt_path
-        if mark == before:
-            break
-        before = mark
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return (e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-            .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
+        path = nxt_path
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

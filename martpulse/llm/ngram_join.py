@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import SPACE_SEP, PerWorker, Scratch, blocks, components, fresh, mix, slices, words
+from martpulse.llm.common import SPACE_SEP, PerWorker, Scratch, blocks, fresh, mix, slices, stars, words
 
 
 #: A list of set owners (16 bytes each) up to this long may be broadcast; a longer one is joined by shuffle.
@@ -271,35 +271,36 @@ def star(shared: DataFrame, p: Params) -> DataFrame:
             .mapInArrow(run, "gram long, a long, b long, n int, pos int, met int"))
 
 
-def verify(docs: DataFrame, named: DataFrame, pairs: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b), each counted once from two documents' texts.
+def verify(docs: DataFrame, named: DataFrame, pairs: DataFrame, p: Params, scratch: Scratch) -> tuple[DataFrame, str]:
+    """(linked rows of ``pairs``, folder that they read, to be dropped after them); each pair (a, b) is counted once
+    from two documents' texts.
 
     Texts travel, not sets: they are smaller, and only those of sets in some pair are read out.
     """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    owners, path = scratch.put(named.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node")
-                               .agg(F.min("doc_id").alias("doc_id")))
-    if owners.count() <= BROADCAST_OWNERS:
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    owners = (named.where("doc_id is not null").join(nodes, "node", "left_semi").groupBy("node")
+              .agg(F.min("doc_id").alias("doc_id")))
+    if 2 * pairs.count() <= BROADCAST_OWNERS:
         owners = F.broadcast(owners)
     texts = (docs.join(owners, "doc_id").select("node", F.xxhash64("text").alias("key"), "text")
              .groupBy("node", "key").agg(F.first("text").alias("text")).drop("key"))
-    texts, texts_path = scratch.put(texts)
-    both = (pairs.select("a", "b")
+    texts, path = scratch.put(texts)
+    both = (pairs
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
 
+    columns = pairs.columns
+
     def compare(batches):
         for batch in batches:
-            for i, j in slices(batch.column(2)):
+            for i, j in slices(batch.column("text_a")):
                 part = batch.slice(i, j - i)
-                sides = [set_list(part.column(c), p) for c in (2, 3)]
+                sides = [set_list(part.column(c), p) for c in ("text_a", "text_b")]
                 ok = [(a, b) == (name_a, name_b) and linked(x, y, p) for a, b, (name_a, x), (name_b, y) in zip(
-                    part.column(0).to_pylist(), part.column(1).to_pylist(), *sides, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                    part.column("a").to_pylist(), part.column("b").to_pylist(), *sides, strict=True)]
+                yield part.select(columns).filter(pa.array(ok, pa.bool_()))
 
-    seen, _ = scratch.put(both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long"))
-    scratch.drop(path, texts_path)
-    return seen
+    return both.select(*columns, "text_a", "text_b").mapInArrow(compare, pairs.schema), path
 
 
 def set_list(texts: pa.Array, p: Params) -> list[tuple[int, np.ndarray]]:
@@ -331,8 +332,9 @@ def classes(spark: SparkSession, docs: DataFrame, p: Params = Params()) -> DataF
     made, made_path = scratch.put(star(shared, p))
     scratch.drop(shared_path)
     pairs, _ = scratch.put(made.where("gram is null").select("a", "b").distinct())
-    links = verify(keyed, named, pairs, p, scratch)
-    roots, _ = scratch.put(components(links, "a", "b", scratch))
+    links, texts_path = verify(keyed, named, pairs, p, scratch)
+    roots = stars(links, "a", "b", scratch)
+    scratch.drop(texts_path)
 
     # pairs without a pivot: of n-grams whose other sets are in several classes, all but those inside the main class
     at = (made.where("gram is not null").select("gram", F.col("a").alias("node"), "n", "pos", "met")
@@ -347,15 +349,17 @@ def classes(spark: SparkSession, docs: DataFrame, p: Params = Params()) -> DataF
         (F.col("a.class") != F.col("b.class"))
         & ((F.col("b.class") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
         & may_link(p, *(F.col(f"{t}.{c}") for t in "ab" for c in ("n", "pos", "met")), F.least, F.greatest))
-    more, _ = scratch.put(more.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct())
+    ends = [pick(f"a.{c}", f"b.{c}").alias(f"{to}{c}") for c in ("node", "class") for pick, to in ((F.least, "a_"), (F.greatest, "b_"))]
+    more, _ = scratch.put(more.select(*ends).distinct().withColumnsRenamed({"a_node": "a", "b_node": "b"}))
     scratch.drop(rest_path)
-    late = verify(keyed, named, more, p, scratch)
-    final = components(roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late),
-                       "a", "b", scratch)
+    late, texts_path = verify(keyed, named, more, p, scratch)
+    over = stars(late, "a_class", "b_class", scratch).toDF("class", "over")
+    scratch.drop(texts_path)
 
     # smallest key per node, then per class: copies are reduced before classes are joined
     node_ids = named.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    in_class = node_ids.join(final, "node", "left").select("node", F.coalesce("root", "node").alias("class"), "low")
+    in_class = (node_ids.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("class"), "low")
+                .join(over, "class", "left").select("node", F.coalesce("over", "class").alias("class"), "low"))
     class_ids = in_class.groupBy("class").agg(F.min("low").alias("component_id"))
     node_class = in_class.join(class_ids, "class").select("node", "component_id", "class")
     out = named.join(node_class, "node", "left")

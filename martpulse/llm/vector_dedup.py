@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martpulse.llm.common import Scratch, components
+from martpulse.llm.common import Scratch, stars
 
 #: A list of labels (16 bytes each) up to this long may be broadcast; a longer one is joined by shuffle.
 BROADCAST_LABELS = 500_000
@@ -178,7 +178,7 @@ def classes(spark: SparkSession, df: DataFrame, key: str = "vec_id", vector: str
              .mapInArrow(lambda batches: _compare(batches, p), "node long, links long, joined long"))
     found, _ = scratch.put(found)
 
-    roots = components(found.where("joined is not null"), "node", "joined", scratch)
+    roots = stars(found.where("joined is not null"), "node", "joined", scratch)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = (nodes.select("node", "weight", "low").join(links, "node", "left").join(roots, "node", "left")
              .withColumn("root", F.coalesce("root", "node")))

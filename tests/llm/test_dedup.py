@@ -26,6 +26,14 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b", Scratch(spark, "t")).count() == 0
 
 
+def test_components_stop_at_stars(spark):
+    # edges that are stars already are written once; no round follows
+    scratch = Scratch(spark, "t")
+    edges = spark.createDataFrame([(1, 2), (3, 1), (1, 3), (7, 9)], "a long, b long")
+    assert {r.node: r.root for r in components(edges, "a", "b", scratch).collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7}
+    assert scratch.n == 1
+
+
 def near_copies(rng, base, share):
     return " ".join(w if rng.random() > share else f"n{rng.randrange(10**6)}" for w in base.split())
 
