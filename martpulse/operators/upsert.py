@@ -10,11 +10,13 @@ marker is there) and keep the latest row per key (version, then batch id). Only
 and read, so a read follows the snapshot and the recent batches, not the table's history. ``compact``
 writes a snapshot (idempotent for a given ``n``) and deletes what the snapshot before it already covered:
 readers of that one still find their folders. Folders starting with ``_`` are invisible to reads of
-``<path>``. No transactional format is needed.
+``<path>``. No transactional format is needed. A batch as large as a table goes through ``<path>/_large`` (``passes``).
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martpulse.operators.dedup import latest_per_key
@@ -22,33 +24,106 @@ from martpulse.sources.paths import delete, matching
 
 BATCH_COL = "batch_id"
 BASE_DIR, UPTO_COL = "_base", "upto"
+LARGE_DIR = "_large"
+PASSES = 4   # of a batch as large as a table
 
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x or [])
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the time of a block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _with_ids(df: DataFrame, keys: list[str], null_key_id: bool) -> DataFrame:
+    """The rows with a hash of each as ``__tie``, which also is the id of a null key."""
+    out = df.withColumn("__tie", F.xxhash64(F.to_json(F.struct(*df.columns))))
+    if null_key_id and len(keys) == 1:
+        out = out.withColumn(keys[0], F.coalesce(F.col(keys[0]).cast("string"), F.concat(F.lit("row-"), F.hex("__tie"))))
+    return out
+
+
+def _write(df: DataFrame, mode: str, path: str, parts: list[str], complete: bool = True) -> None:
+    writer = df.write.mode(mode).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(complete).lower())
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.parquet(path)
+
+
 def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | None = None,
-                 partition_by=None, null_key_id: bool = True) -> None:
+                 partition_by=None, null_key_id: bool = True, passes: int | None = None) -> None:
     """Write one micro-batch of keyed rows (idempotent per ``batch_id``): one row per key.
 
     Of rows with one key the latest version stays; equal versions are settled by a hash of the row, so a
     replay writes the same. A null key gets a hash of the row as its id (a document without id): it is
-    merged with equal rows only.
+    merged with equal rows only. ``passes``: the same for a batch as large as a table, with less on disk (``_upsert_large``).
     """
-    keys, parts = _list(key), _list(partition_by)
-    out = df.withColumn("__tie", F.xxhash64(F.to_json(F.struct(*df.columns))))
-    if null_key_id and len(keys) == 1:
-        out = out.withColumn(keys[0], F.coalesce(F.col(keys[0]).cast("string"), F.concat(F.lit("row-"), F.hex("__tie"))))
-    out = latest_per_key(out, keys, ([version] if version else []) + ["__tie"]).drop("__tie").select(*df.columns)
+    keys, parts, root = _list(key), _list(partition_by), path.rstrip("/")
+    order, to = ([version] if version else []) + ["__tie"], f"{root}/{BATCH_COL}={int(batch_id)}"
+    if passes:
+        _upsert_large(df, keys, order, parts, null_key_id, passes, to, f"{root}/{LARGE_DIR}/{BATCH_COL}={int(batch_id)}")
+        return
+    out = latest_per_key(_with_ids(df, keys, null_key_id), keys, order).drop("__tie").select(*df.columns)
     if parts:
         # one writer per partition value instead of one per (task, value); AQE splits a hot value
         # across tasks and merges small ones (rebalance), so no task gets a third of the batch
         out = out.hint("rebalance", *parts)
-    writer = out.write.mode("overwrite")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
+    _write(out, "overwrite", to, parts)
+
+
+def _upsert_large(df: DataFrame, keys: list[str], order: list[str], parts: list[str], null_key_id: bool, passes: int, to: str, stage: str) -> None:
+    """One row per key, with whole rows shuffled once, by partition value, and only the rows of one pass at a time.
+
+    The rows are staged as they come, in as many folders as passes (by partition value). A count of the keys' hashes tells which
+    rows can share a key: only these are reduced to one per key, the others are written as they are. Each step gives
+    the shuffle files of the step before back, and a pass its folder. The batch is complete after the last pass.
+    """
+    spark, hashed = df.sparkSession, F.xxhash64(*keys)
+    share = F.pmod(F.xxhash64(*(parts or keys)), F.lit(passes))
+
+    def put(rows: DataFrame, name: str) -> None:
+        # a task keeps a file open per pass instead of sorting its rows by pass
+        with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(passes)}):
+            rows.withColumn("__pass", share).write.mode("overwrite").option("compression", "zstd").partitionBy("__pass").parquet(f"{stage}/{name}")
+
+    def got(name: str, schema: T.StructType, n: int | str = "*") -> DataFrame:
+        folders = matching(spark, f"{stage}/{name}/__pass={n}")
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+    def by_id(rows: DataFrame) -> DataFrame:
+        return _with_ids(rows, keys, null_key_id)
+
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        put(df, "rows")
+        repeated = got("rows", df.schema).groupBy(hashed.alias("__key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__key")
+        repeated.write.mode("overwrite").parquet(f"{stage}/repeated")
+        repeated = spark.read.schema(repeated.schema).parquet(f"{stage}/repeated")
+        any_repeated = not repeated.isEmpty()
+        if any_repeated:
+            some = got("rows", df.schema).withColumn("__key", hashed).join(repeated, "__key", "left_semi").drop("__key")
+            put(latest_per_key(by_id(some), keys, order).select(*df.columns), "reduced")
+        delete(spark, to)
+        for n in range(passes):
+            out = got("rows", df.schema, n)
+            if any_repeated:
+                out = out.withColumn("__key", hashed).join(repeated, "__key", "left_anti").select(*df.columns)
+            out = by_id(out).select(*df.columns)
+            if any_repeated:
+                out = out.unionByName(got("reduced", out.schema, n))
+            _write(out.hint("rebalance", *parts) if parts else out, "append", to, parts, complete=n == passes - 1)
+            for name in ("rows", "reduced"):
+                delete(spark, f"{stage}/{name}/__pass={n}")
+    delete(spark, stage)
 
 
 def _numbers(paths: list[str]) -> set[int]:

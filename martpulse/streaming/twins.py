@@ -19,7 +19,7 @@ from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc
 from martpulse.operators.rollup import read_rollup
 from martpulse.operators.textindex import index_batch, search_index
-from martpulse.operators.upsert import current, upsert_batch
+from martpulse.operators.upsert import PASSES, current, upsert_batch
 from martpulse.operators.widen import SALE_COLUMNS, sale_rows
 from martpulse.plans import catalog as C
 from martpulse.plans import saledetail as S
@@ -230,7 +230,7 @@ def q_sale_search_from_table(spark: SparkSession, sf: str) -> DataFrame:
     """The written sale table (partitioned by day), searched for one day and keyword."""
     run = _run_dir(spark, "sale_table")
     wide = sale_rows(*SI.wide_inputs(spark, sf), SI.age_as_of())
-    upsert_batch(wide, 0, f"{run}/sale", "order_detail_id", None, J.SALE_PARTS)
+    upsert_batch(wide, 0, f"{run}/sale", "order_detail_id", None, J.SALE_PARTS, passes=PASSES)
     day = current(spark, f"{run}/sale", "order_detail_id", None, J.SALE_PARTS, where=F.col("dt") == C.SALE_DATE)
     return S.sale_detail(day, C.SALE_DATE, C.SALE_KEYWORD, 1, 5)["total"]
 

@@ -13,10 +13,12 @@ from martpulse.operators.dedup import exclude_seen, first_per_key, latest_per_ke
 from martpulse.operators.pairs import pair_within
 from martpulse.operators.route import route_cdc
 from martpulse.operators.search import bm25_top, match_all, page, top_terms
-from martpulse.operators.upsert import compact, current, upsert_batch
+from martpulse.operators import upsert
+from martpulse.operators.upsert import compact, current, rows_since_snapshot, upsert_batch
 from martpulse.operators.widen import pair_per_batch, sale_rows
 from martpulse.plans import dashboard as D
 from martpulse.plans import saledetail as S
+from martpulse.sources.paths import matching
 
 T0 = dt.datetime(2024, 1, 15, 0, 0, 0)
 
@@ -147,6 +149,36 @@ def test_upsert_retry_is_idempotent_and_latest_wins(spark, scratch):
     assert current(spark, path, "id", "v").count() == 4
 
 
+@pytest.mark.parametrize("parts, version, repeats", [(["day"], "v", True), (["day"], None, False), (None, None, True)])
+def test_a_large_batch_is_written_like_a_small_one(spark, scratch, parts, version, repeats):
+    rng = random.Random(7)
+    rows = [(f"k{i}", rng.randrange(3), f"d{rng.randrange(9)}", None if i % 5 else "x") for i in range(200)]
+    if repeats:   # keys that come again with other or equal versions and days, equal rows, null keys and days
+        rows += [(f"k{i}", rng.randrange(3), f"d{rng.randrange(9)}", "again") for i in range(0, 200, 3)] + rows[:20]
+        rows += [(None, 1, "d1", "auto"), (None, 1, "d1", "auto"), (None, 2, "d2", "auto"), ("n", 1, None, "n"), ("n", 1, "d1", "m")]
+    df = spark.createDataFrame(rows, "id string, v long, day string, x string").repartition(3)
+    upsert_batch(df, 4, f"{scratch}/small", "id", version, parts)
+    for _ in range(2):   # a retry replaces the batch
+        upsert_batch(df, 4, f"{scratch}/large", "id", version, parts, passes=3)
+    small, large = (rows_since_snapshot(spark, f"{scratch}/{n}", parts or ()) for n in ("small", "large"))
+    assert small.dtypes == large.dtypes
+    assert Counter(large.collect()) == Counter(small.collect())
+    assert not matching(spark, f"{scratch}/large/_large/*")   # the stage is gone
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_large_batch_cut_short_is_not_complete(spark, scratch, monkeypatch):
+    df = spark.createDataFrame([(f"k{i}", f"d{i % 9}") for i in range(50)], "id string, day string")
+    write, done = upsert._write, []
+    monkeypatch.setattr(upsert, "_write", lambda *a, **k: done.append(1) or (write(*a, **k) if len(done) < 3 else 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        upsert_batch(df, 0, f"{scratch}/t", "id", None, ["day"], passes=3)
+    assert upsert.newest_batch(spark, f"{scratch}/t") is None
+    monkeypatch.undo()
+    upsert_batch(df, 0, f"{scratch}/t", "id", None, ["day"], passes=3)
+    assert current(spark, f"{scratch}/t", "id", None, ["day"]).count() == 50
+
+
 def _sales(spark):
     orders = spark.createDataFrame(
         [("o1", "1", "2024-01-15 10:00:00", "u1", "2024-01-15"), ("o2", "1", "2024-01-15 11:00:00", "u9", "2024-01-15")],
