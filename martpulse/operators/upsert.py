@@ -26,6 +26,10 @@ BATCH_COL = "batch_id"
 BASE_DIR, UPTO_COL = "_base", "upto"
 LARGE_DIR = "_large"
 PASSES = 4   # of a batch as large as a table
+# An execution's shuffle files go with it; a join whose one side has small partitions, as measured, sorts neither side.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+SHORT_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m"}
+CONCURRENT_FILES = "spark.sql.maxConcurrentOutputFileWriters"   # so many open files a task instead of a sort by folder
 
 
 def _list(x) -> list[str]:
@@ -60,25 +64,61 @@ def _write(df: DataFrame, mode: str, path: str, parts: list[str], complete: bool
     writer.parquet(path)
 
 
-def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | None = None,
-                 partition_by=None, null_key_id: bool = True, passes: int | None = None) -> None:
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read from there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def one_per_key(rows: DataFrame, keys: list[str], scratch: str, reduce, single=lambda rows: rows) -> DataFrame:
+    """One row per key of rows that are cheap to read twice (files).
+
+    A count of the keys' hashes, kept in ``scratch``, tells which rows can share a key: only these are shuffled and given to
+    ``reduce``, the others to ``single``, where they are.
+    """
+    counted = rows.select(F.xxhash64(*keys).alias("__key")).groupBy("__key").agg(F.count(F.lit(1)).alias("n"))
+    return reduce_some(rows, keys, kept(counted.where("n > 1").select("__key"), scratch), reduce, single)
+
+
+def reduce_some(rows: DataFrame, keys: list[str], repeated: DataFrame, reduce, single=lambda rows: rows) -> DataFrame:
+    """``reduce`` of the rows whose key's hash is ``repeated`` (a stored ``__key``), ``single`` of the others."""
+    if repeated.isEmpty():
+        return single(rows)
+    marked = rows.withColumn("__key", F.xxhash64(*keys))
+    return (single(marked.join(repeated, "__key", "left_anti").select(*rows.columns))
+            .unionByName(reduce(marked.join(repeated, "__key", "left_semi").select(*rows.columns))))
+
+
+def upsert_batch(df: DataFrame, batch_id: int, path: str, key, version: str | None = None, partition_by=None,
+                 null_key_id: bool = True, passes: int | None = None, reread: bool = False) -> None:
     """Write one micro-batch of keyed rows (idempotent per ``batch_id``): one row per key.
 
     Of rows with one key the latest version stays; equal versions are settled by a hash of the row, so a
     replay writes the same. A null key gets a hash of the row as its id (a document without id): it is
     merged with equal rows only. ``passes``: the same for a batch as large as a table, with less on disk (``_upsert_large``).
+    ``reread``: the same for rows from files, which are read twice but not shuffled where no key repeats (``one_per_key``).
     """
     keys, parts, root = _list(key), _list(partition_by), path.rstrip("/")
     order, to = ([version] if version else []) + ["__tie"], f"{root}/{BATCH_COL}={int(batch_id)}"
+    stage = f"{root}/{LARGE_DIR}/{BATCH_COL}={int(batch_id)}"
     if passes:
-        _upsert_large(df, keys, order, parts, null_key_id, passes, to, f"{root}/{LARGE_DIR}/{BATCH_COL}={int(batch_id)}")
+        _upsert_large(df, keys, order, parts, null_key_id, passes, to, stage)
         return
-    out = latest_per_key(_with_ids(df, keys, null_key_id), keys, order).drop("__tie").select(*df.columns)
+
+    def reduce(rows: DataFrame) -> DataFrame:
+        return latest_per_key(_with_ids(rows, keys, null_key_id), keys, order).select(*df.columns)
+
+    def single(rows: DataFrame) -> DataFrame:
+        return _with_ids(rows, keys, null_key_id).select(*df.columns)
+
+    out = one_per_key(df, keys, stage, reduce, single) if reread else reduce(df)
     if parts:
         # one writer per partition value instead of one per (task, value); AQE splits a hot value
         # across tasks and merges small ones (rebalance), so no task gets a third of the batch
         out = out.hint("rebalance", *parts)
     _write(out, "overwrite", to, parts)
+    if reread:
+        delete(df.sparkSession, stage)
 
 
 def _upsert_large(df: DataFrame, keys: list[str], order: list[str], parts: list[str], null_key_id: bool, passes: int, to: str, stage: str) -> None:
@@ -92,8 +132,7 @@ def _upsert_large(df: DataFrame, keys: list[str], order: list[str], parts: list[
     share = F.pmod(F.xxhash64(*(parts or keys)), F.lit(passes))
 
     def put(rows: DataFrame, name: str) -> None:
-        # a task keeps a file open per pass instead of sorting its rows by pass
-        with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(passes)}):
+        with settings(spark, {CONCURRENT_FILES: str(passes)}):
             rows.withColumn("__pass", share).write.mode("overwrite").option("compression", "zstd").partitionBy("__pass").parquet(f"{stage}/{name}")
 
     def got(name: str, schema: T.StructType, n: int | str = "*") -> DataFrame:
@@ -103,11 +142,10 @@ def _upsert_large(df: DataFrame, keys: list[str], order: list[str], parts: list[
     def by_id(rows: DataFrame) -> DataFrame:
         return _with_ids(rows, keys, null_key_id)
 
-    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+    with settings(spark, DROP_SHUFFLES):
         put(df, "rows")
         repeated = got("rows", df.schema).groupBy(hashed.alias("__key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__key")
-        repeated.write.mode("overwrite").parquet(f"{stage}/repeated")
-        repeated = spark.read.schema(repeated.schema).parquet(f"{stage}/repeated")
+        repeated = kept(repeated, f"{stage}/repeated")
         any_repeated = not repeated.isEmpty()
         if any_repeated:
             some = got("rows", df.schema).withColumn("__key", hashed).join(repeated, "__key", "left_semi").drop("__key")
@@ -190,19 +228,24 @@ def rows_since_snapshot(spark: SparkSession, path: str, partition_by=(), upto: i
 
 
 def current(spark: SparkSession, path: str, key, version: str | None = None, partition_by=(),
-            only_keys: DataFrame | None = None, where: Column | None = None, upto: int | None = None) -> DataFrame:
+            only_keys: DataFrame | None = None, where: Column | None = None, upto: int | None = None, columns=None) -> DataFrame:
     """Latest row per key: newest snapshot + later batches (version first, later batch wins ties).
 
     ``only_keys``: restrict to these keys first (a semi-join before the aggregate). ``where``: a predicate
     on columns that never change for a key (a creation date); it is applied to the scan, below the
     aggregate, so on a partition column it prunes folders. ``upto``: the table as it was after that batch.
+    ``columns``: only these beside the key; the others are not read.
     """
     df, keys = rows_since_snapshot(spark, path, partition_by, upto), _list(key)
     if where is not None:
         df = df.where(where)
     if only_keys is not None:
         df = df.join(only_keys.select(*keys).distinct(), on=keys, how="left_semi")
-    return latest_per_key(df, keys, ([version] if version else []) + [BATCH_COL]).drop(BATCH_COL)
+    order = ([version] if version else []) + [BATCH_COL]
+    if columns is not None:
+        df = df.select(*dict.fromkeys([*keys, *_list(columns), *order]))
+    found = latest_per_key(df, keys, order).drop(BATCH_COL)
+    return found if columns is None else found.select(*dict.fromkeys([*keys, *_list(columns)]))
 
 
 def compact(spark: SparkSession, path: str, key, version: str | None = None, partition_by=None,

@@ -25,9 +25,10 @@ from martpulse.operators.route import route_cdc, route_logs, route_logs_typed
 from martpulse.operators.pending import pair_pending
 from martpulse.operators.rollup import compact_rollup, rollup_batch
 from martpulse.operators.textindex import compact_index, index_batch
-from martpulse.operators.upsert import BATCH_COL, compact, current, foreach_batch_upsert, newest_batch, upsert_batch
+from martpulse.operators.upsert import (BATCH_COL, CONCURRENT_FILES, DROP_SHUFFLES, SHORT_JOINS, compact, current, foreach_batch_upsert,
+                                         newest_batch, settings, upsert_batch)
 from martpulse.operators.widen import SALE_COLUMNS, attach_user
-from martpulse.sources.paths import delete, exists
+from martpulse.sources.paths import delete, exists, matching
 
 BATCH_INTERVAL = "5 seconds"
 # Folder layout of the keyed output tables (pass to ``upsert.current``).
@@ -277,22 +278,24 @@ def user_dim_job(users: DataFrame, table_path: str, checkpoint: str, version: st
 
 
 def _user_lookup(user_table: str, table_path: str, as_of, user_version: str | None, partition_by, compact_every: int | None):
-    """What a sale job does with a micro-batch's pairs: user attributes, then the keyed sale table."""
-    def look_up(staged: DataFrame, batch_id: int) -> None:
-        spark = staged.sparkSession
-        wanted = staged.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
+    """What a sale job does with a micro-batch's rows: user attributes (``attach``), then the keyed sale table (``store``)."""
+    def attach(rows: DataFrame, batch_id: int) -> DataFrame:
+        spark = rows.sparkSession
+        wanted = rows.select(F.col("user_id").alias("id")).where(F.col("id").isNotNull())
         # a replay looks users up in the state that the batch saw first
         upto = pinned(spark, f"{table_path.rstrip('/')}/_pins", batch_id, user_table)
         if upto is not None:
             users = current(spark, user_table, "id", user_version, only_keys=wanted, upto=upto)
         else:   # no user written yet: every lookup misses, rows are kept
             users = spark.createDataFrame([], schemas.USER)
-        wide = attach_user(staged, users, as_of).select(*SALE_COLUMNS)
-        upsert_batch(wide, batch_id, table_path, "order_detail_id", None, partition_by)
+        return attach_user(rows, users, as_of)
+
+    def store(wide: DataFrame, batch_id: int, reread: bool = False) -> None:
+        upsert_batch(wide.select(*SALE_COLUMNS), batch_id, table_path, "order_detail_id", None, partition_by, reread=reread)
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact(spark, table_path, "order_detail_id", None, partition_by, upto=batch_id)
+            compact(wide.sparkSession, table_path, "order_detail_id", None, partition_by, upto=batch_id)
 
-    return look_up
+    return attach, store
 
 
 def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path: str, checkpoint: str,
@@ -312,7 +315,8 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
                                                               at.alias("o_ts")).alias("o"))
     d = details.select("order_id", F.struct(F.col("id").alias("order_detail_id"), "sku_id", "sku_name",
                                             F.col("order_price").try_cast("double").alias("sku_price"), at.alias("d_ts")).alias("d"))
-    state, look_up = f"{table_path.rstrip('/')}/_pending", _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
+    state = f"{table_path.rstrip('/')}/_pending"
+    attach, store = _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
 
     def _write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -331,7 +335,7 @@ def sale_job(orders: DataFrame, details: DataFrame, user_table: str, table_path:
             after.append(remembered(spark, f"{state}/seen_{side}", batch_id, lambda: most))
         pairs = pair_within_batches(rows.where("o is not null").select("order_id", "o.*"), rows.where("d is not null").select("order_id", "d.*"),
                                     "order_id", ttl_seconds, "o_ts", "d_ts", lateness, before, after, state, batch_id, f"{stage}/pairs")
-        look_up(pairs.drop("o_ts", "d_ts"), batch_id)
+        store(attach(pairs.drop("o_ts", "d_ts"), batch_id), batch_id)
         delete(spark, stage)
 
     return _start(o.unionByName(d, allowMissingColumns=True).writeStream.foreachBatch(_write), checkpoint, available_now)
@@ -349,19 +353,26 @@ def sale_refresh_job(orders: DataFrame, details: DataFrame, user_table: str, tab
                       *_arrival(orders))
     d = details.select("order_id", F.struct(F.col("id").alias("order_detail_id"), "sku_id", "sku_name",
                                             F.col("order_price").try_cast("double").alias("sku_price")).alias("d"), *_arrival(details))
-    state, look_up = f"{table_path.rstrip('/')}/_pending", _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
+    state = f"{table_path.rstrip('/')}/_pending"
+    attach, store = _user_lookup(user_table, table_path, as_of, user_version, partition_by, compact_every)
 
     def _write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         stage = f"{table_path.rstrip('/')}/_stage/batch_id={int(batch_id)}"
-        batch_df.write.mode("overwrite").parquet(f"{stage}/in")
-        rows = spark.read.schema(batch_df.schema).parquet(f"{stage}/in")
-        at = (rows.agg(clock.alias("t")).first()["t"] if clock is not None else
-              remembered(spark, f"{state}/clocks", batch_id, lambda: spark.range(1).select(F.unix_seconds(F.current_timestamp())).first()[0]))
-        if at is not None:   # an empty batch has no time of its own
-            pairs = pair_pending(rows.where("o is not null").select("order_id", "o.*"), rows.where("d is not null").select("order_id", "d.*"),
-                                 state, batch_id, int(at), f"{stage}/pairs", ttl=ttl_seconds)
-            look_up(pairs, batch_id)
+        with settings(spark, {**DROP_SHUFFLES, **SHORT_JOINS}):
+            with settings(spark, {CONCURRENT_FILES: "2"}):   # orders and lines in folders of their own: neither is read for the other
+                batch_df.withColumn("__side", F.col("o").isNotNull()).write.mode("overwrite").partitionBy("__side").parquet(f"{stage}/in")
+            sides = []
+            for side in ("true", "false"):
+                found = matching(spark, f"{stage}/in/__side={side}")
+                sides.append(spark.read.schema(batch_df.schema).parquet(*found) if found else spark.createDataFrame([], batch_df.schema))
+            at = (sides[0].unionByName(sides[1]).agg(clock.alias("t")).first()["t"] if clock is not None else
+                  remembered(spark, f"{state}/clocks", batch_id, lambda: spark.range(1).select(F.unix_seconds(F.current_timestamp())).first()[0]))
+            if at is not None:   # an empty batch has no time of its own
+                # users are looked up once per order that may pair, in the state that the batch saw first
+                wide = pair_pending(sides[0].select("order_id", "o.*"), sides[1].where("d is not null").select("order_id", "d.*"), state, batch_id,
+                                    int(at), f"{stage}/pairs", ttl=ttl_seconds, widen=lambda orders: attach(orders, batch_id))
+                store(wide, batch_id, reread=True)
         delete(spark, stage)
 
     both = o.unionByName(d, allowMissingColumns=True)

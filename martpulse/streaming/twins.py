@@ -19,7 +19,7 @@ from martpulse.operators.pairs import pair_within_stream
 from martpulse.operators.route import route_cdc
 from martpulse.operators.rollup import read_rollup
 from martpulse.operators.textindex import index_batch, search_index
-from martpulse.operators.upsert import PASSES, current, upsert_batch
+from martpulse.operators.upsert import CONCURRENT_FILES, DROP_SHUFFLES, PASSES, SHORT_JOINS, current, settings, upsert_batch
 from martpulse.operators.widen import SALE_COLUMNS, sale_rows
 from martpulse.plans import catalog as C
 from martpulse.plans import saledetail as S
@@ -344,14 +344,15 @@ def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
 def _in_steps(inputs: dict[str, DataFrame], steps: int, job) -> None:
     """Run ``job`` over file streams of the inputs (path -> rows), the rows of each ``step`` as one micro-batch.
 
-    Every task writes its part of a step; then the job is resumed from its checkpoint and takes all that is new.
+    The rows are made once and written to a folder per step; then the job is resumed from its checkpoint for each folder more.
     """
+    for path, df in inputs.items():
+        with settings(df.sparkSession, {CONCURRENT_FILES: str(steps), **DROP_SHUFFLES, **SHORT_JOINS}):
+            df.where(F.col("step").between(0, steps - 1)).write.partitionBy("step").parquet(path)
     for k in range(steps):
-        streams = []
-        for path, df in inputs.items():
-            df.where(F.col("step") == k).drop("step").write.parquet(f"{path}/{k}")
-            streams.append(df.sparkSession.readStream.schema(df.drop("step").schema).parquet(f"{path}/*"))
-        J.run_to_end(job(*streams))
+        so_far = ",".join(map(str, range(k + 1)))
+        J.run_to_end(job(*[df.sparkSession.readStream.schema(df.drop("step").schema).parquet(f"{path}/step={{{so_far}}}")
+                           for path, df in inputs.items()]))
 
 
 @C.register("order_hour_rollup", C.ORACLES["order_hour"])
@@ -417,7 +418,7 @@ def q_stream_sale_ttl_refresh(spark: SparkSession, sf: str) -> DataFrame:
     _in_steps({f"{run}/orders": orders, f"{run}/details": details}, TTL_STEPS, lambda o, d: J.sale_refresh_job(
         o, d, f"{run}/users", f"{run}/sale", f"{run}/ckpt", SI.age_as_of(), TTL_SECONDS, clock=F.max("arrived"),
         available_now=True, partition_by=None, user_version=None))
-    return current(spark, f"{run}/sale", "order_detail_id").select("order_detail_id", "order_id")
+    return current(spark, f"{run}/sale", "order_detail_id", columns="order_id")
 
 
 @C.register("stream_job_metrics", """SELECT 'dau_in.rows_in' AS name, CAST(count(*) AS DOUBLE) AS value FROM startup_log

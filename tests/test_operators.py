@@ -160,10 +160,13 @@ def test_a_large_batch_is_written_like_a_small_one(spark, scratch, parts, versio
     upsert_batch(df, 4, f"{scratch}/small", "id", version, parts)
     for _ in range(2):   # a retry replaces the batch
         upsert_batch(df, 4, f"{scratch}/large", "id", version, parts, passes=3)
-    small, large = (rows_since_snapshot(spark, f"{scratch}/{n}", parts or ()) for n in ("small", "large"))
-    assert small.dtypes == large.dtypes
-    assert Counter(large.collect()) == Counter(small.collect())
-    assert not matching(spark, f"{scratch}/large/_large/*")   # the stage is gone
+    upsert_batch(df, 4, f"{scratch}/reread", "id", version, parts, reread=True)
+    small, large, reread = (rows_since_snapshot(spark, f"{scratch}/{n}", parts or ()) for n in ("small", "large", "reread"))
+    assert small.dtypes == large.dtypes == reread.dtypes
+    assert Counter(large.collect()) == Counter(small.collect()) == Counter(reread.collect())
+    assert not matching(spark, f"{scratch}/*/_large/*")   # the stage is gone
+    some = current(spark, f"{scratch}/large", "id", version, parts or (), columns="x")
+    assert some.columns == ["id", "x"] and Counter(some.collect()) == Counter(small.select("id", "x").collect())
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
 
 

@@ -2,9 +2,12 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from martpulse.operators.pending import pair_pending
 from martpulse.sources.paths import matching
 from martpulse.streaming import jobs as J
+from martpulse.streaming import twins as T
 
 ORDER, LINE = "order_id string, status string", "order_id string, order_detail_id string, price int"
 
@@ -60,3 +63,43 @@ def test_a_replay_keeps_its_clock(spark, scratch):
     assert J.remembered(spark, f"{scratch}/clocks", 0, lambda: next(times)) == 100
     assert J.remembered(spark, f"{scratch}/clocks", 0, lambda: next(times)) == 100
     assert J.remembered(spark, f"{scratch}/clocks", 1, lambda: next(times)) == 200
+
+
+def test_repeated_rows_count_once_and_one_clock_may_hold_many_batches(spark, scratch):
+    """Rows that come twice or differ under one key, a pending line sent anew, lines that move within a second."""
+    batches = [([], [("o1", "d1", 1), ("o1", "d1", 1), ("o2", "e", 1), ("o2", "e", 2), ("o3", "f", 1)]),
+               ([("o3", "a"), ("o3", "a"), ("o3", "b")], [("o1", "d2", 1), ("o2", "e", 7)]),
+               ([("o1", "a"), ("o2", "a")], [("o3", "g", 1), ("o3", "g", 2)])]
+    seen = []
+    for n, (orders, lines) in enumerate(batches):
+        o, d = spark.createDataFrame(orders, ORDER), spark.createDataFrame(lines, LINE)
+        runs = [pair_pending(o, d, f"{scratch}/state", n, 1_000, f"{scratch}/out/{n}",
+                             widen=lambda df: df.withColumn("level", F.upper("status"))).collect() for _ in range(2)]
+        assert sorted(runs[0]) == sorted(runs[1])   # a replay
+        assert runs[0] == [] or runs[0][0].__fields__ == ["order_id", "status", "level", "order_detail_id", "price"]
+        assert all(r.level == r.status.upper() for r in runs[0])
+        seen.append(sorted((r.order_id, r.order_detail_id, r.price) for r in runs[0]))
+    assert seen[0] == [] and seen[1] == [("o3", "f", 1)]
+    assert seen[2][:3] == [("o1", "d1", 1), ("o1", "d2", 1), ("o2", "e", 7)]
+    assert [x[:2] for x in seen[2][3:]] == [("o3", "g")]   # with the pending order, once
+
+
+def test_rows_of_all_steps_are_made_once(spark, scratch):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(i, i % 4) for i in range(40)] + [(99, None), (98, 7)], "id long, step int")   # no row in step 4
+    seen = []
+
+    def job(stream):
+        def write(df, _):
+            seen.append(sorted(r.id for r in df.collect()))
+        return J._start(stream.writeStream.foreachBatch(write), f"{scratch}/ckpt", True)
+
+    T._in_steps({f"{scratch}/in": rows.mapInPandas(count, rows.schema)}, 5, job)
+    assert [x for x in seen if x] == [list(range(k, 40, 4)) for k in range(4)]
+    assert made.value == 42   # it was 42 per step
