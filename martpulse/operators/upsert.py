@@ -20,12 +20,13 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martpulse.operators.dedup import latest_per_key
-from martpulse.sources.paths import delete, matching
+from martpulse.sources.paths import delete, matching, size
 
 BATCH_COL = "batch_id"
 BASE_DIR, UPTO_COL = "_base", "upto"
 LARGE_DIR = "_large"
 PASSES = 4   # of a batch as large as a table
+ONE_PASS_BYTES = 32 * 1024 * 1024   # staged: up to here passes save no disk worth their time
 # An execution's shuffle files go with it; a join whose one side has small partitions, as measured, sorts neither side.
 DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 SHORT_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m"}
@@ -151,16 +152,17 @@ def _upsert_large(df: DataFrame, keys: list[str], order: list[str], parts: list[
             some = got("rows", df.schema).withColumn("__key", hashed).join(repeated, "__key", "left_semi").drop("__key")
             put(latest_per_key(by_id(some), keys, order).select(*df.columns), "reduced")
         delete(spark, to)
-        for n in range(passes):
+        rounds = list(range(passes)) if size(spark, f"{stage}/rows") > ONE_PASS_BYTES else ["*"]
+        for n in rounds:
             out = got("rows", df.schema, n)
             if any_repeated:
                 out = out.withColumn("__key", hashed).join(repeated, "__key", "left_anti").select(*df.columns)
             out = by_id(out).select(*df.columns)
             if any_repeated:
                 out = out.unionByName(got("reduced", out.schema, n))
-            _write(out.hint("rebalance", *parts) if parts else out, "append", to, parts, complete=n == passes - 1)
-            for name in ("rows", "reduced"):
-                delete(spark, f"{stage}/{name}/__pass={n}")
+            _write(out.hint("rebalance", *parts) if parts else out, "append", to, parts, complete=n == rounds[-1])
+            for folder in matching(spark, f"{stage}/*/__pass={n}"):
+                delete(spark, folder)
     delete(spark, stage)
 
 

@@ -26,6 +26,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    at, fs = _at(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small ASCII file, replaced if it is there."""
     at, fs = _at(spark, path)

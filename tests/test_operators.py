@@ -150,7 +150,7 @@ def test_upsert_retry_is_idempotent_and_latest_wins(spark, scratch):
 
 
 @pytest.mark.parametrize("parts, version, repeats", [(["day"], "v", True), (["day"], None, False), (None, None, True)])
-def test_a_large_batch_is_written_like_a_small_one(spark, scratch, parts, version, repeats):
+def test_a_large_batch_is_written_like_a_small_one(spark, scratch, monkeypatch, parts, version, repeats):
     rng = random.Random(7)
     rows = [(f"k{i}", rng.randrange(3), f"d{rng.randrange(9)}", None if i % 5 else "x") for i in range(200)]
     if repeats:   # keys that come again with other or equal versions and days, equal rows, null keys and days
@@ -158,7 +158,8 @@ def test_a_large_batch_is_written_like_a_small_one(spark, scratch, parts, versio
         rows += [(None, 1, "d1", "auto"), (None, 1, "d1", "auto"), (None, 2, "d2", "auto"), ("n", 1, None, "n"), ("n", 1, "d1", "m")]
     df = spark.createDataFrame(rows, "id string, v long, day string, x string").repartition(3)
     upsert_batch(df, 4, f"{scratch}/small", "id", version, parts)
-    for _ in range(2):   # a retry replaces the batch
+    for most in (upsert.ONE_PASS_BYTES, 0):   # in one pass; a retry, in three, replaces the batch
+        monkeypatch.setattr(upsert, "ONE_PASS_BYTES", most)
         upsert_batch(df, 4, f"{scratch}/large", "id", version, parts, passes=3)
     upsert_batch(df, 4, f"{scratch}/reread", "id", version, parts, reread=True)
     small, large, reread = (rows_since_snapshot(spark, f"{scratch}/{n}", parts or ()) for n in ("small", "large", "reread"))
@@ -173,6 +174,7 @@ def test_a_large_batch_is_written_like_a_small_one(spark, scratch, parts, versio
 def test_a_large_batch_cut_short_is_not_complete(spark, scratch, monkeypatch):
     df = spark.createDataFrame([(f"k{i}", f"d{i % 9}") for i in range(50)], "id string, day string")
     write, done = upsert._write, []
+    monkeypatch.setattr(upsert, "ONE_PASS_BYTES", 0)
     monkeypatch.setattr(upsert, "_write", lambda *a, **k: done.append(1) or (write(*a, **k) if len(done) < 3 else 1 / 0))
     with pytest.raises(ZeroDivisionError):
         upsert_batch(df, 0, f"{scratch}/t", "id", None, ["day"], passes=3)
